@@ -1,0 +1,60 @@
+"""Equi joins that hold when one key carries a large share of the left rows."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+from functools import reduce
+from operator import or_
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+#: A key with at least this share of the left rows is salted. At most
+#: ``1 / HOT_SHARE`` keys can reach it, which bounds the broadcast of hot keys.
+HOT_SHARE = 1 / 256
+#: Tasks a hot key is spread over.
+SALTS = 64
+
+
+def hot_keys(df: DataFrame, on: Sequence[str], share: float = HOT_SHARE) -> DataFrame:
+    """The keys that hold at least ``share`` of the rows: at most ``1/share`` rows."""
+    counts = df.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
+    total = df.agg(F.count(F.lit(1)).alias("_total"))
+    return counts.where(F.col("_n") >= share * total.scalar()).select(*on)
+
+
+def skew_join(
+    left: DataFrame,
+    right: DataFrame,
+    on: str | Sequence[str],
+    how: str = "inner",
+    share: float = HOT_SHARE,
+    salts: int = SALTS,
+) -> DataFrame:
+    """``left.join(right, on, how)`` with the hot left keys spread over ``salts`` tasks.
+
+    Left rows of a hot key get a salt; the matching right rows are repeated once
+    per salt. All other keys join as they are. ``how`` is inner, left,
+    left_semi or left_anti; ``left`` is read once more to count its keys.
+    """
+    on = [on] if isinstance(on, str) else list(on)
+    if how not in ("inner", "left", "left_semi", "left_anti"):
+        raise ValueError(f"unsupported join type: {how}")
+    # Bounded by 1/share rows, whatever the size of the data.
+    hot = F.broadcast(hot_keys(left, on, share).where(F.col(on[0]).isNotNull()).withColumn("_hot", F.lit(True)))
+    # A row's salt depends on its values and its input split only, so a task
+    # that runs again after a lost executor sends it to the same place; the
+    # split spreads full copies, which have equal values. Types without a hash
+    # (maps, variants) stay out of it.
+    hashable = [f.name for f in left.schema.fields if f.dataType.typeName() not in ("map", "variant", "binary")]
+    spread = F.pmod(F.xxhash64(F.spark_partition_id(), *hashable), F.lit(salts)).cast("int")
+    # Null keys match nothing, so they are spread as well.
+    scattered = reduce(or_, [F.col(c).isNull() for c in on], F.col("_hot"))
+    salted_left = left.join(hot, on, "left").withColumn(
+        "_salt", F.when(scattered, spread).otherwise(F.lit(0))
+    ).drop("_hot")
+    all_salts = F.sequence(F.lit(0), F.lit(salts - 1))
+    salted_right = right.join(hot, on, "left").withColumn(
+        "_salt", F.explode(F.when(F.col("_hot"), all_salts).otherwise(F.array(F.lit(0))))
+    ).drop("_hot")
+    return salted_left.join(salted_right, on + ["_salt"], how).drop("_salt")
