@@ -20,8 +20,13 @@ INDICATOR_LIST_URL = "https://data360api.worldbank.org/data360/indicators?datase
 INDICATOR_METADATA_URL = "https://data360files.worldbank.org/data360-data/metadata/%1$s/%2$s.json"
 INDICATOR_DATA_URL = "https://data360files.worldbank.org/data360-data/data/%1$s/%2$s.csv"
 
-#: Whitespace as a Unicode-aware strip sees it.
-_BLANK = r"[\s\x1c-\x1f]"
+# The characters a Unicode-aware strip removes.
+WHITESPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
+_BLANK = f"[{WHITESPACE}]"
 
 #: The HTML entities that occur in catalogue labels.
 _ENTITIES = {
@@ -41,7 +46,7 @@ def _col(c: ColumnOrName) -> Column:
 
 def strip(c: ColumnOrName) -> Column:
     """Both ends freed of any Unicode whitespace, tabs and newlines included."""
-    return F.regexp_replace(_col(c), f"(?U)^{_BLANK}+|{_BLANK}+$", "")
+    return F.btrim(_col(c), F.lit(WHITESPACE))
 
 
 def clean_resource_id(c: ColumnOrName) -> Column:
@@ -150,7 +155,7 @@ def span_text(html: ColumnOrName, css_class: str) -> Column:
         + r"(?:\s[^\"']*)?[\"'][^>]*>(.*?)</span\s*>"
     )
     inner = F.try_element_at(F.regexp_extract_all(_col(html), F.lit(pattern), F.lit(1)), F.lit(1))
-    text = strip(F.regexp_replace(inner, f"(?U){_BLANK}*<[^>]*>{_BLANK}*", ""))
+    text = strip(F.regexp_replace(inner, f"{_BLANK}*<[^>]*>{_BLANK}*", ""))
     for entity, char in _ENTITIES.items():
         text = F.replace(text, F.lit(entity), F.lit(char))
     return text

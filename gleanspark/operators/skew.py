@@ -2,25 +2,39 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-#: A key with at least this share of the left rows is salted. At most
-#: ``1 / HOT_SHARE`` keys can reach it, which bounds the broadcast of hot keys.
+#: A key with at least this share of the left rows is salted.
 HOT_SHARE = 1 / 256
 #: Tasks a hot key is spread over.
 SALTS = 64
+_TRACKED = 10_000
 
 
-def hot_keys(df: DataFrame, on: Sequence[str], share: float = HOT_SHARE) -> DataFrame:
-    """The keys that hold at least ``share`` of the rows: at most ``1/share`` rows."""
-    counts = df.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
-    total = df.agg(F.count(F.lit(1)).alias("_total"))
-    return counts.where(F.col("_n") >= share * total.scalar()).select(*on)
+def _key_hash(df: DataFrame, on: Sequence[str], types: dict[str, T.DataType]) -> Column:
+    return F.xxhash64(*[df[c].cast(types[c]) for c in on])
+
+
+def hot_key_hashes(df: DataFrame, on: Sequence[str], share: float = HOT_SHARE) -> list[int]:
+    """Hashes of the keys that hold about ``share`` of the rows or more.
+
+    A sketch per task, merged: no key is shuffled, and at most ``1/share``
+    hashes come back, whatever the size of the data.
+    """
+    types = {f.name: f.dataType for f in df.schema.fields}
+    keys = df.dropna(subset=list(on)).select(_key_hash(df, on, types).alias("_h"))
+    top = F.call_function("approx_top_k", F.col("_h"), F.lit(math.ceil(1 / share)), F.lit(_TRACKED))
+    found = keys.agg(F.count(F.lit(1)).alias("n"), top.alias("top")).first()
+    if found is None or not found["n"]:
+        return []
+    return [item["item"] for item in found["top"] if item["count"] >= max(2, share * found["n"])]
 
 
 def skew_join(
@@ -34,14 +48,18 @@ def skew_join(
     """``left.join(right, on, how)`` with the hot left keys spread over ``salts`` tasks.
 
     Left rows of a hot key get a salt; the matching right rows are repeated once
-    per salt. All other keys join as they are. ``how`` is inner, left,
-    left_semi or left_anti; ``left`` is read once more to count its keys.
+    per salt. All other keys join as they are, and without a hot key this is the
+    plain join. ``how`` is inner, left, left_semi or left_anti. The keys of
+    ``left`` are read once beforehand; which of them count as hot decides
+    balance only, never results.
     """
     on = [on] if isinstance(on, str) else list(on)
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join type: {how}")
-    # Bounded by 1/share rows, whatever the size of the data.
-    hot = F.broadcast(hot_keys(left, on, share).where(F.col(on[0]).isNotNull()).withColumn("_hot", F.lit(True)))
+    hot = hot_key_hashes(left, on, share)
+    if not hot:
+        return left.join(right, on, how)
+    types = {f.name: f.dataType for f in left.schema.fields}
     # A row's salt depends on its values and its input split only, so a task
     # that runs again after a lost executor sends it to the same place; the
     # split spreads full copies, which have equal values. Types without a hash
@@ -49,12 +67,13 @@ def skew_join(
     hashable = [f.name for f in left.schema.fields if f.dataType.typeName() not in ("map", "variant", "binary")]
     spread = F.pmod(F.xxhash64(F.spark_partition_id(), *hashable), F.lit(salts)).cast("int")
     # Null keys match nothing, so they are spread as well.
-    scattered = reduce(or_, [F.col(c).isNull() for c in on], F.col("_hot"))
-    salted_left = left.join(hot, on, "left").withColumn(
-        "_salt", F.when(scattered, spread).otherwise(F.lit(0))
-    ).drop("_hot")
-    all_salts = F.sequence(F.lit(0), F.lit(salts - 1))
-    salted_right = right.join(hot, on, "left").withColumn(
-        "_salt", F.explode(F.when(F.col("_hot"), all_salts).otherwise(F.array(F.lit(0))))
-    ).drop("_hot")
+    null_key = reduce(or_, [left[c].isNull() for c in on])
+    salted_left = left.withColumn(
+        "_salt", F.when(null_key | _key_hash(left, on, types).isin(hot), spread).otherwise(F.lit(0))
+    )
+    all_salts = F.array(*[F.lit(salt) for salt in range(salts)])
+    salted_right = right.withColumn(
+        "_salt",
+        F.explode(F.when(_key_hash(right, on, types).isin(hot), all_salts).otherwise(F.array(F.lit(0)))),
+    )
     return salted_left.join(salted_right, on + ["_salt"], how).drop("_salt")

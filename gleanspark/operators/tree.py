@@ -9,63 +9,71 @@ from pyspark.sql import functions as F
 
 from gleanspark.functions.text import span_text
 from gleanspark.operators.skew import skew_join
-from gleanspark.session import ensure_checkpoint_dir
+from gleanspark.session import materialize
 
 #: Tree levels opened in one plan before the remainder is looked at.
-LEVELS_PER_PASS = 8
+LEVELS_PER_PASS = 4
 #: Doubling rounds after which only a cycle can still be open (depth 2^40).
 MAX_ROUNDS = 40
 
 
 def _children(node: Column) -> Column:
-    return F.coalesce(F.try_variant_get(node, "$.childNodes", "array<variant>"), F.array().cast("array<variant>"))
+    """Child nodes, null for a leaf."""
+    children = F.try_variant_get(node, "$.childNodes", "array<variant>")
+    return F.when(F.size(children) > 0, children)
+
+
+def _name(node: Column) -> Column:
+    return span_text(F.try_variant_get(node, "$.label", "string"), "node")
+
+
+def _data_filter(node: Column) -> Column:
+    return F.try_variant_get(node, "$.dataFilter", "string")
 
 
 def is_leaf(node: Column | str) -> Column:
-    return F.size(_children(F.col(node) if isinstance(node, str) else node)) == 0
+    return _children(F.col(node) if isinstance(node, str) else node).isNull()
 
 
 def flatten_nodes(nodes: DataFrame, node: str = "node") -> DataFrame:
     """Leaves below each row's node: ``(other columns..., name, path, depth, data_filter)``.
 
-    Every level is an explode in place, so the walk needs no shuffle and reads
-    its input once per ``LEVELS_PER_PASS`` levels of depth.
+    Every level is an explode in place, so the walk needs no shuffle. The
+    result is written once per ``LEVELS_PER_PASS`` levels of depth.
     """
     others = [c for c in nodes.columns if c != node]
+    at = F.col(node)
     current = nodes.select(
         *others,
-        F.struct(
-            F.col(node).alias("node"), F.array().cast("array<string>").alias("path"), F.lit(1).alias("depth")
-        ).alias("_at"),
+        _name(at).alias("name"),
+        F.array().cast("array<string>").alias("path"),
+        F.lit(1).alias("depth"),
+        _data_filter(at).alias("data_filter"),
+        _children(at).alias("_children"),
     )
     while True:
         for _ in range(LEVELS_PER_PASS):
             current = _open_folders(current, others)
-        if current.where(~is_leaf(F.col("_at.node"))).isEmpty():
-            break
-    node_column = F.col("_at.node")
-    return current.select(
-        *others,
-        span_text(F.try_variant_get(node_column, "$.label", "string"), "node").alias("name"),
-        F.col("_at.path").alias("path"),
-        F.col("_at.depth").alias("depth"),
-        F.try_variant_get(node_column, "$.dataFilter", "string").alias("data_filter"),
-    )
+        current = materialize(current)
+        if current.where(F.col("_children").isNotNull()).isEmpty():
+            return current.drop("_children")
 
 
 def _open_folders(current: DataFrame, others: Sequence[str]) -> DataFrame:
     """Replace every folder by its children; leaves stay as they are."""
-    at = F.col("_at")
-    label = span_text(F.try_variant_get(at["node"], "$.label", "string"), "node")
-    opened = current.withColumns({"_children": _children(at["node"]), "_path": F.array_append(at["path"], label)})
-    below = F.transform(
-        "_children",
-        lambda child: F.struct(
-            child.alias("node"), F.col("_path").alias("path"), (at["depth"] + 1).alias("depth")
-        ),
+    exploded = current.select(
+        *others, "name", "path", "depth", "data_filter", F.explode_outer("_children").alias("_child")
+    )
+    child = F.col("_child")
+    opened = child.isNotNull()
+    return exploded.select(
+        *others,
+        F.when(opened, _name(child)).otherwise(F.col("name")).alias("name"),
+        F.when(opened, F.array_append("path", F.col("name"))).otherwise(F.col("path")).alias("path"),
+        F.when(opened, F.col("depth") + 1).otherwise(F.col("depth")).alias("depth"),
+        F.when(opened, _data_filter(child)).otherwise(F.col("data_filter")).alias("data_filter"),
+        F.when(opened, _children(child)).alias("_children"),
     )
-    following = F.when(F.size("_children") > 0, below).otherwise(F.array(at))
-    return opened.select(*others, F.explode(following).alias("_at"))
 
 
 def flatten_edges(edges: DataFrame) -> DataFrame:
@@ -73,10 +81,8 @@ def flatten_edges(edges: DataFrame) -> DataFrame:
 
     Ancestors are found by doubling: each round joins every node to the chain
     already known of the top it has reached, so a tree of depth d takes about
-    log2(d) joins. The state is checkpointed after each round.
+    log2(d) joins. The state is written after each round.
     """
-    spark = edges.sparkSession
-    ensure_checkpoint_dir(spark)
     parents = edges.where(F.col("parent_id").isNotNull()).select(F.col("parent_id").alias("node_id")).distinct()
     known = edges.join(parents.withColumn("_folder", F.lit(True)), "node_id", "left").select(
         "node_id",
@@ -86,7 +92,7 @@ def flatten_edges(edges: DataFrame) -> DataFrame:
         F.array().cast("array<string>").alias("path"),
     )
     for _ in range(MAX_ROUNDS):
-        known = known.checkpoint()
+        known = materialize(known)
         open_nodes = known.where(F.col("top").isNotNull())
         if open_nodes.isEmpty():
             return known.select("node_id", "title", "path", (F.size("path") + 1).alias("depth"), "is_leaf")

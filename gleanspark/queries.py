@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from gleanspark import fixtures
 from gleanspark.functions import payload, predicates, text, types
 from gleanspark.operators import positions, resources, responses, tree, typed
-from gleanspark.session import configure
+from gleanspark.session import configure, spread
 from gleanspark.sources import catalog, datasets, indicators, payloads, topics
 from gleanspark.sources.fetch import fetch
 from gleanspark.sources.portals import portals
@@ -608,7 +608,7 @@ def q_expand_archive(read, spark):
     pack = F.pandas_udf(_zip_archive, "binary")
     key = F.col("doc_id").cast("string")
     content = F.when(F.col("lang") == "de", F.encode("text", "UTF-8")).otherwise(pack(key, F.col("text")))
-    archives = read("documents").select(key.alias("storage_key"), content.alias("content"))
+    archives = spread(read("documents")).select(key.alias("storage_key"), content.alias("content"))
     members = payloads.expand_archive(archives, ".csv")
     return members.select("storage_key", "member", F.md5("data").alias("digest"), "error_text")
 
@@ -629,7 +629,7 @@ def q_decode_csv(read, spark):
         F.lit('7,"a,b",c,extra'),
         F.concat(F.lit("bad,"), quoted, F.lit(",")),
     )
-    files = read("events").select(F.col("event_id").alias("dataset_id"), F.encode(table, "UTF-8").alias("content"))
+    files = spread(read("events")).select(F.col("event_id").alias("dataset_id"), F.encode(table, "UTF-8").alias("content"))
     decoded = payloads.decode_csv(files, infer_rows=2)
     cells = [F.try_element_at("record", F.lit(c)).alias(c) for c in ("n", "kind", "note")]
     return decoded.select("dataset_id", "row_idx", *cells)
@@ -753,7 +753,7 @@ def _mart_replies(read) -> DataFrame:
 
     nodes = F.to_json(F.transform(F.split("text", "\n"), folder))
     key = F.concat_ws("-", F.col("conv_id").cast("string"), F.col("turn").cast("string"))
-    return read("conversations").select(
+    return spread(read("conversations")).select(
         key.alias("mart_id"), "role", F.concat(F.lit("{Nodes:"), nodes, F.lit("}")).alias("body")
     )
 
@@ -789,7 +789,7 @@ def q_scan_topics(read, spark):
 
     words = F.split(F.regexp_replace("text", r"\s+", " "), " ")
     body = F.concat(F.lit("{Nodes:"), F.to_json(F.transform(words, topic)), F.lit("}"))
-    return topics.scan_topics(read("conversations").select(body.alias("body")))
+    return topics.scan_topics(spread(read("conversations")).select(body.alias("body")))
 
 
 @query("SELECT doc_id, text AS label FROM documents")

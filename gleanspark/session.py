@@ -1,10 +1,11 @@
-"""Session helpers: the settings every job relies on, and the checkpoint folder."""
+"""Session helpers: the settings every job relies on, and intermediate tables."""
 
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 #: Runtime settings; results depend on the first three, speed on the rest.
 RUNTIME_SETTINGS = {
@@ -39,18 +40,39 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: s
     return configure(spark)
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Make ``DataFrame.checkpoint`` usable.
+def checkpoint_dir(spark: SparkSession) -> str:
+    """The shared folder for intermediate tables.
 
     The cluster's own ``spark.checkpoint.dir`` wins. A temporary folder is
     taken only on a local master, where it is shared by construction.
     """
-    context = spark.sparkContext
-    if context.getCheckpointDir() is not None:
-        return
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if configured is None:
-        if not context.master.startswith("local"):
+        if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
         configured = tempfile.mkdtemp(prefix="gleanspark-checkpoint-")
-    context.setCheckpointDir(configured)
+        spark.sparkContext.setCheckpointDir(configured)
+    return configured
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Write ``df`` once to the shared folder and go on from the written table.
+
+    Cuts the lineage, so that a lost executor costs no more than a re-read, and
+    gives every later reader the same rows.
+    """
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame, rows: int = 1_000_000) -> DataFrame:
+    """Deal a short table out to all cores before per-row work that is heavy.
+
+    A table of few, heavy rows may come in fewer splits than there are cores.
+    Longer tables have splits enough and are left where they are.
+    """
+    if df.count() > rows:
+        return df
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)

@@ -9,7 +9,6 @@ import re
 import zipfile
 from collections.abc import Iterator
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -45,15 +44,21 @@ def expand_archive(
     after the parts that could be read.
     """
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows: list[dict[str, object]] = []
+        held = 0
         for batch in batches:
             for payload_key, content in zip(batch[key], batch["content"]):
-                yield from _members(payload_key, content)
-
-    def _members(payload_key: str, content: bytes) -> Iterator[pd.DataFrame]:
-        def row(number: int | None, member: str | None, part: int | None, data: bytes | None, error: str | None = None):
-            return pd.DataFrame([(payload_key, number, member, part, data, error)], columns=columns)
-
+                for row in _members(payload_key.as_py(), content.as_py()):
+                    rows.append(row)
+                    held += len(row.get("data") or b"") + 100
+                    if held >= part_bytes:
+                        yield pa.RecordBatch.from_pylist(rows, schema)
+                        rows, held = [], 0
+        if rows:
+            yield pa.RecordBatch.from_pylist(rows, schema)
+
+    def _members(payload_key: str, content: bytes) -> Iterator[dict[str, object]]:
         try:
             with zipfile.ZipFile(io.BytesIO(content)) as archive:
                 for number, info in enumerate(archive.infolist()):
@@ -62,14 +67,29 @@ def expand_archive(
                     with archive.open(info) as stream:
                         part = 0
                         while (data := stream.read(part_bytes)) or part == 0:
-                            yield row(number, info.filename, part, data)
+                            yield {
+                                key: payload_key,
+                                "member_no": number,
+                                "member": info.filename,
+                                "part_no": part,
+                                "data": data,
+                            }
                             part += 1
         except Exception as error:  # a corrupt archive is an outcome, not a failed job
-            yield row(None, None, None, None, f"{type(error).__name__}: {error}")
-
-    columns = [key, "member_no", "member", "part_no", "data", "error_text"]
-    schema = f"{key} string, member_no int, member string, part_no int, data binary, error_text string"
-    return payloads.select(F.col(key).cast("string"), "content").mapInPandas(run, schema)
+            yield {key: payload_key, "error_text": f"{type(error).__name__}: {error}"}
+
+    schema = pa.schema(
+        [
+            (key, pa.string()),
+            ("member_no", pa.int32()),
+            ("member", pa.string()),
+            ("part_no", pa.int32()),
+            ("data", pa.binary()),
+            ("error_text", pa.string()),
+        ]
+    )
+    ddl = f"{key} string, member_no int, member string, part_no int, data binary, error_text string"
+    return payloads.select(F.col(key).cast("string"), "content").mapInArrow(run, ddl)
 
 
 def _unique_names(header: list[str]) -> list[str]:
@@ -100,37 +120,63 @@ def decode_csv(payloads: DataFrame, key: str = "dataset_id", infer_rows: int = I
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = _Rows()
         for batch in batches:
             for payload_key, content in zip(batch["dataset_id"], batch["content"]):
-                yield from _decoded(payload_key.as_py(), content.as_py())
-
-    def _decoded(payload_key: str, content: bytes) -> Iterator[pa.RecordBatch]:
-        text = io.TextIOWrapper(io.BytesIO(content), "utf-8-sig", "replace", newline="")
-        lines = (line for line in csv.reader(text) if line)
-        names = _unique_names(next(lines, []))
-        width = len(names)
-        rows = ((cells + [None] * width)[:width] for cells in lines)
-        sample = list(itertools.islice(rows, infer_rows))
-        checks = _fits(sample, width)
-        rows, first = itertools.chain(sample, rows), 0
-        while part := list(itertools.islice(rows, _CSV_BATCH)):
-            cells = [
-                c if c and (check is None or check.fullmatch(c)) else None
-                for row in part
-                for c, check in zip(row, checks)
-            ]
-            offsets = pa.array(range(0, len(cells) + 1, width), pa.int32())
-            records = pa.MapArray.from_arrays(offsets, pa.array(names * len(part), pa.string()), pa.array(cells, pa.string()))
-            index = pa.array(range(first, first + len(part)), pa.int64())
-            ids = pa.array([payload_key] * len(part), pa.string())
-            yield pa.RecordBatch.from_arrays([ids, index, records], ["dataset_id", "row_idx", "record"])
-            first += len(part)
+                names, rows = _cells(content.as_py(), infer_rows)
+                for index, cells in enumerate(rows):
+                    held.add(payload_key.as_py(), index, names, cells)
+                    if len(held.ids) >= _CSV_BATCH:
+                        yield held.flush()
+        if held.ids:
+            yield held.flush()
 
     return payloads.select(F.col(key).cast("string").alias("dataset_id"), "content").mapInArrow(
         run, "dataset_id string, row_idx bigint, record map<string,string>"
     )
 
 
+def _cells(content: bytes, infer_rows: int) -> tuple[list[str], Iterator[list[str | None]]]:
+    text = io.TextIOWrapper(io.BytesIO(content), "utf-8-sig", "replace", newline="")
+    lines = (line for line in csv.reader(text) if line)
+    names = _unique_names(next(lines, []))
+    width = len(names)
+    rows = ((cells + [None] * width)[:width] for cells in lines)
+    sample = list(itertools.islice(rows, infer_rows))
+    checks = _fits(sample, width)
+    checked = (
+        [c if c and (check is None or check.fullmatch(c)) else None for c, check in zip(row, checks)]
+        for row in itertools.chain(sample, rows)
+    )
+    return names, checked
+
+
+class _Rows:
+    """Decoded rows on their way to one Arrow batch."""
+
+    def __init__(self) -> None:
+        self.ids: list[str] = []
+        self.index: list[int] = []
+        self.ends: list[int] = [0]
+        self.names: list[str] = []
+        self.cells: list[str | None] = []
+
+    def add(self, dataset_id: str, index: int, names: list[str], cells: list[str | None]) -> None:
+        self.ids.append(dataset_id)
+        self.index.append(index)
+        self.names += names
+        self.cells += cells
+        self.ends.append(len(self.cells))
+
+    def flush(self) -> pa.RecordBatch:
+        records = pa.MapArray.from_arrays(
+            pa.array(self.ends, pa.int32()), pa.array(self.names, pa.string()), pa.array(self.cells, pa.string())
+        )
+        columns = [pa.array(self.ids, pa.string()), pa.array(self.index, pa.int64()), records]
+        self.__init__()
+        return pa.RecordBatch.from_arrays(columns, ["dataset_id", "row_idx", "record"])
+
+
 def read_csv_table(spark: SparkSession, path: str, infer_rows: int = INFER_ROWS) -> DataFrame:
     """One large CSV file or folder, split by Spark; types from its first rows, bad cells null."""
     text = spark.read.option("header", True).csv(path)
