@@ -1,11 +1,15 @@
 """Boolean columns over resources, responses and payload text.
 
 Every predicate is two-valued: a null input never matches a pattern, so a null
-format is rejected and a null name passes.
+format is rejected and a null name passes. Resource predicates take ``of``,
+which gives a field's column by name: ``F.col`` for flat rows, and
+``resource.getField`` for a resource inside its package.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -14,6 +18,8 @@ from gleanspark.functions.text import ColumnOrName, _col
 #: Fixed value: names longer than this are not stored.
 MAX_NAME_LENGTH = 255
 
+Fields = Callable[[str], Column]
+
 # Patterns the sample portal filters reject.
 CANADA_REJECTED_NAME = r"(?s)\(CSV.+\)"
 UK_REJECTED_NAMES = (r"^v\d+", r"^Contracts Finder")
@@ -26,16 +32,16 @@ def _holds(condition: Column) -> Column:
     return F.coalesce(condition, F.lit(False))
 
 
-def has_format(*formats: str, column: ColumnOrName = "format") -> Column:
-    return _holds(F.lower(_col(column)).isin(*formats))
+def has_format(*formats: str, of: Fields = F.col) -> Column:
+    return _holds(F.lower(of("format")).isin(*formats))
 
 
-def is_csv(column: ColumnOrName = "format") -> Column:
-    return has_format("csv", column=column)
+def is_csv(of: Fields = F.col) -> Column:
+    return has_format("csv", of=of)
 
 
-def is_csv_or_json(column: ColumnOrName = "format") -> Column:
-    return has_format("csv", "json", column=column)
+def is_csv_or_json(of: Fields = F.col) -> Column:
+    return has_format("csv", "json", of=of)
 
 
 def mentions_language(language: ColumnOrName, code: str = "en", kind: str = "string") -> Column:
@@ -57,20 +63,20 @@ def mentions_language(language: ColumnOrName, code: str = "en", kind: str = "str
     return language.isNull() | _holds(found)
 
 
-def canada_predicate(language_kind: str = "string") -> Column:
+def canada_predicate(of: Fields = F.col, language_kind: str = "string") -> Column:
     """CSV, in English where a language is given, and not a "(CSV ...)" variant."""
     return (
-        is_csv()
-        & mentions_language("language", "en", language_kind)
-        & ~_holds(F.col("name").rlike(CANADA_REJECTED_NAME))
+        is_csv(of)
+        & mentions_language(of("language"), "en", language_kind)
+        & ~_holds(of("name").rlike(CANADA_REJECTED_NAME))
     )
 
 
-def uk_predicate() -> Column:
+def uk_predicate(of: Fields = F.col) -> Column:
     """CSV, neither a numbered tariff version nor a Contracts Finder export."""
-    keep = is_csv()
+    keep = is_csv(of)
     for pattern in UK_REJECTED_NAMES:
-        keep = keep & ~_holds(F.col("name").rlike(pattern))
+        keep = keep & ~_holds(of("name").rlike(pattern))
     return keep
 
 

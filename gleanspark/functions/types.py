@@ -73,10 +73,12 @@ def date_pattern_of(fmt: ColumnOrName) -> Column:
 
 def zip_columns(names: ColumnOrName, types: ColumnOrName, formats: ColumnOrName) -> Column:
     """Three parallel arrays as one array of structs, as long as the shortest."""
-    names, types, formats = _col(names), _col(types), _col(formats)
-    # greatest/least skip nulls, so an absent array has to count as empty here.
-    length = F.least(*[F.coalesce(F.size(a), F.lit(0)) for a in (names, types, formats)])
-    cut = [F.slice(a, F.lit(1), F.greatest(length, F.lit(0))) for a in (names, types, formats)]
+    text, options = "array<string>", "array<map<string,string>>"
+    arrays = [
+        F.coalesce(_col(a), F.array().cast(kind)) for a, kind in ((names, text), (types, text), (formats, options))
+    ]
+    length = F.least(*[F.size(a) for a in arrays])
+    cut = [F.slice(a, F.lit(1), length) for a in arrays]
     zipped = F.arrays_zip(
         cut[0].alias("name"), cut[1].alias("data_type"), cut[2].alias("format")
     )

@@ -53,16 +53,16 @@ def keep_accepted(resources: DataFrame, accepted: DataFrame, keys: Sequence[str]
     return skew_join(resources, accepted.select(*keys).distinct(), list(keys), "left_semi")
 
 
-def filter_package_resources(packages: DataFrame, accept: Callable[[Column], Column]) -> DataFrame:
-    """Cut each package's ``resources`` to the accepted ones, inside its own row.
+def filter_package_resources(packages: DataFrame, predicate: Callable[[P.Fields], Column] | None = None) -> DataFrame:
+    """Cut each package's ``resources`` to the usable, accepted ones, inside its own row.
 
-    Sets ``num_resources`` and drops packages left empty. ``accept`` gets the
-    resource struct. No explode, no shuffle.
+    Sets ``num_resources`` and drops packages left empty. No explode, no shuffle.
     """
-    def usable_and_accepted(resource: Column) -> Column:
-        return P.usable(resource["url"], resource["id"]) & F.coalesce(accept(resource), F.lit(False))
+    def keep(resource: Column) -> Column:
+        usable = P.usable(resource["url"], resource["id"])
+        return usable if predicate is None else usable & F.coalesce(predicate(resource.getField), F.lit(False))
 
-    kept = packages.withColumn("resources", F.filter("resources", usable_and_accepted))
+    kept = packages.withColumn("resources", F.filter("resources", keep))
     return kept.withColumn("num_resources", F.size("resources").cast("bigint")).where(F.col("num_resources") > 0)
 
 

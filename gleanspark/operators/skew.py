@@ -29,7 +29,7 @@ def hot_key_hashes(df: DataFrame, on: Sequence[str], share: float = HOT_SHARE) -
     hashes come back, whatever the size of the data.
     """
     types = {f.name: f.dataType for f in df.schema.fields}
-    keys = df.dropna(subset=list(on)).select(_key_hash(df, on, types).alias("_h"))
+    keys = df.select(_key_hash(df, on, types).alias("_h"))
     top = F.call_function("approx_top_k", F.col("_h"), F.lit(math.ceil(1 / share)), F.lit(_TRACKED))
     found = keys.agg(F.count(F.lit(1)).alias("n"), top.alias("top")).first()
     if found is None or not found["n"]:

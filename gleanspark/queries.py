@@ -321,7 +321,7 @@ WHERE url <> '' AND lower(format) IN ('csv', 'json') GROUP BY package_id"""
 def q_filter_packages(read, spark):
     """Nested packages cut to their accepted resources without a shuffle."""
     kept = resources.filter_package_resources(
-        catalog.scan_packages(_catalog_pages(read)), lambda r: F.lower(r["format"]).isin("csv", "json")
+        catalog.scan_packages(_catalog_pages(read)), predicates.is_csv_or_json
     )
     return kept.select("package_id", "num_resources", F.array_join("resources.id", "|").alias("ids"))
 

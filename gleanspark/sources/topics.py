@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from gleanspark.functions import predicates as P
 from gleanspark.functions import text
 from gleanspark.operators.positions import skip_leading
+from gleanspark.operators.skew import skew_join
 from gleanspark.operators.tree import flatten_nodes
 
 #: Fixed value: top-level explorer nodes that are not topics.
@@ -49,8 +50,8 @@ def scan_mart_leaves(marts: DataFrame) -> DataFrame:
 
 
 def scan_topic_tree(explorer: DataFrame, marts: DataFrame, leading: int = LEADING_NODES) -> DataFrame:
-    """Every leaf with its topic and mart; the topic side is small and never repeated by id."""
-    return scan_mart_leaves(marts).join(scan_topics(explorer, leading), "mart_id")
+    """Every leaf with its topic and mart; one mart may hold most of the leaves."""
+    return skew_join(scan_mart_leaves(marts), scan_topics(explorer, leading), "mart_id")
 
 
 def usable_leaves(leaves: DataFrame) -> DataFrame:
