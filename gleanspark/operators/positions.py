@@ -1,8 +1,8 @@
 """Positions, limits and last-writer rules that hold when one key is hot.
 
 A plain ``row_number`` over a hot key sorts that key in one task. Beyond a
-checked size the rows are cut into value ranges first; each range is numbered
-on its own and shifted by the number of rows before it.
+checked size the rows are range-partitioned instead, numbered where they are,
+and shifted by the number of rows in the ranges before.
 """
 
 from __future__ import annotations
@@ -10,52 +10,33 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Row, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Up to this many rows a single task numbers or merges comfortably.
-SINGLE_TASK_ROWS = 1_000_000
+from gleanspark.session import materialize
+
+#: Up to this many rows may be numbered by a single task.
+SINGLE_TASK_ROWS = 100_000
+#: Rows per range beyond that, and the most ranges made.
+RANGE_ROWS = 1_000_000
+MAX_RANGES = 10_000
 #: Largest window taken as a top-k, which is merged in one place.
 TOP_K_ROWS = 100_000
-#: Most value ranges; each bound is one comparison level deeper in a binary search.
-MAX_RANGES = 512
-_SAMPLES_PER_RANGE = 20
-
-
-def _range_of(value: Column, bounds: list[Column]) -> Column:
-    """Index of the range ``value`` falls in, as a binary search over literal bounds."""
-
-    def search(low: int, high: int) -> Column:
-        if low == high:
-            return F.lit(low)
-        middle = (low + high) // 2
-        return F.when(value < bounds[middle], search(low, middle)).otherwise(search(middle + 1, high))
-
-    return search(0, len(bounds))
-
-
-def _sampled_bounds(df: DataFrame, columns: list[str], total: int, ranges: int) -> list[Row]:
-    """Ascending bounds that cut the rows into about equal ranges.
-
-    They come from a sample of fixed size, so the driver holds a few thousand
-    short rows at most; where they fall decides balance only, never results.
-    """
-    fraction = min(1.0, 2.0 * _SAMPLES_PER_RANGE * ranges / max(total, 1))
-    sample = df.select(*columns).sample(fraction, 7).limit(4 * _SAMPLES_PER_RANGE * ranges)
-    rows = sample.orderBy(*columns).collect()
-    step = max(1, len(rows) // ranges)
-    picked = rows[step::step]
-    return [r for i, r in enumerate(picked) if i == 0 or r != picked[i - 1]][:MAX_RANGES - 1]
 
 
 def with_position(
-    df: DataFrame, order: Sequence[str], keys: Sequence[str] = (), single_task_rows: int = SINGLE_TASK_ROWS
+    df: DataFrame,
+    order: Sequence[str],
+    keys: Sequence[str] = (),
+    single_task_rows: int = SINGLE_TASK_ROWS,
+    range_rows: int = RANGE_ROWS,
 ) -> DataFrame:
     """Add ``position`` (from 1, in ``order`` within ``keys``) and ``group_rows``.
 
-    ``order`` must identify a row within its key. ``df`` is read more than once
-    and has to give the same rows each time; hand in a written table or a
-    checkpoint when it comes from a fetch.
+    ``order`` must identify a row within its key. The rows are counted first:
+    a short table is numbered by a window; a longer one is sorted into ranges of
+    ``(keys, order)`` and written once, so a hot key spreads over many ranges
+    and each row's range and place in it are settled for good.
     """
     order, keys = list(order), list(keys)
     total = df.count()
@@ -64,28 +45,30 @@ def with_position(
         return df.withColumn("position", F.row_number().over(by_key.orderBy(*order)).cast("bigint")).withColumn(
             "group_rows", F.count(F.lit(1)).over(by_key)
         )
-    columns = keys + order
-    ranges = min(MAX_RANGES, math.ceil(4 * total / single_task_rows))
-    fields = df.select(*columns).schema.fields
-    bounds = [
-        F.struct(*[F.lit(row[f.name]).cast(f.dataType).alias(f.name) for f in fields])
-        for row in _sampled_bounds(df, columns, total, ranges)
-    ]
-    ranged = df.withColumn("_range", _range_of(F.struct(*columns), bounds))
-    cells = keys + ["_range"]
-    counts = ranged.groupBy(*cells).agg(F.count(F.lit(1)).alias("_n"))
-    # Few rows per key here (one per range), so these windows stay small.
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    ranges = min(MAX_RANGES, max(cores, math.ceil(total / range_rows)))
+    # The id counts the rows of each sorted range: its number, then 33 bits of place.
+    place = F.col("_id").bitwiseAND(2**33 - 1)
+    ranged = materialize(
+        df.repartitionByRange(ranges, *keys, *order)
+        .sortWithinPartitions(*keys, *order)
+        .withColumn("_id", F.monotonically_increasing_id())
+        .select("*", F.shiftright("_id", 33).alias("_range"), place.alias("_place"))
+        .drop("_id")
+    )
+    cells = ["_range", *keys]
+    counts = ranged.groupBy(*cells).agg(F.count(F.lit(1)).alias("_n"), F.min("_place").alias("_first"))
+    # At most one row per key and range here, so these windows stay small.
     by_key = Window.partitionBy(*keys)
     offsets = counts.select(
-        *[F.col(c).alias(f"_o_{c}") for c in cells],
-        (F.sum("_n").over(by_key.orderBy("_range")) - F.col("_n")).alias("_before"),
+        *[F.col(c).alias(f"_o{c}") for c in cells],
+        (F.sum("_n").over(by_key.orderBy("_range")) - F.col("_n") - F.col("_first")).alias("_shift"),
         F.sum("_n").over(by_key).alias("group_rows"),
     )
-    numbered = ranged.withColumn("_rn", F.row_number().over(Window.partitionBy(*cells).orderBy(*order)))
-    same_cell = [F.col(c).eqNullSafe(F.col(f"_o_{c}")) for c in cells]
+    same_cell = [F.col(c).eqNullSafe(F.col(f"_o{c}")) for c in cells]
     return (
-        numbered.join(offsets, same_cell)
-        .withColumn("position", (F.col("_before") + F.col("_rn")).cast("bigint"))
+        ranged.join(offsets, same_cell)
+        .withColumn("position", F.col("_place") + F.col("_shift") + 1)
         .select(*df.columns, "position", "group_rows")
     )
 

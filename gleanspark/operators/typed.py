@@ -56,17 +56,18 @@ def declared_columns(entries: DataFrame) -> DataFrame:
     )
 
 
-def with_metadata(rows: DataFrame, columns: DataFrame) -> DataFrame:
+def with_metadata(rows: DataFrame, columns: DataFrame, how: str = "left") -> DataFrame:
     """Dataset rows with the column declarations of their catalogue entry."""
-    return skew_join(rows, columns, "dataset_id", "left")
+    return skew_join(rows, columns, "dataset_id", how)
 
 
-def typed_cells(rows: DataFrame, entries: DataFrame) -> DataFrame:
+def typed_cells(rows: DataFrame, entries: DataFrame, how: str = "left") -> DataFrame:
     """Every declared cell of every row, cast by its declared type.
 
     ``(dataset_id, row_idx, name, type, text_value, int_value, float_value,
     date_value, timestamp_value)``; only the column of the cell's type is set,
-    and none when the cell does not parse. Rows without an entry stay strings.
+    and none when the cell does not parse. Rows without an entry stay strings,
+    or are left out by an inner join.
     """
     undeclared = F.transform(
         F.map_keys("record"),
@@ -74,7 +75,7 @@ def typed_cells(rows: DataFrame, entries: DataFrame) -> DataFrame:
             k.alias("name"), F.lit("string").alias("type"), F.lit(None).cast("string").alias("pattern")
         ),
     )
-    joined = with_metadata(rows, declared_columns(entries)).withColumn("columns", F.coalesce("columns", undeclared))
+    joined = with_metadata(rows, declared_columns(entries), how).withColumn("columns", F.coalesce("columns", undeclared))
     cells = joined.select("dataset_id", "row_idx", "record", F.inline("columns")).withColumn(
         "_cell", F.try_element_at("record", F.col("name"))
     )

@@ -14,7 +14,8 @@ from gleanspark.operators.positions import limit_ordered
 from gleanspark.operators.resources import filter_package_resources, pending_work, work_list
 from gleanspark.operators.responses import MAX_RESOURCE_SIZE, classify_responses, run_summary
 from gleanspark.operators.skew import skew_join
-from gleanspark.sinks import store_catalog, store_payloads, store_run_log
+from gleanspark.session import materialize
+from gleanspark.sinks import store_catalog, store_payloads, store_run_log, store_work
 from gleanspark.sources.catalog import explode_resources, scan_packages
 from gleanspark.sources.fetch import Transport, fetch
 from gleanspark.sources.payloads import expand_archive
@@ -60,8 +61,12 @@ def plan_catalogue(pages: DataFrame, cfg: CatalogueHarvest) -> tuple[DataFrame,
         packages = packages.where(F.try_variant_get("package", f"$.{name}", "string") == value)
     packages = limit_ordered(packages, ("page_no", "package_pos"), cfg.max_packages, cfg.start)
     packages = filter_package_resources(packages, cfg.predicate)
+    return packages, _work(packages, cfg)
+
+
+def _work(packages: DataFrame, cfg: CatalogueHarvest) -> DataFrame:
     work = work_list(explode_resources(packages), cfg.base_url, cfg.with_name)
-    return packages, work.select("package_id", "storage_key", "url")
+    return work.select("package_id", "storage_key", "url")
 
 
 def harvest_catalogue(
@@ -79,13 +84,17 @@ def harvest_catalogue(
     if (transport is None) == (responses is None):
         raise ValueError("give either a transport or landed responses")
     spark = pages.sparkSession
-    packages, work = plan_catalogue(pages, cfg)
+    packages, _ = plan_catalogue(pages, cfg)
+    # The pages are parsed once; the work list starts from the written packages.
+    if cfg.save_catalog:
+        packages = store_catalog(packages, f"{cfg.destination}/catalog/{cfg.run_name}")
+    else:
+        packages = materialize(packages.drop("package"))
+    work = _work(packages, cfg)
     finished = _read_if_any(pages, f"{cfg.destination}/runs")
     if finished is not None:
         work = pending_work(work, finished.where("ok"))
-    if cfg.save_catalog:
-        store_catalog(packages, work, f"{cfg.destination}/catalog/{cfg.run_name}")
-        work = spark.read.parquet(f"{cfg.destination}/catalog/{cfg.run_name}/work")
+    work = store_work(work, f"{cfg.destination}/work/{cfg.run_name}")
 
     # A fetch is written once and read back, so that it never runs twice.
     landed = f"{cfg.destination}/responses/{cfg.run_name}"

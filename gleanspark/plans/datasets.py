@@ -66,9 +66,11 @@ def harvest_datasets(entries: DataFrame, rows: DataFrame, cfg: DatasetHarvest) -
     wanted = scan_dataset_catalog(entries, cfg.max_datasets, cfg.start)
     if cfg.save_metadata:
         store_dataset_catalog(wanted, f"{cfg.destination}/metadata")
-    kept = skew_join(rows, wanted.select("dataset_id"), "dataset_id", "left_semi")
-    records = limit_indexed_rows(kept, cfg.max_rows)
-    stored = typed_cells(records, wanted) if cfg.cast_datatypes else records
+    records = limit_indexed_rows(rows, cfg.max_rows)
+    if cfg.cast_datatypes:
+        stored = typed_cells(records, wanted, "inner")
+    else:
+        stored = skew_join(records, wanted.select("dataset_id"), "dataset_id", "left_semi")
     store_datasets(stored, f"{cfg.destination}/datasets")
     written = rows.sparkSession.read.parquet(f"{cfg.destination}/datasets")
     # Rows are numbered from 0 without gaps, so the highest index tells their number.

@@ -54,7 +54,8 @@ def harvest_topics(
     plain = accepted.where(F.col("kind") == "csv").select("url", F.lit("").alias("member"), "content")
     members = zips.where(F.col("error_text").isNull()).select("url", "member", F.col("data").alias("content"))
     tables = plain.unionByName(members).withColumn("dataset_id", F.to_json(F.struct("url", "member")))
-    rows = decode_csv(tables).select(
+    wanted = tables.join(winners.select("url").distinct(), "url", "left_semi")
+    rows = materialize(decode_csv(wanted)).select(
         F.get_json_object("dataset_id", "$.url").alias("url"),
         F.get_json_object("dataset_id", "$.member").alias("member"),
         "row_idx",

@@ -68,21 +68,20 @@ _ERROR_TEXT = f"""CASE WHEN status >= 400 THEN 'Error status ' || status || ' wi
 
 
 @query(
-    f"""SELECT package_id, count(*) AS num_resources, min({_KEY}) AS first_key, max({_KEY}) AS last_key,
-  count(*) FILTER (WHERE NOT starts_with(url, 'http')) AS completed_urls
+    f"""SELECT package_id, count(*) AS num_resources,
+  count(*) FILTER (WHERE NOT starts_with(url, 'http')) AS completed_urls, max(length({_KEY})) AS longest_key
 FROM fx_resources WHERE lower(format) = 'csv' AND {_USABLE} GROUP BY package_id""",
     ("fx_resources",),
 )
 def q_harvest_plan(read, spark):
-    """Packages that have accepted CSV resources, with the span of their storage keys."""
+    """Packages that have accepted CSV resources, the urls completed and the longest key."""
     accepted = resources.filter_resources(read("fx_resources"), predicates.is_csv())
     relative = ~F.startswith("url", F.lit("http"))
     work = resources.work_list(accepted.withColumn("relative", relative), BASE_URL)
     return work.groupBy("package_id").agg(
         F.count(F.lit(1)).alias("num_resources"),
-        F.min("storage_key").alias("first_key"),
-        F.max("storage_key").alias("last_key"),
         F.count_if("relative").alias("completed_urls"),
+        F.max(F.length("storage_key")).cast("bigint").alias("longest_key"),
     )
 
 
@@ -143,21 +142,24 @@ def q_absolutize_links(read, spark):
 
 
 @query(
-    """SELECT o_orderkey, 'https://open.canada.ca/data/api/3/action/package_search?' || concat_ws('&',
-  'start=' || o_orderkey, 'rows=1000', CASE WHEN o_orderstatus = 'O' THEN 'q=' || o_orderpriority END) AS url
+    """SELECT o_orderkey, CASE o_orderstatus WHEN 'O' THEN 'https://open.canada.ca/data/api/3/action'
+  WHEN 'F' THEN 'https://dati.comune.fe.it/api/3/action' ELSE 'https://data.gov.uk/api/action' END || '/package_search?'
+  || concat_ws('&', 'start=' || o_orderkey, 'rows=1000', CASE WHEN o_orderstatus = 'O' THEN 'q=' || o_orderpriority END) AS url
 FROM orders"""
 )
 def q_action_url(read, spark):
-    optional = F.when(F.col("o_orderstatus") == "O", F.col("o_orderpriority"))
+    """Request urls for the portal of each row; parameters that are null vanish."""
+    status = F.col("o_orderstatus")
     requests = read("orders").withColumns(
-        {"portal": F.lit("canada"), "o_rows": F.lit(1000), "o_query": optional}
-    )
-    return resources.with_portal(requests, portals(spark)).select(
-        "o_orderkey",
-        text.action_url(
-            "base_url", "action_url", "package_search", {"start": "o_orderkey", "rows": "o_rows", "q": "o_query"}
-        ).alias("url"),
+        {
+            "portal": F.when(status == "O", "canada").when(status == "F", "ferrara").otherwise("uk"),
+            "rows": F.lit(1000),
+            "q": F.when(status == "O", F.col("o_orderpriority")),
+        }
     )
+    parameters = {"start": "o_orderkey", "rows": "rows", "q": "q"}
+    url = text.action_url("base_url", "action_url", "package_search", parameters)
+    return resources.with_portal(requests, portals(spark)).select("o_orderkey", url.alias("url"))
 
 
 def _predicate_oracle(condition: str) -> str:

@@ -9,6 +9,7 @@ from gleanspark.sinks.stores import (
     store_payloads,
     store_run_log,
     store_topic_tables,
+    store_work,
 )
 
 __all__ = [
@@ -20,4 +21,5 @@ __all__ = [
     "store_payloads",
     "store_run_log",
     "store_topic_tables",
+    "store_work",
 ]

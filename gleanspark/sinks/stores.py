@@ -39,9 +39,16 @@ def store_payloads(payloads: DataFrame, destination: str, mode: str = "append")
     payloads.write.mode(mode).partitionBy("extension").parquet(destination)
 
 
-def store_catalog(packages: DataFrame, work: DataFrame, destination: str) -> None:
-    packages.write.mode("overwrite").parquet(f"{destination}/packages")
-    work.write.mode("overwrite").parquet(f"{destination}/work")
+def store_catalog(packages: DataFrame, destination: str) -> DataFrame:
+    """Filtered packages, whole documents included; gives back the written table."""
+    packages.write.mode("overwrite").parquet(destination)
+    return packages.sparkSession.read.schema(packages.schema).parquet(destination)
+
+
+def store_work(work: DataFrame, destination: str) -> DataFrame:
+    """The work list; gives back the written table."""
+    work.write.mode("overwrite").parquet(destination)
+    return work.sparkSession.read.schema(work.schema).parquet(destination)
 
 
 def store_dataset_catalog(entries: DataFrame, destination: str) -> None:

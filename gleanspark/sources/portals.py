@@ -30,3 +30,8 @@ def portals(spark: SparkSession, extra: Iterable[tuple[str, str, str, str]] = ()
     if len(rows) > MAX_PORTALS:
         raise ValueError(f"{len(rows)} portals given, at most {MAX_PORTALS} are supported")
     return spark.createDataFrame(list(rows.values()), PORTAL_SCHEMA)
+
+
+def portal(name: str) -> tuple[str, str]:
+    """``(base_url, action_url)`` of one preset, where no join is needed."""
+    return next((base, action) for preset, _, base, action in PRESETS if preset == name)
