@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from gleanspark.operators.unnest import unnest
 from gleanspark.session import materialize
 
 #: Up to this many rows may be numbered by a single task.
@@ -145,4 +146,4 @@ def keep_newest_runs(runs: DataFrame, keep: int = 3, portal: str = "portal", nam
 
 def skip_leading(nodes: DataFrame, array: str, count: int = 5, keep: Sequence[str] = ()) -> DataFrame:
     """``(keep..., pos, item)`` for the elements after the first ``count``."""
-    return nodes.select(*keep, F.posexplode(array).alias("pos", "item")).where(F.col("pos") >= count)
+    return unnest(nodes, array, "item", keep, "pos").where(F.col("pos") >= count)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from gleanspark.functions import predicates as P
 from gleanspark.functions.payload import detected_extension, sniff_kind
-from gleanspark.operators.positions import limit_ordered
+from gleanspark.operators.positions import last_writer_wins, limit_ordered
 from gleanspark.operators.resources import filter_package_resources, pending_work, work_list
 from gleanspark.operators.responses import MAX_RESOURCE_SIZE, classify_responses, run_summary
 from gleanspark.operators.skew import skew_join
@@ -36,6 +36,8 @@ class CatalogueHarvest:
     search_filters: values that top-level package fields must have.
     with_name: put the resource name in front of the storage key.
     expand_archives: unpack zip payloads into their CSV members.
+    response_order: columns that tell the last of several landed replies to a
+        url; without it landed replies are taken to be unique.
     """
 
     destination: str
@@ -52,6 +54,7 @@ class CatalogueHarvest:
     max_resource_size: int = MAX_RESOURCE_SIZE
     request_headers: Mapping[str, str] = field(default_factory=dict)
     fetch_partitions: int = 200
+    response_order: tuple[str, ...] = ()
 
 
 def plan_catalogue(pages: DataFrame, cfg: CatalogueHarvest) -> tuple[DataFrame, DataFrame]:
@@ -101,6 +104,8 @@ def harvest_catalogue(
     if transport is not None:
         replies = fetch(work, transport, cfg.fetch_partitions, cfg.request_headers, cfg.max_resource_size)
     else:
+        if cfg.response_order:
+            responses = last_writer_wins(responses, ("url",), cfg.response_order)
         wanted = work.select("url").distinct()
         replies = classify_responses(responses.join(wanted, "url", "left_semi"), cfg.max_resource_size)
         replies = replies.withColumn("content", F.when(F.col("ok"), F.col("content")))

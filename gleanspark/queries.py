@@ -328,6 +328,22 @@ def q_filter_packages(read, spark):
     return kept.select("package_id", "num_resources", F.array_join("resources.id", "|").alias("ids"))
 
 
+@query(
+    """SELECT 'customer' AS origin, c_custkey AS id, c_name AS name, c_mktsegment AS segment FROM customer
+UNION ALL SELECT 'supplier', s_suppkey, s_name, NULL FROM supplier"""
+)
+def q_union_pages(read, spark):
+    """Two landings with unlike columns as one table."""
+    customers = read("customer").select(
+        F.lit("customer").alias("origin"), F.col("c_custkey").alias("id"), F.col("c_name").alias("name"),
+        F.col("c_mktsegment").alias("segment"),
+    )
+    suppliers = read("supplier").select(
+        F.col("s_name").alias("name"), F.col("s_suppkey").alias("id"), F.lit("supplier").alias("origin")
+    )
+    return catalog.union_pages(customers, suppliers)
+
+
 @query("SELECT max(page_id * 10) AS total FROM pages WHERE NOT contains(url, '?')")
 def q_catalog_total(read, spark):
     return catalog.catalog_total(_catalog_pages(read))
@@ -794,6 +810,26 @@ def q_scan_topics(read, spark):
     return topics.scan_topics(spread(read("conversations")).select(body.alias("body")))
 
 
+@query(
+    """SELECT role AS topic, 'mart ' || conv_id || '-' || turn AS mart_name, 'line ' || (l - 1) AS path, words[w] AS name
+FROM (SELECT conv_id, turn, role, l, words, unnest(range(1, len(words) + 1)) AS w FROM (
+  SELECT conv_id, turn, role, l, string_split(lines[l], ' ') AS words FROM (
+    SELECT conv_id, turn, role, lines, unnest(range(1, len(lines) + 1)) AS l FROM (
+      SELECT conv_id, turn, role, string_split(text, chr(10)) AS lines FROM conversations))))"""
+)
+def q_topic_tree(read, spark):
+    """Every leaf of every mart with its topic: explorer replies met with mart replies."""
+    marts = _mart_replies(read)
+    label = F.concat(F.lit('<span class="martOwner">o</span><span class="martName">mart '), "mart_id", F.lit("</span>"))
+    mart = F.struct(label.alias("label"), F.col("mart_id").alias("martId"))
+    topic_label = F.concat(F.lit('<p><span class="topic"> '), "role", F.lit(" </span></p>"))
+    topic = F.struct(topic_label.alias("label"), F.array(mart).alias("childNodes"))
+    nodes = F.to_json(F.array_repeat(topic, topics.LEADING_NODES + 1))
+    explorer = marts.select(F.concat(F.lit("{Nodes:"), nodes, F.lit("}")).alias("body"))
+    leaves = topics.scan_topic_tree(explorer, marts)
+    return leaves.select("topic", "mart_name", F.array_join("path", "/").alias("path"), "name")
+
+
 @query("SELECT doc_id, text AS label FROM documents")
 def q_repair_json(read, spark):
     nodes = F.to_json(F.array(F.struct(F.col("text").alias("label"))))

@@ -16,6 +16,12 @@ def _writer(df: DataFrame, fmt: str, mode: str):
     return writer.option("header", True) if fmt == "csv" else writer
 
 
+def _gathered(df: DataFrame, *keys: str) -> DataFrame:
+    """Rows of one folder brought together, so that tasks times folders does not
+    become the number of files; a hot folder is split again by AQE."""
+    return df.hint("rebalance", *keys)
+
+
 def store_dataset(df: DataFrame, destination: str, dataset_id: str, fmt: str = "parquet", mode: str = "overwrite") -> str:
     """One dataset with its own columns, under ``<destination>/<fmt>/<id>``."""
     path = f"{destination}/{fmt}/{dataset_id.replace('/', '-')}"
@@ -27,11 +33,10 @@ def store_datasets(rows: DataFrame, destination: str, buckets: int = 256) -> Non
     """Any number of datasets in long form, partitioned by a hash of the dataset.
 
     A folder per dataset would mean millions of folders; a bucket keeps the
-    number fixed and still lets a reader of one dataset skip the others. Rows
-    are written where they are, so a hot dataset is spread over its tasks.
+    number fixed and still lets a reader of one dataset skip the others.
     """
-    bucket = F.pmod(F.xxhash64("dataset_id"), F.lit(buckets)).alias("bucket")
-    rows.select("*", bucket).write.mode("overwrite").partitionBy("bucket").parquet(destination)
+    bucketed = rows.withColumn("bucket", F.pmod(F.xxhash64("dataset_id"), F.lit(buckets)))
+    _gathered(bucketed, "bucket").write.mode("overwrite").partitionBy("bucket").parquet(destination)
 
 
 def store_payloads(payloads: DataFrame, destination: str, mode: str = "append") -> None:
@@ -57,13 +62,15 @@ def store_dataset_catalog(entries: DataFrame, destination: str) -> None:
 
 def store_indicator(files: DataFrame, destination: str, mode: str = "append") -> None:
     """``(database_id, indicator_id, kind, body)`` by kind and database."""
-    files.write.mode(mode).partitionBy("kind", "database_id").parquet(destination)
+    keys = ("kind", "database_id")
+    _gathered(files, *keys).write.mode(mode).partitionBy(*keys).parquet(destination)
 
 
 def store_topic_tables(tables: DataFrame, destination: str) -> None:
     """Decoded rows by topic and mart; folder path and record go into text columns."""
+    flat = tables.withColumns({"path": F.array_join("path", "/"), "record": F.to_json("record")})
     (
-        tables.withColumns({"path": F.array_join("path", "/"), "record": F.to_json("record")})
+        _gathered(flat, "topic", "mart_name")
         .write.mode("overwrite")
         .partitionBy("topic", "mart_name")
         .option("header", True)

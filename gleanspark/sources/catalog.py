@@ -7,6 +7,7 @@ of it is narrow work: packages and resources are exploded where they were read.
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 from gleanspark.functions.text import ColumnOrName, _col
 from gleanspark.operators.positions import limit_ordered
 from gleanspark.operators.skew import skew_join
+from gleanspark.operators.unnest import unnest
 
 RESOURCE_TYPE = "array<struct<id:string,url:string,name:string,format:string,language:variant>>"
 
@@ -65,8 +67,7 @@ def scan_packages(pages: DataFrame) -> DataFrame:
     """
     keep = [c for c in pages.columns if c not in ("body", "status")]
     return (
-        _results(pages)
-        .select(*keep, F.posexplode("_results").alias("package_pos", "package"))
+        unnest(_results(pages), "_results", "package", keep, "package_pos")
         .select(
             *keep,
             "package_pos",
@@ -77,6 +78,11 @@ def scan_packages(pages: DataFrame) -> DataFrame:
     )
 
 
+def union_pages(*pages: DataFrame) -> DataFrame:
+    """Pages of several landings as one table; columns are matched by name."""
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), pages)
+
+
 def page_errors(pages: DataFrame) -> DataFrame:
     """The replies that could not be read as a catalogue page."""
     keep = [c for c in pages.columns if c != "body"]
@@ -88,7 +94,7 @@ def page_errors(pages: DataFrame) -> DataFrame:
 def explode_resources(packages: DataFrame) -> DataFrame:
     """One row per resource, its position within the package kept."""
     keep = [c for c in packages.columns if c not in ("resources", "package")]
-    return packages.select(*keep, F.posexplode("resources").alias("resource_pos", "_r")).select(
+    return unnest(packages, "resources", "_r", keep, "resource_pos").select(
         *keep,
         "resource_pos",
         *[F.col(f"_r.{name}").alias(name) for name in ("id", "url", "name", "format", "language")],

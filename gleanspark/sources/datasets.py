@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gleanspark.operators.positions import limit_indexed_rows, limit_ordered
+from gleanspark.operators.unnest import unnest
 from gleanspark.sources.catalog import matching
 
 ENTRY_TYPE = (
@@ -41,7 +42,7 @@ def parse_record_pages(pages: DataFrame) -> DataFrame:
     The index continues over pages, so limits are plain filters on it.
     """
     records = F.from_json("body", "array<map<string,string>>")
-    return pages.select("dataset_id", "offset", F.posexplode(records).alias("pos", "record")).select(
+    return unnest(pages, records, "record", ("dataset_id", "offset"), "pos").select(
         "dataset_id", (F.col("offset") + F.col("pos")).cast("bigint").alias("row_idx"), "record"
     )
 

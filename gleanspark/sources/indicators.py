@@ -8,13 +8,14 @@ from pyspark.sql import functions as F
 from gleanspark.functions import predicates as P
 from gleanspark.functions import text
 from gleanspark.operators.skew import skew_join
+from gleanspark.operators.unnest import unnest
 
 _HITS = "struct<value:array<struct<series_description:struct<database_id:string>>>>"
 
 
 def scan_search_hits(replies: DataFrame) -> DataFrame:
     """``(database_id)``, one row per hit, from search replies in ``body``."""
-    return replies.select(F.explode(F.from_json("body", _HITS)["value"]).alias("hit")).select(
+    return unnest(replies, F.from_json("body", _HITS)["value"], "hit").select(
         F.col("hit.series_description.database_id").alias("database_id")
     )
 
@@ -31,7 +32,7 @@ def scan_database_ids(replies: DataFrame) -> DataFrame:
 def scan_indicators(replies: DataFrame) -> DataFrame:
     """``(database_id, indicator_id)`` from the list replies with status 200."""
     listed = F.from_json("body", "array<string>")
-    return replies.where(F.col("status") == 200).select("database_id", F.explode(listed).alias("indicator_id"))
+    return unnest(replies.where(F.col("status") == 200), listed, "indicator_id", ("database_id",))
 
 
 def list_errors(replies: DataFrame) -> DataFrame:

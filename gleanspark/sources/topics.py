@@ -10,6 +10,7 @@ from gleanspark.functions import text
 from gleanspark.operators.positions import skip_leading
 from gleanspark.operators.skew import skew_join
 from gleanspark.operators.tree import flatten_nodes
+from gleanspark.operators.unnest import unnest
 
 #: Fixed value: top-level explorer nodes that are not topics.
 LEADING_NODES = 5
@@ -32,10 +33,8 @@ def scan_topics(explorer: DataFrame, leading: int = LEADING_NODES) -> DataFrame:
     def label(node: str, css_class: str):
         return text.span_text(F.try_variant_get(F.col(node), "$.label", "string"), css_class)
 
-    return nodes.select(
-        label("node", "topic").alias("topic"),
-        F.explode(F.try_variant_get("node", "$.childNodes", "array<variant>")).alias("child"),
-    ).select(
+    marts = F.try_variant_get("node", "$.childNodes", "array<variant>")
+    return unnest(nodes.withColumn("topic", label("node", "topic")), marts, "child", ("topic",)).select(
         "topic",
         label("child", "martOwner").alias("mart_owner"),
         label("child", "martName").alias("mart_name"),
@@ -45,7 +44,7 @@ def scan_topics(explorer: DataFrame, leading: int = LEADING_NODES) -> DataFrame:
 
 def scan_mart_leaves(marts: DataFrame) -> DataFrame:
     """``(mart_id, name, path, depth, data_filter)`` from mart replies ``(mart_id, body)``."""
-    nodes = _nodes(marts).select("mart_id", F.explode("_nodes").alias("node"))
+    nodes = unnest(_nodes(marts), "_nodes", "node", ("mart_id",))
     return flatten_nodes(nodes)
 
 
