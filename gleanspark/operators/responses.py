@@ -23,9 +23,12 @@ def header(headers: Column | str, name: str) -> Column:
 def join_responses(work: DataFrame, responses: DataFrame, order: tuple[str, ...] = ()) -> DataFrame:
     """Work rows with their reply, nulls where none has landed.
 
+    Bodies (``content``) stay out of it: many rows may share a url, and their
+    verdict takes status and headers only. They stay with the replies, by url.
     With ``order``, several replies to one url are cut to the last first; else
     the replies are taken to be unique by url. Many rows may share a url.
     """
+    responses = responses.drop("content")
     if order:
         responses = last_writer_wins(responses, ("url",), order)
     return skew_join(work, responses, "url", "left")
