@@ -12,68 +12,80 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: A key with at least this share of the left rows is salted.
-HOT_SHARE = 1 / 256
-#: Tasks a hot key is spread over.
-SALTS = 64
-_TRACKED = 10_000
+HOT_SHARE = 1 / 512
+#: Keys a sketch tracks; its error is well below ``HOT_SHARE``.
+_TRACKED = 4096
+#: Groups the sketches of all tasks are merged in before the last merge.
+_MERGE_GROUPS = 64
 
 
 def _key_hash(df: DataFrame, on: Sequence[str], types: dict[str, T.DataType]) -> Column:
     return F.xxhash64(*[df[c].cast(types[c]) for c in on])
 
 
-def hot_key_hashes(df: DataFrame, on: Sequence[str], share: float = HOT_SHARE) -> list[int]:
-    """Hashes of the keys that hold about ``share`` of the rows or more.
+def hot_keys(df: DataFrame, on: Sequence[str], share: float = HOT_SHARE) -> dict[int, float]:
+    """Key hash to share, hottest first, for the keys with about ``share`` of the rows or more.
 
-    A sketch per task, merged: no key is shuffled, and at most ``1/share``
-    hashes come back, whatever the size of the data.
+    A sketch per task, merged in two steps: no key is shuffled, and at most
+    ``1/share`` hashes come back, whatever the size of the data.
     """
     types = {f.name: f.dataType for f in df.schema.fields}
-    keys = df.select(_key_hash(df, on, types).alias("_h"))
-    top = F.call_function("approx_top_k", F.col("_h"), F.lit(math.ceil(1 / share)), F.lit(_TRACKED))
-    found = keys.agg(F.count(F.lit(1)).alias("n"), top.alias("top")).first()
-    if found is None or not found["n"]:
-        return []
-    return [item["item"] for item in found["top"] if item["count"] >= max(2, share * found["n"])]
+    hashes = df.select(
+        _key_hash(df, on, types).alias("_h"), F.pmod(F.spark_partition_id(), F.lit(_MERGE_GROUPS)).alias("_g")
+    )
+    sketch = F.call_function("approx_top_k_accumulate", F.col("_h"), F.lit(_TRACKED))
+    merged = F.call_function("approx_top_k_combine", F.col("sketch"), F.lit(_TRACKED))
+    found = (
+        hashes.groupBy("_g")
+        .agg(sketch.alias("sketch"), F.count(F.lit(1)).alias("n"))
+        # Grouped, since the merge of sketches cannot start from an empty input split.
+        .groupBy(F.lit(0).alias("_all"))
+        .agg(merged.alias("sketch"), F.sum("n").alias("n"))
+        .select("n", F.call_function("approx_top_k_estimate", F.col("sketch"), F.lit(math.ceil(1 / share))).alias("top"))
+        .first()
+    )
+    if found is None:
+        return {}
+    return {i["item"]: i["count"] / found["n"] for i in found["top"] if i["count"] >= max(2, share * found["n"])}
 
 
 def skew_join(
-    left: DataFrame,
-    right: DataFrame,
-    on: str | Sequence[str],
-    how: str = "inner",
-    share: float = HOT_SHARE,
-    salts: int = SALTS,
+    left: DataFrame, right: DataFrame, on: str | Sequence[str], how: str = "inner", share: float = HOT_SHARE
 ) -> DataFrame:
-    """``left.join(right, on, how)`` with the hot left keys spread over ``salts`` tasks.
+    """``left.join(right, on, how)`` with the hot left keys spread over many tasks.
 
     Left rows of a hot key get a salt; the matching right rows are repeated once
-    per salt. All other keys join as they are, and without a hot key this is the
-    plain join. ``how`` is inner, left, left_semi or left_anti. The keys of
-    ``left`` are read once beforehand; which of them count as hot decides
-    balance only, never results.
+    per salt. A key gets as many salts as bring its share down to that of an
+    average shuffle partition. All other keys join as they are, and without a
+    hot key this is the plain join. ``how`` is inner, left, left_semi or
+    left_anti. The keys of ``left`` are read once beforehand; which of them
+    count as hot decides balance only, never results.
     """
     on = [on] if isinstance(on, str) else list(on)
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join type: {how}")
-    hot = hot_key_hashes(left, on, share)
+    hot = hot_keys(left, on, share)
     if not hot:
         return left.join(right, on, how)
+    partitions = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    salts = {key: max(2, math.ceil(2 * part * partitions)) for key, part in hot.items()}
+    salts_of_key = F.create_map(*[F.lit(x) for pair in salts.items() for x in pair])
     types = {f.name: f.dataType for f in left.schema.fields}
     # A row's salt depends on its values and its input split only, so a task
     # that runs again after a lost executor sends it to the same place; the
     # split spreads full copies, which have equal values. Types without a hash
     # (maps, variants) stay out of it.
     hashable = [f.name for f in left.schema.fields if f.dataType.typeName() not in ("map", "variant", "binary")]
-    spread = F.pmod(F.xxhash64(F.spark_partition_id(), *hashable), F.lit(salts)).cast("int")
+    spread = F.xxhash64(F.spark_partition_id(), *hashable)
+    left_key, right_key = _key_hash(left, on, types), _key_hash(right, on, types)
     # Null keys match nothing, so they are spread as well.
     null_key = reduce(or_, [left[c].isNull() for c in on])
-    salted_left = left.withColumn(
-        "_salt", F.when(null_key | _key_hash(left, on, types).isin(hot), spread).otherwise(F.lit(0))
-    )
-    all_salts = F.array(*[F.lit(salt) for salt in range(salts)])
-    salted_right = right.withColumn(
-        "_salt",
-        F.explode(F.when(_key_hash(right, on, types).isin(hot), all_salts).otherwise(F.array(F.lit(0)))),
+    salt = (
+        F.when(null_key, F.pmod(spread, F.lit(partitions)))
+        .when(left_key.isin(list(salts)), F.pmod(spread, salts_of_key[left_key]))
+        .otherwise(F.lit(0))
     )
+    copies = F.when(right_key.isin(list(salts)), salts_of_key[right_key] - 1).otherwise(F.lit(0))
+    salted_left = left.withColumn("_salt", salt.cast("int"))
+    salted_right = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), copies)))
     return salted_left.join(salted_right, on + ["_salt"], how).drop("_salt")

@@ -8,20 +8,22 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gleanspark.functions import errors as E
 from gleanspark.functions import predicates as P
 from gleanspark.functions.payload import detected_extension, sniff_kind
 from gleanspark.operators.positions import last_writer_wins, limit_ordered
 from gleanspark.operators.resources import filter_package_resources, pending_work, work_list
 from gleanspark.operators.responses import MAX_RESOURCE_SIZE, classify_responses, run_summary
 from gleanspark.operators.skew import skew_join
-from gleanspark.session import materialize
-from gleanspark.sinks import store_catalog, store_payloads, store_run_log, store_work
+from gleanspark.session import PAYLOAD_OPTIONS, materialize, small_batches
+from gleanspark.sinks import store_catalog, store_datasets, store_payloads, store_run_log, store_work
 from gleanspark.sources.catalog import explode_resources, scan_packages
 from gleanspark.sources.fetch import Transport, fetch
-from gleanspark.sources.payloads import expand_archive
+from gleanspark.sources.payloads import decode_csv, expand_archive
 
-#: Outcome of an archive without a member of the wanted kind.
+# Outcomes of archives without a member of the wanted kind, and of broken ones.
 NO_CSV_MEMBER = "no_csv_member"
+BAD_ARCHIVE = "BadArchive"
 
 
 @dataclass
@@ -36,6 +38,9 @@ class CatalogueHarvest:
     search_filters: values that top-level package fields must have.
     with_name: put the resource name in front of the storage key.
     expand_archives: unpack zip payloads into their CSV members.
+    decode: turn CSV payloads and members into records, in ``download_format``
+        (csv, parquet or json).
+    reject_html, reject_zip_urls: count HTML payloads and ``.zip`` urls as errors.
     response_order: columns that tell the last of several landed replies to a
         url; without it landed replies are taken to be unique.
     """
@@ -50,6 +55,10 @@ class CatalogueHarvest:
     with_name: bool = True
     save_catalog: bool = True
     expand_archives: bool = False
+    decode: bool = False
+    download_format: str = "parquet"
+    reject_html: bool = False
+    reject_zip_urls: bool = False
     extension: str = "csv"
     max_resource_size: int = MAX_RESOURCE_SIZE
     request_headers: Mapping[str, str] = field(default_factory=dict)
@@ -99,27 +108,7 @@ def harvest_catalogue(
         work = pending_work(work, finished.where("ok"))
     work = store_work(work, f"{cfg.destination}/work/{cfg.run_name}")
 
-    # A fetch is written once and read back, so that it never runs twice.
-    landed = f"{cfg.destination}/responses/{cfg.run_name}"
-    if transport is not None:
-        replies = fetch(work, transport, cfg.fetch_partitions, cfg.request_headers, cfg.max_resource_size)
-    else:
-        if cfg.response_order:
-            responses = last_writer_wins(responses, ("url",), cfg.response_order)
-        wanted = work.select("url").distinct()
-        replies = classify_responses(responses.join(wanted, "url", "left_semi"), cfg.max_resource_size)
-        replies = replies.withColumn("content", F.when(F.col("ok"), F.col("content")))
-    replies.write.mode("overwrite").parquet(landed)
-    replies = spark.read.parquet(landed)
-
-    kind = sniff_kind("content")
-    payloads = replies.where("ok").select(
-        "url", kind.alias("kind"), detected_extension(kind, F.lit(cfg.extension)).alias("extension"), "content"
-    )
-    store_payloads(payloads.withColumn("run_name", F.lit(cfg.run_name)), f"{cfg.destination}/payloads")
-    verdicts = replies.select("url", "status", "error_type", "error_text", "ok")
-    if cfg.expand_archives:
-        verdicts = _expanded(payloads.where(F.col("kind") == "zip"), verdicts, cfg)
+    verdicts = _landed_replies(work, cfg, transport, responses)
 
     # Headers and verdicts only: bodies take no part in this join.
     outcomes = skew_join(work, verdicts, "url", "left").select(
@@ -137,28 +126,89 @@ def harvest_catalogue(
     return run_summary(logged, "run_name")
 
 
-def _expanded(archives: DataFrame, verdicts: DataFrame, cfg: CatalogueHarvest) -> DataFrame:
-    """Unpack archives into the members table; archives that give nothing become errors."""
-    spark = archives.sparkSession
-    folder = f"{cfg.destination}/members/{cfg.run_name}"
-    expand_archive(archives, f".{cfg.extension}", "url").write.mode("overwrite").parquet(folder)
-    members = spark.read.parquet(folder).groupBy("url").agg(
-        F.max("error_text").alias("_unpack_error"), F.count("member").alias("_members")
-    )
-    opened = archives.select("url").join(members, "url", "left").select(
-        "url",
-        "_unpack_error",
-        F.when(F.col("_unpack_error").isNotNull(), "BadArchive")
-        .when(F.coalesce("_members", F.lit(0)) == 0, NO_CSV_MEMBER)
-        .alias("_problem"),
-    )
-    return verdicts.join(opened, "url", "left").select(
-        "url",
-        "status",
-        F.coalesce("error_type", "_problem").alias("error_type"),
-        F.coalesce("error_text", "_unpack_error").alias("error_text"),
-        (F.col("ok") & F.col("_problem").isNull()).alias("ok"),
+def _landed_replies(
+    work: DataFrame, cfg: CatalogueHarvest, transport: Transport | None, responses: DataFrame | None
+) -> DataFrame:
+    """Store the replies and what they hold; gives the verdict on every url."""
+    spark = work.sparkSession
+    zip_url = P.is_zip_url("url") if cfg.reject_zip_urls else F.lit(False)
+    wanted = work.where(~zip_url)
+    if transport is not None:
+        replies = fetch(wanted, transport, cfg.fetch_partitions, cfg.request_headers, cfg.max_resource_size)
+    else:
+        if cfg.response_order:
+            responses = last_writer_wins(responses, ("url",), cfg.response_order)
+        urls = wanted.select("url").distinct()
+        replies = classify_responses(responses.join(urls, "url", "left_semi"), cfg.max_resource_size)
+        replies = replies.withColumn("content", F.when(F.col("ok"), F.col("content")))
+    if cfg.reject_html:
+        html = F.col("ok") & P.is_html_payload(F.col("content").cast("string"))
+        replies = _marked(replies, F.when(html, E.IS_HTML), E.html_text("url"))
+    kind = sniff_kind("content")
+    stored = replies.withColumns({"kind": kind, "extension": detected_extension(kind, F.lit(cfg.extension))})
+    with small_batches(spark):
+        # Written once and read back, so that a fetch never runs twice.
+        replies = store_payloads(stored, f"{cfg.destination}/payloads", cfg.run_name)
+        verdicts = replies.select("url", "status", "error_type", "error_text", "ok")
+        good = replies.where("ok").select("url", "kind", "content")
+        members = None
+        if cfg.expand_archives:
+            folder = f"{cfg.destination}/members/{cfg.run_name}"
+            archives = good.where(F.col("kind") == "zip")
+            expand_archive(archives, f".{cfg.extension}", "url").write.mode("overwrite").options(
+                **PAYLOAD_OPTIONS
+            ).parquet(folder)
+            members = spark.read.parquet(folder)
+            verdicts = _with_archive_verdicts(archives.select("url"), members, verdicts)
+        if cfg.decode:
+            _store_tables(good.where(F.col("kind") == "plain"), members, cfg)
+    if cfg.reject_zip_urls:
+        refused = work.where(zip_url).select("url").distinct().select(
+            "url", F.lit(None).cast("int").alias("status"), F.lit(E.IS_ZIP).alias("error_type"),
+            E.zip_text("url").alias("error_text"), F.lit(False).alias("ok"),
+        )
+        verdicts = verdicts.unionByName(refused)
+    return verdicts
+
+
+def _marked(replies: DataFrame, problem: Column, message: Column) -> DataFrame:
+    return replies.withColumn("_problem", problem).withColumns(
+        {
+            "error_text": F.when(F.col("_problem").isNotNull(), message).otherwise(F.col("error_text")),
+            "error_type": F.coalesce("_problem", "error_type"),
+            "ok": F.col("ok") & F.col("_problem").isNull(),
+        }
+    ).drop("_problem")
+
+
+def _with_archive_verdicts(archives: DataFrame, members: DataFrame, verdicts: DataFrame) -> DataFrame:
+    """Archives that are broken or give no member become errors."""
+    found = members.groupBy("url").agg(F.max("error_text").alias("_unpack_error"), F.count("member").alias("_members"))
+    problem = F.when(F.col("_unpack_error").isNotNull(), BAD_ARCHIVE).when(
+        F.coalesce("_members", F.lit(0)) == 0, NO_CSV_MEMBER
     )
+    opened = archives.join(found, "url", "left").select("url", "_unpack_error", problem.alias("_archive"))
+    joined = verdicts.join(opened, "url", "left")
+    marked = _marked(joined, F.col("_archive"), F.col("_unpack_error"))
+    return marked.select("url", "status", "error_type", "error_text", "ok")
+
+
+def _store_tables(plain: DataFrame, members: DataFrame | None, cfg: CatalogueHarvest) -> None:
+    """Decode CSV payloads and members into records, in the wanted format.
+
+    ``dataset_id`` is the url, followed by ``#`` and the member name for a member.
+    """
+    tables = plain.select(F.col("url").alias("dataset_id"), "content")
+    if members is not None:
+        # A member in several parts is joined again, in order.
+        whole = members.where(F.col("error_text").isNull()).groupBy("url", "member").agg(
+            F.array_sort(F.collect_list(F.struct("part_no", "data"))).alias("_parts")
+        )
+        content = F.aggregate("_parts", F.lit(b""), lambda joined, part: F.concat(joined, part["data"]))
+        tables = tables.unionByName(
+            whole.select(F.concat_ws("#", "url", "member").alias("dataset_id"), content.alias("content"))
+        )
+    store_datasets(decode_csv(tables), f"{cfg.destination}/tables/{cfg.run_name}", fmt=cfg.download_format)
 
 
 def _read_if_any(like: DataFrame, path: str) -> DataFrame | None:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from gleanspark.operators.responses import run_summary
 from gleanspark.operators.skew import skew_join
-from gleanspark.session import materialize
+from gleanspark.session import PAYLOAD_OPTIONS, materialize, small_batches
 from gleanspark.sinks import store_indicator
 from gleanspark.sources.fetch import Transport, fetch
 from gleanspark.sources.indicators import (
@@ -38,12 +38,13 @@ def harvest_indicators(
     """
     listed = expand_databases(scan_indicators(lists), scan_database_ids(hits)).distinct()
     work = indicator_resources(listed)
-    replies = materialize(fetch(work, transport, fetch_partitions, request_headers, _MAX_FILE))
+    replies = materialize(fetch(work, transport, fetch_partitions, request_headers, _MAX_FILE), PAYLOAD_OPTIONS)
     body = F.make_valid_utf8(F.col("content").cast("string"))
     texts = replies.where("ok").select("url", body.alias("body"))
     files = skew_join(work, texts, "url", "left")
     metadata = clean_metadata(files.where(F.col("kind") == "metadata"))
-    files = materialize(metadata.unionByName(files.where(F.col("kind") == "data")))
+    with small_batches(hits.sparkSession):
+        files = materialize(metadata.unionByName(files.where(F.col("kind") == "data")), PAYLOAD_OPTIONS)
     good = F.col("body").isNotNull()
     store_indicator(files.where(good), destination)
     return run_summary(files.withColumn("ok", good), "database_id")

@@ -12,7 +12,7 @@ from gleanspark.functions.payload import media_kind
 from gleanspark.operators.positions import last_writer_wins
 from gleanspark.operators.responses import run_summary
 from gleanspark.operators.skew import skew_join
-from gleanspark.session import materialize
+from gleanspark.session import PAYLOAD_OPTIONS, materialize, small_batches
 from gleanspark.sinks import store_topic_tables
 from gleanspark.sources.fetch import Transport, fetch
 from gleanspark.sources.payloads import decode_csv, expand_archive
@@ -37,11 +37,14 @@ def harvest_topics(
     """
     leaves = materialize(usable_leaves(scan_topic_tree(explorer, marts)))
     candidates = leaf_candidates(leaves)
-    replies = materialize(fetch(candidates, transport, fetch_partitions, request_headers, MAX_PAYLOAD))
+    fetched = fetch(candidates, transport, fetch_partitions, request_headers, MAX_PAYLOAD)
+    replies = materialize(fetched, PAYLOAD_OPTIONS)
     accepted = replies.where(F.col("ok") & P.accept_response()).select(
         "url", media_kind("content_type").alias("kind"), "content"
     )
-    zips = materialize(expand_archive(accepted.where(F.col("kind") == "zip"), None, "url", MAX_PAYLOAD))
+    with small_batches(explorer.sparkSession):
+        members = expand_archive(accepted.where(F.col("kind") == "zip"), None, "url", MAX_PAYLOAD)
+        zips = materialize(members, PAYLOAD_OPTIONS)
     broken = zips.where(F.col("error_text").isNotNull()).select("url").distinct()
     readable = (
         accepted.where(F.col("kind").isin("csv", "zip")).select("url", "kind").join(broken, "url", "left_anti")
@@ -55,7 +58,9 @@ def harvest_topics(
     members = zips.where(F.col("error_text").isNull()).select("url", "member", F.col("data").alias("content"))
     tables = plain.unionByName(members).withColumn("dataset_id", F.to_json(F.struct("url", "member")))
     wanted = tables.join(winners.select("url").distinct(), "url", "left_semi")
-    rows = materialize(decode_csv(wanted)).select(
+    with small_batches(explorer.sparkSession):
+        decoded = materialize(decode_csv(wanted))
+    rows = decoded.select(
         F.get_json_object("dataset_id", "$.url").alias("url"),
         F.get_json_object("dataset_id", "$.member").alias("member"),
         "row_idx",

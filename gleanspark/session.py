@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -55,7 +57,12 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return configured
 
 
-def materialize(df: DataFrame) -> DataFrame:
+#: Writer options for rows that hold whole files: look at the size of a row group
+#: after every row, instead of after the first hundred.
+PAYLOAD_OPTIONS = {"parquet.block.size.row.check.min": "1", "parquet.page.size.row.check.min": "1"}
+
+
+def materialize(df: DataFrame, options: Mapping[str, str] | None = None) -> DataFrame:
     """Write ``df`` once to the shared folder and go on from the written table.
 
     Cuts the lineage, so that a lost executor costs no more than a re-read, and
@@ -63,10 +70,26 @@ def materialize(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/table-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.options(**(options or {})).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 16) -> Iterator[None]:
+    """Read few rows at a time while payload bytes are handled.
+
+    The columnar reader takes 4096 rows per batch by default, which is gigabytes
+    where a row holds a whole file.
+    """
+    setting = "spark.sql.parquet.columnarReaderBatchSize"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, rows)
+    try:
+        yield
+    finally:
+        spark.conf.set(setting, before)
+
+
 def spread(df: DataFrame, rows: int = 1_000_000) -> DataFrame:
     """Deal a short table out to all cores before per-row work that is heavy.
 

@@ -6,6 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gleanspark.session import PAYLOAD_OPTIONS
+
 FORMATS = ("csv", "parquet", "json")
 
 
@@ -29,19 +31,29 @@ def store_dataset(df: DataFrame, destination: str, dataset_id: str, fmt: str = "
     return path
 
 
-def store_datasets(rows: DataFrame, destination: str, buckets: int = 256) -> None:
+def store_datasets(rows: DataFrame, destination: str, buckets: int = 256, fmt: str = "parquet") -> None:
     """Any number of datasets in long form, partitioned by a hash of the dataset.
 
     A folder per dataset would mean millions of folders; a bucket keeps the
-    number fixed and still lets a reader of one dataset skip the others.
+    number fixed and still lets a reader of one dataset skip the others. CSV has
+    no maps, so records become JSON text there.
     """
+    if fmt == "csv":
+        maps = [f.name for f in rows.schema.fields if f.dataType.typeName() == "map"]
+        rows = rows.withColumns({name: F.to_json(name) for name in maps})
     bucketed = rows.withColumn("bucket", F.pmod(F.xxhash64("dataset_id"), F.lit(buckets)))
-    _gathered(bucketed, "bucket").write.mode("overwrite").partitionBy("bucket").parquet(destination)
+    _writer(_gathered(bucketed, "bucket"), fmt, "overwrite").partitionBy("bucket").save(destination)
+
 
+def store_payloads(payloads: DataFrame, destination: str, run_name: str) -> DataFrame:
+    """Replies with their ``extension`` and ``content``, partitioned by run and extension.
 
-def store_payloads(payloads: DataFrame, destination: str, mode: str = "append") -> None:
-    """``(storage_key, extension, content, ...)`` partitioned by ``extension``."""
-    payloads.write.mode(mode).partitionBy("extension").parquet(destination)
+    Written once, bodies and verdicts together: later steps read the columns
+    they need from the written run, which is given back.
+    """
+    writer = payloads.drop("run_name").write.mode("overwrite").options(**PAYLOAD_OPTIONS)
+    writer.partitionBy("extension").parquet(f"{destination}/run_name={run_name}")
+    return payloads.sparkSession.read.parquet(f"{destination}/run_name={run_name}")
 
 
 def store_catalog(packages: DataFrame, destination: str) -> DataFrame:

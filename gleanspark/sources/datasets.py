@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gleanspark.operators.positions import limit_indexed_rows, limit_ordered
 from gleanspark.operators.unnest import unnest
 from gleanspark.sources.catalog import matching
+from gleanspark.sources.payloads import decode_csv
 
 ENTRY_TYPE = (
     "struct<resource:struct<id:string,columns_field_name:array<string>,"
@@ -36,12 +37,28 @@ def dataset_metadata(entries: DataFrame, dataset_id: str) -> DataFrame:
     return entries.where(F.col("dataset_id") == dataset_id)
 
 
-def parse_record_pages(pages: DataFrame) -> DataFrame:
-    """``(dataset_id, row_idx, record)`` from landed JSON pages ``(dataset_id, offset, body)``.
+def _xml_records(body: str) -> Column:
+    """Rows right below the root, or inside one more ``row`` element, as portals send them."""
+    inner = F.from_xml(F.col(body), "row struct<row:array<map<string,string>>>")["row"]["row"]
+    return F.coalesce(inner, F.from_xml(F.col(body), "row array<map<string,string>>")["row"])
 
-    The index continues over pages, so limits are plain filters on it.
+
+def parse_record_pages(pages: DataFrame, wire_format: str = "json") -> DataFrame:
+    """``(dataset_id, row_idx, record)`` from landed pages ``(dataset_id, offset, body)``.
+
+    ``wire_format`` is json, csv or xml. The index continues over pages, so
+    limits are plain filters on it.
     """
-    records = F.from_json("body", "array<map<string,string>>")
+    if wire_format == "csv":
+        page = F.to_json(F.struct("dataset_id", "offset"))
+        decoded = decode_csv(pages.select(page.alias("dataset_id"), F.encode("body", "UTF-8").alias("content")), infer_rows=0)
+        origin = F.from_json("dataset_id", "dataset_id string, offset bigint")
+        return decoded.select(
+            origin["dataset_id"].alias("dataset_id"), (origin["offset"] + F.col("row_idx")).alias("row_idx"), "record"
+        )
+    if wire_format not in ("json", "xml"):
+        raise ValueError(f"unknown wire format: {wire_format}")
+    records = F.from_json("body", "array<map<string,string>>") if wire_format == "json" else _xml_records("body")
     return unnest(pages, records, "record", ("dataset_id", "offset"), "pos").select(
         "dataset_id", (F.col("offset") + F.col("pos")).cast("bigint").alias("row_idx"), "record"
     )

@@ -88,6 +88,31 @@ def test_harvest_catalogue_and_resume(spark, pages, tmp_path):
     assert [tuple(r) for r in again] == [("r2", 1, 1, 2)]
 
 
+@pytest.mark.parametrize("fmt", ["csv", "parquet", "json"])
+def test_decode_into_the_wanted_format(spark, pages, tmp_path, fmt):
+    cfg = settings(tmp_path, "r", expand_archives=True, decode=True, download_format=fmt)
+    harvest_catalogue(pages, cfg, transport)
+    reader = spark.read.option("header", True).option("escape", "\\") if fmt == "csv" else spark.read
+    rows = reader.format(fmt).load(f"{tmp_path}/tables/r").collect()
+    found = {(r["dataset_id"], json.loads(r["record"])["a"] if fmt == "csv" else r["record"]["a"]) for r in rows}
+    assert found == {("http://ok/1", "1"), ("https://p.org/rel", "1"), ("http://zip#t.csv", "1")}
+
+
+def test_html_and_zip_urls_can_be_refused(spark, tmp_path):
+    resources = [resource("a", "http://x/a.ZIP"), resource("b", "http://x/b"), resource("c", "http://x/c")]
+    body = json.dumps({"result": {"results": [{"id": "p", "resources": resources}]}})
+    pages = spark.createDataFrame([(0, 200, body)], "page_no int, status int, body string")
+
+    def reply(url, headers):
+        assert not url.endswith("ZIP")
+        return 200, {}, b"<!DOCTYPE html><p>" if url.endswith("b") else b"a\n1\n"
+
+    cfg = settings(tmp_path, "r", reject_html=True, reject_zip_urls=True)
+    assert [tuple(r) for r in harvest_catalogue(pages, cfg, reply).collect()] == [("r", 1, 2, 3)]
+    kinds = {r["url"]: r["error_type"] for r in spark.read.parquet(f"{tmp_path}/runs").collect()}
+    assert kinds == {"http://x/a.ZIP": "IsZIPError", "http://x/b": "IsHTMLError", "http://x/c": None}
+
+
 def test_harvest_from_landed_replies(spark, pages, tmp_path):
     rows = [("http://ok/1", 200, "4", b"a\n1\n"), ("https://p.org/rel", 200, str(2**21), b"x"), ("http://other", 200, None, b"")]
     landed = spark.createDataFrame(rows, "url string, status int, content_length string, content binary")

@@ -77,7 +77,7 @@ def test_large_windows_are_not_taken_in_one_task(spark):
 
 def test_hot_key_detection_shuffles_no_keys(spark):
     df = spark.range(10_000).select((F.col("id") % 3).alias("k"))
-    assert len(skew.hot_key_hashes(df, ["k"])) == 3
+    assert len(skew.hot_keys(df, ["k"])) == 3
     right = spark.range(3).withColumnRenamed("id", "k")
     assert "_salt" in plan(skew.skew_join(df, right, "k"))
     assert "_salt" not in plan(skew.skew_join(spark.range(1000).withColumnRenamed("id", "k"), right, "k"))

@@ -97,9 +97,9 @@ def test_skew_join_equals_plain_join(spark, skewed, how):
     left = skewed.unionByName(skewed.where("k = 0")).unionByName(skewed.where("k = 0"))
     right = spark.range(0, 60, 2).select(F.col("id").cast("bigint").alias("k"), F.concat(F.lit("r"), "id").alias("r"))
     right = right.unionByName(right.where("k = 4")).unionByName(spark.sql("SELECT CAST(NULL AS BIGINT) AS k, 'null' AS r"))
-    assert skew.hot_key_hashes(left, ["k"])
+    assert skew.hot_keys(left, ["k"])
     expected = left.join(right, "k", how)
-    found = skew.skew_join(left, right, "k", how, salts=8)
+    found = skew.skew_join(left, right, "k", how)
     assert found.columns == expected.columns
     assert Counter(map(tuple, found.collect())) == Counter(map(tuple, expected.collect()))
 
@@ -119,9 +119,17 @@ def test_skew_join_spreads_a_hot_key(spark, skewed):
     assert sum(sizes) == hot and max(sizes) < hot / 2
 
 
+def test_hot_keys_of_sparse_and_empty_inputs(spark):
+    sparse = spark.createDataFrame([(1,)] * 9, "k int").repartition(40)
+    assert list(skew.hot_keys(sparse, ["k"]).values()) == [1.0]
+    empty = sparse.where("k > 1")
+    assert skew.hot_keys(empty, ["k"]) == {}
+    assert skew.skew_join(empty, sparse.distinct(), "k").count() == 0
+
+
 def test_skew_join_without_hot_keys_is_the_plain_join(spark):
     left = spark.range(5000)
-    assert skew.hot_key_hashes(left, ["id"]) == []
+    assert skew.hot_keys(left, ["id"]) == {}
     assert skew.skew_join(left, spark.range(10), "id").count() == 10
 
 

@@ -210,6 +210,20 @@ def test_record_pages_and_limits(spark):
     assert datasets.scan_dataset_rows(rows, limit=-1).count() == 3
 
 
+@pytest.mark.parametrize(
+    "wire,body",
+    [
+        ("csv", "a,b\n1,x\n2,\n"),
+        ("xml", "<rows><row><a>1</a><b>x</b></row><row><a>2</a></row></rows>"),
+        ("xml", "<response><row><row><a>1</a><b>x</b></row><row><a>2</a></row></row></response>"),
+    ],
+)
+def test_record_pages_in_other_wire_formats(spark, wire, body):
+    pages = spark.createDataFrame([("d", 10, body)], "dataset_id string, offset bigint, body string")
+    rows = sorted((r["row_idx"], r["dataset_id"], r["record"]["a"], r["record"].get("b")) for r in datasets.parse_record_pages(pages, wire).collect())
+    assert rows == [(10, "d", "1", "x"), (11, "d", "2", None)]
+
+
 @pytest.mark.parametrize(
     "wire,text", [("csv", "a,b\n1,x\n"), ("json", '[{"a": 1, "b": "x"}]'), ("xml", "<rows><row><a>1</a><b>x</b></row></rows>")]
 )
