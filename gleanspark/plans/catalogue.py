@@ -19,7 +19,7 @@ from gleanspark.session import PAYLOAD_OPTIONS, materialize, small_batches
 from gleanspark.sinks import store_catalog, store_datasets, store_payloads, store_run_log, store_work
 from gleanspark.sources.catalog import explode_resources, scan_packages
 from gleanspark.sources.fetch import Transport, fetch
-from gleanspark.sources.payloads import decode_csv, expand_archive
+from gleanspark.sources.payloads import decode_archives, decode_csv, expand_archive
 
 # Outcomes of archives without a member of the wanted kind, and of broken ones.
 NO_CSV_MEMBER = "no_csv_member"
@@ -96,6 +96,7 @@ def harvest_catalogue(
     if (transport is None) == (responses is None):
         raise ValueError("give either a transport or landed responses")
     spark = pages.sparkSession
+    finished = _read_if_any(pages, f"{cfg.destination}/runs")
     packages, _ = plan_catalogue(pages, cfg)
     # The pages are parsed once; the work list starts from the written packages.
     if cfg.save_catalog:
@@ -103,8 +104,9 @@ def harvest_catalogue(
     else:
         packages = materialize(packages.drop("package"))
     work = _work(packages, cfg)
-    finished = _read_if_any(pages, f"{cfg.destination}/runs")
     if finished is not None:
+        if not finished.where(F.col("run_name") == cfg.run_name).isEmpty():
+            raise ValueError(f"there is a finished run named {cfg.run_name}")
         work = pending_work(work, finished.where("ok"))
     work = store_work(work, f"{cfg.destination}/work/{cfg.run_name}")
 
@@ -151,17 +153,15 @@ def _landed_replies(
         replies = store_payloads(stored, f"{cfg.destination}/payloads", cfg.run_name)
         verdicts = replies.select("url", "status", "error_type", "error_text", "ok")
         good = replies.where("ok").select("url", "kind", "content")
-        members = None
         if cfg.expand_archives:
             folder = f"{cfg.destination}/members/{cfg.run_name}"
             archives = good.where(F.col("kind") == "zip")
             expand_archive(archives, f".{cfg.extension}", "url").write.mode("overwrite").options(
                 **PAYLOAD_OPTIONS
             ).parquet(folder)
-            members = spark.read.parquet(folder)
-            verdicts = _with_archive_verdicts(archives.select("url"), members, verdicts)
+            verdicts = _with_archive_verdicts(archives.select("url"), spark.read.parquet(folder), verdicts)
         if cfg.decode:
-            _store_tables(good.where(F.col("kind") == "plain"), members, cfg)
+            _store_tables(good, cfg)
     if cfg.reject_zip_urls:
         refused = work.where(zip_url).select("url").distinct().select(
             "url", F.lit(None).cast("int").alias("status"), F.lit(E.IS_ZIP).alias("error_type"),
@@ -193,22 +193,13 @@ def _with_archive_verdicts(archives: DataFrame, members: DataFrame, verdicts: Da
     return marked.select("url", "status", "error_type", "error_text", "ok")
 
 
-def _store_tables(plain: DataFrame, members: DataFrame | None, cfg: CatalogueHarvest) -> None:
-    """Decode CSV payloads and members into records, in the wanted format.
-
-    ``dataset_id`` is the url, followed by ``#`` and the member name for a member.
-    """
-    tables = plain.select(F.col("url").alias("dataset_id"), "content")
-    if members is not None:
-        # A member in several parts is joined again, in order.
-        whole = members.where(F.col("error_text").isNull()).groupBy("url", "member").agg(
-            F.array_sort(F.collect_list(F.struct("part_no", "data"))).alias("_parts")
-        )
-        content = F.aggregate("_parts", F.lit(b""), lambda joined, part: F.concat(joined, part["data"]))
-        tables = tables.unionByName(
-            whole.select(F.concat_ws("#", "url", "member").alias("dataset_id"), content.alias("content"))
-        )
-    store_datasets(decode_csv(tables), f"{cfg.destination}/tables/{cfg.run_name}", fmt=cfg.download_format)
+def _store_tables(good: DataFrame, cfg: CatalogueHarvest) -> None:
+    """Decode CSV payloads, and archives where they are expanded, in the wanted format."""
+    payloads = good.withColumnRenamed("url", "dataset_id")
+    tables = decode_csv(payloads.where(F.col("kind") == "plain"))
+    if cfg.expand_archives:
+        tables = tables.unionByName(decode_archives(payloads.where(F.col("kind") == "zip"), f".{cfg.extension}"))
+    store_datasets(tables, f"{cfg.destination}/tables/{cfg.run_name}", fmt=cfg.download_format)
 
 
 def _read_if_any(like: DataFrame, path: str) -> DataFrame | None:

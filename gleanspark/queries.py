@@ -263,7 +263,7 @@ def _catalog_pages(read) -> DataFrame:
         table = F.struct(
             F.concat(package_id, F.lit("/t")).alias("id"),
             href.alias("url"),
-            F.substring(href, 2, 1000).alias("name"),
+            F.substr(href, F.lit(2)).alias("name"),
             F.when(at % 2 == 0, "CSV").otherwise("HTML").alias("format"),
             F.when(at % 3 == 0, F.array(F.lit("en"), F.lit("fr"))).when(at % 3 == 1, F.array(F.lit("den"))).alias("language"),
         )
@@ -454,10 +454,11 @@ def q_dataset_rows(read, spark):
 
 
 @query(
-    """SELECT event_id, user_id, value FROM events WHERE event_type = 'error' AND user_id IN (1, 2, 3, 5, 8)"""
+    """SELECT event_id, user_id, value FROM events WHERE event_type IN ('error', 'signup') AND props <> '{}'"""
 )
 def q_dataset_query(read, spark):
-    found = datasets.dataset_query(read("events"), event_type="error", user_id=[1, 2, 3, 5, 8])
+    rows = read("events").withColumn("has_props", F.col("props") != "{}")
+    found = datasets.dataset_query(rows, event_type=["error", "signup"], has_props=True)
     return found.select("event_id", "user_id", "value")
 
 
@@ -631,6 +632,18 @@ def q_expand_archive(read, spark):
     return members.select("storage_key", "member", F.md5("data").alias("digest"), "error_text")
 
 
+@query("SELECT doc_id || '#' || doc_id || '.csv' AS dataset_id, CAST(0 AS BIGINT) AS row_idx, nullif(text, '') AS body FROM documents")
+def q_decode_archives(read, spark):
+    """Archives with one CSV member that holds a whole text in a quoted cell."""
+    pack = F.pandas_udf(_zip_archive, "binary")
+    key = F.col("doc_id").cast("string")
+    table = F.concat(F.lit('id,body\n1,"'), F.replace("text", F.lit('"'), F.lit('""')), F.lit('"\n'))
+    archives = spread(read("documents")).select(key.alias("dataset_id"), pack(key, table).alias("content"))
+    decoded = payloads.decode_archives(archives)
+    name = F.replace("dataset_id", F.lit("../"), F.lit(""))
+    return decoded.select(name.alias("dataset_id"), "row_idx", F.try_element_at("record", F.lit("body")).alias("body"))
+
+
 @query(
     """SELECT CAST(event_id AS VARCHAR) AS dataset_id, CAST(0 AS BIGINT) AS row_idx, CAST(user_id AS VARCHAR) AS n, event_type AS kind,
   CAST(NULL AS VARCHAR) AS note FROM events

@@ -76,18 +76,24 @@ def materialize(df: DataFrame, options: Mapping[str, str] | None = None) -> Data
 
 @contextmanager
 def small_batches(spark: SparkSession, rows: int = 16) -> Iterator[None]:
-    """Read few rows at a time while payload bytes are handled.
+    """Read few rows at a time, and write without sorting, while payload bytes are handled.
 
     The columnar reader takes 4096 rows per batch by default, which is gigabytes
-    where a row holds a whole file.
+    where a row holds a whole file; and a partitioned write sorts its rows unless
+    it may keep a few files open.
     """
-    setting = "spark.sql.parquet.columnarReaderBatchSize"
-    before = spark.conf.get(setting)
-    spark.conf.set(setting, rows)
+    settings = {
+        "spark.sql.parquet.columnarReaderBatchSize": str(rows),
+        "spark.sql.maxConcurrentOutputFileWriters": "8",
+    }
+    before = {name: spark.conf.get(name) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
     try:
         yield
     finally:
-        spark.conf.set(setting, before)
+        for name, value in before.items():
+            spark.conf.set(name, value)
 
 
 def spread(df: DataFrame, rows: int = 1_000_000) -> DataFrame:

@@ -7,7 +7,9 @@ import io
 import itertools
 import re
 import zipfile
-from collections.abc import Iterator
+import zlib
+from collections.abc import Callable, Iterator
+from typing import BinaryIO
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -21,6 +23,9 @@ PART_BYTES = 16 * 2**20
 #: Rows of a decoded table handed to the JVM at a time.
 _CSV_BATCH = 2000
 
+# A cell may be as long as its file.
+csv.field_size_limit(2**31 - 1)
+
 # Cell layouts of integer, decimal and boolean columns, narrowest first.
 CELL_PATTERNS = (
     re.compile(r"[+-]?\d{1,18}"),
@@ -119,13 +124,47 @@ def decode_csv(payloads: DataFrame, key: str = "dataset_id", infer_rows: int = I
     become null, long rows are cut to the header, short rows padded with null.
     """
 
+    def tables(payload_key: str, content: bytes) -> Iterator[tuple[str, BinaryIO]]:
+        yield payload_key, io.BytesIO(content)
+
+    return _decode(payloads, key, infer_rows, tables)
+
+
+def decode_archives(
+    payloads: DataFrame, suffix: str | None = ".csv", key: str = "dataset_id", infer_rows: int = INFER_ROWS
+) -> DataFrame:
+    """As :func:`decode_csv` for the CSV members of zip payloads, named ``<key>#<member>``.
+
+    Members are decoded as they are unpacked, whatever their size. A broken
+    archive gives the rows read so far; :func:`expand_archive` reports it.
+    """
+
+    def tables(payload_key: str, content: bytes) -> Iterator[tuple[str, BinaryIO]]:
+        with zipfile.ZipFile(io.BytesIO(content)) as archive:
+            for info in archive.infolist():
+                if not info.is_dir() and (suffix is None or info.filename.endswith(suffix)):
+                    with archive.open(info) as stream:
+                        yield f"{payload_key}#{info.filename}", stream
+
+    return _decode(payloads, key, infer_rows, tables)
+
+
+def _decode(payloads: DataFrame, key: str, infer_rows: int, tables: Callable) -> DataFrame:
+    def rows_of(payload_key: str, content: bytes) -> Iterator[tuple[str, int, list[str], list[str | None]]]:
+        try:
+            for table_id, stream in tables(payload_key, content):
+                names, rows = _cells(stream, infer_rows)
+                for index, cells in enumerate(rows):
+                    yield table_id, index, names, cells
+        except (zipfile.BadZipFile, zlib.error, EOFError, NotImplementedError, RuntimeError):
+            return  # an unreadable archive, which expand_archive reports
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = _Rows()
         for batch in batches:
             for payload_key, content in zip(batch["dataset_id"], batch["content"]):
-                names, rows = _cells(content.as_py(), infer_rows)
-                for index, cells in enumerate(rows):
-                    held.add(payload_key.as_py(), index, names, cells)
+                for row in rows_of(payload_key.as_py(), content.as_py()):
+                    held.add(*row)
                     if len(held.ids) >= _CSV_BATCH:
                         yield held.flush()
         if held.ids:
@@ -136,8 +175,9 @@ def decode_csv(payloads: DataFrame, key: str = "dataset_id", infer_rows: int = I
     )
 
 
-def _cells(content: bytes, infer_rows: int) -> tuple[list[str], Iterator[list[str | None]]]:
-    text = io.TextIOWrapper(io.BytesIO(content), "utf-8-sig", "replace", newline="")
+def _cells(stream: BinaryIO, infer_rows: int) -> tuple[list[str], Iterator[list[str | None]]]:
+    """Header and checked rows of one CSV stream."""
+    text = io.TextIOWrapper(stream, "utf-8-sig", "replace", newline="")
     lines = (line for line in csv.reader(text) if line)
     names = _unique_names(next(lines, []))
     width = len(names)

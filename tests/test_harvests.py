@@ -86,6 +86,8 @@ def test_harvest_catalogue_and_resume(spark, pages, tmp_path):
     # Only what failed is tried again.
     again = harvest_catalogue(pages, settings(tmp_path, "r2"), transport).collect()
     assert [tuple(r) for r in again] == [("r2", 1, 1, 2)]
+    with pytest.raises(ValueError, match="r2"):
+        harvest_catalogue(pages, settings(tmp_path, "r2"), transport)
 
 
 @pytest.mark.parametrize("fmt", ["csv", "parquet", "json"])

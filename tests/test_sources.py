@@ -129,6 +129,18 @@ def test_decode_csv(spark):
     assert len(decoded(spark, b"a\n" + b"7\n" * 5001)) == 5001
 
 
+def test_decode_archives(spark):
+    good = archive(**{"a.csv": b"n\n1\n2\n", "b.txt": b"n\n3\n", "c.csv": b"n\nx\n"})
+    df = spark.createDataFrame([("k", good), ("bad", b"PK\x03\x04"), ("cut", good[:-20])], "dataset_id string, content binary")
+    rows = {(r["dataset_id"], r["row_idx"], r["record"]["n"]) for r in payloads.decode_archives(df).collect()}
+    assert rows == {("k#a.csv", 0, "1"), ("k#a.csv", 1, "2"), ("k#c.csv", 0, "x")}
+
+
+def test_long_cell(spark):
+    cell = "x" * 300_000
+    assert decoded(spark, f"a\n{cell}\n".encode()) == [{"a": cell}]
+
+
 def test_read_csv_table(spark, tmp_path):
     (tmp_path / "t.csv").write_text("n,s\n1,x\n2,y,long\n3\nbad,z\n")
     rows = [tuple(r) for r in payloads.read_csv_table(spark, str(tmp_path), infer_rows=3).collect()]
