@@ -35,16 +35,23 @@ def harvest_indicators(
 
     ``hits`` are search replies, ``lists`` the indicator lists by database. A
     file that fails costs that file alone, and unreadable metadata is an error.
+    Files go to ``files``, the outcome of each to ``runs``.
     """
     listed = expand_databases(scan_indicators(lists), scan_database_ids(hits)).distinct()
     work = indicator_resources(listed)
     replies = materialize(fetch(work, transport, fetch_partitions, request_headers, _MAX_FILE), PAYLOAD_OPTIONS)
     body = F.make_valid_utf8(F.col("content").cast("string"))
-    texts = replies.where("ok").select("url", body.alias("body"))
+    texts = replies.select("url", "status", "error_type", "error_text", F.when(F.col("ok"), body).alias("body"))
     files = skew_join(work, texts, "url", "left")
     metadata = clean_metadata(files.where(F.col("kind") == "metadata"))
     with small_batches(hits.sparkSession):
         files = materialize(metadata.unionByName(files.where(F.col("kind") == "data")), PAYLOAD_OPTIONS)
     good = F.col("body").isNotNull()
-    store_indicator(files.where(good), destination)
-    return run_summary(files.withColumn("ok", good), "database_id")
+    ids = ("database_id", "indicator_id", "kind")
+    store_indicator(files.where(good).select(*ids, "path", "body"), f"{destination}/files", "overwrite")
+    unreadable = F.when(~good, F.coalesce("error_type", F.lit("unreadable")))
+    outcomes = files.select(
+        *ids, "url", "status", unreadable.alias("error_type"), "error_text", good.alias("ok")
+    )
+    outcomes.write.mode("overwrite").parquet(f"{destination}/runs")
+    return run_summary(hits.sparkSession.read.parquet(f"{destination}/runs"), "database_id")

@@ -18,6 +18,12 @@ from gleanspark.sources.fetch import Transport, fetch
 from gleanspark.sources.payloads import decode_csv, expand_archive
 from gleanspark.sources.topics import leaf_candidates, scan_topic_tree, usable_leaves
 
+# Outcomes of replies that cannot become a table.
+NOT_ACCEPTED = "not_accepted"
+UNSUPPORTED = "unsupported_excel"
+UNKNOWN_TYPE = "unknown_content_type"
+BAD_ARCHIVE = "BadArchive"
+
 #: No size rule applies to topic payloads; this is the largest binary cell.
 MAX_PAYLOAD = 2**31 - 1
 
@@ -33,7 +39,8 @@ def harvest_topics(
     """Fetch and store the table behind every leaf; gives ``(topic, successes, errors, total)``.
 
     Both candidate urls of a leaf are tried and the later usable reply wins.
-    Excel and unknown payloads count as errors of that candidate.
+    Tables go to ``tables``, the outcome of every candidate to ``runs``; Excel
+    and unknown payloads are errors of their candidate.
     """
     leaves = materialize(usable_leaves(scan_topic_tree(explorer, marts)))
     candidates = leaf_candidates(leaves)
@@ -46,13 +53,16 @@ def harvest_topics(
         members = expand_archive(accepted.where(F.col("kind") == "zip"), None, "url", MAX_PAYLOAD)
         zips = materialize(members, PAYLOAD_OPTIONS)
     broken = zips.where(F.col("error_text").isNotNull()).select("url").distinct()
-    readable = (
-        accepted.where(F.col("kind").isin("csv", "zip")).select("url", "kind").join(broken, "url", "left_anti")
-    )
+    verdicts = _verdicts(replies, broken)
 
     # Urls and keys only up to here; the tables join below, by their winner.
     place = ("topic", "mart_name", "path", "file_name")
-    usable = skew_join(candidates, readable, "url").select(*place, "candidate", "url")
+    judged = skew_join(candidates, verdicts, "url", "left").select(
+        *place, "candidate", "url", "status", F.coalesce("error_type", F.lit("")).alias("error_type"), "error_text"
+    )
+    judged.write.mode("overwrite").parquet(f"{destination}/runs")
+    judged = explorer.sparkSession.read.schema(judged.schema).parquet(f"{destination}/runs")
+    usable = judged.where(F.col("error_type") == "").select(*place, "candidate", "url")
     winners = materialize(last_writer_wins(usable, place, ("candidate", "url")))
     plain = accepted.where(F.col("kind") == "csv").select("url", F.lit("").alias("member"), "content")
     members = zips.where(F.col("error_text").isNull()).select("url", "member", F.col("data").alias("content"))
@@ -66,7 +76,24 @@ def harvest_topics(
         "row_idx",
         "record",
     )
-    store_topic_tables(skew_join(rows, winners.select(*place, "url"), "url"), destination)
+    store_topic_tables(skew_join(rows, winners.select(*place, "url"), "url"), f"{destination}/tables")
     stored = winners.select(*place).withColumn("_stored", F.lit(True))
     outcomes = leaves.select(*place).join(stored, list(place), "left")
     return run_summary(outcomes.withColumn("ok", F.col("_stored").isNotNull()), "topic")
+
+
+def _verdicts(replies: DataFrame, broken: DataFrame) -> DataFrame:
+    """``(url, status, error_type, error_text)``; no error type where the reply can be decoded."""
+    kind = media_kind("content_type")
+    problem = (
+        F.when(~F.col("ok"), F.col("error_type"))
+        .when(~P.accept_response(), NOT_ACCEPTED)
+        .when(kind == "excel", UNSUPPORTED)
+        .when(kind == "unknown", UNKNOWN_TYPE)
+        .when(F.col("_broken"), BAD_ARCHIVE)
+    )
+    text = F.coalesce("error_text", F.concat(F.lit("Content-Type: "), "content_type"))
+    marked = replies.drop("content").join(broken.withColumn("_broken", F.lit(True)), "url", "left")
+    return marked.withColumn("_problem", problem).select(
+        "url", "status", F.col("_problem").alias("error_type"), F.when(F.col("_problem").isNotNull(), text).alias("error_text")
+    )

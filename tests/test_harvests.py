@@ -194,12 +194,16 @@ def test_harvest_topics(spark, tmp_path):
 
     summary = harvest_topics(explorer, marts, str(tmp_path), reply, 2).collect()
     assert [tuple(r) for r in summary] == [("top", 4, 1, 5)]
-    rows = spark.read.option("header", True).option("escape", "\\").csv(str(tmp_path)).collect()
+    rows = spark.read.option("header", True).option("escape", "\\").csv(f"{tmp_path}/tables").collect()
     assert {(r["path"], r["file_name"], r["member"], json.loads(r["record"])["a"]) for r in rows} == {
         ("f/x", "one.csv", None, "1"), ("f/x", "two.csv", "x.csv", "2"), ("f/x", "two.csv", "y.csv", "3"),
         (None, "both.csv", None, "new"), (None, "brokenzip.csv", None, "kept"),
     }
     assert {(r["topic"], r["mart_name"]) for r in rows} == {("top", "mart")}
+    outcomes = {(r["file_name"], r["candidate"]): r["error_type"] for r in spark.read.parquet(f"{tmp_path}/runs").collect()}
+    assert len(outcomes) == 10
+    assert outcomes["html.csv", 0] == "unknown_content_type" and outcomes["one.csv", 1] == "HTTPResourceError"
+    assert outcomes["brokenzip.csv", 1] == "BadArchive" and outcomes["both.csv", 0] == outcomes["both.csv", 1] == ""
 
 
 def test_harvest_indicators(spark, tmp_path):
@@ -215,7 +219,7 @@ def test_harvest_indicators(spark, tmp_path):
 
     summary = harvest_indicators(hits, lists, str(tmp_path), reply, 2).collect()
     assert [tuple(r) for r in summary] == [("A", 3, 1, 4)]
-    stored = {(r["kind"], r["indicator_id"]): r["body"] for r in spark.read.parquet(str(tmp_path)).collect()}
+    stored = {(r["kind"], r["indicator_id"]): r["body"] for r in spark.read.parquet(f"{tmp_path}/files").collect()}
     assert stored == {("metadata", "x"): '{"k":1}', ("metadata", "y"): '{"k":1}', ("data", "x"): "c\n1\n"}
 
 
