@@ -61,42 +61,72 @@ def with_metadata(rows: DataFrame, columns: DataFrame, how: str = "left") -> Dat
     return skew_join(rows, columns, "dataset_id", how)
 
 
-def typed_cells(rows: DataFrame, entries: DataFrame, how: str = "left") -> DataFrame:
-    """Every declared cell of every row, cast by its declared type.
-
-    ``(dataset_id, row_idx, name, type, text_value, int_value, float_value,
-    date_value, timestamp_value)``; only the column of the cell's type is set,
-    and none when the cell does not parse. Rows without an entry stay strings,
-    or are left out by an inner join.
-    """
+def _with_columns(rows: DataFrame, entries: DataFrame, how: str) -> DataFrame:
+    """Rows with ``columns``; where there is no entry, every key is a string column."""
     undeclared = F.transform(
         F.map_keys("record"),
         lambda k: F.struct(
             k.alias("name"), F.lit("string").alias("type"), F.lit(None).cast("string").alias("pattern")
         ),
     )
-    joined = with_metadata(rows, declared_columns(entries), how).withColumn("columns", F.coalesce("columns", undeclared))
-    cells = joined.select("dataset_id", "row_idx", "record", F.inline("columns")).withColumn(
-        "_cell", F.try_element_at("record", F.col("name"))
+    return with_metadata(rows, declared_columns(entries), how).withColumn("columns", F.coalesce("columns", undeclared))
+
+
+def typed_records(rows: DataFrame, entries: DataFrame, how: str = "left") -> DataFrame:
+    """Every row cast by its dataset's entry: ``(dataset_id, row_idx, record variant)``.
+
+    One row stays one row, whatever the width of its dataset; fields hold int,
+    float, date, timestamp or string values, and null where a cell does not
+    parse. Rows without an entry stay strings, or are left out by an inner join.
+    """
+
+    def value(column: Column) -> Column:
+        cell = F.try_element_at("record", column["name"])
+        typed = F.lit(None).cast("variant")
+        for name, cast in _casts(cell, column["pattern"]).items():
+            typed = F.when(column["type"] == name, cast.cast("variant")).otherwise(typed)
+        return F.struct(column["name"], typed)
+
+    fields = F.map_from_entries(F.transform("columns", value))
+    return _with_columns(rows, entries, how).select(
+        "dataset_id", "row_idx", F.to_variant_object(fields).alias("record")
+    )
+
+
+def typed_cells(rows: DataFrame, entries: DataFrame, how: str = "left") -> DataFrame:
+    """As :func:`typed_records`, one row per cell.
+
+    ``(dataset_id, row_idx, name, type, text_value, int_value, float_value,
+    date_value, timestamp_value)``; only the column of the cell's type is set.
+    """
+    cells = (
+        _with_columns(rows, entries, how)
+        .select("dataset_id", "row_idx", "record", F.inline("columns"))
+        .withColumn("_cell", F.try_element_at("record", F.col("name")))
+    )
+    values = _casts(F.col("_cell"), F.col("pattern"))
+    names = {"string": "text", "int": "int", "float": "float", "date": "date", "timestamp_ntz": "timestamp"}
+    return cells.select(
+        "dataset_id",
+        "row_idx",
+        "name",
+        "type",
+        *[F.when(F.col("type") == t, values[t]).alias(f"{name}_value") for t, name in names.items()],
     )
-    return cells.select("dataset_id", "row_idx", "name", "type", *_typed_values(F.col("_cell")))
-
-
-def _typed_values(cell: Column) -> list[Column]:
-    kind = F.col("type")
-    # The pattern is a column here; each known one is a literal in its branch.
-    patterns = sorted({p for p in D.DATE_VIEWS.values() if p})
-    timestamp = F.lit(None).cast("timestamp_ntz")
-    for pattern in patterns:
-        timestamp = F.when(F.col("pattern") == pattern, D.cast_datetime(cell, pattern)).otherwise(timestamp)
-    timestamp = F.when(F.col("pattern").isNull(), D.cast_datetime(cell)).otherwise(timestamp)
-    return [
-        F.when(kind == "string", cell).alias("text_value"),
-        F.when(kind == "int", D.cast_number(cell, "int")).alias("int_value"),
-        F.when(kind == "float", D.cast_number(cell, "float")).alias("float_value"),
-        F.when(kind == "date", D.cast_date(cell)).alias("date_value"),
-        F.when(kind == "timestamp_ntz", timestamp).alias("timestamp_value"),
-    ]
+
+
+def _casts(cell: Column, pattern: Column) -> dict[str, Column]:
+    """The cast of a cell for every type; the pattern is a column, each known one a literal."""
+    timestamp = F.when(pattern.isNull(), D.cast_datetime(cell))
+    for known in sorted({p for p in D.DATE_VIEWS.values() if p}):
+        timestamp = timestamp.when(pattern == known, D.cast_datetime(cell, known))
+    return {
+        "string": D.cast_string(cell),
+        "int": D.cast_number(cell, "int"),
+        "float": D.cast_number(cell, "float"),
+        "date": D.cast_date(cell),
+        "timestamp_ntz": timestamp,
+    }
 
 
 def records_to_df(records: DataFrame, schema: T.StructType | None = None, patterns: dict[str, str] | None = None) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from gleanspark.functions.types import schema_from_metadata
 from gleanspark.operators.positions import limit_indexed_rows
 from gleanspark.operators.skew import skew_join
-from gleanspark.operators.typed import declared_columns, records_to_df, typed_cells
+from gleanspark.operators.typed import declared_columns, records_to_df, typed_records
 from gleanspark.sinks import store_dataset, store_dataset_catalog, store_datasets
 from gleanspark.sources.datasets import dataset_metadata, scan_dataset_catalog, scan_dataset_rows
 
@@ -60,7 +60,7 @@ def store_one_dataset(
 def harvest_datasets(entries: DataFrame, rows: DataFrame, cfg: DatasetHarvest) -> DataFrame:
     """Store the wanted datasets in one job; gives ``(dataset_id, n_rows, type_error, ok)``.
 
-    Uncast datasets are stored as records, cast ones as typed cells. An entry
+    Records are stored in long form, cast ones as variants. An entry
     with an unknown declaration keeps its strings and is reported.
     """
     wanted = scan_dataset_catalog(entries, cfg.max_datasets, cfg.start)
@@ -68,7 +68,7 @@ def harvest_datasets(entries: DataFrame, rows: DataFrame, cfg: DatasetHarvest) -
         store_dataset_catalog(wanted, f"{cfg.destination}/metadata")
     records = limit_indexed_rows(rows, cfg.max_rows)
     if cfg.cast_datatypes:
-        stored = typed_cells(records, wanted, "inner")
+        stored = typed_records(records, wanted, "inner")
     else:
         stored = skew_join(records, wanted.select("dataset_id"), "dataset_id", "left_semi")
     store_datasets(stored, f"{cfg.destination}/datasets")

@@ -947,29 +947,45 @@ _NO_TEXT, _NO_NUMBER, _NO_TIME = "CAST(NULL AS VARCHAR)", "CAST(NULL AS DOUBLE)"
 )
 def q_cast_by_metadata(read, spark):
     """Every cell of every dataset cast by the entry of its dataset."""
+    cells = typed.typed_cells(_records(read), _cell_entries(read))
+    number = F.coalesce(F.col("int_value").cast("double"), F.col("float_value").cast("double"))
+    return cells.select("dataset_id", "row_idx", "name", "type", "text_value", number.alias("number_value"), "timestamp_value")
+
+
+def _cell_entries(read) -> DataFrame:
+    """A catalogue entry for every kind of event."""
     no_format = F.lit(None).cast("map<string,string>")
 
     def view(name: str) -> Column:
         return F.create_map(F.lit("view"), F.lit(name))
 
-    entries = (
+    formats = (F.create_map(F.lit("noCommas"), F.lit("true")), no_format, view("date_ymd"), view("date_my"), no_format)
+    types_ = ("number", "Number", "calendar date", "calendar date", "text")
+    return (
         read("fx_cells")
         .select(F.col("kind").alias("dataset_id"))
         .distinct()
         .select(
             "dataset_id",
             F.array(*[F.lit(c) for c in _CELL_COLUMNS]).alias("columns_field_name"),
-            F.array(*[F.lit(t) for t in ("number", "Number", "calendar date", "calendar date", "text")]).alias(
-                "columns_datatype"
-            ),
-            F.array(
-                F.create_map(F.lit("noCommas"), F.lit("true")), no_format, view("date_ymd"), view("date_my"), no_format
-            ).alias("columns_format"),
+            F.array(*[F.lit(t) for t in types_]).alias("columns_datatype"),
+            F.array(*formats).alias("columns_format"),
         )
     )
-    cells = typed.typed_cells(_records(read), entries)
-    number = F.coalesce(F.col("int_value").cast("double"), F.col("float_value").cast("double"))
-    return cells.select("dataset_id", "row_idx", "name", "type", "text_value", number.alias("number_value"), "timestamp_value")
+
+
+@query(
+    """SELECT kind AS dataset_id, event_id AS row_idx, CAST(TRY_CAST(int_cell AS INTEGER) AS DOUBLE) AS int_cell,
+  CAST(TRY_CAST(num_cell AS FLOAT) AS DOUBLE) AS num_cell, TRY_CAST(ymd_cell AS TIMESTAMP) AS ymd_cell,
+  strptime(my_cell, '%Y-%m') AS my_cell, y_cell FROM fx_cells""",
+    ("fx_cells",),
+)
+def q_typed_records(read, spark):
+    """Every row of every dataset cast by the entry of its dataset, one row each."""
+    rows = typed.typed_records(_records(read), _cell_entries(read))
+    kinds = dict(zip(_CELL_COLUMNS, ("double", "double", "timestamp_ntz", "timestamp_ntz", "string")))
+    fields = [F.try_variant_get("record", f"$.{name}", kind).alias(name) for name, kind in kinds.items()]
+    return rows.select("dataset_id", "row_idx", *fields)
 
 
 @query(

@@ -150,10 +150,11 @@ def test_harvest_datasets(spark, entries, records, tmp_path):
     cfg = DatasetHarvest(str(tmp_path), max_rows=3, cast_datatypes=True)
     summary = {r["dataset_id"]: tuple(r)[1:] for r in harvest_datasets(entries, records, cfg).collect()}
     assert summary == {"d1": (3, False, True), "d2": (1, True, True), "d3": (0, False, False)}
-    cells = spark.read.parquet(f"{tmp_path}/datasets")
-    assert cells.where("dataset_id = 'd1' and name = 'n'").count() == 3
-    assert [r["int_value"] for r in cells.where("dataset_id = 'd1' and name = 'n'").orderBy("row_idx").collect()] == [None, 1, 2]
-    assert cells.where("dataset_id = 'd2'").first()["text_value"] == "7"
+    stored = spark.read.parquet(f"{tmp_path}/datasets")
+    rows = stored.where("dataset_id = 'd1'").orderBy("row_idx").selectExpr("to_json(record)", "schema_of_variant(record)")
+    assert [json.loads(r[0])["n"] if "n" in json.loads(r[0]) else None for r in rows.collect()] == [None, 1, 2]
+    assert rows.collect()[1][1] == "OBJECT<n: BIGINT, t: TIMESTAMP_NTZ>"
+    assert stored.where("dataset_id = 'd2'").selectExpr("to_json(record)").first()[0] == '{"n":"7"}'
     assert spark.read.json(f"{tmp_path}/metadata").count() == 3
 
 
