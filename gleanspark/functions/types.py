@@ -24,7 +24,7 @@ DATE_VIEWS = {
     "iso_8601_date": None,
 }
 
-# Patterns tried for timestamps after the declared one and after ISO 8601.
+# Patterns tried for timestamps after ISO 8601.
 _OTHER_PATTERNS = ("MM/dd/yyyy hh:mm:ss a", "MM/dd/yyyy HH:mm:ss", "MM/dd/yyyy")
 
 _SPARK_TYPES = {
@@ -96,12 +96,19 @@ def cast_number(c: ColumnOrName, target: str) -> Column:
 
 
 def cast_datetime(c: ColumnOrName, pattern: str | None = None) -> Column:
-    """Timestamp without zone: declared pattern, ISO 8601, then common US layouts."""
+    """Timestamp without zone: ISO 8601, whole or cut to day, month or year, then other layouts.
+
+    The plain cast covers every pattern the date views declare. Other layouts
+    are tried only on cells that look like them, since a failed parse is costly.
+    """
     c = _col(c)
-    tries = [c.try_cast("timestamp_ntz")]
-    patterns = ([pattern] if pattern else []) + list(_OTHER_PATTERNS)
-    tries[0:0] = [F.try_to_timestamp(c, F.lit(pattern)).cast("timestamp_ntz")] if pattern else []
-    tries += [F.try_to_timestamp(c, F.lit(p)).cast("timestamp_ntz") for p in patterns if p != pattern]
+    us = F.when(
+        c.rlike(r"^\d{2}/\d{2}/\d{4}"),
+        F.coalesce(*[F.try_to_timestamp(c, F.lit(p)).cast("timestamp_ntz") for p in _OTHER_PATTERNS]),
+    )
+    tries = [c.try_cast("timestamp_ntz"), us]
+    if pattern is not None and pattern not in DATE_VIEWS.values():
+        tries.append(F.try_to_timestamp(c, F.lit(pattern)).cast("timestamp_ntz"))
     return F.coalesce(*tries)
 
 

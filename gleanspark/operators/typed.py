@@ -83,7 +83,7 @@ def typed_records(rows: DataFrame, entries: DataFrame, how: str = "left") -> Dat
     def value(column: Column) -> Column:
         cell = F.try_element_at("record", column["name"])
         typed = F.lit(None).cast("variant")
-        for name, cast in _casts(cell, column["pattern"]).items():
+        for name, cast in _casts(cell).items():
             typed = F.when(column["type"] == name, cast.cast("variant")).otherwise(typed)
         return F.struct(column["name"], typed)
 
@@ -104,7 +104,7 @@ def typed_cells(rows: DataFrame, entries: DataFrame, how: str = "left") -> DataF
         .select("dataset_id", "row_idx", "record", F.inline("columns"))
         .withColumn("_cell", F.try_element_at("record", F.col("name")))
     )
-    values = _casts(F.col("_cell"), F.col("pattern"))
+    values = _casts(F.col("_cell"))
     names = {"string": "text", "int": "int", "float": "float", "date": "date", "timestamp_ntz": "timestamp"}
     return cells.select(
         "dataset_id",
@@ -115,17 +115,14 @@ def typed_cells(rows: DataFrame, entries: DataFrame, how: str = "left") -> DataF
     )
 
 
-def _casts(cell: Column, pattern: Column) -> dict[str, Column]:
-    """The cast of a cell for every type; the pattern is a column, each known one a literal."""
-    timestamp = F.when(pattern.isNull(), D.cast_datetime(cell))
-    for known in sorted({p for p in D.DATE_VIEWS.values() if p}):
-        timestamp = timestamp.when(pattern == known, D.cast_datetime(cell, known))
+def _casts(cell: Column) -> dict[str, Column]:
+    """The cast of a cell for every type."""
     return {
         "string": D.cast_string(cell),
         "int": D.cast_number(cell, "int"),
         "float": D.cast_number(cell, "float"),
         "date": D.cast_date(cell),
-        "timestamp_ntz": timestamp,
+        "timestamp_ntz": D.cast_datetime(cell),
     }
 
 
