@@ -20,7 +20,8 @@ _MERGE_GROUPS = 64
 
 
 def _key_hash(df: DataFrame, on: Sequence[str], types: dict[str, T.DataType]) -> Column:
-    return F.xxhash64(*[df[c].cast(types[c]) for c in on])
+    # A value beyond the left type cannot match; try_cast hashes it as null.
+    return F.xxhash64(*[df[c].try_cast(types[c]) for c in on])
 
 
 def hot_keys(df: DataFrame, on: Sequence[str], share: float = HOT_SHARE) -> dict[int, float]:

@@ -454,12 +454,31 @@ def q_dataset_rows(read, spark):
 
 
 @query(
-    """SELECT event_id, user_id, value FROM events WHERE event_type IN ('error', 'signup') AND props <> '{}'"""
+    """SELECT event_id, user_id, round(value * 2, 4) AS twice FROM events
+WHERE event_type IN ('error', 'signup') AND value > 10 ORDER BY event_id LIMIT 400 OFFSET 20"""
 )
 def q_dataset_query(read, spark):
-    rows = read("events").withColumn("has_props", F.col("props") != "{}")
-    found = datasets.dataset_query(rows, event_type=["error", "signup"], has_props=True)
-    return found.select("event_id", "user_id", "value")
+    return datasets.dataset_query(
+        read("events"),
+        select=("event_id", "user_id", "round(value * 2, 4) AS twice"),
+        where="value > 10",
+        order=("event_id",),
+        limit=400,
+        offset=20,
+        event_type=["error", "signup"],
+    )
+
+
+@query(
+    """SELECT event_type, user_id, count(*) AS n, max(value) AS highest FROM events WHERE value > 10 GROUP BY event_type, user_id"""
+)
+def q_dataset_query_grouped(read, spark):
+    return datasets.dataset_query(
+        read("events"),
+        select=("count(*) AS n", "max(value) AS highest"),
+        where="value > 10",
+        group=("event_type", "user_id"),
+    )
 
 
 @query(

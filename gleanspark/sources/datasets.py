@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -71,8 +72,34 @@ def scan_dataset_rows(rows: DataFrame, dataset_id: str | None = None, limit: int
     return limit_indexed_rows(rows, limit, offset)
 
 
-def dataset_query(rows: DataFrame, **filters: Any) -> DataFrame:
-    return matching(rows, filters)
+def dataset_query(
+    rows: DataFrame,
+    select: Sequence[str] = (),
+    where: str | None = None,
+    group: Sequence[str] = (),
+    order: Sequence[str] = (),
+    limit: int | None = None,
+    offset: int = 0,
+    **filters: Any,
+) -> DataFrame:
+    """The portal's row query: SQL expressions to select and to filter by, columns to
+    group and to order by, and values that further columns must have.
+
+    With ``group`` the selected expressions are aggregates. A limit or an offset
+    needs an order.
+    """
+    found = matching(rows, filters)
+    if where is not None:
+        found = found.where(where)
+    if group:
+        found = found.groupBy(*group).agg(*[F.expr(expression) for expression in select])
+    if (limit is not None and limit != -1) or offset:
+        if not order:
+            raise ValueError("a limit or an offset needs an order")
+        found = limit_ordered(found, order, limit, offset)
+    elif order:
+        found = found.orderBy(*order)
+    return found if group or not select else found.selectExpr(*select)
 
 
 def read_dataset_files(

@@ -96,7 +96,9 @@ def test_skew_join_equals_plain_join(spark, skewed, how):
     # Copies as well: the hot key's rows three times over.
     left = skewed.unionByName(skewed.where("k = 0")).unionByName(skewed.where("k = 0"))
     right = spark.range(0, 60, 2).select(F.col("id").cast("bigint").alias("k"), F.concat(F.lit("r"), "id").alias("r"))
-    right = right.unionByName(right.where("k = 4")).unionByName(spark.sql("SELECT CAST(NULL AS BIGINT) AS k, 'null' AS r"))
+    right = right.unionByName(right.where("k = 4")).unionByName(
+        spark.sql("SELECT * FROM VALUES (CAST(NULL AS BIGINT), 'null'), (9999999999L, 'beyond int') t(k, r)")
+    )
     assert skew.hot_keys(left, ["k"])
     expected = left.join(right, "k", how)
     found = skew.skew_join(left, right, "k", how)

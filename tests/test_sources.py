@@ -222,6 +222,16 @@ def test_record_pages_and_limits(spark):
     assert datasets.scan_dataset_rows(rows, limit=-1).count() == 3
 
 
+def test_dataset_query(spark):
+    df = spark.createDataFrame([(i, i % 2, float(i)) for i in range(10)], "id int, k int, v double")
+    found = datasets.dataset_query(df, ("id", "v + 1 AS w"), "v >= 3", order=("id",), limit=2, offset=1, k=1)
+    assert [tuple(r) for r in found.collect()] == [(5, 6.0), (7, 8.0)]
+    grouped = datasets.dataset_query(df, ("sum(v) AS s",), group=("k",), order=("k",))
+    assert [tuple(r) for r in grouped.collect()] == [(0, 20.0), (1, 25.0)]
+    with pytest.raises(ValueError):
+        datasets.dataset_query(df, limit=3)
+
+
 @pytest.mark.parametrize(
     "wire,body",
     [
