@@ -196,7 +196,7 @@ def _with_archive_verdicts(archives: DataFrame, members: DataFrame, verdicts: Da
 def _store_tables(good: DataFrame, cfg: CatalogueHarvest) -> None:
     """Decode CSV payloads, and archives where they are expanded, in the wanted format."""
     payloads = good.withColumnRenamed("url", "dataset_id")
-    tables = decode_csv(payloads.where(F.col("kind") == "plain"))
+    tables = decode_csv(payloads.where(F.col("kind") == "plain")).withColumn("member", F.lit(None).cast("string"))
     if cfg.expand_archives:
         tables = tables.unionByName(decode_archives(payloads.where(F.col("kind") == "zip"), f".{cfg.extension}"))
     store_datasets(tables, f"{cfg.destination}/tables/{cfg.run_name}", fmt=cfg.download_format)

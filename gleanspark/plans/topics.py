@@ -15,7 +15,7 @@ from gleanspark.operators.skew import skew_join
 from gleanspark.session import PAYLOAD_OPTIONS, materialize, small_batches
 from gleanspark.sinks import store_topic_tables
 from gleanspark.sources.fetch import Transport, fetch
-from gleanspark.sources.payloads import decode_csv, expand_archive
+from gleanspark.sources.payloads import check_archives, decode_archives, decode_csv
 from gleanspark.sources.topics import leaf_candidates, scan_topic_tree, usable_leaves
 
 # Outcomes of replies that cannot become a table.
@@ -50,9 +50,7 @@ def harvest_topics(
         "url", media_kind("content_type").alias("kind"), "content"
     )
     with small_batches(explorer.sparkSession):
-        members = expand_archive(accepted.where(F.col("kind") == "zip"), None, "url", MAX_PAYLOAD)
-        zips = materialize(members, PAYLOAD_OPTIONS)
-    broken = zips.where(F.col("error_text").isNotNull()).select("url").distinct()
+        broken = materialize(check_archives(accepted.where(F.col("kind") == "zip"), "url"))
     verdicts = _verdicts(replies, broken)
 
     # Urls and keys only up to here; the tables join below, by their winner.
@@ -64,18 +62,11 @@ def harvest_topics(
     judged = explorer.sparkSession.read.schema(judged.schema).parquet(f"{destination}/runs")
     usable = judged.where(F.col("error_type") == "").select(*place, "candidate", "url")
     winners = materialize(last_writer_wins(usable, place, ("candidate", "url")))
-    plain = accepted.where(F.col("kind") == "csv").select("url", F.lit("").alias("member"), "content")
-    members = zips.where(F.col("error_text").isNull()).select("url", "member", F.col("data").alias("content"))
-    tables = plain.unionByName(members).withColumn("dataset_id", F.to_json(F.struct("url", "member")))
-    wanted = tables.join(winners.select("url").distinct(), "url", "left_semi")
+    wanted = accepted.join(winners.select("url").distinct(), "url", "left_semi")
+    plain = decode_csv(wanted.where(F.col("kind") == "csv"), "url").withColumn("member", F.lit(None).cast("string"))
+    unpacked = decode_archives(wanted.where(F.col("kind") == "zip"), None, "url")
     with small_batches(explorer.sparkSession):
-        decoded = materialize(decode_csv(wanted))
-    rows = decoded.select(
-        F.get_json_object("dataset_id", "$.url").alias("url"),
-        F.get_json_object("dataset_id", "$.member").alias("member"),
-        "row_idx",
-        "record",
-    )
+        rows = materialize(plain.unionByName(unpacked).withColumnRenamed("dataset_id", "url"))
     store_topic_tables(skew_join(rows, winners.select(*place, "url"), "url"), f"{destination}/tables")
     stored = winners.select(*place).withColumn("_stored", F.lit(True))
     outcomes = leaves.select(*place).join(stored, list(place), "left")
@@ -90,10 +81,11 @@ def _verdicts(replies: DataFrame, broken: DataFrame) -> DataFrame:
         .when(~P.accept_response(), NOT_ACCEPTED)
         .when(kind == "excel", UNSUPPORTED)
         .when(kind == "unknown", UNKNOWN_TYPE)
-        .when(F.col("_broken"), BAD_ARCHIVE)
+        .when(F.col("_damage").isNotNull(), BAD_ARCHIVE)
     )
-    text = F.coalesce("error_text", F.concat(F.lit("Content-Type: "), "content_type"))
-    marked = replies.drop("content").join(broken.withColumn("_broken", F.lit(True)), "url", "left")
+    text = F.coalesce("error_text", "_damage", F.concat(F.lit("Content-Type: "), "content_type"))
+    damaged = broken.select("url", F.col("error_text").alias("_damage"))
+    marked = replies.drop("content").join(damaged, "url", "left")
     return marked.withColumn("_problem", problem).select(
         "url", "status", F.col("_problem").alias("error_type"), F.when(F.col("_problem").isNotNull(), text).alias("error_text")
     )

@@ -636,22 +636,37 @@ def _zip_archive(names: pd.Series, texts: pd.Series) -> pd.Series:
     return pd.Series([pack(n, t) for n, t in zip(names, texts)])
 
 
+def _archives(read) -> DataFrame:
+    """Archives made of whole texts; the German ones are no archives."""
+    pack = F.pandas_udf(_zip_archive, "binary")
+    key = F.col("doc_id").cast("string")
+    content = F.when(F.col("lang") == "de", F.encode("text", "UTF-8")).otherwise(pack(key, F.col("text")))
+    return spread(read("documents")).select(key.alias("storage_key"), content.alias("content"))
+
+
 @query(
     """SELECT CAST(doc_id AS VARCHAR) AS storage_key, '../' || doc_id || '.csv' AS member, md5(text) AS digest,
   CAST(NULL AS VARCHAR) AS error_text FROM documents WHERE lang <> 'de'
 UNION ALL SELECT CAST(doc_id AS VARCHAR), NULL, NULL, 'BadZipFile: File is not a zip file' FROM documents WHERE lang = 'de'"""
 )
 def q_expand_archive(read, spark):
-    """CSV members of archives made of whole texts; the German ones are not archives."""
-    pack = F.pandas_udf(_zip_archive, "binary")
-    key = F.col("doc_id").cast("string")
-    content = F.when(F.col("lang") == "de", F.encode("text", "UTF-8")).otherwise(pack(key, F.col("text")))
-    archives = spread(read("documents")).select(key.alias("storage_key"), content.alias("content"))
-    members = payloads.expand_archive(archives, ".csv")
+    """CSV members of the archives."""
+    members = payloads.expand_archive(_archives(read), ".csv")
     return members.select("storage_key", "member", F.md5("data").alias("digest"), "error_text")
 
 
-@query("SELECT doc_id || '#' || doc_id || '.csv' AS dataset_id, CAST(0 AS BIGINT) AS row_idx, nullif(text, '') AS body FROM documents")
+@query(
+    """SELECT CAST(doc_id AS VARCHAR) AS storage_key, 'BadZipFile: File is not a zip file' AS error_text
+FROM documents WHERE lang = 'de'"""
+)
+def q_check_archives(read, spark):
+    return payloads.check_archives(_archives(read)).select("storage_key", "error_text")
+
+
+@query(
+    """SELECT CAST(doc_id AS VARCHAR) AS dataset_id, '../' || doc_id || '.csv' AS member, CAST(0 AS BIGINT) AS row_idx,
+  nullif(text, '') AS body FROM documents"""
+)
 def q_decode_archives(read, spark):
     """Archives with one CSV member that holds a whole text in a quoted cell."""
     pack = F.pandas_udf(_zip_archive, "binary")
@@ -659,8 +674,7 @@ def q_decode_archives(read, spark):
     table = F.concat(F.lit('id,body\n1,"'), F.replace("text", F.lit('"'), F.lit('""')), F.lit('"\n'))
     archives = spread(read("documents")).select(key.alias("dataset_id"), pack(key, table).alias("content"))
     decoded = payloads.decode_archives(archives)
-    name = F.replace("dataset_id", F.lit("../"), F.lit(""))
-    return decoded.select(name.alias("dataset_id"), "row_idx", F.try_element_at("record", F.lit("body")).alias("body"))
+    return decoded.select("dataset_id", "member", "row_idx", F.try_element_at("record", F.lit("body")).alias("body"))
 
 
 @query(

@@ -20,6 +20,8 @@ FETCH_SCHEMA = (
     "url string, status int, headers map<string,string>, content_length string, "
     "content_type string, content binary, error_type string, error_text string"
 )
+#: Largest body a row can hold, with room for the rest of its batch.
+MAX_CELL_BYTES = 2**31 - 2**27
 #: Bytes of bodies gathered before they are handed to the JVM.
 FLUSH_BYTES = 32 * 2**20
 
@@ -42,7 +44,10 @@ def _fetch_one(url: str, transport: Transport, request_headers: Mapping[str, str
                 error_text=f"Resource size {int(length)} > max_size {max_size} for URL: {url}",
             )
         else:
-            row["content"] = body() if callable(body) else body
+            content = body() if callable(body) else body
+            if len(content or b"") > MAX_CELL_BYTES:
+                raise OverflowError(f"{len(content)} bytes do not fit in a cell")
+            row["content"] = content
     except Exception as error:  # one bad url never stops the others
         row.update(error_type=type(error).__name__, error_text=str(error), content=None)
     return row
@@ -69,11 +74,12 @@ def fetch(
         for batch in batches:
             for url in batch["url"]:
                 row = _fetch_one(url, transport, request_headers, max_size)
-                rows.append(row)
-                held += len(row["content"] or b"") + 1000
-                if held >= FLUSH_BYTES:
+                size = len(row["content"] or b"") + 1000
+                if rows and held + size > FLUSH_BYTES:
                     yield pd.DataFrame(rows, columns=columns)
                     rows, held = [], 0
+                rows.append(row)
+                held += size
         if rows:
             yield pd.DataFrame(rows, columns=columns)
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import csv
 import io
 import itertools
+import lzma
 import re
 import zipfile
 import zlib
@@ -23,6 +24,9 @@ PART_BYTES = 16 * 2**20
 #: Rows of a decoded table handed to the JVM at a time.
 _CSV_BATCH = 2000
 
+#: What reading a damaged, encrypted or otherwise unreadable archive raises.
+UNREADABLE = (zipfile.BadZipFile, zlib.error, lzma.LZMAError, EOFError, OSError, NotImplementedError, RuntimeError, ValueError)
+
 # A cell may be as long as its file.
 csv.field_size_limit(2**31 - 1)
 
@@ -55,11 +59,12 @@ def expand_archive(
         for batch in batches:
             for payload_key, content in zip(batch[key], batch["content"]):
                 for row in _members(payload_key.as_py(), content.as_py()):
-                    rows.append(row)
-                    held += len(row.get("data") or b"") + 100
-                    if held >= part_bytes:
+                    size = len(row.get("data") or b"") + 100
+                    if rows and held + size > part_bytes:
                         yield pa.RecordBatch.from_pylist(rows, schema)
                         rows, held = [], 0
+                    rows.append(row)
+                    held += size
         if rows:
             yield pa.RecordBatch.from_pylist(rows, schema)
 
@@ -80,7 +85,7 @@ def expand_archive(
                                 "data": data,
                             }
                             part += 1
-        except Exception as error:  # a corrupt archive is an outcome, not a failed job
+        except UNREADABLE as error:  # a corrupt archive is an outcome, not a failed job
             yield {key: payload_key, "error_text": f"{type(error).__name__}: {error}"}
 
     schema = pa.schema(
@@ -124,40 +129,41 @@ def decode_csv(payloads: DataFrame, key: str = "dataset_id", infer_rows: int = I
     become null, long rows are cut to the header, short rows padded with null.
     """
 
-    def tables(payload_key: str, content: bytes) -> Iterator[tuple[str, BinaryIO]]:
-        yield payload_key, io.BytesIO(content)
+    def tables(content: bytes) -> Iterator[tuple[str | None, BinaryIO]]:
+        yield None, io.BytesIO(content)
 
-    return _decode(payloads, key, infer_rows, tables)
+    return _decode(payloads, key, infer_rows, tables).drop("member")
 
 
 def decode_archives(
     payloads: DataFrame, suffix: str | None = ".csv", key: str = "dataset_id", infer_rows: int = INFER_ROWS
 ) -> DataFrame:
-    """As :func:`decode_csv` for the CSV members of zip payloads, named ``<key>#<member>``.
+    """``(dataset_id, member, row_idx, record)`` for the CSV members of zip payloads.
 
-    Members are decoded as they are unpacked, whatever their size. A broken
-    archive gives the rows read so far; :func:`expand_archive` reports it.
+    As :func:`decode_csv`; members are decoded as they are unpacked, whatever
+    their size. A broken archive gives the rows read so far;
+    :func:`check_archives` reports it.
     """
 
-    def tables(payload_key: str, content: bytes) -> Iterator[tuple[str, BinaryIO]]:
+    def tables(content: bytes) -> Iterator[tuple[str | None, BinaryIO]]:
         with zipfile.ZipFile(io.BytesIO(content)) as archive:
             for info in archive.infolist():
                 if not info.is_dir() and (suffix is None or info.filename.endswith(suffix)):
                     with archive.open(info) as stream:
-                        yield f"{payload_key}#{info.filename}", stream
+                        yield info.filename, stream
 
     return _decode(payloads, key, infer_rows, tables)
 
 
 def _decode(payloads: DataFrame, key: str, infer_rows: int, tables: Callable) -> DataFrame:
-    def rows_of(payload_key: str, content: bytes) -> Iterator[tuple[str, int, list[str], list[str | None]]]:
+    def rows_of(payload_key: str, content: bytes) -> Iterator[tuple]:
         try:
-            for table_id, stream in tables(payload_key, content):
+            for member, stream in tables(content):
                 names, rows = _cells(stream, infer_rows)
                 for index, cells in enumerate(rows):
-                    yield table_id, index, names, cells
-        except (zipfile.BadZipFile, zlib.error, EOFError, NotImplementedError, RuntimeError):
-            return  # an unreadable archive, which expand_archive reports
+                    yield payload_key, member, index, names, cells
+        except UNREADABLE:
+            return  # an archive that check_archives reports
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = _Rows()
@@ -171,10 +177,34 @@ def _decode(payloads: DataFrame, key: str, infer_rows: int, tables: Callable) ->
             yield held.flush()
 
     return payloads.select(F.col(key).cast("string").alias("dataset_id"), "content").mapInArrow(
-        run, "dataset_id string, row_idx bigint, record map<string,string>"
+        run, "dataset_id string, member string, row_idx bigint, record map<string,string>"
     )
 
 
+def check_archives(payloads: DataFrame, key: str = "storage_key") -> DataFrame:
+    """``(key, error_text)`` for zip payloads that cannot be read to their end; no bytes are handed on."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [
+                {key: payload_key.as_py(), "error_text": problem}
+                for payload_key, content in zip(batch[key], batch["content"])
+                if (problem := _problem(content.as_py())) is not None
+            ]
+            yield pa.RecordBatch.from_pylist(rows, pa.schema([(key, pa.string()), ("error_text", pa.string())]))
+
+    return payloads.select(F.col(key).cast("string"), "content").mapInArrow(run, f"{key} string, error_text string")
+
+
+def _problem(content: bytes) -> str | None:
+    try:
+        with zipfile.ZipFile(io.BytesIO(content)) as archive:
+            damaged = archive.testzip()
+    except UNREADABLE as error:
+        return f"{type(error).__name__}: {error}"
+    return None if damaged is None else f"BadZipFile: damaged member {damaged}"
+
+
 def _cells(stream: BinaryIO, infer_rows: int) -> tuple[list[str], Iterator[list[str | None]]]:
     """Header and checked rows of one CSV stream."""
     text = io.TextIOWrapper(stream, "utf-8-sig", "replace", newline="")
@@ -196,13 +226,15 @@ class _Rows:
 
     def __init__(self) -> None:
         self.ids: list[str] = []
+        self.members: list[str | None] = []
         self.index: list[int] = []
         self.ends: list[int] = [0]
         self.names: list[str] = []
         self.cells: list[str | None] = []
 
-    def add(self, dataset_id: str, index: int, names: list[str], cells: list[str | None]) -> None:
+    def add(self, dataset_id: str, member: str | None, index: int, names: list[str], cells: list[str | None]) -> None:
         self.ids.append(dataset_id)
+        self.members.append(member)
         self.index.append(index)
         self.names += names
         self.cells += cells
@@ -212,9 +244,10 @@ class _Rows:
         records = pa.MapArray.from_arrays(
             pa.array(self.ends, pa.int32()), pa.array(self.names, pa.string()), pa.array(self.cells, pa.string())
         )
-        columns = [pa.array(self.ids, pa.string()), pa.array(self.index, pa.int64()), records]
+        texts = [pa.array(values, pa.string()) for values in (self.ids, self.members)]
+        columns = [*texts, pa.array(self.index, pa.int64()), records]
         self.__init__()
-        return pa.RecordBatch.from_arrays(columns, ["dataset_id", "row_idx", "record"])
+        return pa.RecordBatch.from_arrays(columns, ["dataset_id", "member", "row_idx", "record"])
 
 
 def read_csv_table(spark: SparkSession, path: str, infer_rows: int = INFER_ROWS) -> DataFrame:

@@ -96,8 +96,8 @@ def test_decode_into_the_wanted_format(spark, pages, tmp_path, fmt):
     harvest_catalogue(pages, cfg, transport)
     reader = spark.read.option("header", True).option("escape", "\\") if fmt == "csv" else spark.read
     rows = reader.format(fmt).load(f"{tmp_path}/tables/r").collect()
-    found = {(r["dataset_id"], json.loads(r["record"])["a"] if fmt == "csv" else r["record"]["a"]) for r in rows}
-    assert found == {("http://ok/1", "1"), ("https://p.org/rel", "1"), ("http://zip#t.csv", "1")}
+    found = {(r["dataset_id"], r["member"], json.loads(r["record"])["a"] if fmt == "csv" else r["record"]["a"]) for r in rows}
+    assert found == {("http://ok/1", None, "1"), ("https://p.org/rel", None, "1"), ("http://zip", "t.csv", "1")}
 
 
 def test_html_and_zip_urls_can_be_refused(spark, tmp_path):

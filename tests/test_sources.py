@@ -132,8 +132,12 @@ def test_decode_csv(spark):
 def test_decode_archives(spark):
     good = archive(**{"a.csv": b"n\n1\n2\n", "b.txt": b"n\n3\n", "c.csv": b"n\nx\n"})
     df = spark.createDataFrame([("k", good), ("bad", b"PK\x03\x04"), ("cut", good[:-20])], "dataset_id string, content binary")
-    rows = {(r["dataset_id"], r["row_idx"], r["record"]["n"]) for r in payloads.decode_archives(df).collect()}
-    assert rows == {("k#a.csv", 0, "1"), ("k#a.csv", 1, "2"), ("k#c.csv", 0, "x")}
+    rows = {tuple(r)[:3] + (r["record"]["n"],) for r in payloads.decode_archives(df).collect()}
+    assert rows == {("k", "a.csv", 0, "1"), ("k", "a.csv", 1, "2"), ("k", "c.csv", 0, "x")}
+    damaged = bytearray(good)
+    damaged[good.index(b"n\n1") + 2] ^= 1
+    df = df.unionByName(spark.createDataFrame([("crc", bytes(damaged)), ("none", None)], "dataset_id string, content binary"))
+    assert {r["dataset_id"] for r in payloads.check_archives(df, "dataset_id").collect()} == {"bad", "cut", "crc", "none"}
 
 
 def test_long_cell(spark):
