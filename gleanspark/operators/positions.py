@@ -34,10 +34,11 @@ def with_position(
 ) -> DataFrame:
     """Add ``position`` (from 1, in ``order`` within ``keys``) and ``group_rows``.
 
-    ``order`` must identify a row within its key. The rows are counted first:
-    a short table is numbered by a window; a longer one is sorted into ranges of
-    ``(keys, order)`` and written once, so a hot key spreads over many ranges
-    and each row's range and place in it are settled for good.
+    ``order`` should identify a row within its key, full copies apart. The rows
+    are counted first: a short table is numbered by a window; a longer one is
+    sorted into ranges of ``(keys, order)`` and written once, so a hot key
+    spreads over many ranges and each row's range and place in it are settled
+    for good.
     """
     order, keys = list(order), list(keys)
     total = df.count()
@@ -50,12 +51,17 @@ def with_position(
     ranges = min(MAX_RANGES, max(cores, math.ceil(total / range_rows)))
     # The id counts the rows of each sorted range: its number, then 33 bits of place.
     place = F.col("_id").bitwiseAND(2**33 - 1)
+    # Full copies tie on everything; their number in their split lets a range end
+    # among them. Which copy goes where does not matter. Rows that merely tie on
+    # the order are told apart by their hash, the same way in every attempt.
+    hashable = [f.name for f in df.schema.fields if f.dataType.typeName() not in ("map", "variant", "binary")]
+    numbered = df.withColumns({"_tie": F.xxhash64(*hashable), "_copy": F.monotonically_increasing_id()})
+    by = [*keys, *order, "_tie", "_copy"]
     ranged = materialize(
-        df.repartitionByRange(ranges, *keys, *order)
-        .sortWithinPartitions(*keys, *order)
+        numbered.repartitionByRange(ranges, *by)
+        .sortWithinPartitions(*by)
         .withColumn("_id", F.monotonically_increasing_id())
-        .select("*", F.shiftright("_id", 33).alias("_range"), place.alias("_place"))
-        .drop("_id")
+        .select(*df.columns, F.shiftright("_id", 33).alias("_range"), place.alias("_place"))
     )
     cells = ["_range", *keys]
     counts = ranged.groupBy(*cells).agg(F.count(F.lit(1)).alias("_n"), F.min("_place").alias("_first"))

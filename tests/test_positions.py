@@ -41,6 +41,17 @@ def test_hot_key_is_cut_into_ranges(skewed, monkeypatch):
     assert len(sizes) > 5 and max(sizes) < 300  # the hot key alone has over 1000 rows
 
 
+def test_full_copies_are_cut_into_ranges(spark, monkeypatch):
+    written = []
+    real = positions.materialize
+    monkeypatch.setattr(positions, "materialize", lambda df: written.append(real(df)) or written[-1])
+    copies = spark.range(1000).selectExpr("7L AS k", "3L AS n").unionByName(spark.range(2000).selectExpr("id % 5 AS k", "id AS n"))
+    rows = positions.with_position(copies, ("n",), ("k",), 100, 100).where("k = 7").collect()
+    assert sorted(r["position"] for r in rows) == list(range(1, 1001))
+    sizes = [r["count"] for r in written[0].where("k = 7").groupBy("_range").count().collect()]
+    assert len(sizes) > 4 and max(sizes) < 400
+
+
 @pytest.mark.parametrize("limit,offset", [(100, 50), (None, 2900), (-1, 0), (5000, 0), (0, 0), (10, 5000)])
 @pytest.mark.parametrize("single_task_rows", [20, 10**6])
 def test_limit_ordered(skewed, limit, offset, single_task_rows):
