@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Iterator, Mapping
 from contextlib import contextmanager
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -42,6 +45,23 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: s
     return configure(spark)
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the Python workers this package, wherever they run; once per application."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="gleanspark-")) / "gleanspark.zip"
+    with zipfile.ZipFile(archive, "w") as packed:
+        for source in [*sorted(package.rglob("*.py")), *package.parent.glob("corpus_pipeline.py")]:
+            packed.write(source, os.path.relpath(source, package.parent))
+    context.addPyFile(str(archive))
+    _shipped.add(context.applicationId)
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for intermediate tables.
 
