@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gleanspark.llm import decontaminate, exact_dedup, language, packing, substring
+from gleanspark.llm import decontaminate, exact_dedup, jaccard, language, packing, substring
 from gleanspark.session import configure
 
 
@@ -14,6 +14,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return configure(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.similar_sets(_table(spark, sf_dir, "documents")).drop("class_id")
+
+
 def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     hits = decontaminate.benchmark_hits(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
     return hits.drop("items", "spans")
@@ -36,6 +40,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_ngram_jaccard": op3_ngram_jaccard,
     "op4_benchmark_decontamination": op4_benchmark_decontamination,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_language_id": op6_language_id,
@@ -57,6 +62,30 @@ FROM n
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+_OP3 = rf"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+') AS w FROM documents
+),
+sets AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i : i + least(4, len(w)) - 1], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(1, len(w) - 3) + 1)) AS i FROM d WHERE len(w) > 0)
+),
+sizes AS (SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id),
+met AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS k
+  FROM sets a JOIN sets b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL
+),
+links AS (
+  SELECT x, y FROM met JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y
+  WHERE 100 * k >= 85 * (p.n + q.n - k)
+),
+reach(x, y) AS (
+  SELECT doc_id, doc_id FROM d UNION SELECT reach.x, links.y FROM reach JOIN links ON reach.y = links.x
+)
+SELECT d.doc_id, coalesce(any_value(n), 0) AS n_shingles, min(y) AS component_id
+FROM d LEFT JOIN sizes USING (doc_id) JOIN reach ON reach.x = d.doc_id GROUP BY d.doc_id
+"""
+
 _OP4 = rf"""
 WITH d AS (
   SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
@@ -109,6 +138,7 @@ FROM d LEFT JOIN lost USING (doc_id) LEFT JOIN kept USING (doc_id)
 """
 
 ORACLES: dict[str, str] = {
+    "op3_ngram_jaccard": _OP3,
     "op4_benchmark_decontamination": _OP4,
     "op5_exact_dedup": _OP5,
     "op10_substring_dedup": _OP10,
