@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gleanspark.llm import decontaminate, exact_dedup, jaccard, language, packing, substring
+from gleanspark.llm import decontaminate, exact_dedup, jaccard, language, packing, substring, suffix_tree
 from gleanspark.session import configure
 
 
@@ -31,6 +31,10 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(_table(spark, sf_dir, "documents"))
 
 
+def op7_suffix_tree_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_tree.language_model_scores(_table(spark, sf_dir, "documents"))
+
+
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"))
 
@@ -44,6 +48,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_benchmark_decontamination": op4_benchmark_decontamination,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_language_id": op6_language_id,
+    "op7_suffix_tree_scores": op7_suffix_tree_scores,
     "op8_best_fit_packing": op8_best_fit_packing,
     "op10_substring_dedup": op10_substring_dedup,
 }
