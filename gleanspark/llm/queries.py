@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from gleanspark.llm import decontaminate, exact_dedup, jaccard, language, packing, substring, suffix_tree
+from gleanspark.llm import decontaminate, exact_dedup, jaccard, language, packing, personal_data, substring, suffix_tree
 from gleanspark.session import configure
 
 
@@ -14,6 +15,20 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return configure(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _joined(spans: str) -> Column:
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+
+def _is_kind(kind: str) -> Callable[[Column], Column]:
+    return lambda span: span["kind"] == kind
+
+
+def op1_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = personal_data.personal_data(_table(spark, sf_dir, "documents"))
+    counts = [F.size(F.filter("base", _is_kind(kind))).cast("long").alias(f"n_{kind}") for kind in personal_data.KINDS]
+    return found.select("doc_id", *counts, F.sha2(_joined("base"), 256).alias("base_sha256"), _joined("spans").alias("spans"))
+
+
 def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.similar_sets(_table(spark, sf_dir, "documents")).drop("class_id")
 
@@ -44,6 +59,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_personal_data": op1_personal_data,
     "op3_ngram_jaccard": op3_ngram_jaccard,
     "op4_benchmark_decontamination": op4_benchmark_decontamination,
     "op5_exact_dedup": op5_exact_dedup,
