@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleanspark.llm import decontaminate, exact_dedup, jaccard, language, packing, personal_data, substring, suffix_tree
+from gleanspark.llm import decontaminate, exact_dedup, jaccard, language, licenses, packing, personal_data, substring, suffix_tree
 from gleanspark.session import configure
 
 
@@ -29,6 +29,10 @@ def op1_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(_joined("base"), 256).alias("base_sha256"), _joined("spans").alias("spans"))
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.summary(licenses.license_spans(_table(spark, sf_dir, "documents")))
+
+
 def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.similar_sets(_table(spark, sf_dir, "documents")).drop("class_id")
 
@@ -60,6 +64,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_personal_data": op1_personal_data,
+    "op2_license_scan": op2_license_scan,
     "op3_ngram_jaccard": op3_ngram_jaccard,
     "op4_benchmark_decontamination": op4_benchmark_decontamination,
     "op5_exact_dedup": op5_exact_dedup,
