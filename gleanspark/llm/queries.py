@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleanspark.llm import decontaminate, exact_dedup, jaccard, language, licenses, packing, personal_data, substring, suffix_tree
+from gleanspark.llm import decontaminate, exact_dedup, jaccard, language, licenses, packing, personal_data, substring, suffix_tree, wrappers
 from gleanspark.session import configure
 
 
@@ -58,6 +58,10 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"))
 
 
+def op9_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wrappers.main_texts(_table(spark, sf_dir, "pages"))
+
+
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.repeated_passages(_table(spark, sf_dir, "documents")).drop("spans")
 
@@ -71,6 +75,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_language_id": op6_language_id,
     "op7_suffix_tree_scores": op7_suffix_tree_scores,
     "op8_best_fit_packing": op8_best_fit_packing,
+    "op9_html_main_text": op9_html_main_text,
     "op10_substring_dedup": op10_substring_dedup,
 }
 
