@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleanspark.llm import exact_dedup, packing
+from gleanspark.llm import decontaminate, exact_dedup, jaccard, language, packing
+from gleanspark.llm.tables import materialize, pick
 from gleanspark.session import checkpoint_dir, configure, ship_package
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -18,30 +19,62 @@ def _prepare(spark: SparkSession) -> None:
     ship_package(configure(spark))
 
 
-def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each exact text stays, the one with the smallest id; of rows that repeat an id one."""
+def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """``docs`` but those of ``ids``; rows without id stay."""
+    gone = materialize(ids.where("doc_id is not null").distinct())
+    return pick(docs, gone, how="left_anti")
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents stay whose text is in a language: those found undetermined, without a letter or a text, go."""
+    _prepare(spark)
+    found = language.identify(docs).where(F.col("lang_pred") == language.UNDETERMINED)
+    # A row without id cannot be told by it; its own text decides.
+    nameless = F.col("doc_id").isNull() & ~F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
+    return _without(docs, found.select("doc_id")).where(~nameless)
+
+
+def remove_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of equal texts the row with the smallest id stays; of rows that repeat an id, one."""
+    _prepare(spark)
+    dropped = exact_dedup.exact_groups(docs).where("not kept")
+    return _without(docs, dropped.select("doc_id")).dropDuplicates(["doc_id", "text"])
+
+
+def remove_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of linked documents the one with the smallest id stays."""
+    _prepare(spark)
+    return _without(docs, jaccard.similar_sets(docs).where("doc_id <> component_id").select("doc_id"))
+
+
+def remove_benchmark_text(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Contaminated documents go."""
     _prepare(spark)
-    kept = exact_dedup.exact_groups(docs).where("kept").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return _without(docs, decontaminate.benchmark_hits(docs, benchmark).where("contaminated").select("doc_id"))
 
 
-def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents in sequences of 1024 tokens."""
     _prepare(spark)
     return packing.pack(docs)
 
 
 STAGES: list[tuple[str, Stage]] = [
-    ("exact_dedup", exact),
-    ("best_fit_packing", pack),
+    ("language_id", identify_language),
+    ("exact_dedup", remove_exact_copies),
+    ("ngram_jaccard_join", remove_near_copies),
+    ("benchmark_decontamination", remove_benchmark_text),
+    ("best_fit_packing", pack_sequences),
 ]
 
-#: Language identification, the token vocabulary and packing are beyond SQL.
+#: Token ids and packing are beyond SQL; tests hold the stages against brute force.
 ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages over ``documents``, each written as Parquet and read again by the next."""
+    _prepare(spark)
     folder = f"{checkpoint_dir(spark).rstrip('/')}/corpus-{uuid.uuid4().hex}"
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for number, (name, stage) in enumerate(STAGES):
