@@ -35,10 +35,14 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def remove_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts the row with the smallest id stays; of rows that repeat an id, one."""
+    """Of equal texts the row with the smallest id stays, and of rows that repeat it one; rows without id stay."""
     _prepare(spark)
     dropped = exact_dedup.exact_groups(docs).where("not kept")
-    return _without(docs, dropped.select("doc_id")).dropDuplicates(["doc_id", "text"])
+    kept = _without(docs, dropped.select("doc_id"))
+    # Only rows of repeated ids are moved to be told apart.
+    repeated = docs.where("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
+    repeated = materialize(repeated.select("doc_id"))
+    return pick(kept, repeated, how="left_anti").unionByName(pick(kept, repeated).dropDuplicates(["doc_id"]))
 
 
 def remove_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -225,7 +225,7 @@ def _neighbour_labels(n: int, labels: np.ndarray, edges: np.ndarray) -> np.ndarr
     return out
 
 
-def fit_weights(sites: Sites, steps: int = 300, rate: float = 0.5, ridge: float = 1.0) -> SkipChain:
+def fit_weights(sites: Sites, steps: int = 300, rate: float = 0.5, ridge: float = 0.2) -> SkipChain:
     """Pseudo-likelihood with a Gaussian prior, by gradient steps; no sites give the prior."""
     n, k = len(sites.spans), len(LABELS)
     prior = np.zeros((_FEATURES + 2 * k, k))
@@ -237,7 +237,9 @@ def fit_weights(sites: Sites, steps: int = 300, rate: float = 0.5, ridge: float
         inputs = np.concatenate(given, axis=1)
         # Many repeats of one number weigh as one neighbour each; their pull is cut off.
         inputs[:, _FEATURES:] = np.minimum(inputs[:, _FEATURES:], 2)
-        wanted = np.eye(k)[sites.labels]
+        # A number no pattern fits may still repeat one that a pattern does: no example of "none".
+        sure = (sites.labels > 0) | (inputs[:, -k + 1 :].sum(axis=1) == 0)
+        inputs, wanted, n = inputs[sure], np.eye(k)[sites.labels[sure]], int(sure.sum())
         for _ in range(steps):
             gradient = inputs.T @ (wanted - _softmax(inputs @ weights)) - ridge * (weights - prior)
             weights += rate * gradient / (n / 4 + ridge)
