@@ -34,11 +34,11 @@ SHINGLE_WORDS = 4
 #: Similarity in hundredths.
 PERCENT = 85
 #: Tokens that a task counts together, and the count from which it reports one.
-COUNTED_TOKENS = 6_000_000
-REPORTED = 4
+COUNTED_TOKENS = 8_000_000
+REPORTED = 2
 #: A token is put last if reports say that at least one in so many documents holds it.
 #: Their number is thus at most this times the mean set size, whatever the input.
-FREQUENT_PARTS = 2000
+FREQUENT_PARTS = 10_000
 #: Rounds of comparing sets with their lists' leaders.
 LEADER_ROUNDS = 2
 
@@ -92,6 +92,7 @@ def _profiles(texts: DataFrame, size: int) -> DataFrame:
 
     def profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
+        seen: set[tuple[int, int]] = set()
         for batch in batches:
             for row, tokens, bounds in _sets(batch.column(1), size):
                 n = len(bounds) - 1
@@ -99,10 +100,15 @@ def _profiles(texts: DataFrame, size: int) -> DataFrame:
                 none = pa.nulls(n, pa.int64())
                 found = [batch.column(0).slice(row, n), pa.array(np.diff(bounds)), *(pa.array(as_long(k)) for k in keys), none, none]
                 yield pa.RecordBatch.from_arrays(found, names=names)
-                held.append(tokens)
+                # Equal sets are one.
+                fresh = np.ones(n, dtype=bool)
+                for i, key in enumerate(zip(keys[0].tolist(), keys[1].tolist())):
+                    fresh[i] = key not in seen
+                    seen.add(key)
+                held.append(tokens[np.repeat(fresh, np.diff(bounds))])
                 if sum(map(len, held)) >= COUNTED_TOKENS:
                     yield report(held)
-                    held = []
+                    held, seen = [], set()
         if held:
             yield report(held)
 
@@ -226,17 +232,18 @@ def _between(join: _Join, lists: DataFrame, links: DataFrame) -> DataFrame:
     mixed = entries.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("token")
     blocks = (
         entries.join(mixed, "token", "left_semi")
-        .groupBy("token", "root", "leader")
+        .groupBy("token", "root", "leader", "pos")
         .agg(
             F.min("n").alias("n_min"), F.max("n").alias("n_max"),
-            F.max(F.col("n") - F.col("pos")).alias("left"), F.max("distance").alias("radius"),
+            (F.max("n") - F.col("pos")).alias("left"), F.max("distance").alias("radius"),
         )
     )
     blocks = materialize(blocks)
-    names = ["root", "leader", "n_min", "n_max", "left", "radius"]
+    names = ["root", "leader", "pos", "n_min", "n_max", "left", "radius"]
     one = blocks.select("token", *[F.col(c).alias(f"{c}_1") for c in names])
     two = blocks.select("token", *[F.col(c).alias(f"{c}_2") for c in names])
-    # By position: what is left of the lists' sets behind the token, for whole blocks.
+    # A list's block holds the sets of one leader that have the token at one position.
+    # What is left of them behind it bounds every overlap, so whole blocks are skipped.
     within = _may_link(F.least("left_1", "left_2"), F.col("n_min_1"), F.col("n_min_2"), join.percent)
     met = one.join(two, "token").where(F.col("root_1") < F.col("root_2")).where(within)
     slack = F.col("radius_1") + F.col("radius_2")
@@ -246,11 +253,10 @@ def _between(join: _Join, lists: DataFrame, links: DataFrame) -> DataFrame:
     # Only what a leader's answer leaves open is looked into.
     base = F.floor((100 - join.percent) * (F.col("n_a") + F.col("n_b")) / F.lit(100 + join.percent))
     open_pairs = join.near(pairs, F.greatest(F.lit(0), F.col("slack") - base)).select(F.col("a").alias("leader_1"), F.col("b").alias("leader_2"))
-    # Join by token first: at most the two blocks of a pair meet there.
-    spots = met.select("token", "leader_1", "leader_2").join(open_pairs, ["leader_1", "leader_2"])
+    spots = met.select("token", "leader_1", "pos_1", "leader_2", "pos_2").join(open_pairs, ["leader_1", "leader_2"])
     left = entries.select("token", *[F.col(c).alias(f"{c}_1") for c in ("id", "n", "pos", "leader", "root")])
     right = entries.select("token", *[F.col(c).alias(f"{c}_2") for c in ("id", "n", "pos", "leader", "root")])
-    found = spots.join(left, ["token", "leader_1"]).join(right, ["token", "leader_2"])
+    found = spots.join(left, ["token", "leader_1", "pos_1"]).join(right, ["token", "leader_2", "pos_2"])
     bound = F.least(F.col("n_1") - F.col("pos_1"), F.col("n_2") - F.col("pos_2"))
     found = found.where(F.col("root_1") != F.col("root_2")).where(_may_link(bound, F.col("n_1"), F.col("n_2"), join.percent))
     pairs = found.select(F.greatest("id_1", "id_2").alias("a"), F.least("id_1", "id_2").alias("b")).distinct()
