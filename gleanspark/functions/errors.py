@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from gleanspark.functions.text import ColumnOrName, _col
 
-# Outcome names.
+# Outcome names, and the message texts and record layouts below.
 HTTP_ERROR = "HTTPResourceError"
 TOO_LARGE = "TooLargeResourceError"
 IS_HTML = "IsHTMLError"

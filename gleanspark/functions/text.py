@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from html.entities import name2codepoint
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -28,17 +30,6 @@ WHITESPACE = (
 )
 _BLANK = f"[{WHITESPACE}]"
 
-#: The HTML entities that occur in catalogue labels.
-_ENTITIES = {
-    "&nbsp;": " ",
-    "&lt;": "<",
-    "&gt;": ">",
-    "&quot;": '"',
-    "&#39;": "'",
-    "&apos;": "'",
-    "&amp;": "&",
-}
-
 
 def _col(c: ColumnOrName) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -147,18 +138,45 @@ def repair_nodes_json(c: ColumnOrName) -> Column:
     return F.when(at > 0, repaired).otherwise(c)
 
 
+def decode_entities(c: ColumnOrName) -> Column:
+    """Character references as their characters: decimal, hexadecimal and the named ones of HTML 4; others stay."""
+    names = F.create_map(*[F.lit(x) for name, point in name2codepoint.items() for x in (name, chr(point))], F.lit("apos"), F.lit("'"))
+
+    def decoded(part: Column) -> Column:
+        name = F.regexp_extract(part, r"^&(#[0-9]{1,7}|#[xX][0-9A-Fa-f]{1,6}|[A-Za-z][A-Za-z0-9]*);", 1)
+        digits = F.regexp_extract(name, r"^#[xX]?([0-9A-Fa-f]+)$", 1)
+        hexadecimal = F.when(name.rlike("^#[xX]"), digits).when(name.startswith("#"), F.hex(digits.try_cast("bigint")))
+        point = F.lpad(hexadecimal, 8, "0")
+        valid = (point > "00000000") & (point <= "0010FFFF") & ~F.upper(point).between("0000D800", "0000DFFF")
+        char = F.coalesce(F.when(valid, F.decode(F.unhex(point), "UTF-32")), F.try_element_at(names, name))
+        rest = F.substring(part, F.length(name) + 3, F.length(part))
+        return F.coalesce(F.when(name != "", F.concat(char, rest)), part)
+
+    return F.array_join(F.transform(F.split(_col(c), "(?=&)"), decoded), "")
+
+
 def span_text(html: ColumnOrName, css_class: str) -> Column:
-    """Text of the first ``span`` of a class, inner tags removed; null without such a span."""
-    pattern = (
-        r"(?is)<span\b[^>]*\bclass\s*=\s*[\"'](?:[^\"']*\s)?"
-        + css_class
-        + r"(?:\s[^\"']*)?[\"'][^>]*>(.*?)</span\s*>"
+    """Text of the first ``span`` of a class, inner tags removed; null without such a span.
+
+    The span ends where as many spans are closed as were opened in it. Character
+    references are decoded before both ends are stripped.
+    """
+    opening = (
+        r"(?is)^.*?<span\b[^>]*\bclass\s*=\s*[\"'](?:[^\"']*\s)?" + css_class + r"(?:\s[^\"']*)?[\"'][^>]*>"
     )
-    inner = F.try_element_at(F.regexp_extract_all(_col(html), F.lit(pattern), F.lit(1)), F.lit(1))
-    text = strip(F.regexp_replace(inner, f"{_BLANK}*<[^>]*>{_BLANK}*", ""))
-    for entity, char in _ENTITIES.items():
-        text = F.replace(text, F.lit(entity), F.lit(char))
-    return text
+    html = _col(html)
+    behind = F.when(html.rlike(opening), F.regexp_replace(html, opening, ""))
+    parts = F.split(behind, r"(?i)(?=<span\b|</span\s*>)")
+    start = F.struct(F.lit(1).alias("depth"), F.lit("").alias("text"))
+
+    def add(state: Column, part: Column) -> Column:
+        step = F.when(part.rlike(r"(?i)^<span\b"), 1).when(part.rlike(r"(?i)^</span\s*>"), -1).otherwise(0)
+        depth = F.when(state["depth"] > 0, state["depth"] + step).otherwise(0)
+        return F.struct(depth.alias("depth"), F.when(depth > 0, F.concat(state["text"], part)).otherwise(state["text"]).alias("text"))
+
+    inner = F.aggregate(parts, start, add)
+    closed = F.when(inner["depth"] == 0, inner["text"])
+    return strip(decode_entities(F.regexp_replace(closed, f"{_BLANK}*<[^>]*>{_BLANK}*", "")))
 
 
 def run_name(ts: ColumnOrName) -> Column:

@@ -1 +1 @@
-"""DataFrame operators: positions, skew-safe joins, resources, responses, trees, typed rows."""
+"""DataFrame operators: positions, resources, responses, trees, typed rows."""

@@ -1,62 +1,42 @@
 """Positions, limits and last-writer rules that hold when one key is hot.
 
-A plain ``row_number`` over a hot key sorts that key in one task. Beyond a
-checked size the rows are range-partitioned instead, numbered where they are,
-and shifted by the number of rows in the ranges before.
+There is one way for every size. Positions come from a range sort: rows are
+numbered where they are and shifted by the number of rows in the ranges before.
+Limits are cut in groups of tasks first and then once more, so what meets in one
+task depends on the limit, not on the data.
+
+Ties: rows that are equal in ``order`` are interchangeable, in both ways and for
+every size. A caller to whom it matters which comes first names more columns.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gleanspark.operators.unnest import unnest
 from gleanspark.session import materialize
 
-#: Up to this many rows may be numbered by a single task.
-SINGLE_TASK_ROWS = 100_000
-#: Rows per range beyond that, and the most ranges made.
-RANGE_ROWS = 1_000_000
-MAX_RANGES = 10_000
-#: Largest window taken as a top-k, which is merged in one place.
-TOP_K_ROWS = 100_000
-
-
-def with_position(
-    df: DataFrame,
-    order: Sequence[str],
-    keys: Sequence[str] = (),
-    single_task_rows: int = SINGLE_TASK_ROWS,
-    range_rows: int = RANGE_ROWS,
-) -> DataFrame:
+#: Groups of tasks whose first rows are cut before the last cut.
+LIMIT_GROUPS = 64
+
+
+def with_position(df: DataFrame, order: Sequence[str], keys: Sequence[str] = (), ranges: int | None = None) -> DataFrame:
     """Add ``position`` (from 1, in ``order`` within ``keys``) and ``group_rows``.
 
-    ``order`` should identify a row within its key, full copies apart. The rows
-    are counted first: a short table is numbered by a window; a longer one is
-    sorted into ranges of ``(keys, order)`` and written once, so a hot key
-    spreads over many ranges and each row's range and place in it are settled
-    for good.
+    The rows are sorted into ``ranges`` (the session's shuffle partitions) of
+    ``(keys, order)`` and written once, so a hot key spreads over many ranges and
+    each row's range and place in it are settled for good.
     """
     order, keys = list(order), list(keys)
-    total = df.count()
-    if total <= single_task_rows:
-        by_key = Window.partitionBy(*keys)
-        return df.withColumn("position", F.row_number().over(by_key.orderBy(*order)).cast("bigint")).withColumn(
-            "group_rows", F.count(F.lit(1)).over(by_key)
-        )
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    ranges = min(MAX_RANGES, max(cores, math.ceil(total / range_rows)))
+    ranges = ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # The id counts the rows of each sorted range: its number, then 33 bits of place.
     place = F.col("_id").bitwiseAND(2**33 - 1)
-    # Full copies tie on everything; their number in their split lets a range end
-    # among them. Which copy goes where does not matter. Rows that merely tie on
-    # the order are told apart by their hash, the same way in every attempt.
-    hashable = [f.name for f in df.schema.fields if f.dataType.typeName() not in ("map", "variant", "binary")]
-    numbered = df.withColumns({"_tie": F.xxhash64(*hashable), "_copy": F.monotonically_increasing_id()})
-    by = [*keys, *order, "_tie", "_copy"]
+    # The number of a row in its split lets a range end among rows that tie.
+    numbered = df.withColumn("_copy", F.monotonically_increasing_id())
+    by = [*keys, *order, "_copy"]
     ranged = materialize(
         numbered.repartitionByRange(ranges, *by)
         .sortWithinPartitions(*by)
@@ -80,26 +60,30 @@ def with_position(
     )
 
 
-def limit_ordered(
-    df: DataFrame,
-    order: Sequence[str],
-    limit: int | None,
-    offset: int = 0,
-    single_task_rows: int = SINGLE_TASK_ROWS,
-) -> DataFrame:
-    """Exactly ``limit`` rows from ``offset`` in ``order``; no limit (or -1) means all.
+def _first_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str], first: int, last: int) -> DataFrame:
+    """Rows ``first`` to ``last`` (from 1) of every key."""
+    parted = df.withColumn("_part", F.pmod(F.spark_partition_id(), F.lit(LIMIT_GROUPS)))
 
-    A small window is a top-k, merged from per-task heaps. A large one would pass
-    through one task, so it is taken by position instead.
-    """
-    everything = limit is None or limit == -1
-    if everything and offset == 0:
+    def rank(*by: str) -> Column:
+        return F.row_number().over(Window.partitionBy(*by).orderBy(*order))
+
+    cut = parted.withColumn("_rank", rank(*keys, "_part")).where(F.col("_rank") <= last)
+    # Of each group no more than `last` rows a key are left.
+    kept = cut.withColumn("_rank", rank(*keys)).where(F.col("_rank") <= last)
+    return kept.where(F.col("_rank") >= first).select(*df.columns)
+
+
+def _from(df: DataFrame, keys: Sequence[str], order: Sequence[str], limit: int | None, offset: int) -> DataFrame:
+    if limit is not None and limit != -1:
+        return _first_rows(df, keys, order, offset + 1, offset + limit)
+    if offset == 0:
         return df
-    if not everything and limit + offset <= min(TOP_K_ROWS, single_task_rows):
-        return df.orderBy(*order).offset(offset).limit(limit)
-    position = F.col("position")
-    wanted = position > offset if everything else (position > offset) & (position <= offset + limit)
-    return with_position(df, order, (), single_task_rows).where(wanted).select(*df.columns)
+    return with_position(df, order, keys).where(F.col("position") > offset).select(*df.columns)
+
+
+def limit_ordered(df: DataFrame, order: Sequence[str], limit: int | None, offset: int = 0) -> DataFrame:
+    """Exactly ``limit`` rows from ``offset`` in ``order``; no limit (or -1) means all."""
+    return _from(df, (), order, limit, offset)
 
 
 def limit_packages(catalog: DataFrame, limit: int | None, start: int = 0, order: Sequence[str] = ("id",)) -> DataFrame:
@@ -113,23 +97,11 @@ def top_hits(hits: DataFrame, order: Sequence[str], top: int = 1000) -> DataFram
 def limit_rows(
     rows: DataFrame, keys: Sequence[str], order: Sequence[str], limit: int = 1000, offset: int = 0
 ) -> DataFrame:
-    """The first ``limit`` rows of every key, from ``offset``; -1 means all.
+    """The first ``limit`` rows of every key, from ``offset``; -1 means all."""
+    return _from(rows, keys, order, limit, offset)
 
-    Up to a thousand rows Spark cuts every map task's share to the limit before
-    it shuffles, so a hot key arrives small. Larger limits go by position.
-    """
-    if limit == -1 and offset == 0:
-        return rows
-    if limit != -1 and limit + offset <= 1000:
-        rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-        first = rows.withColumn("_rank", rank).where(F.col("_rank") <= limit + offset)
-        return first.where(F.col("_rank") > offset).drop("_rank")
-    position = F.col("position")
-    wanted = position > offset if limit == -1 else (position > offset) & (position <= offset + limit)
-    return with_position(rows, order, keys).where(wanted).select(*rows.columns)
-
-
-def limit_indexed_rows(rows: DataFrame, limit: int = 10, offset: int = 0, index: str = "row_idx") -> DataFrame:
+
+def limit_indexed_rows(rows: DataFrame, limit: int = -1, offset: int = 0, index: str = "row_idx") -> DataFrame:
     """As :func:`limit_rows` for rows that carry a dense index from 0: a pushed-down filter."""
     kept = rows.where(F.col(index) >= offset)
     return kept if limit == -1 else kept.where(F.col(index) < offset + limit)

@@ -9,12 +9,6 @@ from pyspark.sql import functions as F
 
 from gleanspark.functions import predicates as P
 from gleanspark.functions import text
-from gleanspark.operators.positions import SINGLE_TASK_ROWS, with_position
-from gleanspark.operators.skew import skew_join
-
-#: Resources per row of a rolled-up package.
-CHUNK = 1000
-
 
 def filter_resources(resources: DataFrame, predicate: Column | Callable | None) -> DataFrame:
     """Rows the predicate keeps: a Column, or a vectorised ``pandas_udf`` over a struct of the row."""
@@ -50,7 +44,7 @@ def work_list(resources: DataFrame, base_url: Column | str, with_name: bool = Tr
 
 def keep_accepted(resources: DataFrame, accepted: DataFrame, keys: Sequence[str] = ("package_id", "id")) -> DataFrame:
     """The resources whose key is among the accepted ones."""
-    return skew_join(resources, accepted.select(*keys).distinct(), list(keys), "left_semi")
+    return resources.join(accepted.select(*keys), list(keys), "left_semi")
 
 
 def filter_package_resources(packages: DataFrame, predicate: Callable[[P.Fields], Column] | None = None) -> DataFrame:
@@ -71,36 +65,17 @@ def count_package_resources(resources: DataFrame, key: str = "package_id") -> Da
     return resources.groupBy(key).agg(F.count(F.lit(1)).alias("num_resources"))
 
 
-def rollup_packages(
-    resources: DataFrame,
-    columns: Sequence[str],
-    order: Sequence[str],
-    key: str = "package_id",
-    chunk: int = CHUNK,
-    single_task_rows: int = SINGLE_TASK_ROWS,
-) -> DataFrame:
-    """Flat resources back to ``(package_id, chunk_no, num_resources, resources)``.
+def rollup_packages(resources: DataFrame, key: str = "package_id") -> DataFrame:
+    """Flat resources with the ``num_resources`` of their package on every row.
 
-    A package comes as one row per ``chunk`` resources in ``order``, so that a
-    row stays small however large the package is; most have one. Where the
-    input is nested already, :func:`filter_package_resources` needs no shuffle.
+    The counts are merged map-side and joined back, so no package is gathered in
+    one row, however large it is. Where the input is nested already,
+    :func:`filter_package_resources` needs no shuffle.
     """
-    numbered = with_position(resources, order, (key,), single_task_rows)
-    item = F.struct("position", *columns)
-    ordered = F.array_sort(F.collect_list(item))
-    return (
-        numbered.withColumn("chunk_no", F.floor((F.col("position") - 1) / chunk).cast("bigint"))
-        .groupBy(key, "chunk_no")
-        .agg(F.max("group_rows").alias("num_resources"), ordered.alias("_items"))
-        .select(
-            key,
-            "chunk_no",
-            "num_resources",
-            F.transform("_items", lambda r: F.struct(*[r[c].alias(c) for c in columns])).alias("resources"),
-        )
-    )
+    counts = count_package_resources(resources.where(F.col(key).isNotNull()), key)
+    return resources.join(counts, key)
 
 
 def pending_work(work: DataFrame, done: DataFrame, key: str = "storage_key") -> DataFrame:
     """The work that has no finished row yet."""
-    return skew_join(work, done.select(key).distinct(), key, "left_anti")
+    return work.join(done.select(key), key, "left_anti")

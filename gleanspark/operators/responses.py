@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from gleanspark.functions import errors as E
 from gleanspark.functions import predicates as P
 from gleanspark.operators.positions import last_writer_wins
-from gleanspark.operators.skew import skew_join
 
 #: Fixed value: default cap on a resource, in bytes.
 MAX_RESOURCE_SIZE = 2**20
@@ -31,7 +30,7 @@ def join_responses(work: DataFrame, responses: DataFrame, order: tuple[str, ...]
     responses = responses.drop("content")
     if order:
         responses = last_writer_wins(responses, ("url",), order)
-    return skew_join(work, responses, "url", "left")
+    return work.join(responses, "url", "left")
 
 
 def error_type(max_size: int, status: str = "status", length: str = "content_length") -> Column:

@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gleanspark.functions.text import span_text
-from gleanspark.operators.skew import skew_join
 from gleanspark.session import materialize
 
 #: Tree levels opened in one plan before the remainder is looked at.
@@ -81,14 +80,17 @@ def flatten_edges(edges: DataFrame) -> DataFrame:
 
     Ancestors are found by doubling: each round joins every node to the chain
     already known of the top it has reached, so a tree of depth d takes about
-    log2(d) joins. The state is written after each round.
+    log2(d) joins. The state is written after each round. A node whose parent is
+    not in the list is a root of its own.
     """
     parents = edges.where(F.col("parent_id").isNotNull()).select(F.col("parent_id").alias("node_id")).distinct()
-    known = edges.join(parents.withColumn("_folder", F.lit(True)), "node_id", "left").select(
+    # A parent that is not in the list is no parent: its nodes are roots, with all below them.
+    listed = edges.select(F.col("node_id").alias("parent_id")).distinct().withColumn("_listed", F.lit(True))
+    known = edges.join(parents.withColumn("_folder", F.lit(True)), "node_id", "left").join(listed, "parent_id", "left").select(
         "node_id",
         "title",
         F.col("_folder").isNull().alias("is_leaf"),
-        F.col("parent_id").alias("top"),
+        F.when(F.col("_listed"), F.col("parent_id")).alias("top"),
         F.array().cast("array<string>").alias("path"),
     )
     for _ in range(MAX_ROUNDS):
@@ -107,6 +109,6 @@ def flatten_edges(edges: DataFrame) -> DataFrame:
 
 
 def _raise(open_nodes: DataFrame, upper: DataFrame) -> DataFrame:
-    return skew_join(open_nodes, upper, "top", "inner").select(
+    return open_nodes.join(upper, "top").select(
         "node_id", "title", "is_leaf", F.col("_next").alias("top"), F.concat("_above", "path").alias("path")
     )

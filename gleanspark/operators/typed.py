@@ -12,11 +12,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gleanspark.functions import types as D
-from gleanspark.operators.skew import skew_join
-
-#: Fixed value: rows a CSV's column types are inferred from.
-INFER_ROWS = 10_000
-
 
 def declared_columns(entries: DataFrame) -> DataFrame:
     """``(dataset_id, columns)``: name, type and pattern of every declared column.
@@ -58,7 +53,7 @@ def declared_columns(entries: DataFrame) -> DataFrame:
 
 def with_metadata(rows: DataFrame, columns: DataFrame, how: str = "left") -> DataFrame:
     """Dataset rows with the column declarations of their catalogue entry."""
-    return skew_join(rows, columns, "dataset_id", how)
+    return rows.join(columns, "dataset_id", how)
 
 
 def _with_columns(rows: DataFrame, entries: DataFrame, how: str) -> DataFrame:
@@ -129,7 +124,7 @@ def _casts(cell: Column) -> dict[str, Column]:
 def records_to_df(records: DataFrame, schema: T.StructType | None = None, patterns: dict[str, str] | None = None) -> DataFrame:
     """One dataset as columns: cast to ``schema``, or to the types all its rows allow."""
     if schema is None:
-        types = infer_columns(records.withColumn("dataset_id", F.lit("-")), None).collect()
+        types = infer_columns(records.withColumn("dataset_id", F.lit("-"))).collect()
         columns = types[0]["columns"] if types else {}
         schema = T.StructType([T.StructField(n, T._parse_datatype_string(t)) for n, t in sorted(columns.items())])
     patterns = patterns or {}
@@ -145,21 +140,20 @@ def records_to_df(records: DataFrame, schema: T.StructType | None = None, patter
     )
 
 
-def infer_columns(records: DataFrame, infer_rows: int | None = INFER_ROWS) -> DataFrame:
-    """``(dataset_id, columns map<name,type>)`` from each dataset's first rows.
+def infer_columns(records: DataFrame) -> DataFrame:
+    """``(dataset_id, columns map<name,type>)`` from all rows of each dataset.
 
     A column is bigint, double or boolean when all its non-empty cells are, else
     string. Partial results are combined before the shuffle, so a hot dataset
     sends one row per column and task.
     """
-    first = records if infer_rows is None else records.where(F.col("row_idx") < infer_rows)
     value = F.col("value")
     filled = value.isNotNull() & (value != "")
 
     def all_cells(condition: Column) -> Column:
         return F.coalesce(F.bool_and(F.when(filled, condition)), F.lit(False))
 
-    cells = first.select("dataset_id", F.explode("record").alias("name", "value"))
+    cells = records.select("dataset_id", F.explode("record").alias("name", "value"))
     types = cells.groupBy("dataset_id", "name").agg(
         all_cells(value.rlike(r"^[+-]?\d+$") & value.try_cast("bigint").isNotNull()).alias("_int"),
         all_cells(value.rlike(r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$")).alias("_float"),

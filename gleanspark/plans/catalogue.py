@@ -14,16 +14,17 @@ from gleanspark.functions.payload import detected_extension, sniff_kind
 from gleanspark.operators.positions import last_writer_wins, limit_ordered
 from gleanspark.operators.resources import filter_package_resources, pending_work, work_list
 from gleanspark.operators.responses import MAX_RESOURCE_SIZE, classify_responses, run_summary
-from gleanspark.operators.skew import skew_join
 from gleanspark.session import PAYLOAD_OPTIONS, materialize, small_batches
 from gleanspark.sinks import store_catalog, store_datasets, store_payloads, store_run_log, store_work
-from gleanspark.sources.catalog import explode_resources, scan_packages
+from gleanspark.sources.catalog import explode_resources, page_errors, scan_packages
 from gleanspark.sources.fetch import Transport, fetch
 from gleanspark.sources.payloads import decode_archives, decode_csv, expand_archive
 
 # Outcomes of archives without a member of the wanted kind, and of broken ones.
 NO_CSV_MEMBER = "no_csv_member"
 BAD_ARCHIVE = "BadArchive"
+# Outcome of a reply that is no catalogue page.
+BAD_PAGE = "bad_page"
 
 
 @dataclass
@@ -91,7 +92,8 @@ def harvest_catalogue(
 
     Work that an earlier run finished under the same destination is left out.
     Bodies are stored once per url, however many resources share it; the run
-    log links storage keys to urls. Gives ``(run_name, successes, errors, total)``.
+    log links storage keys to urls. A page that cannot be read is an error row
+    without a storage key. Gives ``(run_name, successes, errors, total)``.
     """
     if (transport is None) == (responses is None):
         raise ValueError("give either a transport or landed responses")
@@ -113,7 +115,7 @@ def harvest_catalogue(
     verdicts = _landed_replies(work, cfg, transport, responses)
 
     # Headers and verdicts only: bodies take no part in this join.
-    outcomes = skew_join(work, verdicts, "url", "left").select(
+    outcomes = work.join(verdicts, "url", "left").select(
         F.lit(cfg.run_name).alias("run_name"),
         "package_id",
         "storage_key",
@@ -123,6 +125,15 @@ def harvest_catalogue(
         "error_text",
         F.coalesce("ok", F.lit(False)).alias("ok"),
     )
+    lost = page_errors(pages)
+    lost = lost.select(
+        F.lit(cfg.run_name).alias("run_name"),
+        *[c for c in ("url", "status") if c in lost.columns],
+        F.lit(BAD_PAGE).alias("error_type"),
+        "error_text",
+        F.lit(False).alias("ok"),
+    )
+    outcomes = outcomes.unionByName(lost, allowMissingColumns=True)
     store_run_log(outcomes, f"{cfg.destination}/runs")
     logged = spark.read.parquet(f"{cfg.destination}/runs").where(F.col("run_name") == cfg.run_name)
     return run_summary(logged, "run_name")
@@ -159,7 +170,10 @@ def _landed_replies(
             expand_archive(archives, f".{cfg.extension}", "url").write.mode("overwrite").options(
                 **PAYLOAD_OPTIONS
             ).parquet(folder)
-            verdicts = _with_archive_verdicts(archives.select("url"), spark.read.parquet(folder), verdicts)
+            members = spark.read.parquet(folder)
+            verdicts = _with_archive_verdicts(archives.select("url"), members, verdicts)
+            # Of an archive that breaks off nothing is decoded.
+            good = good.join(members.where(F.col("error_text").isNotNull()).select("url"), "url", "left_anti")
         if cfg.decode:
             _store_tables(good, cfg)
     if cfg.reject_zip_urls:
@@ -198,7 +212,8 @@ def _store_tables(good: DataFrame, cfg: CatalogueHarvest) -> None:
     payloads = good.withColumnRenamed("url", "dataset_id")
     tables = decode_csv(payloads.where(F.col("kind") == "plain")).withColumn("member", F.lit(None).cast("string"))
     if cfg.expand_archives:
-        tables = tables.unionByName(decode_archives(payloads.where(F.col("kind") == "zip"), f".{cfg.extension}"))
+        unpacked = decode_archives(payloads.where(F.col("kind") == "zip"), f".{cfg.extension}")
+        tables = tables.unionByName(unpacked.where(F.col("error_text").isNull()).drop("error_text"))
     store_datasets(tables, f"{cfg.destination}/tables/{cfg.run_name}", fmt=cfg.download_format)
 
 

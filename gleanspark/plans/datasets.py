@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from gleanspark.functions.types import schema_from_metadata
 from gleanspark.operators.positions import limit_indexed_rows
-from gleanspark.operators.skew import skew_join
 from gleanspark.operators.typed import declared_columns, records_to_df, typed_records
 from gleanspark.sinks import store_dataset, store_dataset_catalog, store_datasets
 from gleanspark.sources.datasets import dataset_metadata, scan_dataset_catalog, scan_dataset_rows
@@ -22,13 +21,13 @@ class DatasetHarvest:
     destination: str
     start: int = 0
     max_datasets: int | None = None
-    max_rows: int = 1000
+    max_rows: int = -1
     cast_datatypes: bool = False
     save_metadata: bool = True
 
 
 def dataset_as_df(
-    rows: DataFrame, dataset_id: str, entries: DataFrame | None = None, limit: int = 10, offset: int = 0
+    rows: DataFrame, dataset_id: str, entries: DataFrame | None = None, limit: int = -1, offset: int = 0
 ) -> DataFrame:
     """One dataset as columns: cast by its entry when ``entries`` has it, else by inference."""
     records = scan_dataset_rows(rows, dataset_id, limit, offset)
@@ -48,7 +47,7 @@ def store_one_dataset(
     destination: str,
     fmt: str = "parquet",
     entries: DataFrame | None = None,
-    limit: int = 10,
+    limit: int = -1,
     offset: int = 0,
 ) -> DataFrame:
     """As :func:`dataset_as_df`, also written in the wanted format."""
@@ -70,11 +69,10 @@ def harvest_datasets(entries: DataFrame, rows: DataFrame, cfg: DatasetHarvest) -
     if cfg.cast_datatypes:
         stored = typed_records(records, wanted, "inner")
     else:
-        stored = skew_join(records, wanted.select("dataset_id"), "dataset_id", "left_semi")
+        stored = records.join(wanted.select("dataset_id"), "dataset_id", "left_semi")
     store_datasets(stored, f"{cfg.destination}/datasets")
     written = rows.sparkSession.read.parquet(f"{cfg.destination}/datasets")
-    # Rows are numbered from 0 without gaps, so the highest index tells their number.
-    counts = written.groupBy("dataset_id").agg((F.max("row_idx") + 1).alias("n_rows"))
+    counts = written.groupBy("dataset_id").agg(F.count(F.lit(1)).alias("n_rows"))
     errors = declared_columns(wanted).select("dataset_id", "type_error")
     return errors.join(counts, "dataset_id", "left").select(
         "dataset_id",

@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gleanspark.operators.responses import run_summary
-from gleanspark.operators.skew import skew_join
 from gleanspark.session import PAYLOAD_OPTIONS, materialize, small_batches
 from gleanspark.sinks import store_indicator
 from gleanspark.sources.fetch import Transport, fetch
@@ -16,11 +15,14 @@ from gleanspark.sources.indicators import (
     clean_metadata,
     expand_databases,
     indicator_resources,
+    list_errors,
     scan_database_ids,
     scan_indicators,
 )
 
 _MAX_FILE = 2**31 - 1
+#: Outcome of an indicator list that failed or cannot be read.
+UNREADABLE_LIST = "unreadable_list"
 
 
 def harvest_indicators(
@@ -35,14 +37,23 @@ def harvest_indicators(
 
     ``hits`` are search replies, ``lists`` the indicator lists by database. A
     file that fails costs that file alone, and unreadable metadata is an error.
+    A wanted database whose list failed is one error, of the kind ``list``.
     Files go to ``files``, the outcome of each to ``runs``.
     """
-    listed = expand_databases(scan_indicators(lists), scan_database_ids(hits)).distinct()
+    wanted = scan_database_ids(hits)
+    listed = expand_databases(scan_indicators(lists), wanted).distinct()
+    lost = expand_databases(list_errors(lists), wanted).select(
+        "database_id",
+        F.lit("list").alias("kind"),
+        "status",
+        F.lit(UNREADABLE_LIST).alias("error_type"),
+        F.lit(False).alias("ok"),
+    )
     work = indicator_resources(listed)
     replies = materialize(fetch(work, transport, fetch_partitions, request_headers, _MAX_FILE), PAYLOAD_OPTIONS)
     body = F.make_valid_utf8(F.col("content").cast("string"))
     texts = replies.select("url", "status", "error_type", "error_text", F.when(F.col("ok"), body).alias("body"))
-    files = skew_join(work, texts, "url", "left")
+    files = work.join(texts, "url", "left")
     metadata = clean_metadata(files.where(F.col("kind") == "metadata"))
     with small_batches(hits.sparkSession):
         files = materialize(metadata.unionByName(files.where(F.col("kind") == "data")), PAYLOAD_OPTIONS)
@@ -53,5 +64,6 @@ def harvest_indicators(
     outcomes = files.select(
         *ids, "url", "status", unreadable.alias("error_type"), "error_text", good.alias("ok")
     )
+    outcomes = outcomes.unionByName(lost, allowMissingColumns=True)
     outcomes.write.mode("overwrite").parquet(f"{destination}/runs")
     return run_summary(hits.sparkSession.read.parquet(f"{destination}/runs"), "database_id")

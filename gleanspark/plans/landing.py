@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gleanspark.functions import text
-from gleanspark.operators.skew import skew_join
 from gleanspark.session import PAYLOAD_OPTIONS, materialize, small_batches
 from gleanspark.sources.catalog import catalog_page_plan, catalog_total
 from gleanspark.sources.datasets import parse_record_pages
@@ -39,7 +38,7 @@ def land(
     fetched = fetch(requests, transport, partitions, headers, _MAX_REPLY)
     replies = materialize(fetched.select("url", "status", body.alias("body")), PAYLOAD_OPTIONS)
     with small_batches(requests.sparkSession):
-        return materialize(skew_join(requests, replies, "url", "left"), PAYLOAD_OPTIONS)
+        return materialize(requests.join(replies, "url", "left"), PAYLOAD_OPTIONS)
 
 
 def land_catalogue(
@@ -77,7 +76,7 @@ def land_dataset_rows(
     datasets: DataFrame,
     base_url: str,
     transport: Transport,
-    limit: int = 1000,
+    limit: int = -1,
     batch: int = 1000,
     pages_per_round: int = 8,
     partitions: int = 200,

@@ -11,18 +11,19 @@ from gleanspark.functions import predicates as P
 from gleanspark.functions.payload import media_kind
 from gleanspark.operators.positions import last_writer_wins
 from gleanspark.operators.responses import run_summary
-from gleanspark.operators.skew import skew_join
 from gleanspark.session import PAYLOAD_OPTIONS, materialize, small_batches
 from gleanspark.sinks import store_topic_tables
 from gleanspark.sources.fetch import Transport, fetch
 from gleanspark.sources.payloads import check_archives, decode_archives, decode_csv
-from gleanspark.sources.topics import leaf_candidates, scan_topic_tree, usable_leaves
+from gleanspark.sources.topics import leaf_candidates, reply_errors, scan_topic_tree, scan_topics, usable_leaves
 
 # Outcomes of replies that cannot become a table.
 NOT_ACCEPTED = "not_accepted"
 UNSUPPORTED = "unsupported_excel"
 UNKNOWN_TYPE = "unknown_content_type"
 BAD_ARCHIVE = "BadArchive"
+# Outcome of an explorer or mart reply that holds no nodes.
+UNREADABLE_REPLY = "unreadable_reply"
 
 #: No size rule applies to topic payloads; this is the largest binary cell.
 MAX_PAYLOAD = 2**31 - 1
@@ -40,7 +41,8 @@ def harvest_topics(
 
     Both candidate urls of a leaf are tried and the later usable reply wins.
     Tables go to ``tables``, the outcome of every candidate to ``runs``; Excel
-    and unknown payloads are errors of their candidate.
+    and unknown payloads are errors of their candidate. An explorer or mart reply
+    that cannot be read is an error row of its own, and counts in the summary.
     """
     leaves = materialize(usable_leaves(scan_topic_tree(explorer, marts)))
     candidates = leaf_candidates(leaves)
@@ -55,9 +57,11 @@ def harvest_topics(
 
     # Urls and keys only up to here; the tables join below, by their winner.
     place = ("topic", "mart_name", "path", "file_name")
-    judged = skew_join(candidates, verdicts, "url", "left").select(
+    judged = candidates.join(verdicts, "url", "left").select(
         *place, "candidate", "url", "status", F.coalesce("error_type", F.lit("")).alias("error_type"), "error_text"
     )
+    lost = _lost_replies(explorer, marts)
+    judged = judged.unionByName(lost, allowMissingColumns=True)
     judged.write.mode("overwrite").parquet(f"{destination}/runs")
     judged = explorer.sparkSession.read.schema(judged.schema).parquet(f"{destination}/runs")
     usable = judged.where(F.col("error_type") == "").select(*place, "candidate", "url")
@@ -65,12 +69,27 @@ def harvest_topics(
     wanted = accepted.join(winners.select("url").distinct(), "url", "left_semi")
     plain = decode_csv(wanted.where(F.col("kind") == "csv"), "url").withColumn("member", F.lit(None).cast("string"))
     unpacked = decode_archives(wanted.where(F.col("kind") == "zip"), None, "url")
+    # Broken archives have their verdict already.
+    unpacked = unpacked.where(F.col("error_text").isNull()).drop("error_text")
     with small_batches(explorer.sparkSession):
         rows = materialize(plain.unionByName(unpacked).withColumnRenamed("dataset_id", "url"))
-    store_topic_tables(skew_join(rows, winners.select(*place, "url"), "url"), f"{destination}/tables")
+    store_topic_tables(rows.join(winners.select(*place, "url"), "url"), f"{destination}/tables")
     stored = winners.select(*place).withColumn("_stored", F.lit(True))
     outcomes = leaves.select(*place).join(stored, list(place), "left")
-    return run_summary(outcomes.withColumn("ok", F.col("_stored").isNotNull()), "topic")
+    outcomes = outcomes.select("topic", F.col("_stored").isNotNull().alias("ok"))
+    return run_summary(outcomes.unionByName(lost.select("topic", F.lit(False).alias("ok"))), "topic")
+
+
+def _lost_replies(explorer: DataFrame, marts: DataFrame) -> DataFrame:
+    """``(topic, mart_name, error_type, error_text)`` for the replies that give no leaves; no topic for an explorer reply."""
+    named = scan_topics(explorer).select("mart_id", "topic", "mart_name")
+    of_marts = reply_errors(marts).select("mart_id").join(named, "mart_id", "left")
+    of_marts = of_marts.withColumn("error_text", F.concat(F.lit("no nodes in the reply of mart "), "mart_id"))
+    text = F.lit("no nodes in the explorer reply").alias("error_text")
+    none = F.lit(None).cast("string")
+    of_explorer = reply_errors(explorer).select(none.alias("topic"), none.alias("mart_name"), text)
+    lost = of_explorer.unionByName(of_marts.drop("mart_id"))
+    return lost.withColumn("error_type", F.lit(UNREADABLE_REPLY))
 
 
 def _verdicts(replies: DataFrame, broken: DataFrame) -> DataFrame:

@@ -227,16 +227,13 @@ def q_semi_accepted(read, spark):
 
 
 @query(
-    f"""SELECT package_id, (rn - 1) // 1000 AS chunk_no, max(n) AS num_resources, string_agg(id, '|' ORDER BY rn) AS ids
-FROM (SELECT package_id, id, row_number() OVER (PARTITION BY package_id ORDER BY id, url, name) AS rn,
-  count(*) OVER (PARTITION BY package_id) AS n FROM fx_resources WHERE lower(format) = 'csv' AND {_USABLE})
-GROUP BY package_id, (rn - 1) // 1000""",
+    f"""SELECT package_id, id, url, count(*) OVER (PARTITION BY package_id) AS num_resources
+FROM fx_resources WHERE lower(format) = 'csv' AND {_USABLE}""",
     ("fx_resources",),
 )
 def q_rollup_packages(read, spark):
     accepted = resources.drop_unusable(resources.filter_resources(read("fx_resources"), predicates.is_csv()))
-    rolled = resources.rollup_packages(accepted, ("id", "url"), ("id", "url", "name"))
-    return rolled.select("package_id", "chunk_no", "num_resources", F.array_join("resources.id", "|").alias("ids"))
+    return resources.rollup_packages(accepted).select("package_id", "id", "url", "num_resources")
 
 
 @query(
@@ -437,6 +434,15 @@ def q_limit_rows_large(read, spark):
     return positions.limit_rows(read("events"), ("event_type",), ("event_id",), 1500, 10).select("event_id", "event_type")
 
 
+@query(
+    """SELECT event_type, least(count(*), 40) AS kept FROM events GROUP BY event_type"""
+)
+def q_limit_tied_rows(read, spark):
+    """The order ties all rows of a key; each key keeps exactly its limit."""
+    tied = positions.limit_rows(read("events"), ("event_type",), ("event_type",), 40)
+    return tied.groupBy("event_type").agg(F.count(F.lit(1)).alias("kept"))
+
+
 @query(
     """SELECT CAST(conv_id AS VARCHAR) AS dataset_id, turn AS row_idx, role, text FROM conversations
 WHERE turn >= 1 AND turn < 3"""
@@ -641,7 +647,7 @@ def _archives(read) -> DataFrame:
     pack = F.pandas_udf(_zip_archive, "binary")
     key = F.col("doc_id").cast("string")
     content = F.when(F.col("lang") == "de", F.encode("text", "UTF-8")).otherwise(pack(key, F.col("text")))
-    return spread(read("documents")).select(key.alias("storage_key"), content.alias("content"))
+    return spread(read("documents"), "doc_id").select(key.alias("storage_key"), content.alias("content"))
 
 
 @query(
@@ -672,16 +678,16 @@ def q_decode_archives(read, spark):
     pack = F.pandas_udf(_zip_archive, "binary")
     key = F.col("doc_id").cast("string")
     table = F.concat(F.lit('id,body\n1,"'), F.replace("text", F.lit('"'), F.lit('""')), F.lit('"\n'))
-    archives = spread(read("documents")).select(key.alias("dataset_id"), pack(key, table).alias("content"))
+    archives = spread(read("documents"), "doc_id").select(key.alias("dataset_id"), pack(key, table).alias("content"))
     decoded = payloads.decode_archives(archives)
     return decoded.select("dataset_id", "member", "row_idx", F.try_element_at("record", F.lit("body")).alias("body"))
 
 
 @query(
     """SELECT CAST(event_id AS VARCHAR) AS dataset_id, CAST(0 AS BIGINT) AS row_idx, CAST(user_id AS VARCHAR) AS n, event_type AS kind,
-  CAST(NULL AS VARCHAR) AS note FROM events
-UNION ALL SELECT CAST(event_id AS VARCHAR), 1, '7', 'a,b', 'c' FROM events
-UNION ALL SELECT CAST(event_id AS VARCHAR), 2, NULL, props, NULL FROM events"""
+  CAST(NULL AS VARCHAR) AS note, CAST(NULL AS VARCHAR) AS extra FROM events
+UNION ALL SELECT CAST(event_id AS VARCHAR), 1, '7', 'a,b', 'c', 'extra,"x,y"' FROM events
+UNION ALL SELECT CAST(event_id AS VARCHAR), 2, 'bad', props, NULL, NULL FROM events"""
 )
 def q_decode_csv(read, spark):
     """One CSV payload per event: a short row, a long row, a quoted cell, a late bad cell."""
@@ -690,15 +696,29 @@ def q_decode_csv(read, spark):
         "\r\n",
         F.lit("﻿n,kind,note"),
         F.concat_ws(",", F.col("user_id").cast("string"), "event_type"),
-        F.lit('7,"a,b",c,extra'),
+        F.lit('7,"a,b",c,extra,"x,y"'),
         F.concat(F.lit("bad,"), quoted, F.lit(",")),
     )
-    files = spread(read("events")).select(F.col("event_id").alias("dataset_id"), F.encode(table, "UTF-8").alias("content"))
-    decoded = payloads.decode_csv(files, infer_rows=2)
-    cells = [F.try_element_at("record", F.lit(c)).alias(c) for c in ("n", "kind", "note")]
+    files = spread(read("events"), "event_id").select(F.col("event_id").alias("dataset_id"), F.encode(table, "UTF-8").alias("content"))
+    decoded = payloads.decode_csv(files)
+    cells = [F.try_element_at("record", F.lit(c)).alias(c.lstrip("_")) for c in ("n", "kind", "note", "_extra")]
     return decoded.select("dataset_id", "row_idx", *cells)
 
 
+@query(
+    """SELECT 'late' AS dataset_id, 'n' AS name, CASE WHEN count(*) > 0 THEN 'string' END AS type FROM lineitem HAVING count(*) > 0
+UNION ALL SELECT 'late', 'm', 'bigint' FROM lineitem HAVING count(*) > 0"""
+)
+def q_infer_all_rows(read, spark):
+    """Types from all rows: the one cell that is no number is the last of the whole table."""
+    rows = read("lineitem").select(F.struct("l_orderkey", "l_linenumber").alias("at"), F.col("l_orderkey").cast("string").alias("m"))
+    last = rows.agg(F.max("at").alias("at")).withColumn("last", F.lit(True))
+    cell = F.when(F.col("last"), "n/a").otherwise(F.col("m"))
+    record = F.create_map(F.lit("n"), cell, F.lit("m"), F.col("m"))
+    records = rows.join(last, "at", "left").select(F.lit("late").alias("dataset_id"), record.alias("record"))
+    return typed.infer_columns(records).select("dataset_id", F.explode("columns").alias("name", "type"))
+
+
 def _echo_transport(url: str, headers) -> tuple[int, dict[str, str], object]:
     """A transport without a network: the reply follows from the url."""
     number = int(url.rsplit("/", 1)[1])
@@ -738,6 +758,16 @@ def q_span_text(read, spark):
     return read("fx_tree_nodes").select("node_id", text.span_text("label", "node").alias("name"))
 
 
+@query("SELECT s_suppkey, s_name || chr(CAST(8000 + s_suppkey % 500 AS INTEGER)) || 'é' AS name FROM supplier")
+def q_span_nested(read, spark):
+    """Labels with a span in the span, inner tags, a leading blank and references by number and by name."""
+    number = (8000 + F.col("s_suppkey") % 500).cast("string")
+    label = F.concat(
+        F.lit('<i><span class="node">&nbsp;<span>'), "s_name", F.lit("</span> <b>&#"), number, F.lit(";</b> &eacute;</span></i><span>z</span>")
+    )
+    return read("supplier").select("s_suppkey", text.span_text(label, "node").alias("name"))
+
+
 _LEAVES = """leaves AS (SELECT node_id, mart_id, replace(data_filter, 'docID:', '') AS dataset_id,
   replace(trim(regexp_extract(label, '<span class="node">(.*?)</span>', 1)), '/', '-') || '.csv' AS file_name
   FROM fx_tree_nodes WHERE data_filter <> '')"""
@@ -817,7 +847,7 @@ def _mart_replies(read) -> DataFrame:
 
     nodes = F.to_json(F.transform(F.split("text", "\n"), folder))
     key = F.concat_ws("-", F.col("conv_id").cast("string"), F.col("turn").cast("string"))
-    return spread(read("conversations")).select(
+    return spread(read("conversations"), "conv_id", "turn").select(
         key.alias("mart_id"), "role", F.concat(F.lit("{Nodes:"), nodes, F.lit("}")).alias("body")
     )
 
@@ -853,7 +883,7 @@ def q_scan_topics(read, spark):
 
     words = F.split(F.regexp_replace("text", r"\s+", " "), " ")
     body = F.concat(F.lit("{Nodes:"), F.to_json(F.transform(words, topic)), F.lit("}"))
-    return topics.scan_topics(spread(read("conversations")).select(body.alias("body")))
+    return topics.scan_topics(spread(read("conversations"), "conv_id", "turn").select(body.alias("body")))
 
 
 @query(
@@ -1049,7 +1079,7 @@ _ALL_INT = "coalesce(bool_and(CASE WHEN {0} <> '' THEN regexp_full_match({0}, '[
 )
 def q_infer_columns(read, spark):
     """Column types all rows of each dataset allow."""
-    found = typed.infer_columns(_records(read), None)
+    found = typed.infer_columns(_records(read))
     return found.select("dataset_id", F.explode("columns").alias("name", "type"))
 
 

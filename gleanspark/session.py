@@ -116,12 +116,6 @@ def small_batches(spark: SparkSession, rows: int = 16) -> Iterator[None]:
             spark.conf.set(name, value)
 
 
-def spread(df: DataFrame, rows: int = 1_000_000) -> DataFrame:
-    """Deal a short table out to all cores before per-row work that is heavy.
-
-    A table of few, heavy rows may come in fewer splits than there are cores.
-    Longer tables have splits enough and are left where they are.
-    """
-    if df.count() > rows:
-        return df
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Deal a table of few, heavy rows out by key before per-row work that is heavy."""
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, *keys)

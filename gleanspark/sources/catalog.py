@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 
 from gleanspark.functions.text import ColumnOrName, _col
 from gleanspark.operators.positions import limit_ordered
-from gleanspark.operators.skew import skew_join
 from gleanspark.operators.unnest import unnest
 
 RESOURCE_TYPE = "array<struct<id:string,url:string,name:string,format:string,language:variant>>"
@@ -124,8 +123,8 @@ def package_search(
 def package_show(catalog: DataFrame, wanted: Any, id_column: str = "id") -> DataFrame:
     """The package of one id, or of every id in a one-column DataFrame."""
     if isinstance(wanted, DataFrame):
-        ids = wanted.select(F.col(wanted.columns[0]).alias(id_column)).distinct()
-        return skew_join(catalog, ids, id_column, "left_semi")
+        ids = wanted.select(F.col(wanted.columns[0]).alias(id_column))
+        return catalog.join(ids, id_column, "left_semi")
     return catalog.where(F.col(id_column) == wanted)
 
 

@@ -52,7 +52,7 @@ def parse_record_pages(pages: DataFrame, wire_format: str = "json") -> DataFrame
     """
     if wire_format == "csv":
         page = F.to_json(F.struct("dataset_id", "offset"))
-        decoded = decode_csv(pages.select(page.alias("dataset_id"), F.encode("body", "UTF-8").alias("content")), infer_rows=0)
+        decoded = decode_csv(pages.select(page.alias("dataset_id"), F.encode("body", "UTF-8").alias("content")))
         origin = F.from_json("dataset_id", "dataset_id string, offset bigint")
         return decoded.select(
             origin["dataset_id"].alias("dataset_id"), (origin["offset"] + F.col("row_idx")).alias("row_idx"), "record"
@@ -65,7 +65,7 @@ def parse_record_pages(pages: DataFrame, wire_format: str = "json") -> DataFrame
     )
 
 
-def scan_dataset_rows(rows: DataFrame, dataset_id: str | None = None, limit: int = 10, offset: int = 0) -> DataFrame:
+def scan_dataset_rows(rows: DataFrame, dataset_id: str | None = None, limit: int = -1, offset: int = 0) -> DataFrame:
     """The rows of one dataset (or of each) from ``offset``; ``limit`` is exact, -1 means all."""
     if dataset_id is not None:
         rows = rows.where(F.col("dataset_id") == dataset_id)

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from gleanspark.functions import predicates as P
 from gleanspark.functions import text
-from gleanspark.operators.skew import skew_join
 from gleanspark.operators.unnest import unnest
 
 _HITS = "struct<value:array<struct<series_description:struct<database_id:string>>>>"
@@ -43,7 +42,7 @@ def list_errors(replies: DataFrame) -> DataFrame:
 
 def expand_databases(indicators: DataFrame, database_ids: DataFrame) -> DataFrame:
     """The indicators of the wanted databases; one database may hold most of them."""
-    return skew_join(indicators, database_ids, "database_id", "left_semi")
+    return indicators.join(database_ids, "database_id", "left_semi")
 
 
 def indicator_resources(indicators: DataFrame, metadata_root: str = "metadata", data_root: str = "data") -> DataFrame:

@@ -4,9 +4,7 @@ from __future__ import annotations
 
 import csv
 import io
-import itertools
 import lzma
-import re
 import zipfile
 import zlib
 from collections.abc import Callable, Iterator
@@ -17,12 +15,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gleanspark.operators.typed import INFER_ROWS, infer_columns
+from gleanspark.operators.typed import infer_columns
 
 #: A member is handed on in parts of this size, so none has to fit in memory.
 PART_BYTES = 16 * 2**20
-#: Rows of a decoded table handed to the JVM at a time.
+#: Rows and characters of a decoded table handed to the JVM at a time.
 _CSV_BATCH = 2000
+_CSV_BATCH_CHARS = 16 * 2**20
 
 #: What reading a damaged, encrypted or otherwise unreadable archive raises.
 UNREADABLE = (zipfile.BadZipFile, zlib.error, lzma.LZMAError, EOFError, OSError, NotImplementedError, RuntimeError, ValueError)
@@ -30,12 +29,8 @@ UNREADABLE = (zipfile.BadZipFile, zlib.error, lzma.LZMAError, EOFError, OSError,
 # A cell may be as long as its file.
 csv.field_size_limit(2**31 - 1)
 
-# Cell layouts of integer, decimal and boolean columns, narrowest first.
-CELL_PATTERNS = (
-    re.compile(r"[+-]?\d{1,18}"),
-    re.compile(r"[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?"),
-    re.compile(r"true|false"),
-)
+#: Key of a record under which the cells beyond the header are kept, as CSV.
+EXTRA = "_extra"
 
 
 def scan_payloads(spark: SparkSession, path: str) -> DataFrame:
@@ -112,37 +107,27 @@ def _unique_names(header: list[str]) -> list[str]:
     return names
 
 
-def _fits(sample: list[list[str | None]], width: int) -> list[re.Pattern | None]:
-    """Per column, the pattern its cells have to match; None for text columns."""
-    checks: list[re.Pattern | None] = []
-    for at in range(width):
-        cells = [row[at] for row in sample if row[at]]
-        checks.append(next((p for p in CELL_PATTERNS if cells and all(map(p.fullmatch, cells))), None))
-    return checks
-
-
-def decode_csv(payloads: DataFrame, key: str = "dataset_id", infer_rows: int = INFER_ROWS) -> DataFrame:
+def decode_csv(payloads: DataFrame, key: str = "dataset_id") -> DataFrame:
     """``(dataset_id, row_idx, record)`` for CSV payloads ``(key, content)``.
 
-    Each payload is read once, where it is: its first ``infer_rows`` rows settle
-    which columns are numeric or boolean, cells that do not fit and empty cells
-    become null, long rows are cut to the header, short rows padded with null.
+    Each payload is read once, where it is. Every cell stays as it was written;
+    :func:`~gleanspark.operators.typed.infer_columns` tells the types that all
+    rows allow. Empty cells are null, short rows are padded with null, and what a
+    row has beyond the header is kept under ``_extra``.
     """
 
     def tables(content: bytes) -> Iterator[tuple[str | None, BinaryIO]]:
         yield None, io.BytesIO(content)
 
-    return _decode(payloads, key, infer_rows, tables).drop("member")
+    return _decode(payloads, key, tables).drop("member", "error_text")
 
 
-def decode_archives(
-    payloads: DataFrame, suffix: str | None = ".csv", key: str = "dataset_id", infer_rows: int = INFER_ROWS
-) -> DataFrame:
-    """``(dataset_id, member, row_idx, record)`` for the CSV members of zip payloads.
+def decode_archives(payloads: DataFrame, suffix: str | None = ".csv", key: str = "dataset_id") -> DataFrame:
+    """``(dataset_id, member, row_idx, record, error_text)`` for the CSV members of zip payloads.
 
     As :func:`decode_csv`; members are decoded as they are unpacked, whatever
-    their size. A broken archive gives the rows read so far;
-    :func:`check_archives` reports it.
+    their size. A broken archive gives the rows read so far, and then one row
+    with the member it broke in and ``error_text``, without index and record.
     """
 
     def tables(content: bytes) -> Iterator[tuple[str | None, BinaryIO]]:
@@ -152,18 +137,20 @@ def decode_archives(
                     with archive.open(info) as stream:
                         yield info.filename, stream
 
-    return _decode(payloads, key, infer_rows, tables)
+    return _decode(payloads, key, tables)
 
 
-def _decode(payloads: DataFrame, key: str, infer_rows: int, tables: Callable) -> DataFrame:
+def _decode(payloads: DataFrame, key: str, tables: Callable) -> DataFrame:
     def rows_of(payload_key: str, content: bytes) -> Iterator[tuple]:
+        member = None
         try:
             for member, stream in tables(content):
-                names, rows = _cells(stream, infer_rows)
+                names, rows = _cells(stream)
                 for index, cells in enumerate(rows):
-                    yield payload_key, member, index, names, cells
-        except UNREADABLE:
-            return  # an archive that check_archives reports
+                    extra = cells[len(names)]
+                    yield payload_key, member, index, names + [EXTRA] if extra else names, cells if extra else cells[:-1], None
+        except UNREADABLE as error:
+            yield payload_key, member, None, [], [], f"{type(error).__name__}: {error}"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = _Rows()
@@ -171,13 +158,13 @@ def _decode(payloads: DataFrame, key: str, infer_rows: int, tables: Callable) ->
             for payload_key, content in zip(batch["dataset_id"], batch["content"]):
                 for row in rows_of(payload_key.as_py(), content.as_py()):
                     held.add(*row)
-                    if len(held.ids) >= _CSV_BATCH:
+                    if len(held.ids) >= _CSV_BATCH or held.chars >= _CSV_BATCH_CHARS:
                         yield held.flush()
         if held.ids:
             yield held.flush()
 
     return payloads.select(F.col(key).cast("string").alias("dataset_id"), "content").mapInArrow(
-        run, "dataset_id string, member string, row_idx bigint, record map<string,string>"
+        run, "dataset_id string, member string, row_idx bigint, record map<string,string>, error_text string"
     )
 
 
@@ -205,20 +192,21 @@ def _problem(content: bytes) -> str | None:
     return None if damaged is None else f"BadZipFile: damaged member {damaged}"
 
 
-def _cells(stream: BinaryIO, infer_rows: int) -> tuple[list[str], Iterator[list[str | None]]]:
-    """Header and checked rows of one CSV stream."""
+def _cells(stream: BinaryIO) -> tuple[list[str], Iterator[list[str | None]]]:
+    """Header and rows of one CSV stream; a row is as wide as the header and one, what is beyond being last."""
     text = io.TextIOWrapper(stream, "utf-8-sig", "replace", newline="")
     lines = (line for line in csv.reader(text) if line)
     names = _unique_names(next(lines, []))
     width = len(names)
-    rows = ((cells + [None] * width)[:width] for cells in lines)
-    sample = list(itertools.islice(rows, infer_rows))
-    checks = _fits(sample, width)
-    checked = (
-        [c if c and (check is None or check.fullmatch(c)) else None for c, check in zip(row, checks)]
-        for row in itertools.chain(sample, rows)
-    )
-    return names, checked
+    return names, ([c or None for c in (cells + [""] * width)[:width]] + [_as_csv(cells[width:])] for cells in lines)
+
+
+def _as_csv(cells: list[str]) -> str | None:
+    if not cells:
+        return None
+    written = io.StringIO()
+    csv.writer(written, lineterminator="").writerow(cells)
+    return written.getvalue()
 
 
 class _Rows:
@@ -231,33 +219,39 @@ class _Rows:
         self.ends: list[int] = [0]
         self.names: list[str] = []
         self.cells: list[str | None] = []
+        self.errors: list[str | None] = []
+        self.chars = 0
 
-    def add(self, dataset_id: str, member: str | None, index: int, names: list[str], cells: list[str | None]) -> None:
+    def add(
+        self, dataset_id: str, member: str | None, index: int | None, names: list[str], cells: list[str | None], error: str | None
+    ) -> None:
         self.ids.append(dataset_id)
         self.members.append(member)
         self.index.append(index)
         self.names += names
         self.cells += cells
         self.ends.append(len(self.cells))
+        self.errors.append(error)
+        self.chars += sum(len(c) for c in cells if c)
 
     def flush(self) -> pa.RecordBatch:
         records = pa.MapArray.from_arrays(
             pa.array(self.ends, pa.int32()), pa.array(self.names, pa.string()), pa.array(self.cells, pa.string())
         )
         texts = [pa.array(values, pa.string()) for values in (self.ids, self.members)]
-        columns = [*texts, pa.array(self.index, pa.int64()), records]
+        columns = [*texts, pa.array(self.index, pa.int64()), records, pa.array(self.errors, pa.string())]
         self.__init__()
-        return pa.RecordBatch.from_arrays(columns, ["dataset_id", "member", "row_idx", "record"])
+        return pa.RecordBatch.from_arrays(columns, ["dataset_id", "member", "row_idx", "record", "error_text"])
 
 
-def read_csv_table(spark: SparkSession, path: str, infer_rows: int = INFER_ROWS) -> DataFrame:
-    """One large CSV file or folder, split by Spark; types from its first rows, bad cells null."""
+def read_csv_table(spark: SparkSession, path: str) -> DataFrame:
+    """One large CSV file or folder, split by Spark; each column has the type that all its cells allow."""
     text = spark.read.option("header", True).csv(path)
     names = text.columns
-    records = text.limit(infer_rows).select(
+    records = text.select(
         F.lit(0).alias("dataset_id"), F.create_map(*[x for n in names for x in (F.lit(n), F.col(f"`{n}`"))]).alias("record")
     )
-    found = infer_columns(records, None).collect()
+    found = infer_columns(records).collect()
     types = found[0]["columns"] if found else {}
     schema = T.StructType([T.StructField(n, T._parse_datatype_string(types.get(n, "string"))) for n in names])
     return spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE").csv(path)

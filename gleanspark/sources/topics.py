@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from gleanspark.functions import predicates as P
 from gleanspark.functions import text
 from gleanspark.operators.positions import skip_leading
-from gleanspark.operators.skew import skew_join
 from gleanspark.operators.tree import flatten_nodes
 from gleanspark.operators.unnest import unnest
 
@@ -50,12 +49,12 @@ def scan_mart_leaves(marts: DataFrame) -> DataFrame:
 
 def scan_topic_tree(explorer: DataFrame, marts: DataFrame, leading: int = LEADING_NODES) -> DataFrame:
     """Every leaf with its topic and mart; one mart may hold most of the leaves."""
-    return skew_join(scan_mart_leaves(marts), scan_topics(explorer, leading), "mart_id")
+    return scan_mart_leaves(marts).join(scan_topics(explorer, leading), "mart_id")
 
 
 def usable_leaves(leaves: DataFrame) -> DataFrame:
-    """Leaves with a data filter and a storable name; adds ``dataset_id`` and ``file_name``."""
-    return leaves.where(P.is_present("data_filter") & P.has_short_name("name")).withColumns(
+    """Leaves with a data filter; adds ``dataset_id`` and ``file_name``, which is a column and may be of any length."""
+    return leaves.where(P.is_present("data_filter")).withColumns(
         {"dataset_id": text.strip_doc_id("data_filter"), "file_name": text.leaf_file_name("name")}
     )
 

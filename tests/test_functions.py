@@ -77,8 +77,14 @@ def test_span_text(spark):
         '<span class="node"></span>',
         '<SPAN id="1" CLASS="node">up</SPAN>',
         None,
+        '<span class="node"><span>a</span> b</span> c',
+        '<span class="node">Caf&eacute; &#8217;x &#x1F34E; &amp;lt; &bogus; & &#0;</span>',
+        '<span class="node">&nbsp; x</span>',
+        '<span class="node">never closed',
+    ]
+    assert one(spark, rows, text.span_text("c", "node")) == [
+        "ab", "A & B", None, "", "up", None, "ab", "Café ’x \U0001f34e &lt; &bogus; & &#0;", "x", None,
     ]
-    assert one(spark, rows, text.span_text("c", "node")) == ["ab", "A & B", None, "", "up", None]
 
 
 def test_strip_bom_and_names(spark):

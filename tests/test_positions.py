@@ -7,7 +7,7 @@ from collections import Counter, defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from gleanspark.operators import positions, resources, skew
+from gleanspark.operators import positions, resources
 
 
 @pytest.fixture(scope="module")
@@ -25,9 +25,9 @@ def expected_positions(rows):
     return {(k, n): (i + 1, len(ns)) for k, ns in groups.items() for i, n in enumerate(sorted(ns))}
 
 
-@pytest.mark.parametrize("single_task_rows", [10, 500, 10**6])
-def test_positions_equal_brute_force(skewed, single_task_rows):
-    df = positions.with_position(skewed, ("n",), ("k",), single_task_rows)
+@pytest.mark.parametrize("ranges", [1, 7, None])
+def test_positions_equal_brute_force(skewed, ranges):
+    df = positions.with_position(skewed, ("n",), ("k",), ranges)
     found = {(r["k"], r["n"]): (r["position"], r["group_rows"]) for r in df.collect()}
     assert found == expected_positions(skewed.collect())
 
@@ -36,7 +36,7 @@ def test_hot_key_is_cut_into_ranges(skewed, monkeypatch):
     written = []
     real = positions.materialize
     monkeypatch.setattr(positions, "materialize", lambda df: written.append(real(df)) or written[-1])
-    assert positions.with_position(skewed, ("n",), ("k",), 100, 100).count() == 3000
+    assert positions.with_position(skewed, ("n",), ("k",), 30).count() == 3000
     sizes = [r["count"] for r in written[0].where("k = 0").groupBy("_range").count().collect()]
     assert len(sizes) > 5 and max(sizes) < 300  # the hot key alone has over 1000 rows
 
@@ -46,16 +46,15 @@ def test_full_copies_are_cut_into_ranges(spark, monkeypatch):
     real = positions.materialize
     monkeypatch.setattr(positions, "materialize", lambda df: written.append(real(df)) or written[-1])
     copies = spark.range(1000).selectExpr("7L AS k", "3L AS n").unionByName(spark.range(2000).selectExpr("id % 5 AS k", "id AS n"))
-    rows = positions.with_position(copies, ("n",), ("k",), 100, 100).where("k = 7").collect()
+    rows = positions.with_position(copies, ("n",), ("k",), 30).where("k = 7").collect()
     assert sorted(r["position"] for r in rows) == list(range(1, 1001))
     sizes = [r["count"] for r in written[0].where("k = 7").groupBy("_range").count().collect()]
     assert len(sizes) > 4 and max(sizes) < 400
 
 
 @pytest.mark.parametrize("limit,offset", [(100, 50), (None, 2900), (-1, 0), (5000, 0), (0, 0), (10, 5000)])
-@pytest.mark.parametrize("single_task_rows", [20, 10**6])
-def test_limit_ordered(skewed, limit, offset, single_task_rows):
-    found = [r["n"] for r in positions.limit_ordered(skewed, ("n",), limit, offset, single_task_rows).collect()]
+def test_limit_ordered(skewed, limit, offset):
+    found = [r["n"] for r in positions.limit_ordered(skewed, ("n",), limit, offset).collect()]
     everything = sorted(r["n"] for r in skewed.collect())
     end = None if limit in (None, -1) else offset + limit
     assert sorted(found) == everything[offset:end]
@@ -80,19 +79,20 @@ def test_limit_indexed_rows(spark):
     assert positions.limit_indexed_rows(rows, -1, 4).count() == 6
 
 
-@pytest.mark.parametrize("chunk,single_task_rows", [(7, 10**6), (7, 50), (10_000, 50)])
-def test_rollup_chunks_hold_every_resource_once(skewed, chunk, single_task_rows):
-    rolled = resources.rollup_packages(skewed, ("v",), ("n",), "k", chunk, single_task_rows).collect()
-    sizes = Counter(r["k"] for r in skewed.collect())
-    seen = defaultdict(list)
-    for r in sorted(rolled, key=lambda r: (r["k"] is None, r["k"] or 0, r["chunk_no"])):
-        assert len(r["resources"]) <= chunk
-        assert r["num_resources"] == sizes[r["k"]]
-        seen[r["k"]] += [x["v"] for x in r["resources"]]
-    expected = defaultdict(list)
-    for r in sorted(skewed.collect(), key=lambda r: r["n"]):
-        expected[r["k"]].append(r["v"])
-    assert seen == expected
+@pytest.mark.parametrize("limit,offset,parts", [(5, 0, 1), (20, 7, 5), (100, 90, 3), (-1, 60, 4)])
+def test_tied_orders_keep_their_limit(spark, limit, offset, parts):
+    rows = spark.range(400).selectExpr("CAST(id % 3 AS INT) AS k", "1 AS n", "id AS v").repartition(parts)
+    cut = positions.limit_rows(rows, ("k",), ("n",), limit, offset).collect()
+    sizes = {0: 134, 1: 133, 2: 133}
+    expected = {k: n - offset if limit == -1 else min(limit, n - offset) for k, n in sizes.items()}
+    assert Counter(r["k"] for r in cut) == expected and len({r["v"] for r in cut}) == len(cut)
+
+
+def test_rolled_up_packages_count_their_resources(skewed):
+    rolled = resources.rollup_packages(skewed, "k").collect()
+    sizes = Counter(r["k"] for r in skewed.collect() if r["k"] is not None)
+    assert Counter(r["k"] for r in rolled) == sizes
+    assert all(r["num_resources"] == sizes[r["k"]] for r in rolled)
 
 
 def test_last_writer_wins(spark):
@@ -102,57 +102,6 @@ def test_last_writer_wins(spark):
     assert found == {("a", 1, "y"), ("b", 0, "z"), (None, 3, "n")}
 
 
-@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-def test_skew_join_equals_plain_join(spark, skewed, how):
-    # Copies as well: the hot key's rows three times over.
-    left = skewed.unionByName(skewed.where("k = 0")).unionByName(skewed.where("k = 0"))
-    right = spark.range(0, 60, 2).select(F.col("id").cast("bigint").alias("k"), F.concat(F.lit("r"), "id").alias("r"))
-    right = right.unionByName(right.where("k = 4")).unionByName(
-        spark.sql("SELECT * FROM VALUES (CAST(NULL AS BIGINT), 'null'), (9999999999L, 'beyond int') t(k, r)")
-    )
-    assert skew.hot_keys(left, ["k"])
-    expected = left.join(right, "k", how)
-    found = skew.skew_join(left, right, "k", how)
-    assert found.columns == expected.columns
-    assert Counter(map(tuple, found.collect())) == Counter(map(tuple, expected.collect()))
-
-
-def test_skew_join_spreads_a_hot_key(spark, skewed):
-    left = skewed.repartition(8)
-    right = spark.createDataFrame([(0, "r")], "k int, r string")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    try:
-        joined = skew.skew_join(left, right, "k").groupBy(F.spark_partition_id().alias("p")).count()
-        sizes = [r["count"] for r in joined.collect()]
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-        spark.conf.set("spark.sql.adaptive.enabled", "true")
-    hot = left.where("k = 0").count()
-    assert sum(sizes) == hot and max(sizes) < hot / 2
-
-
-def test_hot_keys_of_sparse_and_empty_inputs(spark):
-    sparse = spark.createDataFrame([(1,)] * 9, "k int").repartition(40)
-    assert list(skew.hot_keys(sparse, ["k"]).values()) == [1.0]
-    empty = sparse.where("k > 1")
-    assert skew.hot_keys(empty, ["k"]) == {}
-    assert skew.skew_join(empty, sparse.distinct(), "k").count() == 0
-
-
-def test_skew_join_without_hot_keys_is_the_plain_join(spark):
-    left = spark.range(5000)
-    assert skew.hot_keys(left, ["id"]) == {}
-    assert skew.skew_join(left, spark.range(10), "id").count() == 10
-
-
-def test_two_column_keys(spark, skewed):
-    left = skewed.withColumn("j", F.lit("j"))
-    right = spark.createDataFrame([(0, "j", 1), (2, "j", 2), (2, "x", 3)], "k int, j string, r int")
-    found = skew.skew_join(left, right, ["k", "j"])
-    assert Counter(map(tuple, found.collect())) == Counter(map(tuple, left.join(right, ["k", "j"]).collect()))
-
-
 def test_pending_work_and_keep_accepted(spark):
     work = spark.createDataFrame([("a", 1), ("a", 2), ("b", 1), ("c", 1)], "storage_key string, n int")
     done = spark.createDataFrame([("a",), ("a",), ("z",)], "storage_key string")

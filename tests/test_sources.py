@@ -119,8 +119,12 @@ def decoded(spark, content, **options):
 
 
 def test_decode_csv(spark):
-    assert decoded(spark, b"a,b\n1\n2,x,extra\n") == [{"a": "1", "b": None}, {"a": "2", "b": "x"}]
-    assert decoded(spark, b"a\n1\n2\nbad\n2.5\n", infer_rows=2) == [{"a": "1"}, {"a": "2"}, {"a": None}, {"a": None}]
+    assert decoded(spark, b"a,b\n1\n2,x,extra\n") == [
+        {"a": "1", "b": None},
+        {"a": "2", "b": "x", "_extra": "extra"},
+    ]
+    assert decoded(spark, b'a\n1\n2,"x,y",z\n') == [{"a": "1"}, {"a": "2", "_extra": '"x,y",z'}]
+    assert decoded(spark, b"a\n1\n2\nbad\n2.5\n") == [{"a": "1"}, {"a": "2"}, {"a": "bad"}, {"a": "2.5"}]
     assert decoded(spark, b"a\n1\nbad\n") == [{"a": "1"}, {"a": "bad"}]
     assert decoded(spark, b"a\n1.5\n2\n") == [{"a": "1.5"}, {"a": "2"}]
     assert decoded(spark, b"\xef\xbb\xbfa,a\n1,2\n") == [{"a": "1", "a_duplicated_0": "2"}]
@@ -132,7 +136,9 @@ def test_decode_csv(spark):
 def test_decode_archives(spark):
     good = archive(**{"a.csv": b"n\n1\n2\n", "b.txt": b"n\n3\n", "c.csv": b"n\nx\n"})
     df = spark.createDataFrame([("k", good), ("bad", b"PK\x03\x04"), ("cut", good[:-20])], "dataset_id string, content binary")
-    rows = {tuple(r)[:3] + (r["record"]["n"],) for r in payloads.decode_archives(df).collect()}
+    found = payloads.decode_archives(df).collect()
+    assert {r["dataset_id"] for r in found if r["error_text"]} == {"bad", "cut"}
+    rows = {tuple(r)[:3] + (r["record"]["n"],) for r in found if not r["error_text"]}
     assert rows == {("k", "a.csv", 0, "1"), ("k", "a.csv", 1, "2"), ("k", "c.csv", 0, "x")}
     damaged = bytearray(good)
     damaged[good.index(b"n\n1") + 2] ^= 1
@@ -147,8 +153,8 @@ def test_long_cell(spark):
 
 def test_read_csv_table(spark, tmp_path):
     (tmp_path / "t.csv").write_text("n,s\n1,x\n2,y,long\n3\nbad,z\n")
-    rows = [tuple(r) for r in payloads.read_csv_table(spark, str(tmp_path), infer_rows=3).collect()]
-    assert rows == [(1, "x"), (2, "y"), (3, None), (None, "z")]
+    rows = [tuple(r) for r in payloads.read_csv_table(spark, str(tmp_path)).collect()]
+    assert rows == [("1", "x"), ("2", "y"), ("3", None), ("bad", "z")]
 
 
 def test_scan_payloads(spark, tmp_path):
@@ -181,10 +187,10 @@ def test_mart_leaves_at_any_depth(spark):
     assert [r["mart_id"] for r in topics.reply_errors(marts).collect()] == ["bad"]
 
 
-def test_usable_leaves_length_rule(spark):
+def test_usable_leaves_of_any_name_length(spark):
     rows = [("n" * 255, "f", "m"), ("n" * 256, "f", "m"), ("x", "", "m"), ("x", None, "m")]
     df = spark.createDataFrame(rows, "name string, data_filter string, mart_id string")
-    assert [len(r["name"]) for r in topics.usable_leaves(df).collect()] == [255]
+    assert [len(r["name"]) for r in topics.usable_leaves(df).collect()] == [255, 256]
 
 
 def test_scan_topics_skips_leading_nodes(spark):
@@ -203,7 +209,7 @@ def test_edges(spark):
     rows = [("r", None, "R")] + [(f"d{i}", "r" if i == 0 else f"d{i - 1}", f"D{i}") for i in range(9)]
     rows += [("orphan", "missing", "O"), ("below", "orphan", "B")]
     flat = {r["node_id"]: r for r in tree.flatten_edges(spark.createDataFrame(rows, "node_id string, parent_id string, title string")).collect()}
-    assert "orphan" not in flat and "below" not in flat and len(flat) == 10
+    assert len(flat) == 12 and flat["orphan"]["path"] == [] and flat["below"]["path"] == ["O"]
     assert flat["d8"]["path"] == ["R"] + [f"D{i}" for i in range(8)]
     assert flat["d8"]["depth"] == 10 and flat["d8"]["is_leaf"] and not flat["d7"]["is_leaf"]
 
