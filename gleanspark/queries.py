@@ -7,6 +7,7 @@ and type on both sides; arrays are joined to text, floats compared as doubles.
 from __future__ import annotations
 
 import io
+import uuid
 import zipfile
 from collections.abc import Callable
 
@@ -18,7 +19,8 @@ from pyspark.sql import types as T
 from gleanspark import fixtures
 from gleanspark.functions import payload, predicates, text, types
 from gleanspark.operators import positions, resources, responses, tree, typed
-from gleanspark.session import configure, spread
+from gleanspark.plans import CatalogueHarvest, harvest_catalogue, harvest_indicators
+from gleanspark.session import checkpoint_dir, configure, spread
 from gleanspark.sources import catalog, datasets, indicators, payloads, topics
 from gleanspark.sources.fetch import fetch
 from gleanspark.sources.portals import portals
@@ -307,6 +309,58 @@ def q_scan_packages(read, spark):
     )
 
 
+def _destination(spark: SparkSession) -> str:
+    """A new folder for what a harvest writes, where all executors can."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/harvest-{uuid.uuid4().hex}"
+
+
+def _file_transport(url: str, headers) -> tuple[int, dict[str, str], bytes]:
+    """Replies that follow from the url: what ends in an e is gone."""
+    if url.endswith("e"):
+        return 404, {}, b""
+    body = b"a\n1\n"
+    return 200, {"Content-Length": str(len(body)), "Content-Type": "text/csv"}, body
+
+
+@query(
+    _NESTED
+    + """, work AS (SELECT ends_with(url, 'e') AS gone FROM nested WHERE url <> ''
+  UNION ALL SELECT true FROM pages WHERE contains(url, '?'))
+SELECT 'r' AS run_name, count(*) FILTER (NOT gone) AS successes, count(*) FILTER (gone) AS errors, count(*) AS total FROM work"""
+)
+def q_harvest_outcomes(read, spark):
+    """A whole catalogue harvest: every usable resource and every failed page has its outcome."""
+    settings = CatalogueHarvest(_destination(spark), "r", BASE_URL, fetch_partitions=8)
+    return harvest_catalogue(_catalog_pages(read), settings, _file_transport)
+
+
+def _indicator_transport(url: str, headers) -> tuple[int, dict[str, str], bytes]:
+    """Metadata for every indicator; every seventh has no data file."""
+    name, kind = url.rsplit("/", 1)[1].split(".")
+    if kind == "json":
+        return 200, {}, b'{"k": 1}'
+    return (404, {}, b"") if int(name[2:]) % 7 == 0 else (200, {}, b"c\n1\n")
+
+
+@query(
+    """SELECT 'DB_' || n AS database_id, CASE WHEN n % 5 = 0 THEN 0 ELSE 2 * k - bad END AS successes,
+  CASE WHEN n % 5 = 0 THEN 1 ELSE bad END AS errors, CASE WHEN n % 5 = 0 THEN 1 ELSE 2 * k END AS total
+FROM (SELECT c_nationkey AS n, count(*) AS k, count(*) FILTER (c_custkey % 7 = 0) AS bad FROM customer GROUP BY 1)"""
+)
+def q_indicator_outcomes(read, spark):
+    """A whole indicator harvest; the list of every fifth database failed."""
+    database = F.concat(F.lit("DB_"), F.col("n_nationkey").cast("string"))
+    found = F.collect_list(F.struct(F.struct(database.alias("database_id")).alias("series_description")))
+    hits = read("nation").groupBy("n_regionkey").agg(F.to_json(F.struct(found.alias("value"))).alias("body"))
+    listed = F.to_json(F.collect_list(F.concat(F.lit("I_"), F.col("c_custkey").cast("string"))))
+    lists = read("customer").groupBy("c_nationkey").agg(listed.alias("body")).select(
+        F.concat(F.lit("DB_"), F.col("c_nationkey").cast("string")).alias("database_id"),
+        F.when(F.col("c_nationkey") % 5 == 0, 500).otherwise(200).alias("status"),
+        "body",
+    )
+    return harvest_indicators(hits, lists, _destination(spark), _indicator_transport, 8)
+
+
 @query("SELECT page_id, 503 AS status, 'failed to read catalogue page' AS error_text FROM pages WHERE contains(url, '?')")
 def q_page_errors(read, spark):
     return catalog.page_errors(_catalog_pages(read))

@@ -224,6 +224,43 @@ def test_harvest_indicators(spark, tmp_path):
     assert stored == {("metadata", "x"): '{"k":1}', ("metadata", "y"): '{"k":1}', ("data", "x"): "c\n1\n"}
 
 
+def test_lost_replies_are_errors_of_their_harvest(spark, pages, tmp_path):
+    lost = spark.createDataFrame([(7, 500, "gone"), (8, 200, "no json")], "page_no int, status int, body string")
+    summary = harvest_catalogue(pages.unionByName(lost), settings(tmp_path / "c", "r", expand_archives=True), transport)
+    assert [tuple(r) for r in summary.collect()] == [("r", 4, 4, 8)]
+    runs = spark.read.parquet(f"{tmp_path}/c/runs")
+    assert runs.where("error_type = 'bad_page' and storage_key is null and not ok").count() == 2
+
+    mart = {"label": '<span class="martName">mart</span>', "martId": "m"}
+    topic = {"label": '<span class="topic">top</span>', "childNodes": [mart, {**mart, "martId": "lost"}]}
+    explorer = spark.createDataFrame([("{Nodes:" + json.dumps([{}] * 5 + [topic]) + "}",), ("down",)], "body string")
+    tree = "{Nodes:" + json.dumps([node("one", (), "docID:1")]) + "}"
+    marts = spark.createDataFrame([("m", tree), ("lost", "<html>")], "mart_id string, body string")
+    summary = harvest_topics(explorer, marts, f"{tmp_path}/t", lambda u, h: (200, {"Content-Type": "text/csv", "Content-Length": "4"}, b"a\n1\n"), 2)
+    assert {tuple(r) for r in summary.collect()} == {("top", 1, 1, 2), (None, 0, 1, 1)}
+    runs = spark.read.parquet(f"{tmp_path}/t/runs")
+    assert runs.where("error_type = 'unreadable_reply'").count() == 2
+
+    hits = spark.createDataFrame([('{"value":[{"series_description":{"database_id":"A"}},{"series_description":{"database_id":"B"}}]}',)], "body string")
+    lists = spark.createDataFrame([("A", 200, '["x"]'), ("B", 503, None), ("C", 503, None)], "database_id string, status int, body string")
+    summary = harvest_indicators(hits, lists, f"{tmp_path}/i", lambda u, h: (200, {}, b'{"k": 1}'), 2)
+    assert {tuple(r) for r in summary.collect()} == {("A", 2, 0, 2), ("B", 0, 1, 1)}
+
+
+def test_broken_archives_give_no_tables(spark, tmp_path):
+    good = archive(**{"a.csv": b"n\n1\n", "b.csv": b"n\n2\n"})
+    damaged = bytearray(good)
+    damaged[good.index(b"n\n2") + 2] ^= 1
+    body = json.dumps({"result": {"results": [{"id": "p", "resources": [resource("a", "http://x/good"), resource("b", "http://x/bad")]}]}})
+    pages = spark.createDataFrame([(0, 200, body)], "page_no int, status int, body string")
+    cfg = settings(tmp_path, "r", expand_archives=True, decode=True)
+    harvest_catalogue(pages, cfg, lambda url, headers: (200, {}, good if url.endswith("good") else bytes(damaged)))
+    rows = spark.read.parquet(f"{tmp_path}/tables/r").collect()
+    assert {(r["dataset_id"], r["record"]["n"]) for r in rows} == {("http://x/good", "1"), ("http://x/good", "2")}
+    kinds = {r["url"]: r["error_type"] for r in spark.read.parquet(f"{tmp_path}/runs").collect()}
+    assert kinds == {"http://x/good": None, "http://x/bad": "BadArchive"}
+
+
 def test_store_rejects_unknown_format(spark, tmp_path):
     with pytest.raises(ValueError):
         sinks.store_dataset(spark.range(1), str(tmp_path), "d", "xls")
