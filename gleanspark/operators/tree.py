@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -37,8 +38,9 @@ def is_leaf(node: Column | str) -> Column:
 def flatten_nodes(nodes: DataFrame, node: str = "node") -> DataFrame:
     """Leaves below each row's node: ``(other columns..., name, path, depth, data_filter)``.
 
-    Every level is an explode in place, so the walk needs no shuffle. The
-    result is written once per ``LEVELS_PER_PASS`` levels of depth.
+    Every level is an explode. Below the first level, and again where folders are
+    still open after ``LEVELS_PER_PASS`` more, the nodes are rebalanced over the
+    tasks; leaves are written once, when they are reached.
     """
     others = [c for c in nodes.columns if c != node]
     at = F.col(node)
@@ -50,12 +52,19 @@ def flatten_nodes(nodes: DataFrame, node: str = "node") -> DataFrame:
         _data_filter(at).alias("data_filter"),
         _children(at).alias("_children"),
     )
+    # What one reply holds may be most of all nodes, so its children are dealt out.
+    current = _open_folders(current, others).hint("rebalance")
+    leaves: list[DataFrame] = []
     while True:
         for _ in range(LEVELS_PER_PASS):
             current = _open_folders(current, others)
-        current = materialize(current)
-        if current.where(F.col("_children").isNotNull()).isEmpty():
-            return current.drop("_children")
+        opened = materialize(current)
+        # Finished leaves are written once; only open folders go on.
+        leaves.append(opened.where(F.col("_children").isNull()).drop("_children"))
+        rest = opened.where(F.col("_children").isNotNull())
+        if rest.isEmpty():
+            return reduce(DataFrame.unionByName, leaves)
+        current = rest.hint("rebalance")
 
 
 def _open_folders(current: DataFrame, others: Sequence[str]) -> DataFrame:
@@ -93,18 +102,20 @@ def flatten_edges(edges: DataFrame) -> DataFrame:
         F.when(F.col("_listed"), F.col("parent_id")).alias("top"),
         F.array().cast("array<string>").alias("path"),
     )
+    known = materialize(known)
+    # Finished nodes stay where they were written; only open ones are carried on.
+    finished, still_open = known.where(F.col("top").isNull()), known.where(F.col("top").isNotNull())
     for _ in range(MAX_ROUNDS):
-        known = materialize(known)
-        open_nodes = known.where(F.col("top").isNotNull())
-        if open_nodes.isEmpty():
-            return known.select("node_id", "title", "path", (F.size("path") + 1).alias("depth"), "is_leaf")
-        upper = known.select(
+        if still_open.isEmpty():
+            return finished.select("node_id", "title", "path", (F.size("path") + 1).alias("depth"), "is_leaf")
+        upper = finished.unionByName(still_open).select(
             F.col("node_id").alias("top"),
             F.col("top").alias("_next"),
             F.array_append("path", F.col("title")).alias("_above"),
         )
-        raised = _raise(open_nodes, upper)
-        known = known.where(F.col("top").isNull()).unionByName(raised)
+        raised = materialize(_raise(still_open, upper))
+        finished = finished.unionByName(raised.where(F.col("top").isNull()))
+        still_open = raised.where(F.col("top").isNotNull())
     raise ValueError("the edge list holds a cycle")
 
 

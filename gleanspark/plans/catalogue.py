@@ -42,6 +42,7 @@ class CatalogueHarvest:
     decode: turn CSV payloads and members into records, in ``download_format``
         (csv, parquet or json).
     reject_html, reject_zip_urls: count HTML payloads and ``.zip`` urls as errors.
+    fetch_partitions, max_workers: tasks that fetch, and urls each asks for at a time.
     response_order: columns that tell the last of several landed replies to a
         url; without it landed replies are taken to be unique.
     """
@@ -64,6 +65,7 @@ class CatalogueHarvest:
     max_resource_size: int = MAX_RESOURCE_SIZE
     request_headers: Mapping[str, str] = field(default_factory=dict)
     fetch_partitions: int = 200
+    max_workers: int = 1
     response_order: tuple[str, ...] = ()
 
 
@@ -147,7 +149,7 @@ def _landed_replies(
     zip_url = P.is_zip_url("url") if cfg.reject_zip_urls else F.lit(False)
     wanted = work.where(~zip_url)
     if transport is not None:
-        replies = fetch(wanted, transport, cfg.fetch_partitions, cfg.request_headers, cfg.max_resource_size)
+        replies = fetch(wanted, transport, cfg.fetch_partitions, cfg.request_headers, cfg.max_resource_size, cfg.max_workers)
     else:
         if cfg.response_order:
             responses = last_writer_wins(responses, ("url",), cfg.response_order)

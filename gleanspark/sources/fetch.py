@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from typing import Any
 
 import pandas as pd
@@ -59,21 +60,33 @@ def fetch(
     partitions: int,
     request_headers: Mapping[str, str] | None = None,
     max_size: int = MAX_RESOURCE_SIZE,
+    max_workers: int = 1,
 ) -> DataFrame:
     """One outcome row per distinct url of ``work``.
 
     Urls are made distinct first, so a url that many rows share is fetched once
     and the fetch is spread evenly. Spark may run a task again, so the transport
-    has to be idempotent; write the result before reading it twice.
+    has to be idempotent; write the result before reading it twice. A task asks
+    for up to ``max_workers`` urls at a time, and holds as many bodies.
     """
     request_headers = dict(request_headers or {})
 
+    def replies(urls: list[str]) -> Iterator[dict[str, Any]]:
+        def ask(url: str) -> dict[str, Any]:
+            return _fetch_one(url, transport, request_headers, max_size)
+
+        if max_workers <= 1:
+            yield from map(ask, urls)
+            return
+        with ThreadPoolExecutor(max_workers) as pool:
+            for first in range(0, len(urls), max_workers):
+                yield from pool.map(ask, urls[first : first + max_workers])
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rows: list[dict[str, Any]] = []
         held = 0
         for batch in batches:
-            for url in batch["url"]:
-                row = _fetch_one(url, transport, request_headers, max_size)
+            for row in replies(batch["url"].tolist()):
                 size = len(row["content"] or b"") + 1000
                 if rows and held + size > FLUSH_BYTES:
                     yield pd.DataFrame(rows, columns=columns)
@@ -84,6 +97,7 @@ def fetch(
             yield pd.DataFrame(rows, columns=columns)
 
     columns = [c.split()[0] for c in FETCH_SCHEMA.split(", ")]
-    urls = work.select("url").where(F.col("url").isNotNull()).distinct()
-    outcomes = urls.repartition(partitions, "url").mapInPandas(run, FETCH_SCHEMA)
+    # Dealt out by url before repeats are dropped, so one shuffle serves both.
+    urls = work.select("url").where(F.col("url").isNotNull()).repartition(partitions, "url").distinct()
+    outcomes = urls.mapInPandas(run, FETCH_SCHEMA)
     return outcomes.withColumn("ok", F.col("error_type").isNull())

@@ -109,7 +109,7 @@ def test_html_and_zip_urls_can_be_refused(spark, tmp_path):
         assert not url.endswith("ZIP")
         return 200, {}, b"<!DOCTYPE html><p>" if url.endswith("b") else b"a\n1\n"
 
-    cfg = settings(tmp_path, "r", reject_html=True, reject_zip_urls=True)
+    cfg = settings(tmp_path, "r", reject_html=True, reject_zip_urls=True, max_workers=4)
     assert [tuple(r) for r in harvest_catalogue(pages, cfg, reply).collect()] == [("r", 1, 2, 3)]
     kinds = {r["url"]: r["error_type"] for r in spark.read.parquet(f"{tmp_path}/runs").collect()}
     assert kinds == {"http://x/a.ZIP": "IsZIPError", "http://x/b": "IsHTMLError", "http://x/c": None}
