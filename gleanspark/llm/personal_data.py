@@ -12,6 +12,7 @@ patterns are the labels.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -43,7 +44,7 @@ _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
 _NUMBER = re.compile(r"\+?\(?[0-9](?:[\x20()./_-]{0,2}[0-9])+")
-_TOKEN = re.compile(r"\S*@\S*")
+_TOKEN = re.compile(r"\S+")
 #: Digits from which a number is a site.
 _SITE_DIGITS = 9
 _FEATURES = 17
@@ -136,7 +137,7 @@ def find_sites(texts: list[str], bases: list[list[tuple[int, int, str]]]) -> Sit
         found = [(a, b, k) for a, b, k in base]
         taken = [(a, b) for a, b, _ in base]
         if "@" in text:
-            found += [(m.start(), m.end(), None) for m in _TOKEN.finditer(text)]
+            found += [(m.start(), m.end(), None) for m in _TOKEN.finditer(text) if "@" in m.group()]
         if _DIGIT.search(text):
             found += [(m.start(), m.end(), None) for m in _NUMBER.finditer(text)]
         taken.sort()
@@ -148,7 +149,7 @@ def find_sites(texts: list[str], bases: list[list[tuple[int, int, str]]]) -> Sit
         seen_to = -1
         for a, b, kind in sorted(found, key=lambda s: (s[0], s[2] is None, -s[1])):
             if kind is None:
-                i = int(np.searchsorted(starts, b)) - 1
+                i = bisect_left(starts, b) - 1
                 # What a base span touches is that span's site; what an earlier site covers is part of it.
                 if (i >= 0 and reach[i] > a) or a < seen_to:
                     continue

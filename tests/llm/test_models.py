@@ -140,6 +140,9 @@ def test_base_spans_equal_the_patterns():
 
 
 def test_long_runs_take_linear_time():
+    draws = ("a" * 200_000 + " @ " + "b" * 200_000, "1234567890 x@y " * 20_000)
+    for text in draws:
+        personal_data.find_sites([text], [personal_data.base_spans(text)])
     for text in ("a" * 200_000, "1" * 200_000, "1." * 100_000, "+1 " + "(" * 100_000, "a@" * 50_000, "1 " * 50_000):
         personal_data.base_spans(text)
 
@@ -248,6 +251,12 @@ def test_parser_closes_what_html_leaves_open():
     assert len(tree.elements()[0].elements()) == 2 and len(tree.elements()[3].elements()) == 2
 
 
+def test_deep_nesting_keeps_its_text():
+    page = "<article>" + "".join(f"<div><b>w{i} " for i in range(3000)) + "</article>"
+    blocks = wrappers.extract(page, wrappers.induce([page]))
+    assert " ".join(blocks).split() == [f"w{i}" for i in range(3000)]
+
+
 def test_pipeline(spark, documents, tmp_path):
     import corpus_pipeline
 
