@@ -20,6 +20,8 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Bytes, not rows, bound what a Python worker holds at a time; a longer row is a batch of its own.
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(8 * 2**20),
 }
 
 
