@@ -84,12 +84,13 @@ def solve(found: np.ndarray, labels: list[str], landmarks: np.ndarray, ridge: fl
     languages = sorted(set(labels))
     if not languages:
         return LanguageModel([], np.zeros((len(ORDERS) * BUCKETS, 0), dtype=np.float32))
-    rows = scaled(found)
-    base = rows[landmarks]
+    base = scaled(found[landmarks])
     values, vectors = np.linalg.eigh((base @ base.T).astype(np.float64))
     kept = values > 1e-6 * values.max()
     whitening = vectors[:, kept] / np.sqrt(values[kept])
-    features = (rows @ base.T).astype(np.float64) @ whitening
+    # In batches, as a scaled row takes 32 times the memory of its bits.
+    kernel = np.concatenate([scaled(found[i : i + _BATCH]) @ base.T for i in range(0, len(found), _BATCH)])
+    features = kernel.astype(np.float64) @ whitening
     targets = np.where(np.array(labels)[:, None] == np.array(languages)[None, :], 1.0, -1.0)
     # Each language weighs alike, however many rows it gave.
     share = {lang: labels.count(lang) for lang in languages}
@@ -132,14 +133,15 @@ def fit(
     rows = labelled.join(chosen, "doc_id").select("lang", "rank", "text")
     got = rows.mapInArrow(bits, "lang string, rank int, bits binary").collect()
     got.sort(key=lambda r: (r["lang"], r["rank"], bytes(r["bits"])))
-    found = np.array([np.unpackbits(np.frombuffer(r["bits"], dtype=np.uint8)) for r in got], dtype=bool)
+    packed = np.frombuffer(b"".join(r["bits"] for r in got), dtype=np.uint8).reshape(-1, len(ORDERS) * BUCKETS // 8)
+    found = np.unpackbits(packed, axis=1).view(bool)
     first = np.array([i for i, r in enumerate(got) if r["rank"] <= landmarks], dtype=np.int64)
     if not len(first):
         first = np.arange(len(got))
     return solve(found, [r["lang"] for r in got], first, ridge)
 
 
-def learn_from(doc_id: Column, folds: int, held: int) -> Column:
+def is_held_out(doc_id: Column, folds: int, held: int) -> Column:
     """Whether a row is held out: crc32 of the id as text, modulo ``folds``, is ``held``."""
     return F.coalesce(F.pmod(F.crc32(doc_id.cast("string")), F.lit(folds)) == held, F.lit(False))
 
@@ -158,7 +160,7 @@ def identify(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.col("text").cast("string").alias("text"),
         F.col(lang_col).cast("string").alias("lang"),
-    ).withColumn("held_out", learn_from(F.col("doc_id"), folds, held))
+    ).withColumn("held_out", is_held_out(F.col("doc_id"), folds, held))
     if model is None:
         model = fit(texts.where("doc_id is not null and lang is not null and not held_out").select("doc_id", "text", "lang"))
     shared = docs.sparkSession.sparkContext.broadcast(model)

@@ -12,7 +12,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text looked at together; a longer text is a piece of its own.
-PIECE_BYTES = 2 << 20
+PIECE_BYTES = 1 << 20
 #: Words hashed together, which bounds the temporary arrays for very long texts.
 _BLOCK_WORDS = 1 << 17
 

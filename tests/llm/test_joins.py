@@ -128,7 +128,7 @@ def brute_hits(rows, items, size=13):
         w, hit, names = words(text), set(), set()
         for k in range(len(w)):
             for n in {len(x) for x in windows}:
-                if tuple(w[k : k + n]) in windows:
+                if k + n <= len(w) and tuple(w[k : k + n]) in windows:
                     hit.update(range(k, k + n))
                     names |= windows[tuple(w[k : k + n])]
         digest = hashlib.sha256(",".join(sorted(names)).encode()).hexdigest()
