@@ -38,7 +38,7 @@ COUNTED_TOKENS = 8_000_000
 REPORTED = 2
 #: A token is put last if reports say that at least one in so many documents holds it.
 #: Their number is thus at most this times the mean set size, whatever the input.
-FREQUENT_PARTS = 10_000
+FREQUENT_PARTS = 20_000
 #: Rounds of comparing sets with their lists' leaders.
 LEADER_ROUNDS = 2
 
@@ -295,7 +295,8 @@ def similar_sets(
     often = (tokens[order], np.minimum(65535, 512 * np.log2(counts[order])).astype(np.uint16))
 
     filled = sets.where("n > 0 and doc_id is not null")
-    classes = filled.groupBy("key_1", "key_2", "n").agg(F.min("doc_id").alias("class_id"))
+    # Written, so that the join meets plain tables on both sides and a hot key can be split.
+    classes = materialize(filled.groupBy("key_1", "key_2", "n").agg(F.min("doc_id").alias("class_id")))
     members = materialize(filled.join(classes, ["key_1", "key_2", "n"]).select("doc_id", "class_id"))
     copies = materialize(members.where("doc_id > class_id").select("doc_id").distinct())
     single = pick(texts.where("doc_id is not null"), copies, how="left_anti")
