@@ -117,6 +117,22 @@ def test_scores_of_awkward_rows(documents):
     assert suffix_tree.language_model_scores(documents([])).count() == 0
 
 
+def test_scores_of_repeated_and_null_ids(documents):
+    rows = sentences(60)
+    rare = [(70, "w1 unseen1 unseen1 unseen2"), (70, "w1 unseen1 unseen1 unseen2"), (70, "w2 unseen3"), (None, "w3 unseen4 w4"), (None, "unseen5")]
+    docs = documents(rows + rare)
+    # Where 70 is held out nothing is learned from it.
+    held = [k for k in range(7) if held_out(70, 7, k)][0]
+    found = suffix_tree.language_model_scores(docs, held=held).collect()
+    words = [(i, [w for w in re.split(r"[\x20\x09-\x0D]+", t.translate(LOWER)) if w] + [None]) for i, t in rows + rare]
+    counts = Counter(w for i, ws in words if i is not None and not held_out(i, 7, held) for w in ws)
+    n, v = sum(counts.values()), len(counts)
+    wanted = [(i or -1, len(ws), sum(w in counts for w in ws), sum(math.log10((counts[w] + 1) / (n + v + 1)) for w in ws)) for i, ws in words]
+    got = [(r.doc_id or -1, r.n_tokens, r.n_known, r.base_score) for r in found]
+    assert [g[:3] for g in sorted(got)] == [w[:3] for w in sorted(wanted)]
+    assert [g[3] for g in sorted(got)] == pytest.approx([w[3] for w in sorted(wanted)], abs=1e-9)
+
+
 def brute_spans(text):
     found = [(m.start(), m.end(), "email") for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text)]
     for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", text):
