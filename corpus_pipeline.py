@@ -26,9 +26,9 @@ def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents stay whose text is in a language: those found undetermined, without a letter or a text, go."""
+    """Documents stay whose text can be in a language: those without a letter or a text go, whatever was learned."""
     _prepare(spark)
-    found = language.identify(docs).where(F.col("lang_pred") == language.UNDETERMINED)
+    found = language.identify(docs).where("no_letters")
     # A row without id cannot be told by it; its own text decides.
     nameless = F.col("doc_id").isNull() & ~F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
     return _without(docs, found.select("doc_id")).where(~nameless)

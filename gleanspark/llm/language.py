@@ -149,11 +149,12 @@ def is_held_out(doc_id: Column, folds: int, held: int) -> Column:
 def identify(
     docs: DataFrame, model: LanguageModel | None = None, lang_col: str = "lang", folds: int = 5, held: int = 0
 ) -> DataFrame:
-    """One row per document: ``doc_id, held_out, lang_pred, score``.
+    """One row per document: ``doc_id, held_out, lang_pred, score, no_letters``.
 
     Without a ``model`` one is fitted on the labelled rows that are not held
     out. A null text, or one without a letter, is ``und`` with score 0; so is
-    every text when there is nothing to learn from. Rows without id or label
+    every text when there is nothing to learn from; ``no_letters`` tells the two
+    apart. Rows without id or label
     are predicted but not learned from; repeated rows are predicted each.
     """
     texts = docs.select(
@@ -169,11 +170,15 @@ def identify(
         for whole in batches:
             for low in range(0, len(whole), _BATCH):
                 batch = whole.slice(low, _BATCH)
-                names, scores = shared.value.predict(batch.column(2).to_pylist())
+                given = batch.column(2).to_pylist()
+                names, scores = shared.value.predict(given)
+                # Without languages nothing was predicted, and the texts are still to be looked at.
+                known = shared.value.languages
+                empty = [n == UNDETERMINED for n in names] if known else [not letters(t) for t in given]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), batch.column(1), pa.array(names, pa.string()), pa.array(scores, pa.float64())],
-                    names=["doc_id", "held_out", "lang_pred", "score"],
+                    [batch.column(0), batch.column(1), pa.array(names, pa.string()), pa.array(scores, pa.float64()), pa.array(empty, pa.bool_())],
+                    names=["doc_id", "held_out", "lang_pred", "score", "no_letters"],
                 )
 
     rows = texts.select("doc_id", "held_out", "text")
-    return rows.mapInArrow(predict, "doc_id long, held_out boolean, lang_pred string, score double")
+    return rows.mapInArrow(predict, "doc_id long, held_out boolean, lang_pred string, score double, no_letters boolean")

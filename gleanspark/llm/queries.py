@@ -47,7 +47,7 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return language.identify(_table(spark, sf_dir, "documents"))
+    return language.identify(_table(spark, sf_dir, "documents")).drop("no_letters")
 
 
 def op7_suffix_tree_scores(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -296,3 +296,14 @@ def test_pipeline_of_no_rows(spark, documents, tmp_path):
     documents([]).write.parquet(str(tmp_path / "documents.parquet"))
     spark.createDataFrame([], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+@pytest.mark.parametrize("lang", [lambda i: None, lambda i: "en" if i is not None and held_out(i, 5, 0) else None])
+def test_pipeline_without_labels_to_learn_from(spark, documents, tmp_path, lang):
+    import corpus_pipeline
+
+    rows = [(i, f"plain text number {i} " + invented("a", i)) for i in range(12)] + [(20, "12 34"), (21, None), (None, "words without an id")]
+    documents(rows, lang=lang).write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    found = corpus_pipeline.run(spark, str(tmp_path))
+    assert {r.doc_id for r in found.select("doc_id").distinct().collect()} == {*range(12), None}
