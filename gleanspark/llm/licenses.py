@@ -3,7 +3,7 @@
 Every rolling pair of words of a text is joined by hash to the places of the
 templates. Hits of one template with the same offset lie on a diagonal; diagonals
 next to each other (words put in or left out) are merged, and a merged span is
-verified by the part of the template it holds.
+verified by the part of the template's words it holds.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from gleanspark.llm.tables import read_texts
 GRAM_WORDS = 2
 #: Diagonals no further apart than this are one span.
 NEAR_DIAGONALS = 2
-#: A template is found from this part of its grams on.
+#: A template is found from this part of its words on: every statement with one word changed, added or missing.
 MIN_COVERAGE = 0.8
 
 #: Phrases that count by themselves, as they stand.
@@ -57,8 +57,22 @@ def gram_hashes(words: Column) -> Column:
     return F.slice(pairs, 1, F.greatest(F.size(words) - 1, F.lit(0)))
 
 
+#: Places of the words around a pair, from its first word on.
+_AROUND = (-2, -1, 2, 3)
+
+
+def grams_and_neighbours(words: Column, hashes: Column) -> Column:
+    """Per pair its ``hash`` and the hashes of the two words before and behind it; one more without a hash at the end."""
+    closed = F.concat(gram_hashes(words), F.array(F.lit(None).cast("long")))
+    none, n = F.lit(None).cast("long"), F.greatest(F.size(words), F.lit(1))
+    # Shifted as whole arrays, so that the cost stays linear wherever the optimizer puts it.
+    shifted = [F.slice(F.concat(F.array(*[none] * -k), hashes) if k < 0 else F.slice(hashes, k + 1, n), 1, n) for k in _AROUND]
+    fields = ",".join(f"at{i}:bigint" for i in range(len(_AROUND)))
+    return F.arrays_zip(closed, *shifted).cast(f"array<struct<hash:bigint,{fields}>>")
+
+
 def template_grams(spark: SparkSession, base: list[tuple[str, str]], statements: list[tuple[str, str]]) -> DataFrame:
-    """``(hash, template, label, is_base, place, n_grams)``; as large as the templates given."""
+    """``(hash, template, label, is_base, place, n_grams)`` and the words around; as large as the templates given."""
     both = [(label, text, True) for label, text in base] + [(label, text, False) for label, text in statements]
     rows = F.array(
         *[
@@ -66,12 +80,28 @@ def template_grams(spark: SparkSession, base: list[tuple[str, str]], statements:
             for i, (label, text, b) in enumerate(both)
         ]
     )
-    listed = spark.range(1).select(F.inline(rows)).withColumn("grams", gram_hashes(word_list(F.col("text"))))
-    return listed.select(
-        "template", "label", "is_base", F.size("grams").alias("n_grams"), F.posexplode("grams").alias("place", "hash")
+    listed = spark.range(1).select(F.inline(rows)).withColumn("words", word_list(F.col("text")))
+    listed = listed.withColumn("hashes", F.transform("words", lambda w: F.xxhash64(w))).withColumn("grams", gram_hashes(F.col("words")))
+    return listed.select("template", "label", "is_base", "hashes", F.size("grams").alias("n_grams"), F.posexplode("grams").alias("place", "hash")).select(
+        "template",
+        "label",
+        "is_base",
+        "n_grams",
+        "place",
+        "hash",
+        *[F.when(F.col("place") + k >= 0, F.get("hashes", F.col("place") + k)).alias(f"own{n}") for n, k in enumerate(_AROUND)],
     )
 
 
+def _held_words() -> Column:
+    """Places of the template's words that a hit of a pair holds, with words next to it across one changed, added or missing word."""
+    place = F.col("place")
+    # (text word, template word): changed, added, missing; before the pair and behind it.
+    seen = [(0, 0), (0, 1), (1, 0), (3, 3), (3, 2), (2, 3)]
+    across = [F.when(F.col(f"at{t}") == F.col(f"own{o}"), place + _AROUND[o]) for t, o in seen]
+    return F.filter(F.array(place, place + 1, *across), lambda p: p.isNotNull())
+
+
 def license_spans(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -84,64 +114,71 @@ def license_spans(
     """One row per document: ``doc_id, n_words, spans``, the spans as ``(label, is_base, start, words, coverage)``.
 
     ``start`` counts words from 0. Base phrases are whole and consecutive;
-    statements hold ``min_coverage`` of their template's word pairs within a
-    band of near diagonals. The words of a text are cut once, and only hits,
+    statements hold ``min_coverage`` of their template's words, in order within a
+    band of near diagonals. A word counts with a pair that is held, or next to one
+    across a single other word. Of statements on the same words those with the
+    largest coverage, and then the most words, are taken. The words of a text are cut once, and only hits,
     and one row per document, are shuffled.
 
-    A null or empty text has no words and no spans. An id stands for one text:
-    a repeated row gives its result again. Rows without id count their words
-    but are not searched. No rows give no rows.
+    A null or empty text has no words and no spans. Every row is searched by
+    itself, whether its id is null, repeated or neither. No rows give no rows.
     """
     templates = F.broadcast(template_grams(docs.sparkSession, base, statements))
-    texts = read_texts(docs, id_col, text_col).withColumn("w", word_list(F.col("text")))
-    grams = texts.select("doc_id", F.size("w").cast("long").alias("n_words"), gram_hashes(F.col("w")).alias("g"))
+    texts = read_texts(docs, id_col, text_col).withColumn("row_key", F.monotonically_increasing_id()).withColumn("w", word_list(F.col("text")))
+    texts = texts.withColumn("h", F.transform("w", lambda w: F.xxhash64(w)))
     # The null behind the grams gives each document a row of its own.
-    rolling = grams.select("doc_id", "n_words", F.posexplode(F.concat("g", F.array(F.lit(None).cast("long")))).alias("pos", "hash"))
-    hits = rolling.join(templates, "hash", "left").where(F.col("hash").isNull() | (F.col("template").isNotNull() & F.col("doc_id").isNotNull()))
+    grams = texts.select("row_key", "doc_id", F.size("w").cast("long").alias("n_words"), grams_and_neighbours(F.col("w"), F.col("h")).alias("g"))
+    # Never empty; the outer form keeps the optimizer from cutting the words once more for a filter.
+    rolling = grams.select("row_key", "doc_id", "n_words", F.posexplode_outer("g").alias("pos", "gram")).select("row_key", "doc_id", "n_words", "pos", "gram.*")
+    hits = rolling.join(templates, "hash", "left").where(F.col("hash").isNull() | F.col("template").isNotNull())
+    hits = hits.withColumn("held", F.when(F.col("template").isNotNull(), _held_words()))
     # Per document, template and diagonal; a place of the template is on a diagonal once.
-    diagonals = hits.groupBy("doc_id", "template", "label", "is_base", "n_grams", (F.col("pos") - F.col("place")).alias("diagonal")).agg(
+    diagonals = hits.groupBy(
+        "row_key", "doc_id", "template", "label", "is_base", "n_grams", (F.col("pos") - F.col("place")).alias("diagonal")
+    ).agg(
         F.collect_set("place").alias("places"),
+        F.collect_set("held").alias("held"),
         F.min("pos").alias("first"),
         F.max("pos").alias("last"),
         # Rows of the document itself have no template, and their word count.
         F.first("n_words").alias("n_words"),
-        F.count(F.lit(1)).alias("rows"),
     )
-    by_template = Window.partitionBy("doc_id", "template").orderBy("diagonal")
+    by_template = Window.partitionBy("row_key", "template").orderBy("diagonal")
     step = F.coalesce(F.col("diagonal") - F.lag("diagonal").over(by_template), F.lit(0))
     # A base phrase is whole on its own diagonal, so bands of those are not merged.
     apart = F.when(F.col("is_base") | (step > near), 1).otherwise(0)
     bands = diagonals.withColumn("band", F.sum(apart).over(by_template)).groupBy(
-        "doc_id", "template", "label", "is_base", "n_grams", "band"
+        "row_key", "doc_id", "template", "label", "is_base", "n_grams", "band"
     )
     found = bands.agg(
-        F.size(F.array_distinct(F.flatten(F.collect_list("places")))).alias("covered"),
+        F.size(F.array_distinct(F.flatten(F.collect_list("places")))).alias("pairs"),
+        F.size(F.array_distinct(F.flatten(F.flatten(F.collect_list("held"))))).alias("covered"),
         F.min("first").alias("start"),
         F.max("last").alias("end"),
         F.first("n_words").alias("n_words"),
-        F.max("rows").alias("rows"),
-    ).withColumn("coverage", F.col("covered") / F.col("n_grams"))
-    whole = F.col("is_base") & (F.col("covered") == F.col("n_grams"))
+    ).withColumn("coverage", F.when(F.col("is_base"), F.col("pairs") / F.col("n_grams")).otherwise(F.col("covered") / (F.col("n_grams") + 1)))
+    whole = F.col("is_base") & (F.col("pairs") == F.col("n_grams"))
     held = ~F.col("is_base") & (F.col("coverage") >= min_coverage)
     span = F.struct(
         "label", "is_base", F.col("start").cast("long").alias("start"), (F.col("end") - F.col("start") + GRAM_WORDS).cast("long").alias("words"), "coverage"
     )
-    own = F.col("template").isNull()
-    per_doc = found.groupBy("doc_id").agg(
-        F.max(F.when(own, F.col("n_words"))).alias("n_words"),
-        F.max(F.when(own, F.col("rows"))).alias("rows"),
-        F.array_sort(F.collect_list(F.when(whole | held, span))).alias("spans"),
-    )
-    # Rows without id are many documents, of which each has its own count.
-    nameless = texts.where("doc_id is null").select("doc_id", F.size("w").cast("long").alias("n_words"))
-    none = F.array().cast(per_doc.schema["spans"].dataType)
-    return (
-        per_doc.where("doc_id is not null")
-        .select("doc_id", "n_words", "spans", F.explode(F.array_repeat(F.lit(1), F.col("rows").cast("int"))))
-        .drop("col")
-        .unionByName(nameless.withColumn("spans", none))
+    per_doc = found.groupBy("row_key", "doc_id").agg(
+        F.max(F.when(F.col("template").isNull(), F.col("n_words"))).alias("n_words"),
+        F.collect_list(F.when(whole, span)).alias("phrases"),
+        F.collect_list(F.when(held, F.struct(span.alias("span"), "covered"))).alias("statements"),
     )
 
+    def is_best(s: Column) -> Column:
+        def better(o: Column) -> Column:
+            a, b = o["span"], s["span"]
+            meet = (a["start"] < b["start"] + b["words"]) & (b["start"] < a["start"] + a["words"])
+            return meet & (F.struct(a["coverage"], o["covered"]) > F.struct(b["coverage"], s["covered"]))
+
+        return ~F.exists("statements", better)
+
+    best = F.transform(F.filter("statements", is_best), lambda s: s["span"])
+    return per_doc.select("doc_id", "n_words", F.array_sort(F.concat("phrases", best)).alias("spans"))
+
 
 def summary(spans: DataFrame) -> DataFrame:
     """Counts, labels and a score of :func:`license_spans`: the largest coverage, 1 for a base phrase."""

@@ -223,6 +223,34 @@ def test_license_phrases_and_statements(documents):
     assert licenses.license_spans(documents([])).count() == 0
 
 
+def test_statements_with_one_word_changed_added_or_missing(documents):
+    rows, wanted = [], {}
+    for label, text in licenses.STATEMENTS:
+        words = text.split()
+        for at in range(1, len(words) - 1):
+            for edited in (words[:at] + ["xyz"] + words[at + 1 :], words[:at] + ["xyz"] + words[at:], words[:at] + words[at + 1 :]):
+                # LGPL without its "lesser" is the GPL.
+                wanted[len(rows)] = "gpl" if label == "lgpl" and "lesser" not in edited else label
+                rows.append((len(rows), "before it " + " ".join(edited) + " and after"))
+    exact = len(rows)
+    rows += [(exact + i, f"this is {text} as said") for i, (_, text) in enumerate(licenses.STATEMENTS)]
+    rows += [(1000, "the mit license"), (1001, "released under a mit style permit"), (1002, "the public of the public domain has been")]
+    found = {r.doc_id: r for r in licenses.summary(licenses.license_spans(documents(rows))).collect()}
+    assert [i for i, label in wanted.items() if label not in found[i].labels.split(",")] == []
+    # Of statements alike in all but a word the one that fits best is taken.
+    for i, (label, _) in enumerate(licenses.STATEMENTS):
+        assert set(found[exact + i].labels.split(",")) - set(found[exact + i].base_labels.split(",")) <= {label}
+        assert label in found[exact + i].labels.split(",")
+    assert {found[i].labels for i in (1000, 1001, 1002)} == {""}
+
+
+def test_every_row_is_searched_for_licenses(documents):
+    rows = [(None, "code under CC BY here"), (None, "All rights reserved"), (4, "cc by"), (4, "general public license"), (4, "nothing")]
+    found = licenses.summary(licenses.license_spans(documents(rows))).collect()
+    got = sorted((r.doc_id or -1, r.n_words, r.n_base, r.base_labels) for r in found)
+    assert got == [(-1, 3, 1, "reserved"), (-1, 5, 1, "cc-by"), (4, 1, 0, ""), (4, 2, 1, "cc-by"), (4, 3, 1, "gpl")]
+
+
 def test_license_scan_stays_on_the_jvm(documents):
     plan = licenses.summary(licenses.license_spans(documents(AWKWARD)))._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow|Cartesian", plan)
