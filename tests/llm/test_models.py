@@ -301,6 +301,16 @@ def test_deep_nesting_keeps_its_text():
     assert " ".join(blocks).split() == [f"w{i}" for i in range(3000)]
 
 
+def test_end_tags_and_furniture_below_deep_nesting():
+    deep = "<font>" * 400 + "".join(f"<div>w{i}</div>" for i in range(50)) + "<nav>menu</nav><aside>beside</aside>"
+    page = f"<div class=wrap><article><p>first</p>{deep}</article></div><div class=other><p>not of it</p></div>"
+    blocks = wrappers.extract(page, wrappers.induce([page]))
+    assert blocks == ["first", *(f"w{i}" for i in range(50))]
+    # Neither depth nor unmatched end tags take more than linear time.
+    page = "<article>" + "<div>" * 50_000 + "end" + "</b>" * 50_000 + "</article>"
+    assert wrappers.extract(page, wrappers.induce([page])) == ["end"]
+
+
 def test_pipeline(spark, documents, tmp_path):
     import corpus_pipeline
 
