@@ -311,6 +311,33 @@ def test_end_tags_and_furniture_below_deep_nesting():
     assert wrappers.extract(page, wrappers.induce([page])) == ["end"]
 
 
+@pytest.mark.parametrize(
+    "before, after",
+    [
+        ("<body class='has-sidebar'><article>", "</article></body>"),
+        ("<div class='content right-sidebar'>", "</div>"),
+        ("<div class='right-sidebar'><main>", "</main></div>"),
+        ("<div class='page right-sidebar'>", "</div>"),
+        ("<article class='post no-comments'>", "</article>"),
+        ("<article><section id='social-impact'>", "</section></article>"),
+        ("<article><div class='notice'>", "</div></article>"),
+        ("<section id='search'>", "</section>"),
+    ],
+)
+def test_words_of_a_class_do_not_drop_the_content(before, after):
+    inner = "<h2 id='related-work'>Related work {0}</h2><p>What was found {0} about it.</p>"
+    beside = "<div class='sidebar'><p>side</p></div><div class='ad-box'>buy</div>"
+    pages = [f"<html>{beside}{before}{inner.format(i)}{after}</html>" for i in range(6)]
+    wrapper = wrappers.induce(pages)
+    for i, page in enumerate(pages):
+        assert wrappers.extract(page, wrapper) == [f"Related work {i}", f"What was found {i} about it."]
+
+
+def test_links_in_an_article_stay_furniture():
+    page = "<article><p>text of it</p><div class='share'><a href=x>tell</a> <a href=y>others</a></div></article>"
+    assert wrappers.extract(page, wrappers.induce([page])) == ["text of it"]
+
+
 def test_pipeline(spark, documents, tmp_path):
     import corpus_pipeline
 
