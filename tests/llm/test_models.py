@@ -301,6 +301,18 @@ def test_deep_nesting_keeps_its_text():
     assert " ".join(blocks).split() == [f"w{i}" for i in range(3000)]
 
 
+def test_template_of_a_layout_that_few_pages_have(web):
+    """Of 150 pages of a host 10 are of a forum, whose constant block no sample of 4 pages needs to hold."""
+    rows = [(i, f"http://h.org/{i}", f"<html><body><div class=a><p>Read {i} {'words ' * 9}</p></div></body></html>") for i in range(140)]
+    forum = "<html><body><div class=f><p>Post {0} {1}</p><div class=rules><p>Be kind to all others</p></div></div></body></html>"
+    rows += [(200 + i, f"http://h.org/{200 + i}", forum.format(i, "said " * 9)) for i in range(10)]
+    # A page that is repeated is one page, and not template by that.
+    rows += [(300, "http://e.org/1", "<html><body><div class=b><p>Only text of it</p></div></body></html>")] * 6
+    found = {r.page_id: r.text for r in wrappers.main_texts(web(rows), sample=4).collect()}
+    assert all(found[200 + i] == f"Post {i} " + " ".join(["said"] * 9) for i in range(10))
+    assert all(found[i].startswith(f"Read {i} words") for i in range(140)) and found[300] == "Only text of it"
+
+
 def test_end_tags_and_furniture_below_deep_nesting():
     deep = "<font>" * 400 + "".join(f"<div>w{i}</div>" for i in range(50)) + "<nav>menu</nav><aside>beside</aside>"
     page = f"<div class=wrap><article><p>first</p>{deep}</article></div><div class=other><p>not of it</p></div>"
