@@ -26,7 +26,7 @@ def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
 def canonical(frame: pd.DataFrame) -> list[tuple]:
     frame = frame[sorted(frame.columns)]
     columns = [
-        ["~" if v is None or v is pd.NaT or (isinstance(v, float) and v != v) else _text(v) for v in frame[c]]
+        ["~" if v is None or v is pd.NaT or v is pd.NA or (isinstance(v, float) and v != v) else _text(v) for v in frame[c]]
         for c in frame.columns
     ]
     return sorted(zip(*columns))
@@ -46,7 +46,10 @@ def differences(spark, con, name: str, sf_dir: str) -> list[str]:
     if sorted(actual.columns) != sorted(expected.columns):
         return [f"columns {sorted(actual.columns)} != {sorted(expected.columns)}"]
     for column in actual.columns:
+        # A whole number that may be null comes as float64 from Spark, as Int64 from DuckDB.
         kinds = [re.sub(r"\[.*\]", "", str(f[column].dtype)) for f in (actual, expected)]
+        if expected[column].isna().any():
+            kinds = [{"Int64": "float64"}.get(kind, kind) for kind in kinds]
         if kinds[0] != kinds[1]:
             problems.append(f"dtype {column}: {actual[column].dtype} != {expected[column].dtype}")
     left, right = canonical(actual), canonical(expected)
