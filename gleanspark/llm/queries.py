@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleanspark.llm import decontaminate, exact_dedup, jaccard, language, licenses, packing, personal_data, substring, suffix_tree, wrappers
+from gleanspark.llm import decontaminate, exact_dedup, jaccard, language, licenses, packing, personal_data, quality, spelling, substring, suffix_tree, treap, wrappers
 from gleanspark.session import configure
 
 
@@ -66,6 +66,18 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.repeated_passages(_table(spark, sf_dir, "documents")).drop("spans")
 
 
+def op11_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op12_treap_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return treap.ranked_search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_personal_data": op1_personal_data,
     "op2_license_scan": op2_license_scan,
@@ -77,6 +89,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_html_main_text": op9_html_main_text,
     "op10_substring_dedup": op10_substring_dedup,
+    "op11_compression_quality": op11_compression_quality,
+    "op12_treap_search": op12_treap_search,
+    "op13_spelling_variants": op13_spelling_variants,
 }
 
 _OP5 = r"""
@@ -168,9 +183,88 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_
 FROM d LEFT JOIN lost USING (doc_id) LEFT JOIN kept USING (doc_id)
 """
 
+_OP12 = rf"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents
+),
+size AS (
+  SELECT count(*) FILTER (len(w) > 0) AS n_docs, CAST(coalesce(sum(len(w)), 0) AS BIGINT) AS n_terms FROM d
+),
+tf AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(w) AS term FROM d) GROUP BY ALL),
+weight AS (
+  SELECT term, CAST(floor(1000 * ln((2 * any_value(n_docs) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+  FROM tf, size GROUP BY term
+),
+measure AS (SELECT doc_id, 100 - 90 + ((90 * len(w) * n_docs) // n_terms) AS m FROM d, size WHERE len(w) > 0),
+asked AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark
+),
+scored AS (
+  SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+  FROM asked JOIN tf USING (term) JOIN weight USING (term) JOIN measure USING (doc_id) GROUP BY ALL
+),
+ranked AS (
+  SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS place, doc_id, score
+  FROM scored WHERE score > 0
+)
+SELECT item_id, CAST(place AS INTEGER) AS rank, doc_id, score FROM ranked WHERE place <= 10
+"""
+
+# DuckDB has no crc32: a table of its 256 steps, folded over the bytes of every text hashed.
+_OP13 = r"""
+WITH RECURSIVE step(b, c, k) AS (
+  SELECT b, b, 0 FROM range(256) t(b)
+  UNION ALL
+  SELECT b, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, k + 1 FROM step WHERE k < 8
+),
+crc AS (SELECT list(c ORDER BY b) AS steps FROM step WHERE k = 8),
+run AS (
+  SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS r
+  FROM documents
+),
+counted AS (SELECT doc_id, r, count(*) AS n, hex(encode(doc_id || ':' || r)) AS x FROM run WHERE length(r) >= 5 GROUP BY ALL),
+hashed AS (
+  SELECT r, n, xor(list_reduce(
+    list_prepend(4294967295, list_transform(range(0, length(x) // 2), lambda i: CAST('0x' || x[2 * i + 1 : 2 * i + 2] AS BIGINT))),
+    lambda c, b: xor(c >> 8, steps[(xor(c, b) & 255) + 1])), 4294967295) AS h
+  FROM counted, crc
+),
+word AS (
+  SELECT word, CAST(sum(n) AS BIGINT) AS n
+  FROM (SELECT CASE WHEN h % 97 = 0 THEN r[1 : h % length(r)] || r[h % length(r) + 2 :] ELSE r END AS word, n FROM hashed)
+  WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3
+),
+cut AS (
+  SELECT word, n, i, word[1 : i - 1] || word[i + 1 :] AS rest
+  FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM word)
+),
+near AS (
+  SELECT a.word, b.word AS other, b.n AS m FROM cut a JOIN cut b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM cut a JOIN word b ON a.rest = b.word
+  UNION SELECT b.word, a.word, a.n FROM cut a JOIN word b ON a.rest = b.word
+),
+best AS (
+  SELECT word, count(*) AS n_near, arg_min(other, (-m, other)) AS other, max(m) AS m FROM near GROUP BY word
+),
+formed AS (
+  SELECT word.word, CASE WHEN m >= 2 * n THEN other END AS form, n, coalesce(n_near, 0) AS n_near,
+         CASE WHEN m >= 2 * n THEN m END AS form_n
+  FROM word LEFT JOIN best USING (word)
+),
+path(word, stop) AS (
+  SELECT word, word FROM formed
+  UNION ALL SELECT path.word, form FROM path JOIN formed ON formed.word = path.stop WHERE form IS NOT NULL
+),
+last AS (SELECT path.word, stop AS root FROM path JOIN formed ON formed.word = path.stop WHERE form IS NULL)
+SELECT word, form, root, n, n_near, form_n FROM formed JOIN last USING (word)
+"""
+
 ORACLES: dict[str, str] = {
     "op3_ngram_jaccard": _OP3,
     "op4_benchmark_decontamination": _OP4,
     "op5_exact_dedup": _OP5,
     "op10_substring_dedup": _OP10,
+    "op12_treap_search": _OP12,
+    "op13_spelling_variants": _OP13,
 }
