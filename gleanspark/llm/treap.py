@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gleanspark.llm.tables import materialize, read_texts
-from gleanspark.llm.words import NOT_ALNUM, find_words, hash_words, lower
+from gleanspark.llm.words import NOT_ALNUM, find_words, hash_words, lower, text_pieces
 from gleanspark.session import PAYLOAD_OPTIONS, small_batches
 
 TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
@@ -40,16 +40,9 @@ ITEM_CHARS = 1 << 22
 #: Pairs of items and terms that descend side by side.
 _PAIRS = 1 << 15
 _NO_ID = np.iinfo(np.int64).max
-_INDEX_OPTIONS = {**PAYLOAD_OPTIONS, "parquet.block.size": str(32 << 20)}
-
-
-def _texts(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """The bytes of all texts, A-Z in lower case, and their bounds; null is empty."""
-    column = pc.fill_null(column.cast(pa.large_string()), "")
-    bounds = np.frombuffer(column.buffers()[1], dtype=np.int64)[column.offset : column.offset + len(column) + 1]
-    buffer = column.buffers()[2]
-    data = np.frombuffer(buffer, dtype=np.uint8) if buffer is not None else np.zeros(0, dtype=np.uint8)
-    return lower(data[bounds[0] : bounds[-1]]), bounds - bounds[0]
+#: Bytes of text whose documents are a block; a longer text is a block of its own.
+BLOCK_BYTES = 1 << 22
+_INDEX_OPTIONS = {**PAYLOAD_OPTIONS, "parquet.block.size": str(16 << 20), "compression": "zstd"}
 
 
 def _slices(data: np.ndarray, limit: int) -> Iterator[tuple[int, int]]:
@@ -376,26 +369,85 @@ class Search:
 # --- the index as a table -------------------------------------------------------------------------
 
 _NUMBERS = {
-    "ids": np.int64, "hashes": np.uint64, "term_bounds": np.int32, "letters": np.uint8, "df": np.int32, "begins": np.int64,
-    "keys": np.int64, "best": np.int32, "child": np.int32, "sides": np.uint8, "low": np.int32, "high": np.int32,
-    "doc": np.int32, "impact": np.int32,
+    "ids": np.int64, "measure": np.int64, "hashes": np.uint64, "term_sizes": np.int32, "letters": np.uint8, "df": np.int32,
+    "begins": np.int64, "keys": np.int64, "best": np.int32, "sides": np.uint8, "sizes": np.int32, "doc": np.int32, "count": np.int32,
 }
-_TREE = ("begins", "keys", "best", "child", "sides", "low", "high", "doc", "impact")
+#: Kept as differences, which are small.
+_STEPS = ("ids", "hashes", "keys", "doc")
 _INDEX = ", ".join(["levels int", "row_levels int", "row_bits int", *(f"{name} binary" for name in _NUMBERS)])
 
 
+def _pack(name: str, values: np.ndarray) -> bytes:
+    """Bytes of equal weight together, which compression makes small."""
+    values = np.ascontiguousarray(values, dtype=_NUMBERS[name])
+    if name in _STEPS:
+        values = np.diff(values, prepend=values.dtype.type(0))
+    return values.view(np.uint8).reshape(-1, values.itemsize).T.tobytes()
+
+
+def _read(batch: pa.RecordBatch, row: int, name: str) -> np.ndarray:
+    kind = np.dtype(_NUMBERS[name])
+    data = np.frombuffer(batch.column(batch.schema.get_field_index(name))[row].as_buffer(), dtype=np.uint8)
+    values = np.ascontiguousarray(data.reshape(kind.itemsize, -1).T).view(kind).ravel()
+    return np.cumsum(values, dtype=kind) if name in _STEPS else values
+
+
+def impacts(count: np.ndarray, measure: np.ndarray) -> np.ndarray:
+    """The part of a posting in a score that its term's weight is taken times."""
+    return (1_000_000_000 * count) // (1000 * count + 8 * measure)
+
+
+def _write_block(ids: np.ndarray, measure: np.ndarray, found: Postings, row: np.ndarray, doc: np.ndarray, count: np.ndarray) -> list:
+    """The columns of a block. What follows from others is left out: impacts, children, places, the maxima of single postings."""
+    tree = build(ids, row, doc, impacts(count, measure[doc]), len(found.hashes))
+    sizes = tree.high - tree.low
+    columns = {
+        "ids": ids, "measure": measure, "hashes": found.hashes, "term_sizes": np.diff(found.bounds), "letters": found.letters,
+        "df": np.bincount(row, minlength=len(found.hashes)), "begins": tree.begins, "keys": tree.keys, "best": tree.best[sizes != 1],
+        "sides": tree.sides, "sizes": sizes, "doc": doc, "count": count,
+    }
+    return [tree.levels, tree.row_levels, tree.row_bits, *(_pack(name, columns[name]) for name in _NUMBERS)]
+
+
+def _read_block(batch: pa.RecordBatch, row: int) -> Treap:
+    levels, row_levels, row_bits = (batch.column(i)[row].as_py() for i in range(3))
+    ids, measure, begins, keys, stored, sides, sizes, doc, count = (
+        _read(batch, row, name) for name in ("ids", "measure", "begins", "keys", "best", "sides", "sizes", "doc", "count")
+    )
+    impact = impacts(count.astype(np.int64), measure[doc])
+    first = int(begins[row_levels])
+    children = (sides & 1) + (sides >> 1)
+    child = np.full(len(sides), -1, dtype=np.int64)
+    if len(begins) > row_levels + 1:
+        child[first:] = begins[row_levels + 1] + np.cumsum(children[first:], dtype=np.int64) - children[first:]
+    child[children == 0] = -1
+    low = np.zeros(len(sides), dtype=np.int64)
+    for level in range(row_levels, len(begins) - 1):
+        here = np.arange(begins[level], begins[level + 1])
+        if level == row_levels:
+            low[here] = np.cumsum(sizes[here], dtype=np.int64) - sizes[here]
+        left, right = here[sides[here] & 1 > 0], here[sides[here] & 2 > 0]
+        low[child[left]] = low[left]
+        beside = (sides[right] & 1).astype(np.int64)
+        low[child[right] + beside] = low[right] + beside * sizes[child[right]]
+    best = np.zeros(len(sides), dtype=np.int64)
+    best[sizes != 1] = stored
+    best[sizes == 1] = impact[low[sizes == 1]]
+    return Treap(ids, levels, row_levels, row_bits, begins, keys, best, child, sides, low, low + sizes, doc, impact)
+
+
 def totals(docs: DataFrame) -> tuple[int, int]:
     """``(N, L)``: the texts with a term, and all terms."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         documents = terms = 0
         for batch in batches:
-            data, bounds = _texts(batch.column(0))
-            sizes = np.zeros(len(batch), dtype=np.int64)
-            for _, starts, _, doc in _words(data, bounds, SLICE_BYTES):
-                sizes += np.bincount(doc, minlength=len(sizes))
-            documents += int((sizes > 0).sum())
-            terms += int(sizes.sum())
+            for _, data, bounds in text_pieces(batch.column(0)):
+                sizes = np.zeros(len(bounds) - 1, dtype=np.int64)
+                for _, starts, _, doc in _words(data, bounds, SLICE_BYTES):
+                    sizes += np.bincount(doc, minlength=len(sizes))
+                documents += int((sizes > 0).sum())
+                terms += int(sizes.sum())
         yield pa.RecordBatch.from_arrays([pa.array([documents]), pa.array([terms])], names=["documents", "terms"])
 
     counted = docs.select("text").mapInArrow(count, "documents long, terms long")
@@ -406,45 +458,34 @@ def totals(docs: DataFrame) -> tuple[int, int]:
 def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, int]:
     """The treaps of all documents, a written table with a row per block, and the number of texts with a term.
 
-    A block is what Spark gives a task at a time: 10,000 rows or 8 MB of text, or
-    one longer text. Every row is indexed, with all its terms.
+    A block is a run of rows with ``BLOCK_BYTES`` of text, of what Spark hands a
+    task at a time, or one longer text. Every row is indexed, with all its terms.
     """
     texts = read_texts(docs, id_col, text_col)
     documents, terms = totals(texts)
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if not len(batch):
-                continue
-            ids = pc.fill_null(batch.column(0), _NO_ID).to_numpy(zero_copy_only=False)
-            order = np.argsort(ids, kind="stable")
-            data, bounds = _texts(batch.column(1))
-            found = postings(data, bounds)
-            place = np.empty(len(ids), dtype=np.int64)
-            place[order] = np.arange(len(ids))
-            row, doc, count, sizes = found.row, place[found.doc], found.count, found.sizes[order]
-            if (order[1:] < order[:-1]).any():
-                by = np.lexsort((doc, row))
-                row, doc, count = row[by], doc[by], count[by]
-            measure = length_measure(sizes, documents, terms)
-            impact = (1_000_000_000 * count) // (1000 * count + 8 * measure[doc])
-            tree = build(ids[order], row, doc, impact, len(found.hashes))
-            columns = {name: getattr(tree, name) for name in ("ids", *_TREE)}
-            columns |= {"hashes": found.hashes, "term_bounds": found.bounds, "letters": found.letters}
-            columns["df"] = np.bincount(row, minlength=len(found.hashes))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([n], pa.int32()) for n in (tree.levels, tree.row_levels, tree.row_bits)]
-                + [pa.array([columns[name].astype(kind).tobytes()], pa.binary()) for name, kind in _NUMBERS.items()],
-                names=["levels", "row_levels", "row_bits", *_NUMBERS],
-            )
+            for at, data, bounds in text_pieces(batch.column(1), BLOCK_BYTES):
+                ids = pc.fill_null(batch.column(0).slice(at, len(bounds) - 1), _NO_ID).to_numpy(zero_copy_only=False)
+                order = np.argsort(ids, kind="stable")
+                found = postings(lower(data), bounds)
+                place = np.empty(len(ids), dtype=np.int64)
+                place[order] = np.arange(len(ids))
+                row, doc, count = found.row, place[found.doc], found.count
+                if (order[1:] < order[:-1]).any():
+                    by = np.lexsort((doc, row))
+                    row, doc, count = row[by], doc[by], count[by]
+                measure = length_measure(found.sizes[order], documents, terms)
+                block = _write_block(ids[order], measure, found, row, doc, count)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([v], pa.int32() if isinstance(v, int) else pa.binary()) for v in block],
+                    names=["levels", "row_levels", "row_bits", *_NUMBERS],
+                )
 
     return materialize(texts.mapInArrow(index, _INDEX), _INDEX_OPTIONS), documents
 
 
-def _read(batch: pa.RecordBatch, row: int, name: str) -> np.ndarray:
-    return np.frombuffer(batch.column(batch.schema.get_field_index(name))[row].as_buffer(), dtype=_NUMBERS[name])
-
-
 @dataclass
 class Terms:
     """The distinct terms of the items searched for, by hash."""
@@ -465,7 +506,8 @@ class Terms:
 
     def rows(self, batch: pa.RecordBatch, row: int) -> np.ndarray:
         """The row of each term in a block, or -1; equal hashes are told apart by their letters."""
-        hashes, bounds, letters = (_read(batch, row, name) for name in ("hashes", "term_bounds", "letters"))
+        hashes, term_sizes, letters = (_read(batch, row, name) for name in ("hashes", "term_sizes", "letters"))
+        bounds = np.concatenate(([0], np.cumsum(term_sizes, dtype=np.int64)))
         out = np.full(len(self.hashes), -1, dtype=np.int64)
         if not len(hashes):
             return out
@@ -473,7 +515,7 @@ class Terms:
         sizes = np.diff(self.bounds)
         same = np.flatnonzero((hashes[spot] == self.hashes) & (bounds[spot + 1] - bounds[spot] == sizes))
         if len(same):
-            theirs, _ = _gather(letters, bounds[spot[same]].astype(np.int64), sizes[same])
+            theirs, _ = _gather(letters, bounds[spot[same]], sizes[same])
             ours, heads = _gather(self.letters, self.bounds[:-1][same], sizes[same])
             same = same[np.add.reduceat((theirs != ours).astype(np.int64), heads[:-1]) == 0]
         out[same] = spot[same]
@@ -495,11 +537,12 @@ def _search(index: DataFrame, documents: int, items: list[tuple[int, list[str]]]
         for batch in batches:
             for row in range(len(batch)):
                 rows = shared.value.rows(batch, row)
-                found += np.where(rows >= 0, _read(batch, row, "df")[rows], 0) if len(_read(batch, row, "df")) else 0
+                some = rows >= 0
+                found[some] += _read(batch, row, "df")[rows[some]]
         some = np.flatnonzero(found)
         yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array(found[some], pa.int64())], names=["term", "df"])
 
-    vocabulary = index.select("hashes", "term_bounds", "letters", "df")
+    vocabulary = index.select("hashes", "term_sizes", "letters", "df")
     # One row for each term of these items, whose number is bounded with them.
     counted = vocabulary.mapInArrow(frequencies, "term long, df long").groupBy("term").agg(F.sum("df").alias("df")).collect()
     weights = np.zeros(len(names), dtype=np.int64)
@@ -519,8 +562,7 @@ def _search(index: DataFrame, documents: int, items: list[tuple[int, list[str]]]
                 rows = shared.value.rows(batch, row)[term_of]
                 if (rows < 0).all():
                     continue
-                shape = [batch.column(batch.schema.get_field_index(name))[row].as_py() for name in ("levels", "row_levels", "row_bits")]
-                search.meet(Treap(_read(batch, row, "ids"), *shape, *(_read(batch, row, name) for name in _TREE)), rows)
+                search.meet(_read_block(batch, row), rows)
         item, place = np.nonzero(search.scores)
         found = search.ids[item, place]
         yield pa.RecordBatch.from_arrays(
