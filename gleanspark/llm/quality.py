@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -125,30 +126,34 @@ def _constant(counts: dict[int, int]) -> QualityModel:
 
 
 def fit(
-    labelled: DataFrame,
+    texts: DataFrame,
+    marks: DataFrame,
     training: int = TRAINING_PER_LABEL,
     per_document: int = PIECES_PER_DOCUMENT,
     piece_bytes: int = PIECE_BYTES,
     dictionary_bytes: int = DICTIONARY_BYTES,
     level: int = LEVEL,
 ) -> QualityModel:
-    """Fit on ``(doc_id, text, label)`` with labels 0 and 1.
+    """Fit on the ``texts`` ``(doc_id, text)`` that ``marks`` ``(doc_id, label)`` label 0 or 1.
 
-    Of each label the ``training`` documents whose ids hash lowest are taken; the
-    choice is cut per task before the shuffle. Rows that repeat an id and label
-    count once. The driver gets ``per_document`` pieces of every other document
-    and two numbers of each of the rest. The shares of the labels are those of
-    all labelled rows.
+    Of each label the ``training`` documents whose ids hash lowest are taken, by
+    ids alone; only theirs are the texts that move. Rows that repeat an id and
+    label count once. The driver gets ``per_document`` pieces of every other
+    document and two numbers of each of the rest. The shares of the labels are
+    those of all labelled rows.
     """
-    spark = labelled.sparkSession
-    ids = materialize(labelled.select("doc_id", "label").distinct())
+    spark = texts.sparkSession
+    ids = materialize(marks.distinct().join(texts.select("doc_id"), "doc_id", "left_semi"))
     counts = {r["label"]: r["n"] for r in ids.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     if len(counts) < 2:
         return _constant(counts)
-    rank = F.row_number().over(Window.partitionBy("label").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    chosen = ids.withColumn("rank", rank).where(F.col("rank") <= training)
+    # Ids that hash low enough, some four times as many as are taken, so that few are ranked.
+    spot = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30))
+    low = reduce(lambda c, n: c.when(F.col("label") == n, spot < (4 * training << 30) // counts[n]), counts, F)
+    rank = F.row_number().over(Window.partitionBy("label").orderBy(spot, "doc_id"))
+    chosen = ids.where(low).withColumn("rank", rank).where(F.col("rank") <= training)
     # At most `training` ids of each label; of texts that share an id one, the smallest.
-    sample = labelled.join(F.broadcast(chosen), ["doc_id", "label"])
+    sample = texts.join(F.broadcast(chosen), "doc_id")
     sample = materialize(sample.groupBy("label", "rank").agg(F.min("text").alias("text")))
 
     def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -212,7 +217,7 @@ def quality_scores(
     if model is None:
         marks = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("label"))
         marks = marks.where("doc_id is not null and label in (0, 1)").where(~is_held_out(F.col("doc_id"), folds, held)).distinct()
-        model = fit(texts.join(marks, "doc_id"))
+        model = fit(texts, marks)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
