@@ -9,6 +9,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import zstandard
 
@@ -159,7 +160,7 @@ def test_search_of_awkward_rows(documents, benchmark):
 
 
 def test_search_of_many_copies_keeps_the_smallest_ids(documents, benchmark):
-    docs = [(i, "one passage that all share") for i in range(3000, 0, -1)] + [(0, "something else")]
+    docs = [(i, "one passage that all share") for i in range(3000, 0, -1)] + [(10_000 + i, f"other {i}") for i in range(3000)]
     found = search_rows(treap.ranked_search(documents(docs, partitions=7), benchmark([(1, "a passage to share")])))
     assert [r[2] for r in sorted(found, key=lambda r: r[1])] == list(range(1, 11))
 
@@ -192,6 +193,7 @@ def test_cells_hold_the_maxima_and_searches_are_exact(n_docs, n_rows, n):
     rows = np.array([r for held in asked for r in held])
     search = treap.Search(item_of, np.array([weights[r] for r in rows], dtype=np.int64), len(asked), 5)
     search.meet(tree, rows)
+    assert [s.size for s in (search.scores, search.ids)] == [100, 100]
     for i, held in enumerate(asked):
         total = Counter()
         for r, d, v in zip(row, doc, impact):
@@ -212,6 +214,22 @@ def test_postings_do_not_depend_on_the_slices():
         assert np.array_equal(getattr(whole, name), getattr(cut, name)), name
 
 
+def test_a_block_is_read_as_it_was_written():
+    texts = [t for _, t in invented_docs(300, seed=6)]
+    data = np.frombuffer("".join(texts).encode(), dtype=np.uint8)
+    bounds = np.concatenate(([0], np.cumsum([len(t.encode()) for t in texts])))
+    found = treap.postings(data, bounds)
+    ids, measure = np.arange(300) * 7 - 5, treap.length_measure(found.sizes, 300, int(found.sizes.sum()))
+    block = treap._write_block(ids, measure, found, found.row, found.doc, found.count)
+    batch = pa.RecordBatch.from_arrays([pa.array([v]) for v in block], names=["levels", "row_levels", "row_bits", *treap._NUMBERS])
+    tree = treap.build(ids, found.row, found.doc, treap.impacts(found.count, measure[found.doc]), len(found.hashes))
+    read = treap._read_block(batch, 0)
+    lower = slice(tree.begins[tree.row_levels], None)
+    for name in ("ids", "begins", "keys", "best", "sides", "doc", "impact"):
+        assert np.array_equal(getattr(read, name), getattr(tree, name)), name
+    assert all(np.array_equal(getattr(read, n)[lower], getattr(tree, n)[lower]) for n in ("child", "low", "high"))
+
+
 def test_lengths_are_exact_beyond_64_bits():
     sizes = np.array([10**9, 3], dtype=np.int64)
     assert treap.length_measure(sizes, 10**12, 10**15).tolist() == [10 + 90 * 10**9 * 10**12 // 10**15, 10 + 90 * 3 // 1000]
