@@ -56,18 +56,58 @@ def test_land_dataset_rows(spark, limit):
     assert failures.isEmpty()
 
 
+@pytest.mark.parametrize("limit", [-1, 33, 1000])
+def test_a_portal_that_caps_pages_loses_nothing(spark, limit):
+    def capped(url, headers):
+        status, sent, body = rows_transport(url, headers)
+        return status, sent, json.dumps(json.loads(body)[:3]).encode()
+
+    datasets = spark.createDataFrame([(name,) for name in SIZES] * 2, "dataset_id string")
+    rows, failures = land_dataset_rows(datasets, "https://p.org/", capped, limit, 10, 4, 3)
+    found = sorted((r["dataset_id"], r["row_idx"], r["record"]["n"]) for r in rows.collect())
+    assert found == sorted((n, i, str(i)) for n, size in SIZES.items() for i in range(size if limit == -1 else min(size, limit)))
+    assert failures.isEmpty()
+
+
+def test_a_portal_that_sends_more_than_asked_for(spark):
+    def generous(url, headers):
+        return rows_transport(re.sub(r"limit=(\d+)", lambda m: f"limit={int(m.group(1)) + 2}", url), headers)
+
+    rows, _ = land_dataset_rows(spark.createDataFrame([("long",)], "dataset_id string"), "https://p.org", generous, -1, 5, 3, 2)
+    assert sorted(r["row_idx"] for r in rows.collect()) == list(range(47))
+
+
 def test_failed_row_requests_are_reported(spark):
     def transport(url, headers):
         return (500, {}, b"") if "$offset=5" in url else rows_transport(url, headers)
 
-    datasets = spark.createDataFrame([("even",)], "dataset_id string")
+    datasets = spark.createDataFrame([("even",), (None,)], "dataset_id string")
     rows, failures = land_dataset_rows(datasets, "https://p.org", transport, -1, 5, 2, 2)
-    assert sorted(r["row_idx"] for r in rows.collect()) == [0, 1, 2, 3, 4]
-    assert [(r["dataset_id"], r["offset"], r["status"]) for r in failures.collect()] == [("even", 5, 500)]
+    assert sorted(r["row_idx"] for r in rows.collect()) == [*range(5), *range(10, 20)]
+    assert {(r["dataset_id"], r["offset"], r["status"]) for r in failures.collect()} == {("even", 5, 500)}
+    down = land_dataset_rows(datasets, "https://p.org", lambda url, headers: (503, {}, b""), -1, 5, 2, 2)
+    assert down[0].isEmpty() and {r["status"] for r in down[1].collect()} == {503}
     rows, failures = land_dataset_rows(datasets.limit(0), "https://p.org", transport)
     assert rows.isEmpty() and failures.isEmpty()
 
 
+def test_jobs_do_not_grow_with_the_dataset(spark):
+    asked = spark.sparkContext.accumulator(0)
+
+    def endless(size):
+        def transport(url, headers):
+            limit, offset = (int(n) for n in re.search(r"limit=(\d+)&\$offset=(\d+)", url).groups())
+            asked.add(1)
+            return 200, {}, json.dumps([{"n": i} for i in range(offset, min(offset + limit, size))]).encode()
+
+        return transport
+
+    rows, _ = land_dataset_rows(spark.createDataFrame([("d",)], "dataset_id string"), "https://p.org", endless(20_000), -1, 100, 8, 4)
+    assert rows.count() == 20_000 == rows.select("row_idx").distinct().count()
+    # 200 full pages, and of probes and empty pages no more than a few rounds.
+    assert asked.value <= 200 + 60
+
+
 def test_land_topics(spark):
     mart = {"label": '<span class="martOwner">o</span><span class="martName">m</span>', "martId": "7"}
     topic = {"label": '<span class="topic">t</span>', "childNodes": [mart]}
