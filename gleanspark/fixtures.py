@@ -81,6 +81,27 @@ SELECT concat('DB_', o_orderpriority) AS database_id,
   CASE o_orderstatus WHEN 'F' THEN 500 ELSE 200 END AS status,
   concat('["C', CAST(o_custkey AS STRING), '","O', CAST(o_orderkey AS STRING), '"]') AS body
 FROM orders""",
+    # Requests for rows, one per order: pages that leave gaps and that overlap.
+    "fx_row_pages": """
+SELECT o_orderpriority AS dataset_id, o_orderkey * 10 AS page_offset, 6 + o_custkey % 9 AS page_rows FROM orders""",
+    "fx_places": """
+SELECT event_id, event_type, value, (event_id * 7919) % 180001 / 1000.0e0 - 90 AS lat, (event_id * 104729) % 359999 / 1000.0e0 - 180 AS lon
+FROM events""",
+    "fx_circles": """
+SELECT c_custkey, (c_custkey * 6007) % 180001 / 1000.0e0 - 90 AS center_lat, (c_custkey * 15013) % 359999 / 1000.0e0 - 180 AS center_lon,
+  50000.0e0 * (1 + c_custkey % 9) AS radius
+FROM customer""",
+    # Dates as five portals write them, by kind of event: day first, month first, either, both, and with other layouts.
+    "fx_mixed_dates": """
+SELECT event_id, event_type AS kind, d, m, y, CASE CASE event_type WHEN 'click' THEN 0 WHEN 'view' THEN 1 WHEN 'purchase' THEN 2 WHEN 'error' THEN 3 ELSE 4 END
+  WHEN 0 THEN concat(CAST(d AS STRING), '/', CAST(m AS STRING), '/', CAST(y AS STRING))
+  WHEN 1 THEN concat(CAST(m AS STRING), '/', CAST(d AS STRING), '/', CAST(y AS STRING))
+  WHEN 2 THEN concat(CAST(1 + d % 12 AS STRING), '-', CAST(m AS STRING), '-', CAST(y AS STRING))
+  WHEN 3 THEN CASE WHEN event_id % 11 = 0 THEN 'n/a' WHEN event_id % 2 = 0 THEN concat(CAST(d AS STRING), '/', CAST(m AS STRING), '/', CAST(y AS STRING))
+    ELSE concat(CAST(m AS STRING), '/', CAST(d AS STRING), '/', CAST(y AS STRING)) END
+  ELSE CASE WHEN event_id % 3 = 0 THEN concat(CAST(y AS STRING), '-', CAST(m AS STRING), '-', CAST(d AS STRING))
+    ELSE concat(' ', CAST(d AS STRING), '.', CAST(m AS STRING), '.', CAST(y AS STRING)) END END AS cell
+FROM (SELECT event_id, event_type, 1 + event_id % 28 AS d, 1 + (event_id * 7) % 12 AS m, 2000 + event_id % 25 AS y FROM events)""",
     # Catalogue entries of tabular datasets, one per part.
     "fx_entries": """
 SELECT concat('ds-', CAST(p_partkey AS STRING)) AS dataset_id, p_size,

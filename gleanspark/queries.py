@@ -18,10 +18,10 @@ from pyspark.sql import types as T
 
 from gleanspark import fixtures
 from gleanspark.functions import payload, predicates, text, types
-from gleanspark.operators import positions, resources, responses, tree, typed
+from gleanspark.operators import coverage, dates, positions, resources, responses, spatial, tree, typed
 from gleanspark.plans import CatalogueHarvest, harvest_catalogue, harvest_indicators
-from gleanspark.session import checkpoint_dir, configure, spread
-from gleanspark.sources import catalog, datasets, indicators, payloads, topics
+from gleanspark.session import checkpoint_dir, configure, materialize, spread
+from gleanspark.sources import catalog, datasets, indicators, payloads, search, topics
 from gleanspark.sources.fetch import fetch
 from gleanspark.sources.portals import portals
 
@@ -1152,6 +1152,110 @@ def q_dataset_catalog(read, spark):
     return datasets.scan_dataset_catalog(entries, 300, 20).select("dataset_id")
 
 
+_STRIPE = 4096
+
+
+@query(
+    f"""SELECT dataset_id, kind, greatest(a, k * {_STRIPE}) AS start, least(b, (k + 1) * {_STRIPE}) AS stop FROM (
+  SELECT dataset_id, CASE WHEN start > reach THEN 'gap' ELSE 'overlap' END AS kind, least(start, reach) AS a,
+    CASE WHEN start > reach THEN start ELSE least(stop, reach) END AS b, least(start, reach) // {_STRIPE} AS low
+  FROM (SELECT *, coalesce(max(stop) OVER (PARTITION BY dataset_id ORDER BY start, stop
+      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS reach FROM (
+    SELECT DISTINCT dataset_id, page_offset AS start, page_offset + page_rows AS stop FROM fx_row_pages)))
+  f(dataset_id, kind, a0, b, low0), LATERAL (SELECT a0) l(a), LATERAL (SELECT unnest(range(a // {_STRIPE}, (b - 1) // {_STRIPE} + 1)) AS k)
+WHERE b > a""",
+    ("fx_row_pages",),
+)
+def q_row_coverage(read, spark):
+    """Gaps and overlaps of the pages of every dataset; few datasets hold all pages."""
+    pages = read("fx_row_pages").select("dataset_id", F.col("page_offset").alias("offset"), F.col("page_rows").alias("rows"))
+    return coverage.row_coverage(pages, stripe=_STRIPE)
+
+
+@query(
+    """SELECT event_type, n, highest FROM (SELECT event_type, count(*) AS n, max(value) AS highest FROM fx_places
+  WHERE value > 10 AND lat BETWEEN -40 AND 60 AND (lon >= 100 OR lon <= -100) AND event_type <> 'view' GROUP BY event_type HAVING count(*) > 5)""",
+    ("fx_places",),
+)
+def q_portal_query(read, spark):
+    """A row query in the portal's own parameters, with an area across the date line."""
+    return datasets.portal_query(
+        read("fx_places"),
+        {
+            "$select": "event_type, count(*) AS n, max(value) AS highest",
+            "$where": "value > 10 AND within_box(lat, lon, 60, 100, -40, -100) AND event_type <> 'view'",
+            "$group": "event_type",
+            "$having": "count(*) > 5",
+        },
+    )
+
+
+@query(
+    """SELECT c_custkey, event_id FROM fx_circles JOIN fx_places ON abs(lat - center_lat) <= 5 AND 2 * 6371008.8e0 * asin(least(1.0e0, sqrt(
+  pow(sin(radians(center_lat - lat) / 2), 2) + cos(radians(lat)) * cos(radians(center_lat)) * pow(sin(radians(center_lon - lon) / 2), 2)))) <= radius""",
+    ("fx_places", "fx_circles"),
+)
+def q_within_circle(read, spark):
+    """Every place in every circle, met by grid cell."""
+    return spatial.match_circles(read("fx_places"), read("fx_circles"), 200_000.0).select("c_custkey", "event_id")
+
+
+_PACKAGE_WORDS = """SELECT CAST(l_orderkey AS VARCHAR) AS id, unnest(regexp_extract_all(lower(p_name || ' ' || p_type), '[\\p{L}\\p{N}]+')) AS term
+  FROM lineitem JOIN part ON l_partkey = p_partkey"""
+
+
+def _order_packages(read) -> DataFrame:
+    """Orders as packages whose text are the names of their parts, in any order."""
+    named = read("lineitem").join(read("part"), F.col("l_partkey") == F.col("p_partkey"))
+    named = named.select(F.col("l_orderkey").cast("string").alias("id"), F.concat_ws(" ", "p_name", "p_type").alias("name"))
+    return named.groupBy("id").agg(F.array_join(F.collect_list("name"), " ").alias("notes"))
+
+
+@query(
+    f"""WITH word AS ({_PACKAGE_WORDS}), size AS (SELECT id, count(*) AS size FROM word GROUP BY id),
+  total AS (SELECT CAST(count(*) AS DOUBLE) AS n, avg(size) AS mean FROM size),
+  tf AS (SELECT id, term, count(*) AS tf FROM word GROUP BY ALL),
+  idf AS (SELECT term, ln(1 + (any_value(n) - count(*) + 0.5e0) / (count(*) + 0.5e0)) AS idf FROM tf, total GROUP BY term),
+  asked AS (SELECT DISTINCT p_partkey AS search_id, unnest(regexp_extract_all(lower(p_name), '[\\p{{L}}\\p{{N}}]+')) AS term FROM part WHERE p_size = 7),
+  scored AS (SELECT search_id, id, CAST(sum(CAST(floor(1000000 * idf * tf * 2.2e0 / (tf + 1.2e0 * (0.25e0 + 0.75e0 * size / mean))) AS BIGINT)) AS BIGINT) AS score
+    FROM asked JOIN tf USING (term) JOIN idf USING (term) JOIN size USING (id), total GROUP BY ALL)
+SELECT search_id, CAST(place AS INTEGER) AS rank, id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY search_id ORDER BY score DESC, id) AS place FROM scored) WHERE place BETWEEN 3 AND 12"""
+)
+def q_search_ranked(read, spark):
+    """Free-text package search: the second page of ten for the names of all parts of one size."""
+    index = materialize(search.postings(_order_packages(read), "notes"))
+    searches = read("part").where("p_size = 7").select(F.col("p_partkey").alias("search_id"), F.col("p_name").alias("q"))
+    return search.search_ranked(index, searches, rows=10, start=2)
+
+
+@query(
+    """SELECT facet, value, count(*) AS n FROM (
+  SELECT 'organization' AS facet, p_brand AS value FROM part
+  UNION ALL SELECT 'size', CAST(p_size AS VARCHAR) FROM part
+  UNION ALL SELECT 'tags', unnest(list_distinct(string_split(p_name || ' ' || lower(p_type) || ' ' || p_name, ' '))) FROM part)
+WHERE value <> '' GROUP BY ALL"""
+)
+def q_facets(read, spark):
+    """Packages by organisation, size and tags, counted in one pass."""
+    tags = F.split(F.concat_ws(" ", "p_name", F.lower("p_type"), "p_name"), " ")
+    return search.facets(read("part"), {"organization": F.col("p_brand"), "size": F.col("p_size"), "tags": tags})
+
+
+@query(
+    """SELECT event_id, CAST(CASE WHEN a > 31 THEN make_date(a, b, c) WHEN a IS NULL THEN NULL
+  WHEN (day_first AND b <= 12) OR a > 12 THEN make_date(c, b, a) ELSE make_date(c, a, b) END AS TIMESTAMP) AS cast_value
+FROM (SELECT *, coalesce(bool_or(a <= 31 AND a > 12) OVER (PARTITION BY kind), false)
+    AND NOT coalesce(bool_or(a <= 12 AND b > 12) OVER (PARTITION BY kind), false) AS day_first
+  FROM (SELECT event_id, kind, TRY_CAST(parts[1] AS INTEGER) AS a, TRY_CAST(parts[2] AS INTEGER) AS b, TRY_CAST(parts[3] AS INTEGER) AS c
+    FROM (SELECT event_id, kind, string_split_regex(trim(cell), '[^0-9]') AS parts FROM fx_mixed_dates)))""",
+    ("fx_mixed_dates",),
+)
+def q_cast_mixed(read, spark):
+    """Dates whose column decides the order of day and month."""
+    return dates.cast_mixed_columns(read("fx_mixed_dates"), ("kind",), "cell", "cast_value").select("event_id", "cast_value")
+
+
 # --- indicators ------------------------------------------------------------
 
 

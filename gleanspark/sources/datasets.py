@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gleanspark.functions.geo import register_portal_functions
 from gleanspark.operators.positions import limit_indexed_rows, limit_ordered
 from gleanspark.operators.unnest import unnest
 from gleanspark.sources.catalog import matching
@@ -102,6 +103,36 @@ def dataset_query(
     return found if group or not select else found.selectExpr(*select)
 
 
+def portal_query(rows: DataFrame, parameters: Mapping[str, Any]) -> DataFrame:
+    """The portal's row query with its own parameters: ``$select``, ``$where``, ``$group``, ``$having``, ``$order``,
+    ``$limit``, ``$offset``, and values that columns must have.
+
+    The clauses are SQL texts and go to Spark's parser as they are; the
+    portal's filters by area (``within_box``, ``within_circle``) are functions of the
+    session. Filters and columns reach the scan as in any other query. A limit
+    or an offset needs an order.
+    """
+    spark = rows.sparkSession
+    register_portal_functions(spark)
+    clauses = {name: value for name, value in parameters.items() if name.startswith("$")}
+    unknown = set(clauses) - {"$select", "$where", "$group", "$having", "$order", "$limit", "$offset"}
+    if unknown:
+        raise ValueError(f"unknown parameters: {sorted(unknown)}")
+    if ("$limit" in clauses or "$offset" in clauses) and "$order" not in clauses:
+        raise ValueError("a limit or an offset needs an order")
+    found = matching(rows, {name: value for name, value in parameters.items() if name not in clauses})
+    parts = []
+    for name, keyword in (("$where", "WHERE"), ("$group", "GROUP BY"), ("$having", "HAVING"), ("$order", "ORDER BY")):
+        if name in clauses:
+            parts.append(f"{keyword} {clauses[name]}")
+    for name, keyword in (("$limit", "LIMIT"), ("$offset", "OFFSET")):
+        if name in clauses:
+            parts.append(f"{keyword} {int(clauses[name])}")
+    # Braces of the clauses would be taken for the names of tables.
+    select, rest = (text.replace("{", "{{").replace("}", "}}") for text in (str(clauses.get("$select", "*")), " ".join(parts)))
+    return spark.sql(f"SELECT {select} FROM {{rows}} {rest}", rows=found)
+
+
 def read_dataset_files(
     spark: SparkSession, path: str, wire_format: str, schema: T.StructType | None = None, row_tag: str = "row"
 ) -> DataFrame:
