@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 from gleanspark import fixtures
 from gleanspark.functions import payload, predicates, text, types
 from gleanspark.operators import coverage, dates, positions, resources, responses, spatial, tree, typed
-from gleanspark.plans import CatalogueHarvest, harvest_catalogue, harvest_indicators
+from gleanspark.plans import CatalogueHarvest, DatasetHarvest, harvest_catalogue, harvest_datasets, harvest_indicators
 from gleanspark.session import checkpoint_dir, configure, materialize, spread
 from gleanspark.sources import catalog, datasets, indicators, payloads, search, topics
 from gleanspark.sources.fetch import fetch
@@ -1152,6 +1152,21 @@ def q_dataset_catalog(read, spark):
     return datasets.scan_dataset_catalog(entries, 300, 20).select("dataset_id")
 
 
+@query(
+    """SELECT kind AS dataset_id, count(*) AS n_rows, false AS type_error, count(*) FILTER (event_id % 997 = 5) = 0 AS ok,
+  CASE WHEN count(*) FILTER (event_id % 997 = 5) > 0 THEN '[DATASET:' || kind || '][ERROR:' || count(*) FILTER (event_id % 997 = 5)
+    || ' requests failed, status 500][TYPE:HTTPResourceError]' END AS error_record FROM fx_cells GROUP BY kind""",
+    ("fx_cells",),
+)
+def q_dataset_outcomes(read, spark):
+    """A whole dataset harvest to JSON: cast records, failed requests, and outcomes read back from the run log."""
+    settings = DatasetHarvest(_destination(spark), cast_datatypes=True, fmt="json", run_name="r")
+    failed = read("fx_cells").where("event_id % 997 = 5")
+    failures = failed.select(F.col("kind").alias("dataset_id"), F.col("event_id").alias("offset"), F.lit("u").alias("url"), F.lit(500).alias("status"))
+    harvest_datasets(_cell_entries(read), _records(read), settings, failures)
+    return spark.read.parquet(f"{settings.destination}/runs").drop("run_name")
+
+
 _STRIPE = 4096
 
 

@@ -148,7 +148,7 @@ def records(spark):
 
 def test_harvest_datasets(spark, entries, records, tmp_path):
     cfg = DatasetHarvest(str(tmp_path), max_rows=3, cast_datatypes=True)
-    summary = {r["dataset_id"]: tuple(r)[1:] for r in harvest_datasets(entries, records, cfg).collect()}
+    summary = {r["dataset_id"]: tuple(r)[1:4] for r in harvest_datasets(entries, records, cfg).collect()}
     assert summary == {"d1": (3, False, True), "d2": (1, True, True), "d3": (0, False, False)}
     stored = spark.read.parquet(f"{tmp_path}/datasets")
     rows = stored.where("dataset_id = 'd1'").orderBy("row_idx").selectExpr("to_json(record)", "schema_of_variant(record)")
@@ -158,6 +158,25 @@ def test_harvest_datasets(spark, entries, records, tmp_path):
     assert spark.read.json(f"{tmp_path}/metadata").count() == 3
 
 
+@pytest.mark.parametrize("fmt", ["csv", "parquet", "json"])
+@pytest.mark.parametrize("cast", [True, False])
+def test_dataset_harvest_formats_and_errors(spark, entries, records, tmp_path, fmt, cast):
+    cfg = DatasetHarvest(str(tmp_path), cast_datatypes=cast, fmt=fmt, run_name="r1")
+    failures = spark.createDataFrame([("d1", 5, "u", 500), ("d1", 6, "u", 503), ("gone", 0, "u", 500)], "dataset_id string, offset bigint, url string, status int")
+    harvest_datasets(entries, records, cfg, failures)
+    log = {r["dataset_id"]: (r["n_rows"], r["ok"], r["error_record"]) for r in spark.read.parquet(f"{tmp_path}/runs/run_name=r1").collect()}
+    assert log == {
+        "d1": (5, False, "[DATASET:d1][ERROR:2 requests failed, status 500][TYPE:HTTPResourceError]"),
+        "d2": (1, True, "[DATASET:d2][ERROR:unexpected column declaration][TYPE:ValueError]"),
+        "d3": (0, False, "[DATASET:d3][ERROR:no rows][TYPE:EmptyDataset]"),
+    }
+    reader = spark.read.option("header", True) if fmt == "csv" else spark.read
+    stored = reader.format(fmt).load(f"{tmp_path}/datasets")
+    assert stored.groupBy("dataset_id").count().count() == 2
+    if fmt == "json" and not cast:
+        assert stored.where("dataset_id = 'd2'").select("record.n").first()[0] == "7"
+
+
 @pytest.mark.parametrize("fmt", ["csv", "parquet", "json"])
 def test_one_dataset(spark, entries, records, tmp_path, fmt):
     frame = store_one_dataset(records, "d1", str(tmp_path), fmt, entries, limit=-1)
