@@ -2,8 +2,10 @@
 
 Sites are the stretches of a text that look like numbers or addresses. Each has
 a label (none, email, ip, card, phone). Neighbouring sites share a potential, and
-so do sites that repeat each other, however far apart and however they are
-punctuated: the skip edges, which link each occurrence with the next one. Loopy
+so do sites that repeat each other or are alike, however far apart and however they
+are punctuated: the skip edges, which link each occurrence with the next one. Alike
+are numbers with the same first or last eight digits, such as one with and one
+without the code of its country, and addresses with the same name. Loopy
 message passing makes the labels of a document consistent. The weights are
 fitted by pseudo-likelihood on a bounded sample of documents, in which the base
 patterns are the labels.
@@ -47,6 +49,8 @@ _NUMBER = re.compile(r"\+?\(?[0-9](?:[\x20()./_-]{0,2}[0-9])+")
 _TOKEN = re.compile(r"\S+")
 #: Digits from which a number is a site.
 _SITE_DIGITS = 9
+#: Digits at either end that make two numbers alike.
+_ALIKE_DIGITS = 8
 _FEATURES = 17
 
 
@@ -82,7 +86,9 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
     found = [(a, b, "email") for a, b in _emails(text)] if "@" in text else []
     if _DIGIT.search(text):
         for m in _IP.finditer(text):
-            if all(len(part.lstrip("0")) <= 3 and int(part) <= 255 for part in m.group().split(".")):
+            # Leading zeros may be more than int() takes.
+            parts = [part.lstrip("0") for part in m.group().split(".")]
+            if all(len(part) <= 3 and int(part or "0") <= 255 for part in parts):
                 found.append((m.start(), m.end(), "ip"))
         for m in _CARD.finditer(text):
             digits = _digits(m.group()) if m.end() - m.start() <= 37 else ""
@@ -164,9 +170,12 @@ def find_sites(texts: list[str], bases: list[list[tuple[int, int, str]]]) -> Sit
             features.append(_site_features(text[a:b][:200], digits))
             labels.append(LABELS.index(kind) if kind else 0)
             key = "".join(c for c in text[a : min(b, a + 200)].lower() if c.isalnum()) if at else digits
-            if key in last:
-                skip.append((last[key], place))
-            last[key] = place
+            alike = [f"@{key_name}"] if at and (key_name := text[a:b].split("@", 1)[0][:200].lower()) else []
+            if not at and len(digits) >= _SITE_DIGITS:
+                alike = [f"{digits[:_ALIKE_DIGITS]}*", f"*{digits[-_ALIKE_DIGITS:]}"]
+            # One edge to each earlier site, whatever they have in common.
+            skip += [(earlier, place) for earlier in sorted({last[k] for k in (key, *alike) if k in last})]
+            last |= dict.fromkeys((key, *alike), place)
             if before is not None and a - spans[before][1] <= NEAR:
                 chain.append((before, place))
             before = place
@@ -280,7 +289,9 @@ def personal_data(docs: DataFrame, model: SkipChain | None = None, min_marginal:
     ``spans`` are the base spans and those that the field adds where no base
     span lies. Places are code points, ends exclusive. A null or empty text has
     no spans. Repeated rows give repeated rows, a null id stays null; only rows
-    with an id are fitted on. No rows give no rows.
+    with an id are fitted on. Very long texts are read whole; a number-like site has
+    at most 40 digits within 64 characters, and an address is compared by its first
+    200. Other columns are not read, so their names cannot clash. No rows give no rows.
     """
     texts = read_texts(docs)
     shared = docs.sparkSession.sparkContext.broadcast(model or fit(texts))
