@@ -26,6 +26,9 @@ BUCKETS = 1 << 14
 #: Labelled rows of each language that are learned from, and those among them that are landmarks.
 TRAINING_PER_LANGUAGE = 256
 LANDMARKS_PER_LANGUAGE = 48
+#: The same for all languages together, which bounds the driver's memory (6 KB a row, 200 KB a landmark).
+TRAINING_ROWS = 8192
+LANDMARKS = 1024
 RIDGE = 1e-3
 UNDETERMINED = "und"
 _BATCH = 64
@@ -111,6 +114,8 @@ def fit(
     The choice reads ids and labels only and is cut per task before the
     shuffle; the driver gets the presence bits of the chosen rows, 6 KB each.
     """
+    languages = max(1, labelled.select("lang").distinct().count())
+    training, landmarks = max(1, min(training, TRAINING_ROWS // languages)), max(1, min(landmarks, LANDMARKS // languages))
     spot = F.xxhash64("doc_id")
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(spot, "doc_id"))
     chosen = labelled.select("doc_id", "lang").withColumn("rank", rank).where(F.col("rank") <= training)
@@ -147,15 +152,23 @@ def is_held_out(doc_id: Column, folds: int, held: int) -> Column:
 
 
 def identify(
-    docs: DataFrame, model: LanguageModel | None = None, lang_col: str = "lang", folds: int = 5, held: int = 0
+    docs: DataFrame,
+    model: LanguageModel | None = None,
+    lang_col: str = "lang",
+    folds: int = 5,
+    held: int = 0,
+    carry: bool = False,
 ) -> DataFrame:
     """One row per document: ``doc_id, held_out, lang_pred, score, no_letters``.
 
     Without a ``model`` one is fitted on the labelled rows that are not held
     out. A null text, or one without a letter, is ``und`` with score 0; so is
-    every text when there is nothing to learn from; ``no_letters`` tells the two
-    apart. Rows without id or label
-    are predicted but not learned from; repeated rows are predicted each.
+    every text when there is nothing to learn from. ``no_letters`` goes by the text
+    alone, whatever labels were learned. Rows without id or label are predicted
+    but not learned from; repeated rows are predicted each. Whole texts are read,
+    however long. Other columns are not read, so their names cannot clash; with
+    ``carry`` each row comes back as it was in a further column ``row``. No rows give
+    no rows.
     """
     texts = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
@@ -165,20 +178,31 @@ def identify(
     if model is None:
         model = fit(texts.where("doc_id is not null and lang is not null and not held_out").select("doc_id", "text", "lang"))
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    names = ["doc_id", "held_out", "lang_pred", "score", "no_letters"]
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for low in range(0, len(whole), _BATCH):
                 batch = whole.slice(low, _BATCH)
                 given = batch.column(2).to_pylist()
-                names, scores = shared.value.predict(given)
-                # Without languages nothing was predicted, and the texts are still to be looked at.
-                known = shared.value.languages
-                empty = [n == UNDETERMINED for n in names] if known else [not letters(t) for t in given]
+                found, scores = shared.value.predict(given)
+                empty = [n == UNDETERMINED and not letters(t) for n, t in zip(found, given)]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), batch.column(1), pa.array(names, pa.string()), pa.array(scores, pa.float64()), pa.array(empty, pa.bool_())],
-                    names=["doc_id", "held_out", "lang_pred", "score", "no_letters"],
+                    [
+                        *batch.columns[:2],
+                        pa.array(found, pa.string()),
+                        pa.array(scores, pa.float64()),
+                        pa.array(empty, pa.bool_()),
+                        *batch.columns[3:],
+                    ],
+                    names=names + batch.schema.names[3:],
                 )
 
-    rows = texts.select("doc_id", "held_out", "text")
-    return rows.mapInArrow(predict, "doc_id long, held_out boolean, lang_pred string, score double, no_letters boolean")
+    schema = "doc_id long, held_out boolean, lang_pred string, score double, no_letters boolean"
+    doc_id = F.col("doc_id").cast("long")
+    rows = docs.select(doc_id.alias("doc_id"), is_held_out(doc_id, folds, held).alias("held_out"), F.col("text").cast("string").alias("text"))
+    if carry:
+        whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+        rows = docs.select(doc_id.alias("doc_id"), is_held_out(doc_id, folds, held).alias("held_out"), F.col("text").cast("string").alias("text"), whole)
+        schema += f", row {rows.schema['row'].dataType.simpleString()}"
+    return rows.mapInArrow(predict, schema)
