@@ -220,7 +220,8 @@ def repeated_passages(
     texts = read_texts(docs, id_col, text_col)
     counts = materialize(_word_counts(texts))
     known = counts.where("doc_id is not null")
-    firsts = known.groupBy("sha256").agg(F.min("doc_id").alias("first_id"))
+    # Written, so that both sides of the join are plain exchanges and a hot text is split.
+    firsts = materialize(known.groupBy("sha256").agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("rows")).where("rows > 1").drop("rows"))
     copies = known.join(firsts, "sha256").where("doc_id > first_id")
     copies = materialize(copies.select("doc_id", "n_words").dropDuplicates(["doc_id"]))
     total = known.agg(F.sum("n_words")).first()[0] or 0
@@ -232,10 +233,10 @@ def repeated_passages(
         _block_rows(searched, size).join(shared, "hash", "left_semi").groupBy("doc_id").agg(F.collect_set("block").alias("blocks"))
     )
     suspects = materialize(pick(texts, anchors.select("doc_id")).dropDuplicates(["doc_id"]).join(anchors, "doc_id"))
-    windows = _suspect_windows(suspects.select("doc_id", "text", "blocks"), window, size)
-    sources = (
-        windows.groupBy("hash").agg(F.min("doc_id").alias("first_id"), F.max("doc_id").alias("last_id")).where("first_id < last_id")
-    )
+    windows = materialize(_suspect_windows(suspects.select("doc_id", "text", "blocks"), window, size))
+    sources = windows.groupBy("hash").agg(F.min("doc_id").alias("first_id"), F.max("doc_id").alias("last_id"))
+    # As above, for the windows of a hot passage.
+    sources = materialize(sources.where("first_id < last_id").drop("last_id"))
     repeats = windows.join(sources, "hash").where("doc_id > first_id").groupBy("doc_id").agg(F.collect_list("place").alias("places"))
     cut = _cut_words(suspects.select("doc_id", "text").join(repeats, "doc_id"), window)
     whole = copies.where(F.col("n_words") >= window).select("doc_id", F.lit(True).alias("whole"))
