@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Collection
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,13 +25,23 @@ def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
     return pick(docs, gone, how="left_anti")
 
 
-def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents stay whose text can be in a language: those without a letter or a text go, whatever was learned."""
+def identify_language(
+    spark: SparkSession, docs: DataFrame, sf_dir: str, languages: Collection[str] | None = None, min_score: float = 0.0
+) -> DataFrame:
+    """Documents stay whose text can be in a language, and get the predicted one as ``lang`` where theirs is null.
+
+    Without a letter or a text a document goes, whatever was learned. With
+    ``languages`` those go that are predicted to be in another one, and with
+    ``min_score`` those whose language is less sure; by default none does. No rows
+    give no rows.
+    """
     _prepare(spark)
-    found = language.identify(docs).where("no_letters")
-    # A row without id cannot be told by it; its own text decides.
-    nameless = F.col("doc_id").isNull() & ~F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
-    return _without(docs, found.select("doc_id")).where(~nameless)
+    found = language.identify(docs, carry=True).where("not no_letters")
+    if languages is not None:
+        found = found.where(F.col("lang_pred").isin(*languages))
+    found = found.where(F.col("score") >= min_score)
+    lang = F.coalesce("row.lang", F.nullif("lang_pred", F.lit(language.UNDETERMINED))).cast(docs.schema["lang"].dataType)
+    return found.select(*[lang.alias("lang") if c == "lang" else F.col(f"row.`{c}`") for c in docs.columns])
 
 
 def remove_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
