@@ -139,7 +139,7 @@ def brute_hits(rows, items, size=13):
 HIT_COLUMNS = ("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
-@pytest.mark.parametrize("limit", [10**6, 300])
+@pytest.mark.parametrize("limit", [10**6, 900])
 def test_benchmark_hits(spark, documents, rows_of, limit):
     draw = random.Random(3)
     vocabulary = ["alpha", "Beta", "3", "été", "d", "straße", "x"]
@@ -147,7 +147,7 @@ def test_benchmark_hits(spark, documents, rows_of, limit):
     items = [(k, text(draw.randint(0, 30))) for k in range(20)] + [(3, "Beta"), (None, "x x"), (50, None), (51, "d été")]
     rows = [(100 + k, text(draw.randint(0, 60)) + (items[k % 20][1].upper() if k % 3 else "")) for k in range(60)] + AWKWARD
     benchmark = spark.createDataFrame(items, "item_id long, text string")
-    found = decontaminate.benchmark_hits(documents(rows), benchmark, max_pattern_chars=limit)
+    found = decontaminate.benchmark_hits(documents(rows), benchmark, item_chars=limit)
     assert rows_of(found, *HIT_COLUMNS) == brute_hits(rows, [i for i in items if i[0] is not None])
 
 
@@ -165,6 +165,27 @@ def test_empty_benchmark_and_limits(spark, documents):
     found = decontaminate.benchmark_hits(documents(AWKWARD), empty)
     assert found.where("contaminated or n_hit > 0").count() == 0 and found.count() == len(AWKWARD)
     assert decontaminate.benchmark_hits(documents([]), empty).count() == 0
-    large = spark.createDataFrame([(1, "x " * 100)], "item_id long, text string")
-    with pytest.raises(ValueError, match="several parts"):
-        decontaminate.benchmark_hits(documents(AWKWARD), large, max_benchmark_chars=50)
+
+
+@pytest.mark.parametrize("window", [1, 2, 5, 13])
+def test_blocks_find_every_window(window):
+    draw = random.Random(window)
+    for _ in range(60):
+        items = [(k, " ".join(draw.choices("abc", k=draw.randint(0, 40)))) for k in range(4)]
+        text = draw.choices("abcd", k=80)
+        for _, item in items:
+            words = item.split()
+            at, cut = draw.randrange(80), draw.randint(0, max(0, len(words) - 1))
+            text[at : at + len(words) - cut] = words[cut:]
+        windows = {tuple(w[k : k + window]) for _, i in items if (w := i.split()) for k in range(max(1, len(w) - window + 1))}
+        hit = {p for n in {len(x) for x in windows} for k in range(len(text) - n + 1) if tuple(text[k : k + n]) in windows for p in range(k, k + n)}
+        runs, _ = decontaminate.Items.of(items, window).scan([w.encode() for w in text])
+        assert {p for a, n in runs.items() for p in range(a, a + n)} == hit
+
+
+def test_long_runs_and_large_benchmarks_take_linear_time():
+    words = [f"w{i}" for i in range(100_000)]
+    found = decontaminate.Items.of([(k, " ".join(words[k * 1000 : (k + 1) * 1000])) for k in range(100)] + [(100, "one and same " * 5000)])
+    assert found.scan([w.encode() for w in words]) == ({k * 1000: 1000 for k in range(100)}, {str(k) for k in range(100)})
+    runs, names = found.scan([b"one", b"and", b"same"] * 20)
+    assert max(runs.values()) == 60 and names == {"100"}

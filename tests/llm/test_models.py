@@ -384,3 +384,116 @@ def test_pipeline_without_labels_to_learn_from(spark, documents, tmp_path, lang)
     spark.createDataFrame([], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
     found = corpus_pipeline.run(spark, str(tmp_path))
     assert {r.doc_id for r in found.select("doc_id").distinct().collect()} == {*range(12), None}
+
+
+# --- probes -----------------------------------------------------------------------------------
+
+
+def test_long_runs_of_digits_are_no_error(documents):
+    texts = ["0" * 5000 + "1.2.3.4", "9" * 6000 + ".1.1.1", "1" * 20_000, "+" + "1-" * 5000 + "1"]
+    found = personal_data.personal_data(documents(list(enumerate(texts)))).orderBy("doc_id").collect()
+    assert [[(s.kind, s.start, s.end) for s in r.base] for r in found] == [[("ip", 0, 5007)], [], [], []]
+
+
+def test_alike_numbers_and_addresses_share_an_edge():
+    text = "call +44 20 7946 0958 or 020 7946 0958 7; write ann@one.org or ann@two.org; 4111 1111 1111 1111 and 41111111 999"
+    sites = personal_data.find_sites([text], [personal_data.base_spans(text)])
+    spots = [text[a:b] for a, b in sites.spans]
+    linked = {frozenset((spots[a], spots[b])) for a, b in sites.skip}
+    assert frozenset(("ann@one.org", "ann@two.org")) in linked
+    assert frozenset(("4111 1111 1111 1111", "41111111 999")) in linked
+    assert all(a < b for a, b in sites.skip) and len({tuple(e) for e in sites.skip}) == len(sites.skip)
+
+
+def exact_marginals(model, sites):
+    """Label marginals by the sum over all assignments of a small graph."""
+    n, k = len(sites.spans), len(personal_data.LABELS)
+    own = sites.features @ model.unary
+    total = np.zeros((n, k))
+    for given in np.ndindex(*(k,) * n):
+        logit = sum(own[i, g] for i, g in enumerate(given))
+        logit += sum(model.chain[given[a], given[b]] for a, b in sites.chain) + sum(model.skip[given[a], given[b]] for a, b in sites.skip)
+        for i, g in enumerate(given):
+            total[i, g] += math.exp(logit)
+    return total / total.sum(axis=1, keepdims=True)
+
+
+@pytest.mark.parametrize("text", ["1234567890 x 1234567890", "12345678901, 12345678901 and 1234567899"])
+def test_message_passing_is_exact_on_trees_and_near_on_loops(text):
+    draw = np.random.default_rng(3)
+    k = len(personal_data.LABELS)
+    model = personal_data.SkipChain(draw.normal(0, 0.3, (personal_data._FEATURES, k)), draw.normal(0, 0.2, (k, k)), np.eye(k) * 0.4)
+    sites = personal_data.find_sites([text], [[]])
+    sites.chain = sites.chain[:0] if len(sites.spans) == 2 else sites.chain
+    found, exact = model.marginals(sites, 60), exact_marginals(model, sites)
+    assert np.abs(found - exact).max() < (1e-6 if len(sites.spans) == 2 else 0.05)
+
+
+def test_a_label_und_is_a_language_like_any_other(documents):
+    rows = [(i, invented("abc"[i % 3], i)) for i in range(300)] + [(900, "12 34"), (901, None)]
+    found = language.identify(documents(rows, lang=lambda i: "und" if i is not None and i % 3 == 0 else "b")).collect()
+    assert {r.doc_id for r in found if r.no_letters} == {900, 901}
+    assert sum(r.lang_pred == "und" for r in found) > 60
+
+
+def test_languages_are_bounded_together(documents, monkeypatch):
+    monkeypatch.setattr(language, "TRAINING_ROWS", 30)
+    monkeypatch.setattr(language, "LANDMARKS", 9)
+    sizes = []
+    solve = language.solve
+    monkeypatch.setattr(language, "solve", lambda found, labels, landmarks, ridge: sizes.append((len(found), len(landmarks))) or solve(found, labels, landmarks, ridge))
+    rows = [(i, invented("abc"[i % 3], i)) for i in range(300)]
+    found = language.identify(documents(rows, lang=lambda i: "abc"[i % 3])).collect()
+    assert sizes == [(30, 9)]
+    assert sum(r.lang_pred == "abc"[r.doc_id % 3] for r in found) >= 0.9 * len(found)
+
+
+def test_language_stage_fills_and_filters(spark, documents):
+    import corpus_pipeline
+
+    rows = [(i, invented("abc"[i % 3], i)) for i in range(300)] + [(900, "12 34")]
+    docs = documents(rows, lang=lambda i: None if i % 10 == 0 else "abc"[i % 3])
+    kept = corpus_pipeline.identify_language(spark, docs, "")
+    assert kept.columns == docs.columns and kept.schema["lang"].dataType == docs.schema["lang"].dataType
+    lang = {r.doc_id: r.lang for r in kept.collect()}
+    assert lang.keys() == set(range(300)) and None not in lang.values()
+    assert sum(lang[i] == "abc"[i % 3] for i in range(0, 300, 10)) >= 28
+    only = corpus_pipeline.identify_language(spark, docs, "", languages=["a"])
+    assert 90 <= only.count() <= 110
+    assert corpus_pipeline.identify_language(spark, docs, "", min_score=1.1).count() == 0
+
+
+@pytest.mark.parametrize("frame", ["<form id='aspnetForm' action='/x'>{}</form>", "<form><div class='page'>{}</div></form>"])
+def test_a_form_around_the_page_is_no_furniture(spark, frame):
+    def page(i):
+        body = f"<div class='menu'><a href='/'>Home</a></div><article><h1>Title {i}</h1><p>Text number {i} of the article.</p></article>"
+        controls = "<input type='hidden' value='s'><select><option>one</option></select><button>Go</button><form><label>Mail</label></form>"
+        return f"<html><body>{frame.format(body + controls)}</body></html>"
+
+    pages = spark.createDataFrame([(i, f"https://h.org/{i}", page(i)) for i in range(12)], "page_id long, url string, html string")
+    texts = {r.page_id: r.text for r in wrappers.main_texts(pages).collect()}
+    assert texts == {i: f"Title {i}\n\nText number {i} of the article." for i in range(12)}
+
+
+def test_many_siblings_take_linear_time():
+    import time
+
+    page = "<html><body><article>" + "".join(f"<p>Text {i}.</p><ul><li>Item {i}</li></ul>" for i in range(6000)) + "</article></body></html>"
+    start = time.process_time()
+    wrapper = wrappers.induce([page, page.replace("<ul><li>Item 7</li></ul>", ""), page.replace("<p>Text 9.</p>", "<h2>New</h2><p>Text 9.</p>")])
+    assert time.process_time() - start < 20
+    assert sum(c.tag in ("p", "ul") for c in wrapper.children[0].children[0].children[0].children) >= 12_000
+
+
+def test_bands_match_as_whole_tables_do(monkeypatch):
+    draw = random.Random(2)
+    for _ in range(30):
+        tags = [draw.choice(["p", "ul", "h2", "div"]) for _ in range(40)]
+        slots = [wrappers.Slot(t, t) for t in tags]
+        other = [t for t in tags if draw.random() < 0.9]
+        found = [[wrappers.Node(t)] for t in other]
+        whole = wrappers._match(slots, found, 1)[0]
+        total, pairs = wrappers._match_long(slots, found, 1)
+        assert total == len(pairs) and all(slots[i].label == found[j][0].label for i, j in pairs)
+        assert pairs == sorted(pairs) and len({i for i, _ in pairs}) == len({j for _, j in pairs}) == len(pairs)
+        assert total >= 0.9 * whole
