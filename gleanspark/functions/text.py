@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from html.entities import name2codepoint
 
 from pyspark.sql import Column
@@ -140,7 +141,9 @@ def repair_nodes_json(c: ColumnOrName) -> Column:
 
 def decode_entities(c: ColumnOrName) -> Column:
     """Character references as their characters: decimal, hexadecimal and the named ones of HTML 4; others stay."""
-    names = F.create_map(*[F.lit(x) for name, point in name2codepoint.items() for x in (name, chr(point))], F.lit("apos"), F.lit("'"))
+    # One literal for the optimizer to fold, instead of hundreds for it to carry through every rule.
+    known = {name: chr(point) for name, point in name2codepoint.items()} | {"apos": "'"}
+    names = F.from_json(F.lit(json.dumps(known)), "map<string,string>")
 
     def decoded(part: Column) -> Column:
         name = F.regexp_extract(part, r"^&(#[0-9]{1,7}|#[xX][0-9A-Fa-f]{1,6}|[A-Za-z][A-Za-z0-9]*);", 1)
@@ -148,7 +151,9 @@ def decode_entities(c: ColumnOrName) -> Column:
         hexadecimal = F.when(name.rlike("^#[xX]"), digits).when(name.startswith("#"), F.hex(digits.try_cast("bigint")))
         point = F.lpad(hexadecimal, 8, "0")
         valid = (point > "00000000") & (point <= "0010FFFF") & ~F.upper(point).between("0000D800", "0000DFFF")
-        char = F.coalesce(F.when(valid, F.decode(F.unhex(point), "UTF-32")), F.try_element_at(names, name))
+        # A map is searched from its first key on, so only for what is a name.
+        named = F.when((name != "") & ~name.startswith("#"), F.try_element_at(names, name))
+        char = F.coalesce(F.when(valid, F.decode(F.unhex(point), "UTF-32")), named)
         rest = F.substring(part, F.length(name) + 3, F.length(part))
         return F.coalesce(F.when(name != "", F.concat(char, rest)), part)
 

@@ -1,9 +1,9 @@
 """Positions, limits and last-writer rules that hold when one key is hot.
 
-There is one way for every size. Positions come from a range sort: rows are
-numbered where they are and shifted by the number of rows in the ranges before.
-Limits are cut in groups of tasks first and then once more, so what meets in one
-task depends on the limit, not on the data.
+Positions come from a range sort: rows are numbered where they are and shifted by
+the number of rows in the ranges before. Ordered limits are Spark's own. Limits
+per key are cut in each task, then in groups of tasks and then once more: what
+meets in one task is the limit for each key, times a 64th of the tasks at most.
 
 Ties: rows that are equal in ``order`` are interchangeable, in both ways and for
 every size. A caller to whom it matters which comes first names more columns.
@@ -82,7 +82,13 @@ def _from(df: DataFrame, keys: Sequence[str], order: Sequence[str], limit: int |
 
 
 def limit_ordered(df: DataFrame, order: Sequence[str], limit: int | None, offset: int = 0) -> DataFrame:
-    """Exactly ``limit`` rows from ``offset`` in ``order``; no limit (or -1) means all."""
+    """Exactly ``limit`` rows from ``offset`` in ``order``; no limit (or -1) means all.
+
+    With a limit this is Spark's own ordered limit: the first rows of each task
+    are kept and merged, or all are sorted by range beyond its own threshold.
+    """
+    if limit is not None and limit != -1:
+        return df.orderBy(*order).offset(offset).limit(limit)
     return _from(df, (), order, limit, offset)
 
 
