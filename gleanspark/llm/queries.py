@@ -34,7 +34,7 @@ def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard.similar_sets(_table(spark, sf_dir, "documents")).drop("class_id")
+    return jaccard.similar_sets(_table(spark, sf_dir, "documents"))
 
 
 def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -125,11 +125,15 @@ links AS (
   SELECT x, y FROM met JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y
   WHERE 100 * k >= 85 * (p.n + q.n - k)
 ),
+class AS (
+  SELECT doc_id, min(doc_id) OVER (PARTITION BY k) AS class_id
+  FROM (SELECT doc_id, sha256(string_agg(s, chr(10) ORDER BY s)) AS k FROM sets GROUP BY doc_id)
+),
 reach(x, y) AS (
   SELECT doc_id, doc_id FROM d UNION SELECT reach.x, links.y FROM reach JOIN links ON reach.y = links.x
 )
-SELECT d.doc_id, coalesce(any_value(n), 0) AS n_shingles, min(y) AS component_id
-FROM d LEFT JOIN sizes USING (doc_id) JOIN reach ON reach.x = d.doc_id GROUP BY d.doc_id
+SELECT d.doc_id, coalesce(any_value(n), 0) AS n_shingles, min(y) AS component_id, coalesce(any_value(class_id), d.doc_id) AS class_id
+FROM d LEFT JOIN sizes USING (doc_id) LEFT JOIN class USING (doc_id) JOIN reach ON reach.x = d.doc_id GROUP BY d.doc_id
 """
 
 _OP4 = rf"""
