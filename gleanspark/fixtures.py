@@ -7,7 +7,6 @@ as a common table expression in the oracle SQL.
 from __future__ import annotations
 
 import re
-from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -115,7 +114,7 @@ FROM part""",
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A test table, or a derived view over the tables it names."""
     if name in TABLES:
-        return spark.read.parquet(str(Path(sf_dir) / f"{name}.parquet"))
+        return spark.read.parquet(f"{sf_dir}/{name}.parquet")
     for table in set(re.findall(r"(?:FROM|JOIN) (\w+)", VIEWS[name])):
         load(spark, sf_dir, table).createOrReplaceTempView(table)
     return spark.sql(VIEWS[name])
