@@ -187,10 +187,17 @@ def benchmark_hits(
         def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             items = _items_of(shared)
             for batch in batches:
-                texts = [(v.as_py() or "").encode() for v in batch.column(1)]
-                words = [t.translate(_NORMAL).split() for t in texts]
-                found = [items.scan(w) for w in words]
-                yield _result(batch.column(0), texts, [len(w) for w in words], [f[0] for f in found], [f[1] for f in found], parts)
+                texts, counts, hits, names = [], [], [], []
+                # The words of one text at a time; texts without a hit are not kept.
+                for value in batch.column(1):
+                    text = (value.as_py() or "").encode()
+                    words = text.translate(_NORMAL).split()
+                    runs, ids = items.scan(words)
+                    counts.append(len(words))
+                    hits.append(runs)
+                    names.append(ids)
+                    texts.append(text if runs else b"")
+                yield _result(batch.column(0), texts, counts, hits, names, parts)
 
         return texts.mapInArrow(scan, _RESULT)
 
