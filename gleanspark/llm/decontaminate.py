@@ -11,8 +11,9 @@ ends; a run of 13 words is hit, with all windows in it.
 from __future__ import annotations
 
 import hashlib
+from array import array
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import ahocorasick
@@ -30,6 +31,9 @@ PARTS = 20
 #: Characters of the items that are searched for in one reading of the documents; some 30 bytes of memory each.
 ITEM_CHARS = 4_000_000
 
+#: Bytes of a text whose words are taken apart at a time.
+PIECE = 1 << 20
+
 #: Per byte: lower case for A-Z, a blank for what separates words.
 _NORMAL = bytes(0x20 if NOT_ALNUM[b] else b + 0x20 if 0x41 <= b <= 0x5A else b for b in range(256))
 #: First characters of a word's number, and the others, which are different ones, so that no number starts within another.
@@ -42,6 +46,17 @@ def normal_words(text: str | None) -> list[bytes]:
     return (text or "").encode().translate(_NORMAL).split()
 
 
+def word_pieces(text: bytes) -> Iterator[list[bytes]]:
+    """The words of a text, in lists of about ``PIECE`` bytes."""
+    normal = text.translate(_NORMAL)
+    at = 0
+    while at < len(normal):
+        end = normal.find(b" ", at + PIECE)
+        end = len(normal) if end < 0 else end
+        yield normal[at:end].split()
+        at = end
+
+
 def _code(number: int) -> str:
     """Three characters for a number below 2.4 million."""
     rest, low = divmod(number, _OTHER)
@@ -94,17 +109,26 @@ class Items:
 
     def scan(self, words: list[bytes]) -> tuple[dict[int, int], set[str]]:
         """Runs of hit words as first word and length, and the ids of the items that occur."""
+        return self.scan_pieces([words])[1:]
+
+    def scan_pieces(self, pieces: Iterable[list[bytes]]) -> tuple[int, dict[int, int], set[str]]:
+        """The number of words of one text, given in pieces, and what :meth:`scan` gives."""
         if self._ready is None:
             self._ready = self._build()
         numbers, codes, automaton = self._ready
         hits: dict[int, int] = {}
         items: set[str] = set()
-        if not len(automaton) or not words:
-            return hits, items
-        text = [numbers.get(w, -1) for w in words]
+        # Of a word its number and code are held, 7 bytes, whatever its length.
+        text, written = array("i"), []
+        for words in pieces:
+            found = [numbers.get(w, -1) for w in words]
+            text.extend(found)
+            written.append("".join([codes[w] for w in found]))
+        if not len(automaton) or not text:
+            return len(text), hits, items
         # How far the words of an item were followed, by item and difference of places.
         reach: dict[tuple[int, int], int] = {}
-        for last, where in automaton.iter("".join([codes[w] for w in text])):
+        for last, where in automaton.iter("".join(written)):
             end = last // 3 + 1
             for s, at, length in where:
                 sequence = self.sequences[s]
@@ -122,7 +146,7 @@ class Items:
                 if stop - start >= min(self.window, len(sequence)):
                     hits[start] = max(hits.get(start, 0), stop - start)
                     items.update(self.ids[s])
-        return hits, items
+        return len(text), hits, items
 
 
 #: The items a worker is searching for, with their automaton: built once in each worker.
@@ -138,6 +162,10 @@ def _items_of(shared) -> Items:
     return _held[key]
 
 
+def _bytes(value: pa.Scalar) -> bytes:
+    return value.as_buffer().to_pybytes() if value.is_valid else b""
+
+
 _HITS = "hits array<struct<first:long,count:long>>, items array<string>"
 _RESULT = (
     "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, "
@@ -190,10 +218,9 @@ def benchmark_hits(
                 texts, counts, hits, names = [], [], [], []
                 # The words of one text at a time; texts without a hit are not kept.
                 for value in batch.column(1):
-                    text = (value.as_py() or "").encode()
-                    words = text.translate(_NORMAL).split()
-                    runs, ids = items.scan(words)
-                    counts.append(len(words))
+                    text = _bytes(value)
+                    n_words, runs, ids = items.scan_pieces(word_pieces(text))
+                    counts.append(n_words)
                     hits.append(runs)
                     names.append(ids)
                     texts.append(text if runs else b"")
@@ -211,8 +238,8 @@ def benchmark_hits(
             items = _items_of(shared)
             for batch in batches:
                 keys, hits, names = [], [], []
-                for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                    runs, ids = items.scan(normal_words(text))
+                for key, value in zip(batch.column(0).to_pylist(), batch.column(1)):
+                    _, runs, ids = items.scan_pieces(word_pieces(_bytes(value)))
                     if runs:
                         keys.append(key)
                         hits.append([{"first": a, "count": n} for a, n in runs.items()])
@@ -227,13 +254,13 @@ def benchmark_hits(
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [(v.as_py() or "").encode() for v in batch.column(1)]
+            texts = [_bytes(v) for v in batch.column(1)]
             hits: list[dict[int, int]] = [{} for _ in texts]
             for i, runs in enumerate(batch.column(2).to_pylist()):
                 for run in runs or ():
                     hits[i][run["first"]] = max(hits[i].get(run["first"], 0), run["count"])
             items = [set(names or ()) for names in batch.column(3).to_pylist()]
-            yield _result(batch.column(0), texts, [len(t.translate(_NORMAL).split()) for t in texts], hits, items, parts)
+            yield _result(batch.column(0), texts, [sum(map(len, word_pieces(t))) for t in texts], hits, items, parts)
 
     rows = texts.join(merged, "row_key", "left").select("doc_id", "text", "hits", "items")
     return rows.mapInArrow(gather, _RESULT)

@@ -189,3 +189,13 @@ def test_long_runs_and_large_benchmarks_take_linear_time():
     assert found.scan([w.encode() for w in words]) == ({k * 1000: 1000 for k in range(100)}, {str(k) for k in range(100)})
     runs, names = found.scan([b"one", b"and", b"same"] * 20)
     assert max(runs.values()) == 60 and names == {"100"}
+
+
+def test_words_in_pieces_are_the_words(monkeypatch):
+    monkeypatch.setattr(decontaminate, "PIECE", 7)
+    for text in ["", " ", "a", "One, two--THREE  four5 f\u00fcnf " * 20, "x" * 50, " leading and trailing \n"]:
+        pieces = list(decontaminate.word_pieces(text.encode()))
+        assert [w for piece in pieces for w in piece] == decontaminate.normal_words(text)
+    found = decontaminate.Items.of([("a", "one two three four five")], 4)
+    text = b"zero ONE two, three four; five six"
+    assert found.scan_pieces(decontaminate.word_pieces(text)) == (7, *found.scan(decontaminate.normal_words(text.decode()))) == (7, {1: 5}, {"a"})
