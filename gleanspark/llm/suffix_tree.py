@@ -1,14 +1,21 @@
 """A probabilistic suffix tree over words: learned from counts of the whole corpus, used to score texts.
 
-The root is the add-one word distribution. A context of one to ``MAX_DEPTH``
-words is a candidate when it makes up ``MIN_SHARE`` of the training tokens, and
-its next words are kept that take at least ``MIN_NEXT`` of it. It becomes a state
-when the divergence of its next-word distribution from that of the longest state
-that ends it, times its count, passes ``MIN_DIVERGENCE``. By these shares, not by
-caps, the tree has a bounded size: at most 1 / MIN_SHARE candidates a depth, and
-1 / MIN_NEXT next words each. All next words of states have a share of
-``MIN_SHARE * MIN_NEXT`` at least, and only such words travel with the tree; the
-counts of all others meet the tokens in a shuffled join.
+The root is the add-one word distribution. The tree has two parts, and a context
+becomes a state in both when the divergence of its next-word distribution from that
+of the longest state that ends it, times its count, passes ``MIN_DIVERGENCE``.
+
+Frequent contexts travel with the tasks. A context of one to ``MAX_DEPTH`` words is
+one of them when it makes up ``MIN_SHARE`` of the training tokens; its next words
+are kept that take ``MIN_NEXT`` of it or ``MIN_SHARE`` of all tokens. So this part
+has a bounded size: at most 1 / MIN_SHARE contexts a depth, 1 / MIN_NEXT next words
+each. All words in it have a share of ``MIN_SHARE * MIN_NEXT`` at least.
+
+All other words are contexts of one word in a written table, which grows with the
+corpus: their next words are kept that follow ``MIN_PAIR`` times, an absolute count.
+Such a state changes the score of a token by a sum of two terms, the mass it leaves
+to the root and the gain of the next word, so that texts meet the states in two
+shuffled joins, one by word, which also brings the counts of the words that do not
+travel, and one by pair.
 
 Words are told apart by 64-bit hashes.
 """
@@ -20,9 +27,11 @@ from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gleanspark.llm.language import is_held_out
 from gleanspark.llm.tables import materialize
@@ -31,6 +40,8 @@ from gleanspark.llm.words import _TERMS, WHITE, as_long, find_words, hash_words,
 MAX_DEPTH = 3
 MIN_SHARE = 1e-5
 MIN_NEXT = 0.05
+#: Times that a next word must follow a context of the written table.
+MIN_PAIR = 2
 #: Nats; a context must explain this much of the corpus to be a state.
 MIN_DIVERGENCE = 20.0
 #: Pseudo-count by which each state leans on its parent.
@@ -93,6 +104,8 @@ class SuffixTree:
     #: From this share of the tokens on, words are held here.
     min_word_share: float
     levels: list[Level]
+    #: log10 of the mass that each word leaves to the root as a context of the written table; 0 where it is no state.
+    word_left: np.ndarray = field(default_factory=lambda: np.zeros(0))
 
     def base(self, counts: np.ndarray) -> np.ndarray:
         return (counts + 1) / (self.tokens + self.distinct + 1)
@@ -110,8 +123,16 @@ class SuffixTree:
             out[inside + depth] = _lookup(self.levels[depth - 1].keys, mix(raw[inside]))
         return out
 
+    def outside(self, hashes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+        """Places of the tokens that follow a word which is no context of the levels."""
+        follows = np.ones(len(hashes), dtype=bool)
+        follows[bounds[:-1]] = False
+        if self.levels:
+            follows &= self.contexts(hashes, bounds, 1) < 0
+        return np.flatnonzero(follows)
+
     def score(self, hashes: np.ndarray, bounds: np.ndarray, word: np.ndarray) -> np.ndarray:
-        """log10 of each token's probability, without the base part of the words that are not held here."""
+        """log10 of each token's probability by the levels, without the base part of the words that are not held here."""
         held = word >= 0
         logs = np.zeros(len(hashes))
         logs[held] = np.log10(self.base(self.word_counts[word[held]]))
@@ -132,6 +153,16 @@ def _pair(context: np.ndarray, word: np.ndarray) -> np.ndarray:
     return (context << 32) | (word & 0xFFFFFFFF)
 
 
+def _pair_key(context: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """One hash for two words, given by theirs."""
+    return mix(context * _TERMS[0] + word * _TERMS[1])
+
+
+@F.pandas_udf(T.LongType())
+def _pair_keys(context: pd.Series, word: pd.Series) -> pd.Series:
+    return pd.Series(as_long(_pair_key(context.to_numpy(np.int64).view(np.uint64), word.to_numpy(np.int64).view(np.uint64))))
+
+
 def _word_counts(texts: DataFrame) -> DataFrame:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
@@ -248,21 +279,21 @@ def learn(
         def keep(known: SuffixTree, pairs: np.ndarray, found: np.ndarray, depth=depth, least=least) -> np.ndarray:
             return (found >= min_next * known.levels[depth - 1].counts[pairs >> 32]) | (found >= least)
 
-        # At most 1 / min_next next words and 1 / min_share longer contexts of each depth.
+        # At most 1 / min_next next words of a context, and 1 / min_share pairs more of each depth.
         got = _pair_counts(texts, tree, depth, buckets, keep).toPandas().sort_values("pair")
         pairs, found = got["pair"].to_numpy(np.int64), got["count"].to_numpy(np.int64)
-        _test(tree, depth, pairs, found, min_next, min_divergence)
+        _test(tree, depth, pairs, found, min_next, least, min_divergence)
         longer = (found >= least) & (words[pairs & 0xFFFFFFFF] != END)
         contexts = np.column_stack((level.words[pairs[longer] >> 32], pairs[longer] & 0xFFFFFFFF))
         seen = found[longer]
     return tree
 
 
-def _test(tree: SuffixTree, depth: int, pairs: np.ndarray, found: np.ndarray, min_next: float, min_divergence: float) -> None:
+def _test(tree: SuffixTree, depth: int, pairs: np.ndarray, found: np.ndarray, min_next: float, least: float, min_divergence: float) -> None:
     """Make states of the contexts whose next words diverge from what their parents say."""
     level = tree.levels[depth - 1]
     context, word = pairs >> 32, pairs & 0xFFFFFFFF
-    kept = found >= min_next * level.counts[context]
+    kept = (found >= min_next * level.counts[context]) | (found >= least)
     context, word, pairs, found = context[kept], word[kept], pairs[kept], found[kept]
     share = found / level.counts[context]
     expected = _expected(tree, depth, context, word)
@@ -299,15 +330,93 @@ def _keys(words: np.ndarray, contexts: np.ndarray) -> np.ndarray:
     return mix(total)
 
 
-def score_texts(rows: DataFrame, tree: SuffixTree, counts: DataFrame) -> DataFrame:
+def _followers(texts: DataFrame, tree: SuffixTree, min_pair: int) -> DataFrame:
+    """``(context, word, count)``: the words that follow a word outside the levels ``min_pair`` times or more."""
+    shared = texts.sparkSession.sparkContext.broadcast(tree)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, contexts, words = shared.value, [], []
+
+        def hand_on() -> pa.RecordBatch:
+            context, word = np.concatenate(contexts), np.concatenate(words)
+            _, first, counts = np.unique(_pair_key(context, word), return_index=True, return_counts=True)
+            columns = [pa.array(as_long(context[first])), pa.array(as_long(word[first])), pa.array(counts.astype(np.int64))]
+            return pa.RecordBatch.from_arrays(columns, names=["context", "word", "count"])
+
+        for batch in batches:
+            for _, hashes, bounds in _tokens(batch.column(1)):
+                at = known.outside(hashes, bounds)
+                contexts.append(hashes[at - 1])
+                words.append(hashes[at])
+                if sum(map(len, words)) >= COUNTED:
+                    yield hand_on()
+                    contexts, words = [], []
+        if sum(map(len, words)):
+            yield hand_on()
+
+    rows = texts.mapInArrow(count, "context long, word long, count long")
+    return rows.groupBy("context", "word").agg(F.sum("count").alias("count")).where(F.col("count") >= min_pair)
+
+
+def learn_table(
+    texts: DataFrame, counts: DataFrame, tree: SuffixTree, min_pair: int = MIN_PAIR, min_divergence: float = MIN_DIVERGENCE
+) -> tuple[DataFrame, DataFrame]:
+    """The written part of the tree: states ``(context, total, left)`` and next words ``(pair, gain)``, in log10.
+
+    A token after a state has ``left`` more than its base score, and ``gain`` besides
+    where the state holds it. Sets the ``word_left`` of the words that travel.
+    """
+    pairs = materialize(_followers(texts, tree, min_pair))
+    total = F.lit(float(tree.tokens + tree.distinct + 1))
+    found = pairs.join(counts.select(F.col("word").alias("context"), F.col("count").alias("total")), "context")
+    found = materialize(found.join(counts.select("word", ((F.col("count") + 1) / total).alias("base")), "word"))
+    share = F.col("count") / F.col("total")
+    summed = found.groupBy("context", "total").agg(
+        F.sum(F.col("count") - DISCOUNT).alias("held"),
+        F.sum(share * F.log(share / F.col("base"))).alias("divergence"),
+        # What is not kept counts as one more symbol on both sides.
+        F.greatest(1 - F.sum(share), F.lit(1e-12)).alias("rest"),
+        F.greatest(1 - F.sum("base"), F.lit(1e-12)).alias("rest_base"),
+    )
+    divergence = F.col("divergence") + F.col("rest") * F.log(F.col("rest") / F.col("rest_base"))
+    left = (F.col("total") - F.col("held") + PARENT_WEIGHT) / (F.col("total") + PARENT_WEIGHT)
+    chosen = summed.where(divergence * F.col("total") >= min_divergence)
+    states = materialize(chosen.select("context", "total", F.log10(left).alias("left")))
+    own = (F.col("count") - DISCOUNT) / (F.col("total") + PARENT_WEIGHT)
+    held = found.join(states.select("context", "left"), "context")
+    gain = F.log10(1 + own / (F.pow(F.lit(10.0), F.col("left")) * F.col("base")))
+    gains = materialize(held.select(_pair_keys("context", "word").alias("pair"), gain.alias("gain")))
+    tree.word_left = np.zeros(len(tree.words))
+    # Words of the tree only, at most 1 / min_word_share.
+    often = states.where(F.col("total") >= tree.tokens * tree.min_word_share).toPandas()
+    place = _lookup(tree.words, often["context"].to_numpy(np.int64).view(np.uint64))
+    tree.word_left[place[place >= 0]] = often["left"].to_numpy(np.float64)[place >= 0]
+    return states, gains
+
+
+def _counted(values: np.ndarray, text: np.ndarray, n: int) -> tuple[pa.Array, pa.Array]:
+    """The distinct values of each of ``n`` texts and their times, as two list columns."""
+    order = np.argsort(values, kind="stable")
+    order = order[np.argsort(text[order].astype(np.uint32), kind="stable")]
+    values, text = values[order], text[order]
+    new = np.ones(len(values), dtype=bool)
+    new[1:] = (values[1:] != values[:-1]) | (text[1:] != text[:-1])
+    first = np.flatnonzero(new)
+    edges = pa.array(np.searchsorted(text[first], np.arange(n + 1)).astype(np.int32))
+    times = np.diff(first, append=len(values)).astype(np.int32)
+    return pa.ListArray.from_arrays(edges, pa.array(as_long(values[first]))), pa.ListArray.from_arrays(edges, pa.array(times))
+
+
+def score_texts(rows: DataFrame, tree: SuffixTree, counts: DataFrame, states: DataFrame, gains: DataFrame) -> DataFrame:
     """``(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score)`` of ``(doc_id, text, held_out)``.
 
     Words of the tree are scored where the text is read. Each other word of a
-    document is one row, which meets the corpus counts in a join; the sums per
-    row of the input are merged before they are shuffled.
+    document is one row, which meets the corpus counts and the state of the word in
+    a join, and so is each pair of words behind a context of the written table. The
+    sums per row of the input are merged before they are shuffled.
     """
     shared = rows.sparkSession.sparkContext.broadcast(tree)
-    names = ["doc_id", "held_out", "n_tokens", "known", "base", "model", "words", "times"]
+    names = ["doc_id", "held_out", "n_tokens", "known", "base", "model", "words", "times", "pairs", "pair_times"]
 
     def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
@@ -319,15 +428,14 @@ def score_texts(rows: DataFrame, tree: SuffixTree, counts: DataFrame) -> DataFra
                 held = word >= 0
                 base = np.zeros(len(word))
                 base[held] = np.log10(known.base(known.word_counts[word[held]]))
-                rare, text = hashes[~held], owner[~held]
-                order = np.argsort(rare, kind="stable")
-                order = order[np.argsort(text[order].astype(np.uint32), kind="stable")]
-                rare, text = rare[order], text[order]
-                new = np.ones(len(rare), dtype=bool)
-                new[1:] = (rare[1:] != rare[:-1]) | (text[1:] != text[:-1])
-                first = np.flatnonzero(new)
-                edges = np.searchsorted(text[first], np.arange(n + 1)).astype(np.int32)
-                times = np.diff(first, append=len(rare)).astype(np.int32)
+                model = known.score(hashes, bounds, word)
+                at = known.outside(hashes, bounds)
+                before = word[at - 1]
+                left = np.zeros(len(at))
+                left[before >= 0] = known.word_left[before[before >= 0]]
+                model[at] += left
+                # Whether a word that does not travel is a state is seen in the join.
+                at = at[(before < 0) | (left < 0)]
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(row, n),
@@ -335,31 +443,42 @@ def score_texts(rows: DataFrame, tree: SuffixTree, counts: DataFrame) -> DataFra
                         pa.array(np.diff(bounds)),
                         pa.array(np.bincount(owner[held], minlength=n)),
                         pa.array(np.bincount(owner, base, n)),
-                        pa.array(np.bincount(owner, known.score(hashes, bounds, word), n)),
-                        pa.ListArray.from_arrays(pa.array(edges), pa.array(as_long(rare[first]))),
-                        pa.ListArray.from_arrays(pa.array(edges), pa.array(times)),
+                        pa.array(np.bincount(owner, model, n)),
+                        *_counted(hashes[~held], owner[~held], n),
+                        *_counted(_pair_key(hashes[at - 1], hashes[at]), owner[at], n),
                     ],
                     names=names,
                 )
 
-    schema = "doc_id long, held_out boolean, n_tokens long, known long, base double, model double, words array<long>, times array<int>"
+    schema = (
+        "doc_id long, held_out boolean, n_tokens long, known long, base double, model double, "
+        "words array<long>, times array<int>, pairs array<long>, pair_times array<int>"
+    )
     scored = rows.select("doc_id", "text", "held_out").mapInArrow(local, schema)
-    # Ids may be null or repeat; the key is written with the row, so it stays the same in both readings.
+    # Ids may be null or repeat; the key is written with the row, so it stays the same in all readings.
     scored = materialize(scored.withColumn("row_key", F.monotonically_increasing_id()))
-    rare = scored.select("row_key", F.explode(F.arrays_zip("words", "times")).alias("w")).select(
-        "row_key", F.col("w.words").alias("word"), F.col("w.times").alias("times")
-    )
+
+    def listed(values: str, times: str, name: str) -> DataFrame:
+        rows = scored.select("row_key", F.explode(F.arrays_zip(values, times)).alias("w"))
+        return rows.select("row_key", F.col(f"w.{values}").alias(name), F.col(f"w.{times}").alias("times"))
+
     less = counts.where(F.col("count") < tree.tokens * tree.min_word_share)
+    less = less.join(states.select(F.col("context").alias("word"), "left"), "word", "left")
     total = F.lit(float(tree.tokens + tree.distinct + 1))
     log = F.log10((F.coalesce("count", F.lit(0)) + 1) / total)
-    sums = (
-        rare.join(less, "word", "left")
-        .groupBy("row_key")
-        .agg(F.sum(F.col("times") * log).alias("rare"), F.sum(F.when(F.col("count").isNotNull(), F.col("times"))).alias("rare_known"))
+    rare = listed("words", "times", "word").join(less, "word", "left").select(
+        "row_key",
+        (F.col("times") * log).alias("rare"),
+        F.when(F.col("count").isNotNull(), F.col("times")).alias("rare_known"),
+        (F.col("times") * F.coalesce("left", F.lit(0.0))).alias("more"),
+    )
+    behind = listed("pairs", "pair_times", "pair").join(gains, "pair").select(
+        "row_key", F.lit(0.0).alias("rare"), F.lit(None).cast("int").alias("rare_known"), (F.col("times") * F.col("gain")).alias("more")
     )
+    sums = rare.unionByName(behind).groupBy("row_key").agg(*[F.sum(c).alias(c) for c in ("rare", "rare_known", "more")])
     rest = F.coalesce("rare", F.lit(0.0))
     return (
-        scored.drop("words", "times")
+        scored.drop("words", "times", "pairs", "pair_times")
         .join(sums, "row_key", "left")
         .select(
             "doc_id",
@@ -368,7 +487,7 @@ def score_texts(rows: DataFrame, tree: SuffixTree, counts: DataFrame) -> DataFra
             (F.col("known") + F.coalesce("rare_known", F.lit(0))).alias("n_known"),
             F.lit(tree.tokens).cast("long").alias("train_tokens"),
             (F.col("base") + rest).alias("base_score"),
-            (F.col("model") + rest).alias("score"),
+            (F.col("model") + rest + F.coalesce("more", F.lit(0.0))).alias("score"),
         )
     )
 
@@ -381,13 +500,16 @@ def language_model_scores(
     min_share: float = MIN_SHARE,
     min_next: float = MIN_NEXT,
     min_divergence: float = MIN_DIVERGENCE,
+    min_pair: int = MIN_PAIR,
 ) -> DataFrame:
     """Score every text by the tree of the rows that are not held out (crc32 of the id, modulo ``folds``, is ``held``).
 
     A null or empty text is the end token alone. Rows without id are scored but
     not learned from. A repeated row is learned from and scored each time, rows
     of one id each by their own text. With nothing to learn from, every token has the
-    base probability 1.
+    base probability 1. Very long texts are scored in tasks as all others; their
+    distinct words and pairs are rows of the joins. Other columns are not read, so
+    their names cannot clash. No rows give no rows.
     """
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
@@ -397,4 +519,5 @@ def language_model_scores(
     training = rows.where("doc_id is not null and not held_out").select("doc_id", "text")
     counts = _word_counts(training)
     tree = learn(training, counts, max_depth, min_share, min_next, min_divergence)
-    return score_texts(rows, tree, counts)
+    states, gains = learn_table(training, counts, tree, min_pair, min_divergence)
+    return score_texts(rows, tree, counts, states, gains)

@@ -109,6 +109,56 @@ def test_states_give_proper_distributions(spark, documents):
         assert known.sum() + unknown == pytest.approx(1.0, abs=1e-9)
 
 
+def brute_table_scores(rows, min_pair, min_divergence):
+    """The scores by states of one word and absolute counts, without any frequent context."""
+    words = [[w for w in re.split(r"[\x20\x09-\x0D]+", t.translate(LOWER)) if w] + [None] for _, t in rows]
+    training = [ws for (i, _), ws in zip(rows, words) if not held_out(i, 7, 2)]
+    counts = Counter(w for ws in training for w in ws)
+    pairs = Counter(p for ws in training for p in zip(ws, ws[1:]))
+    all_ = sum(counts.values()) + len(counts) + 1
+    base = lambda w: (counts[w] + 1) / all_
+    states = {}
+    for context in counts:
+        kept = {b: c for (a, b), c in pairs.items() if a == context and c >= min_pair}
+        if kept:
+            n = counts[context]
+            rest, rest_base = max(1 - sum(kept.values()) / n, 1e-12), max(1 - sum(map(base, kept)), 1e-12)
+            divergence = sum(c / n * math.log(c / n / base(b)) for b, c in kept.items()) + rest * math.log(rest / rest_base)
+            if divergence * n >= min_divergence:
+                states[context] = (kept, n)
+    out = {}
+    for (i, _), ws in zip(rows, words):
+        chances = [base(ws[0])]
+        for a, b in zip(ws, ws[1:]):
+            if a in states:
+                kept, n = states[a]
+                own = (kept[b] - suffix_tree.DISCOUNT) / (n + 1) if b in kept else 0
+                chances.append(own + (n - sum(c - suffix_tree.DISCOUNT for c in kept.values()) + 1) / (n + 1) * base(b))
+            else:
+                chances.append(base(b))
+        out[i] = sum(map(math.log10, chances))
+    return out, states
+
+
+@pytest.mark.parametrize("min_next, min_divergence", [(0.05, 1.0), (0.001, 20.0), (0.02, 0.0)])
+def test_states_of_the_written_table_by_brute_force(documents, min_next, min_divergence):
+    rows = sentences(120) + [(1000 + i, f"seldom heard phrase{i // 4} of few Texts " * 2) for i in range(12)]
+    # No context makes up all tokens, so that each word is one of the table, some of them travelling with the tasks.
+    found = suffix_tree.language_model_scores(documents(rows), min_share=1.0, min_next=min_next, min_divergence=min_divergence)
+    wanted, states = brute_table_scores(rows, suffix_tree.MIN_PAIR, min_divergence)
+    assert states
+    for r in found.collect():
+        assert r.score == pytest.approx(wanted[r.doc_id], abs=1e-8)
+
+
+def test_frequent_pairs_are_kept_whatever_their_share(spark, documents):
+    # "the" is followed by 60 words, none of which takes a twentieth of it.
+    docs = documents([(i, f"the word{i % 60} ends") for i in range(600)]).select("doc_id", "text")
+    counts = suffix_tree._word_counts(docs)
+    tree = suffix_tree.learn(docs, counts, min_share=1e-3, min_divergence=1.0)
+    assert len(tree.levels[0].pairs) >= 60
+
+
 def test_scores_of_awkward_rows(documents):
     found = suffix_tree.language_model_scores(documents(AWKWARD)).collect()
     assert len(found) == len(AWKWARD)
