@@ -339,7 +339,11 @@ def _followers(texts: DataFrame, tree: SuffixTree, min_pair: int) -> DataFrame:
 
         def hand_on() -> pa.RecordBatch:
             context, word = np.concatenate(contexts), np.concatenate(words)
-            _, first, counts = np.unique(_pair_key(context, word), return_index=True, return_counts=True)
+            keys = _pair_key(context, word)
+            order = np.argsort(keys)
+            keys = keys[order]
+            runs = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
+            first, counts = order[runs], np.diff(runs, append=len(keys))
             columns = [pa.array(as_long(context[first])), pa.array(as_long(word[first])), pa.array(counts.astype(np.int64))]
             return pa.RecordBatch.from_arrays(columns, names=["context", "word", "count"])
 
@@ -396,8 +400,9 @@ def learn_table(
 
 def _counted(values: np.ndarray, text: np.ndarray, n: int) -> tuple[pa.Array, pa.Array]:
     """The distinct values of each of ``n`` texts and their times, as two list columns."""
-    order = np.argsort(values, kind="stable")
-    order = order[np.argsort(text[order].astype(np.uint32), kind="stable")]
+    order = np.argsort(values)
+    # Sixteen bits are sorted by counting.
+    order = order[np.argsort(text[order].astype(np.uint16 if n < 1 << 16 else np.uint32), kind="stable")]
     values, text = values[order], text[order]
     new = np.ones(len(values), dtype=bool)
     new[1:] = (values[1:] != values[:-1]) | (text[1:] != text[:-1])
@@ -407,6 +412,11 @@ def _counted(values: np.ndarray, text: np.ndarray, n: int) -> tuple[pa.Array, pa
     return pa.ListArray.from_arrays(edges, pa.array(as_long(values[first]))), pa.ListArray.from_arrays(edges, pa.array(times))
 
 
+def _listed(values: np.ndarray, text: np.ndarray, n: int) -> pa.Array:
+    """The values of each of ``n`` texts, which rise, as a list column."""
+    return pa.ListArray.from_arrays(pa.array(np.searchsorted(text, np.arange(n + 1)).astype(np.int32)), pa.array(as_long(values)))
+
+
 def score_texts(rows: DataFrame, tree: SuffixTree, counts: DataFrame, states: DataFrame, gains: DataFrame) -> DataFrame:
     """``(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score)`` of ``(doc_id, text, held_out)``.
 
@@ -416,7 +426,7 @@ def score_texts(rows: DataFrame, tree: SuffixTree, counts: DataFrame, states: Da
     sums per row of the input are merged before they are shuffled.
     """
     shared = rows.sparkSession.sparkContext.broadcast(tree)
-    names = ["doc_id", "held_out", "n_tokens", "known", "base", "model", "words", "times", "pairs", "pair_times"]
+    names = ["doc_id", "held_out", "n_tokens", "known", "base", "model", "words", "times", "pairs"]
 
     def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
@@ -445,40 +455,38 @@ def score_texts(rows: DataFrame, tree: SuffixTree, counts: DataFrame, states: Da
                         pa.array(np.bincount(owner, base, n)),
                         pa.array(np.bincount(owner, model, n)),
                         *_counted(hashes[~held], owner[~held], n),
-                        *_counted(_pair_key(hashes[at - 1], hashes[at]), owner[at], n),
+                        _listed(_pair_key(hashes[at - 1], hashes[at]), owner[at], n),
                     ],
                     names=names,
                 )
 
     schema = (
         "doc_id long, held_out boolean, n_tokens long, known long, base double, model double, "
-        "words array<long>, times array<int>, pairs array<long>, pair_times array<int>"
+        "words array<long>, times array<int>, pairs array<long>"
     )
     scored = rows.select("doc_id", "text", "held_out").mapInArrow(local, schema)
     # Ids may be null or repeat; the key is written with the row, so it stays the same in all readings.
     scored = materialize(scored.withColumn("row_key", F.monotonically_increasing_id()))
 
-    def listed(values: str, times: str, name: str) -> DataFrame:
-        rows = scored.select("row_key", F.explode(F.arrays_zip(values, times)).alias("w"))
-        return rows.select("row_key", F.col(f"w.{values}").alias(name), F.col(f"w.{times}").alias("times"))
-
+    words = scored.select("row_key", F.explode(F.arrays_zip("words", "times")).alias("w"))
+    words = words.select("row_key", F.col("w.words").alias("word"), F.col("w.times").alias("times"))
     less = counts.where(F.col("count") < tree.tokens * tree.min_word_share)
     less = less.join(states.select(F.col("context").alias("word"), "left"), "word", "left")
     total = F.lit(float(tree.tokens + tree.distinct + 1))
     log = F.log10((F.coalesce("count", F.lit(0)) + 1) / total)
-    rare = listed("words", "times", "word").join(less, "word", "left").select(
+    rare = words.join(less, "word", "left").select(
         "row_key",
         (F.col("times") * log).alias("rare"),
         F.when(F.col("count").isNotNull(), F.col("times")).alias("rare_known"),
         (F.col("times") * F.coalesce("left", F.lit(0.0))).alias("more"),
     )
-    behind = listed("pairs", "pair_times", "pair").join(gains, "pair").select(
-        "row_key", F.lit(0.0).alias("rare"), F.lit(None).cast("int").alias("rare_known"), (F.col("times") * F.col("gain")).alias("more")
+    behind = scored.select("row_key", F.explode("pairs").alias("pair")).join(gains, "pair").select(
+        "row_key", F.lit(0.0).alias("rare"), F.lit(None).cast("int").alias("rare_known"), F.col("gain").alias("more")
     )
     sums = rare.unionByName(behind).groupBy("row_key").agg(*[F.sum(c).alias(c) for c in ("rare", "rare_known", "more")])
     rest = F.coalesce("rare", F.lit(0.0))
     return (
-        scored.drop("words", "times", "pairs", "pair_times")
+        scored.drop("words", "times", "pairs")
         .join(sums, "row_key", "left")
         .select(
             "doc_id",
