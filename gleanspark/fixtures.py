@@ -59,6 +59,27 @@ UNION ALL
 SELECT concat('c', CAST(c_custkey AS STRING)), concat('n', CAST(c_nationkey AS STRING)), c_name FROM customer
 UNION ALL
 SELECT concat('o', CAST(o_orderkey AS STRING)), concat('c', CAST(o_custkey AS STRING)), o_orderpriority FROM orders""",
+    # Customers in groups of ten: chains, cycles with a tail, stars; orders below them.
+    "fx_linked_edges": """
+SELECT concat('c', lpad(CAST(k AS STRING), 9, '0')) AS node_id,
+  CASE WHEN g % 3 <> 1 AND i = 0 THEN NULL
+       ELSE concat('c', lpad(CAST(CASE WHEN g % 3 = 2 THEN g * 10 WHEN g % 3 = 1 AND i <= g % 4 THEN g * 10 + (i + 1) % (g % 4 + 1) ELSE k - 1 END AS STRING), 9, '0')) END AS parent_id,
+  c_name AS title
+FROM (SELECT c_name, c_custkey AS k, CAST(floor(c_custkey / 10) AS BIGINT) AS g, c_custkey % 10 AS i FROM customer) AS numbered
+UNION ALL
+SELECT concat('o', CAST(o_orderkey AS STRING)), concat('c', lpad(CAST(o_custkey AS STRING), 9, '0')), o_orderpriority FROM orders""",
+    # Two harvests of one catalogue, a package per order; in the second, packages stand on the next page again.
+    "fx_harvest_before": """
+SELECT o_orderpriority AS portal, CAST(o_orderkey AS STRING) AS id, o_orderkey AS page_no, o_orderstatus AS title, o_custkey AS owner
+FROM orders WHERE o_orderkey % 10 <> 3""",
+    "fx_harvest_after": """
+SELECT o_orderpriority AS portal, CAST(o_orderkey AS STRING) AS id, o_orderkey AS page_no,
+  CASE WHEN o_orderkey % 6 = 0 THEN concat('new ', o_orderstatus) ELSE o_orderstatus END AS title,
+  CASE WHEN o_orderkey % 50 = 1 THEN NULL ELSE o_custkey END AS owner
+FROM orders WHERE o_orderkey % 10 <> 7
+UNION ALL
+SELECT o_orderpriority, CAST(o_orderkey AS STRING), o_orderkey + 1, CASE WHEN o_orderkey % 50 = 0 THEN 'late' ELSE o_orderstatus END, o_custkey
+FROM orders WHERE o_orderkey % 25 = 0""",
     "fx_tree_nodes": """
 SELECT concat('c', CAST(c_custkey AS STRING)) AS node_id,
   concat('<b><span class="node"> ', c_name, '/', CAST(c_custkey AS STRING), ' </span></b>') AS label,

@@ -13,8 +13,6 @@ from gleanspark.session import materialize
 
 #: Tree levels opened in one plan before the remainder is looked at.
 LEVELS_PER_PASS = 4
-#: Doubling rounds after which only a cycle can still be open (depth 2^40).
-MAX_ROUNDS = 40
 
 
 def _children(node: Column) -> Column:
@@ -90,11 +88,38 @@ def flatten_edges(edges: DataFrame) -> DataFrame:
     Ancestors are found by doubling: each round joins every node to the chain
     already known of the top it has reached, so a tree of depth d takes about
     log2(d) joins. The state is written after each round. A node whose parent is
-    not in the list is a root of its own.
+    not in the list is a root of its own. A node has one parent: of rows that
+    repeat an id the smallest ``(parent_id, title)`` counts, null first. Rows
+    without id are no nodes. Nodes on or below a cycle hang below no root; they are
+    the rows of :func:`tree_cycles` instead.
     """
+    return _walk(edges)[0]
+
+
+def tree_cycles(edges: DataFrame) -> DataFrame:
+    """``(node_id, title, kind, cycle_id, cycle_size)``: the nodes of an edge list that lead into a cycle.
+
+    ``kind`` is ``cycle`` for those on it and ``below`` for the others; ``cycle_id``
+    is the smallest id on the cycle. Pointers are doubled as often as the number of
+    such nodes has binary digits; then all of them stand on their cycle, and have
+    seen all of it.
+    """
+    return _cycles(_walk(edges)[1])
+
+
+def split_edges(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows of :func:`flatten_edges` and those of :func:`tree_cycles`, found in one walk."""
+    flat, stuck = _walk(edges)
+    return flat, _cycles(stuck)
+
+
+def _walk(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The flattened nodes, and ``(node_id, title, top)`` of those that never come to a root."""
+    given = edges.where(F.col("node_id").isNotNull()).groupBy("node_id")
+    edges = given.agg(F.min(F.struct("parent_id", "title")).alias("_e")).select("node_id", "_e.parent_id", "_e.title")
     parents = edges.where(F.col("parent_id").isNotNull()).select(F.col("parent_id").alias("node_id")).distinct()
     # A parent that is not in the list is no parent: its nodes are roots, with all below them.
-    listed = edges.select(F.col("node_id").alias("parent_id")).distinct().withColumn("_listed", F.lit(True))
+    listed = edges.select(F.col("node_id").alias("parent_id")).withColumn("_listed", F.lit(True))
     known = edges.join(parents.withColumn("_folder", F.lit(True)), "node_id", "left").join(listed, "parent_id", "left").select(
         "node_id",
         "title",
@@ -105,21 +130,41 @@ def flatten_edges(edges: DataFrame) -> DataFrame:
     known = materialize(known)
     # Finished nodes stay where they were written; only open ones are carried on.
     finished, still_open = known.where(F.col("top").isNull()), known.where(F.col("top").isNotNull())
-    for _ in range(MAX_ROUNDS):
-        if still_open.isEmpty():
-            return finished.select("node_id", "title", "path", (F.size("path") + 1).alias("depth"), "is_leaf")
+    while not still_open.isEmpty():
         upper = finished.unionByName(still_open).select(
             F.col("node_id").alias("top"),
             F.col("top").alias("_next"),
             F.array_append("path", F.col("title")).alias("_above"),
         )
         raised = materialize(_raise(still_open, upper))
-        finished = finished.unionByName(raised.where(F.col("top").isNull()))
-        still_open = raised.where(F.col("top").isNotNull())
-    raise ValueError("the edge list holds a cycle")
+        done = raised.where(F.col("top").isNull())
+        # Round n finishes all nodes of depths 2^(n-1) to 2^n, so where it finishes none, none is left below a root.
+        if done.isEmpty():
+            break
+        finished, still_open = finished.unionByName(done), raised.where(F.col("top").isNotNull())
+    flat = finished.select("node_id", "title", "path", (F.size("path") + 1).alias("depth"), "is_leaf")
+    return flat, known.join(still_open.select("node_id"), "node_id", "left_semi").select("node_id", "title", "top")
 
 
 def _raise(open_nodes: DataFrame, upper: DataFrame) -> DataFrame:
     return open_nodes.join(upper, "top").select(
         "node_id", "title", "is_leaf", F.col("_next").alias("top"), F.concat("_above", "path").alias("path")
     )
+
+
+def _cycles(stuck: DataFrame) -> DataFrame:
+    stuck = materialize(stuck)
+    # `least` is the smallest of the ids passed on the way to `at`.
+    reach = stuck.select("node_id", F.col("top").alias("at"), F.col("node_id").alias("least"))
+    for _ in range(max(0, stuck.count() - 1).bit_length()):
+        step = reach.select(F.col("node_id").alias("at"), F.col("at").alias("_next"), F.col("least").alias("_least"))
+        reach = materialize(
+            reach.join(step, "at").select("node_id", F.col("_next").alias("at"), F.least("least", "_least").alias("least"))
+        )
+    on = reach.join(reach.select(F.col("at").alias("node_id")).distinct(), "node_id", "left_semi")
+    on = materialize(on.select("node_id", F.col("least").alias("cycle_id")))
+    sizes = on.groupBy("cycle_id").agg(F.count(F.lit(1)).alias("cycle_size"))
+    ends = on.join(sizes, "cycle_id").withColumnRenamed("node_id", "at")
+    placed = reach.join(ends, "at").join(on.select("node_id", F.lit(True).alias("_on")), "node_id", "left")
+    kind = F.when(F.col("_on"), "cycle").otherwise("below").alias("kind")
+    return stuck.join(placed.select("node_id", kind, "cycle_id", "cycle_size"), "node_id").drop("top")

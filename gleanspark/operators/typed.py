@@ -122,11 +122,10 @@ def _casts(cell: Column) -> dict[str, Column]:
 
 
 def records_to_df(records: DataFrame, schema: T.StructType | None = None, patterns: dict[str, str] | None = None) -> DataFrame:
-    """One dataset as columns: cast to ``schema``, or to the types all its rows allow."""
+    """One dataset as columns: cast to ``schema``, or to the types all its rows allow, in the order of the records' keys."""
     if schema is None:
-        types = infer_columns(records.withColumn("dataset_id", F.lit("-"))).collect()
-        columns = types[0]["columns"] if types else {}
-        schema = T.StructType([T.StructField(n, T._parse_datatype_string(t)) for n, t in sorted(columns.items())])
+        found = infer_columns(records.withColumn("dataset_id", F.lit("-"))).select(F.inline(F.map_entries("columns")))
+        schema = T.StructType([T.StructField(r["key"], T.DataType.fromDDL(r["value"])) for r in found.collect()])
     patterns = patterns or {}
     return records.select(
         *[
@@ -153,16 +152,19 @@ def infer_columns(records: DataFrame) -> DataFrame:
     def all_cells(condition: Column) -> Column:
         return F.coalesce(F.bool_and(F.when(filled, condition)), F.lit(False))
 
-    cells = records.select("dataset_id", F.explode("record").alias("name", "value"))
+    cells = records.select("dataset_id", F.posexplode(F.map_entries("record")).alias("_pos", "_cell"))
+    cells = cells.select("dataset_id", "_pos", F.col("_cell.key").alias("name"), F.col("_cell.value").alias("value"))
     types = cells.groupBy("dataset_id", "name").agg(
         all_cells(value.rlike(r"^[+-]?\d+$") & value.try_cast("bigint").isNotNull()).alias("_int"),
         all_cells(value.rlike(r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$")).alias("_float"),
         all_cells(value.isin("true", "false")).alias("_bool"),
+        F.min("_pos").alias("_pos"),
     )
     kind = (
         F.when(F.col("_int"), "bigint").when(F.col("_float"), "double").when(F.col("_bool"), "boolean").otherwise("string")
     )
-    # One entry per column of the dataset's header.
+    # One entry per column of the dataset's header, in its order.
+    listed = F.sort_array(F.collect_list(F.struct("_pos", "name", kind.alias("type"))))
     return types.groupBy("dataset_id").agg(
-        F.map_from_entries(F.collect_list(F.struct("name", kind.alias("type")))).alias("columns")
+        F.map_from_entries(F.transform(listed, lambda c: F.struct(c["name"], c["type"]))).alias("columns")
     )

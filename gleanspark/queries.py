@@ -18,9 +18,10 @@ from pyspark.sql import types as T
 
 from gleanspark import fixtures
 from gleanspark.functions import payload, predicates, text, types
-from gleanspark.operators import coverage, dates, positions, resources, responses, spatial, tree, typed
+from gleanspark.operators import coverage, dates, lanes, nested, positions, resources, responses, snapshots, spatial, tree, typed
 from gleanspark.plans import CatalogueHarvest, DatasetHarvest, harvest_catalogue, harvest_datasets, harvest_indicators
 from gleanspark.session import checkpoint_dir, configure, materialize, spread
+from gleanspark.sinks import run_in_parts
 from gleanspark.sources import catalog, datasets, indicators, payloads, search, topics
 from gleanspark.sources.fetch import fetch
 from gleanspark.sources.portals import portals
@@ -1309,3 +1310,129 @@ def q_clean_metadata(read, spark):
     body = F.concat(F.lit("﻿"), F.to_json(F.struct(F.col("text").alias("description"))))
     clean = indicators.clean_metadata(read("documents").select("doc_id", body.alias("body")))
     return clean.select("doc_id", F.get_json_object("body", "$.description").alias("description"))
+
+
+# --- trees with cycles, changing catalogues, lanes, nested records, resumed runs ---------------
+
+
+@query(
+    """, customers AS (SELECT *, k % 10 AS i, 'c' || lpad(CAST(k AS VARCHAR), 9, '0') AS node_id, 'c' || lpad(CAST(g * 10 AS VARCHAR), 9, '0') AS head
+  FROM (SELECT c_custkey AS k, CAST(floor(c_custkey / 10) AS BIGINT) AS g FROM customer)),
+placed AS (SELECT k, node_id, CASE WHEN g % 3 <> 1 THEN 'tree' WHEN i <= g % 4 THEN 'cycle' ELSE 'below' END AS kind,
+  CASE g % 3 WHEN 0 THEN i + 1 WHEN 2 THEN CASE WHEN i = 0 THEN 1 ELSE 2 END END AS depth,
+  CASE WHEN g % 3 = 1 THEN head END AS cycle_id, CASE WHEN g % 3 = 1 THEN g % 4 + 1 END AS cycle_size FROM customers)
+SELECT node_id, kind, CAST(depth AS BIGINT) AS depth, cycle_id, CAST(cycle_size AS BIGINT) AS cycle_size FROM placed
+UNION ALL SELECT 'o' || o_orderkey, CASE kind WHEN 'cycle' THEN 'below' ELSE kind END, CAST(depth + 1 AS BIGINT), cycle_id, CAST(cycle_size AS BIGINT)
+FROM orders JOIN placed ON o_custkey = k""",
+    ("fx_linked_edges",),
+)
+def q_tree_cycles(read, spark):
+    """Every node of an edge list with cycles: its depth, or the cycle that it leads into."""
+    flat, stuck = tree.split_edges(read("fx_linked_edges"))
+    none = F.lit(None)
+    whole = flat.select(
+        "node_id", F.lit("tree").alias("kind"), F.col("depth").cast("bigint").alias("depth"), none.cast("string").alias("cycle_id"), none.cast("bigint").alias("cycle_size")
+    )
+    found = stuck.select("node_id", "kind", none.cast("bigint").alias("depth"), "cycle_id", "cycle_size")
+    return whole.unionByName(found)
+
+
+_SEEN_AFTER = """, after AS (SELECT id, arg_max(title, page_no) AS title, arg_max(struct_pack(o := owner), page_no).o AS owner, count(*) AS copies
+  FROM fx_harvest_after GROUP BY id)"""
+
+
+@query(
+    _SEEN_AFTER
+    + """SELECT * FROM (SELECT coalesce(a.id, b.id) AS id, CASE WHEN b.id IS NULL THEN 'added' WHEN a.id IS NULL THEN 'removed'
+  WHEN a.title <> b.title OR a.owner IS DISTINCT FROM b.owner THEN 'changed' END AS change
+FROM after a FULL JOIN fx_harvest_before b ON a.id = b.id) WHERE change IS NOT NULL""",
+    ("fx_harvest_before", "fx_harvest_after"),
+)
+def q_catalog_diff(read, spark):
+    """What two harvests of a catalogue differ in, the second one read from pages that drifted."""
+    content = ("title", "owner")
+    before, after = (snapshots.snapshot(read(f"fx_harvest_{when}"), content, ("page_no",)) for when in ("before", "after"))
+    return snapshots.snapshot_diff(before, after).select("id", "change")
+
+
+@query(
+    """SELECT o_orderpriority AS portal, count(*) AS total, count(*) FILTER (o_orderkey % 10 <> 7) + count(*) FILTER (o_orderkey % 25 = 0) AS seen,
+  count(*) FILTER (o_orderkey % 10 <> 7 OR o_orderkey % 25 = 0) AS packages, count(*) FILTER (o_orderkey % 10 <> 7 AND o_orderkey % 25 = 0) AS repeated,
+  count(*) FILTER (o_orderkey % 10 = 7 AND o_orderkey % 25 <> 0) AS missing FROM orders GROUP BY o_orderpriority"""
+)
+def q_page_drift(read, spark):
+    """How far the pages of each portal drifted while they were read."""
+    totals = read("orders").groupBy(F.col("o_orderpriority").alias("portal")).agg(F.count(F.lit(1)).alias("total"))
+    return snapshots.page_drift(read("fx_harvest_after"), totals)
+
+
+@query(
+    f"""SELECT count(*) AS urls, CAST(sum({lanes.OVERHEAD} + CASE WHEN {_LENGTH} >= 0 THEN {_LENGTH} ELSE {lanes.UNKNOWN_SIZE} END) AS BIGINT) AS weight,
+  CAST(8 AS BIGINT) AS used, true AS balanced, count(*) FILTER (doc_id % 11 > 2) AS fetched FROM fx_responses""",
+    ("fx_responses",),
+)
+def q_fetch_lanes(read, spark):
+    """Requests dealt into eight lanes by expected size: the fullest within 4/3 of the mean, and every one of them fetched."""
+    work = read("fx_responses").select("url", "content_length")
+    weighed = work.select("url", lanes.expected_weight("content_length").alias("weight"))
+    filled = lanes.deal_lanes(weighed, 8).groupBy("lane").agg(F.sum("weight").alias("weight"), F.count(F.lit(1)).alias("n"))
+    dealt = filled.agg(
+        F.sum("n").alias("urls"),
+        F.sum("weight").alias("weight"),
+        F.count(F.lit(1)).alias("used"),
+        (3 * F.max("weight") * F.count(F.lit(1)) <= 4 * F.sum("weight")).alias("balanced"),
+    )
+    fetched = fetch(work, _echo_transport, 8, sizes="content_length").agg(F.count_if("ok").alias("fetched"))
+    # One row each.
+    return dealt.withColumn("_one", F.lit(1)).join(fetched.withColumn("_one", F.lit(1)), "_one").drop("_one")
+
+
+def _nested_records(read) -> DataFrame:
+    """Events as nested JSON records whose fields differ from row to row."""
+    record = F.struct(
+        F.col("event_id").alias("z_id"),
+        F.col("value").alias("amount"),
+        F.when(F.col("event_id") % 2 == 0, F.struct(F.col("user_id").alias("user"), F.col("event_type").alias("type"))).alias("who"),
+        F.array(F.col("event_id") % 3, F.col("event_id") % 5).alias("marks"),
+        (F.col("user_id") % 2 == 0).alias("even"),
+        F.when(F.col("event_id") % 7 == 0, F.col("event_type")).otherwise(F.lit(None)).alias("late"),
+    )
+    # A field that is a number in some rows and a text in others.
+    mixed = F.when(F.col("event_id") % 4 == 0, F.col("user_id").cast("string")).otherwise(F.concat(F.lit('"'), "event_type", F.lit('"')))
+    text = F.concat(F.regexp_replace(F.to_json(record), r"\}$", ',"any":'), mixed, F.lit("}"))
+    return read("events").select(F.col("event_type").alias("dataset_id"), "event_id", text.alias("record"))
+
+
+@query(
+    """SELECT event_id AS z_id, value AS amount, CASE WHEN event_id % 2 = 0 THEN user_id END AS who_user, CASE WHEN event_id % 2 = 0 THEN event_type END AS who_type,
+  (event_id % 3 || '/' || event_id % 5) AS marks, user_id % 2 = 0 AS even, CASE WHEN event_id % 7 = 0 THEN event_type END AS late,
+  CASE WHEN event_id % 4 = 0 THEN CAST(user_id AS VARCHAR) ELSE event_type END AS "any" FROM events"""
+)
+def q_infer_nested(read, spark):
+    """Nested records as columns of the types that all rows allow."""
+    frame = nested.nested_frame(_nested_records(read))
+    marks = F.array_join(F.col("marks").cast("array<string>"), "/")
+    return frame.select("z_id", "amount", F.col("who.user").alias("who_user"), F.col("who.type").alias("who_type"), marks.alias("marks"), "even", "late", "any")
+
+
+@query("SELECT o_orderkey, CASE WHEN o_orderkey % 4 < 2 THEN 'first' ELSE 'second' END AS run_name, o_orderstatus <> 'F' AS ok FROM orders")
+def q_resume(read, spark):
+    """A run that is killed between staging and publishing its third part, and the next one, which takes up the rest."""
+    work, destination = read("orders").select("o_orderkey", "o_orderstatus"), _destination(spark)
+
+    def kill(part: int) -> None:
+        if part == 2:
+            raise InterruptedError("killed")
+
+    def run(name: str, before_publish: Callable[[int], None] | None) -> DataFrame:
+        def step(rows: DataFrame) -> DataFrame:
+            return rows.select("o_orderkey", F.lit(name).alias("run_name"), (F.col("o_orderstatus") != "F").alias("ok"))
+
+        schema = "o_orderkey bigint, run_name string, ok boolean"
+        return run_in_parts(work, step, destination, name, schema, 4, "o_orderkey", F.col("o_orderkey") % 4, before_publish)
+
+    try:
+        run("first", kill)
+    except InterruptedError:
+        pass
+    return run("second", None)

@@ -1,5 +1,6 @@
 """Writers for datasets, payloads, catalogues, tables and the run log."""
 
+from gleanspark.sinks.manifests import manifests, publish, read_published, run_in_parts, stage
 from gleanspark.sinks.stores import (
     store_catalog,
     store_dataset,
@@ -13,6 +14,11 @@ from gleanspark.sinks.stores import (
 )
 
 __all__ = [
+    "manifests",
+    "publish",
+    "read_published",
+    "run_in_parts",
+    "stage",
     "store_catalog",
     "store_dataset",
     "store_dataset_catalog",

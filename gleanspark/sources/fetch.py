@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gleanspark.functions import errors as E
+from gleanspark.operators.lanes import deal_lanes, expected_weight
 from gleanspark.operators.responses import MAX_RESOURCE_SIZE
 
 #: ``transport(url, headers) -> (status, headers, body)``. ``body`` is bytes, or
@@ -61,13 +62,16 @@ def fetch(
     request_headers: Mapping[str, str] | None = None,
     max_size: int = MAX_RESOURCE_SIZE,
     max_workers: int = 1,
+    sizes: str | None = None,
 ) -> DataFrame:
     """One outcome row per distinct url of ``work``.
 
     Urls are made distinct first, so a url that many rows share is fetched once
     and the fetch is spread evenly. Spark may run a task again, so the transport
     has to be idempotent; write the result before reading it twice. A task asks
-    for up to ``max_workers`` urls at a time, and holds as many bodies.
+    for up to ``max_workers`` urls at a time, and holds as many bodies. With
+    ``sizes``, a column of expected sizes (the largest of a url counts), the urls are
+    dealt into ``partitions`` lanes of about equal cost, instead of equal number.
     """
     request_headers = dict(request_headers or {})
 
@@ -98,6 +102,13 @@ def fetch(
 
     columns = [c.split()[0] for c in FETCH_SCHEMA.split(", ")]
     # Dealt out by url before repeats are dropped, so one shuffle serves both.
-    urls = work.select("url").where(F.col("url").isNotNull()).repartition(partitions, "url").distinct()
+    known = work.where(F.col("url").isNotNull())
+    if sizes is None:
+        urls = known.select("url").repartition(partitions, "url").distinct()
+    else:
+        weighed = known.groupBy("url").agg(F.max(F.col(sizes).try_cast("bigint")).alias("_size"))
+        weighed = weighed.select("url", expected_weight("_size").alias("weight"))
+        dealt = deal_lanes(weighed, partitions).repartitionById(partitions, "lane")
+        urls = dealt.sortWithinPartitions("place").select("url")
     outcomes = urls.mapInPandas(run, FETCH_SCHEMA)
     return outcomes.withColumn("ok", F.col("error_type").isNull())
