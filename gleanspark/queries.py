@@ -1383,8 +1383,9 @@ def q_fetch_lanes(read, spark):
         (3 * F.max("weight") * F.count(F.lit(1)) <= 4 * F.sum("weight")).alias("balanced"),
     )
     fetched = fetch(work, _echo_transport, 8, sizes="content_length").agg(F.count_if("ok").alias("fetched"))
-    # One row each.
-    return dealt.withColumn("_one", F.lit(1)).join(fetched.withColumn("_one", F.lit(1)), "_one").drop("_one")
+    # One row each, brought together as one.
+    both = dealt.unionByName(fetched, allowMissingColumns=True)
+    return both.agg(*[F.max(name).alias(name) for name in both.columns])
 
 
 def _nested_records(read) -> DataFrame:
