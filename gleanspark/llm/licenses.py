@@ -8,6 +8,8 @@ verified by the part of the template's words it holds.
 
 from __future__ import annotations
 
+from string import ascii_lowercase, ascii_uppercase
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -41,12 +43,19 @@ STATEMENTS = [
     ("public-domain", "has been dedicated to the public domain"),
 ]
 
-_SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+_SEPARATORS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+#: Repeats of a row that are put out together.
+_REPEATS = 1 << 16
 
 
 def word_list(text: Column) -> Column:
-    """Runs of ASCII letters, digits and anything beyond ASCII, in lower case; null has none."""
-    return F.array_remove(F.split(F.lower(F.coalesce(text, F.lit(""))), _SEPARATORS), "")
+    """Runs of ASCII letters, digits and anything beyond ASCII, with A-Z alone in lower case; null has none."""
+
+    def lowered(w: Column) -> Column:
+        # Only ASCII words may go by Unicode's rules, which turn some other letters into ASCII ones.
+        return F.when(F.length(w) == F.octet_length(w), F.lower(w)).otherwise(F.translate(w, ascii_uppercase, ascii_lowercase))
+
+    return F.transform(F.array_remove(F.split(F.coalesce(text, F.lit("")), _SEPARATORS), ""), lowered)
 
 
 def gram_hashes(words: Column) -> Column:
@@ -117,67 +126,76 @@ def license_spans(
     statements hold ``min_coverage`` of their template's words, in order within a
     band of near diagonals. A word counts with a pair that is held, or next to one
     across a single other word. Of statements on the same words those with the
-    largest coverage, and then the most words, are taken. The words of a text are cut once, and only hits,
-    and one row per document, are shuffled.
-
-    A null or empty text has no words and no spans. Every row is searched by
-    itself, whether its id is null, repeated or neither. No rows give no rows.
+    largest coverage, and then the most words, are taken: one that another beats on any of
+    its words goes. The words of a text are cut once, and only hits, words of statements
+    and one row per document are shuffled; all steps are linear in the text.
+
+    A null or empty text has no words and no spans. Every row has its result,
+    whether its id is null, repeated or neither; rows equal in id and text are searched
+    once. A very long text is one row until its hits are shuffled. Other columns of the
+    input are not read, so their names cannot clash. No rows give no rows.
     """
     templates = F.broadcast(template_grams(docs.sparkSession, base, statements))
-    texts = read_texts(docs, id_col, text_col).withColumn("row_key", F.monotonically_increasing_id()).withColumn("w", word_list(F.col("text")))
+    texts = read_texts(docs, id_col, text_col).withColumn("w", word_list(F.col("text")))
+    # A key that a task computes again after a loss; no running number.
+    texts = texts.withColumn("key_1", F.xxhash64("text")).withColumn("key_2", F.xxhash64(F.lit(1), "text"))
     texts = texts.withColumn("h", F.transform("w", lambda w: F.xxhash64(w)))
+    keys = ["doc_id", "key_1", "key_2"]
     # The null behind the grams gives each document a row of its own.
-    grams = texts.select("row_key", "doc_id", F.size("w").cast("long").alias("n_words"), grams_and_neighbours(F.col("w"), F.col("h")).alias("g"))
+    grams = texts.select(*keys, F.size("w").cast("long").alias("n_words"), grams_and_neighbours(F.col("w"), F.col("h")).alias("g"))
     # Never empty; the outer form keeps the optimizer from cutting the words once more for a filter.
-    rolling = grams.select("row_key", "doc_id", "n_words", F.posexplode_outer("g").alias("pos", "gram")).select("row_key", "doc_id", "n_words", "pos", "gram.*")
+    rolling = grams.select(*keys, "n_words", F.posexplode_outer("g").alias("pos", "gram")).select(*keys, "n_words", "pos", "gram.*")
     hits = rolling.join(templates, "hash", "left").where(F.col("hash").isNull() | F.col("template").isNotNull())
     hits = hits.withColumn("held", F.when(F.col("template").isNotNull(), _held_words()))
     # Per document, template and diagonal; a place of the template is on a diagonal once.
-    diagonals = hits.groupBy(
-        "row_key", "doc_id", "template", "label", "is_base", "n_grams", (F.col("pos") - F.col("place")).alias("diagonal")
-    ).agg(
+    diagonals = hits.groupBy(*keys, "template", "label", "is_base", "n_grams", (F.col("pos") - F.col("place")).alias("diagonal")).agg(
         F.collect_set("place").alias("places"),
         F.collect_set("held").alias("held"),
         F.min("pos").alias("first"),
         F.max("pos").alias("last"),
-        # Rows of the document itself have no template, and their word count.
+        # Rows of the document itself have no template, and their word count and number.
         F.first("n_words").alias("n_words"),
+        F.count(F.lit(1)).alias("repeats"),
     )
-    by_template = Window.partitionBy("row_key", "template").orderBy("diagonal")
+    by_template = Window.partitionBy(*keys, "template").orderBy("diagonal")
     step = F.coalesce(F.col("diagonal") - F.lag("diagonal").over(by_template), F.lit(0))
     # A base phrase is whole on its own diagonal, so bands of those are not merged.
     apart = F.when(F.col("is_base") | (step > near), 1).otherwise(0)
-    bands = diagonals.withColumn("band", F.sum(apart).over(by_template)).groupBy(
-        "row_key", "doc_id", "template", "label", "is_base", "n_grams", "band"
-    )
+    bands = diagonals.withColumn("band", F.sum(apart).over(by_template)).groupBy(*keys, "template", "label", "is_base", "n_grams", "band")
     found = bands.agg(
         F.size(F.array_distinct(F.flatten(F.collect_list("places")))).alias("pairs"),
         F.size(F.array_distinct(F.flatten(F.flatten(F.collect_list("held"))))).alias("covered"),
         F.min("first").alias("start"),
         F.max("last").alias("end"),
         F.first("n_words").alias("n_words"),
+        F.first("repeats").alias("repeats"),
     ).withColumn("coverage", F.when(F.col("is_base"), F.col("pairs") / F.col("n_grams")).otherwise(F.col("covered") / (F.col("n_grams") + 1)))
     whole = F.col("is_base") & (F.col("pairs") == F.col("n_grams"))
     held = ~F.col("is_base") & (F.col("coverage") >= min_coverage)
+    # Once by document: words, statements and documents are then grouped where they are.
+    found = found.where(F.col("template").isNull() | whole | held).repartition(*keys)
+    words = found.withColumn("word", F.explode_outer(F.when(held, F.sequence("start", F.col("end") + GRAM_WORDS - 1))))
+    rank = F.struct("coverage", "covered")
+    best = F.max(rank).over(Window.partitionBy(*keys, "word"))
+    words = words.withColumn("beaten", held & (best > rank))
     span = F.struct(
         "label", "is_base", F.col("start").cast("long").alias("start"), (F.col("end") - F.col("start") + GRAM_WORDS).cast("long").alias("words"), "coverage"
     )
-    per_doc = found.groupBy("row_key", "doc_id").agg(
-        F.max(F.when(F.col("template").isNull(), F.col("n_words"))).alias("n_words"),
-        F.collect_list(F.when(whole, span)).alias("phrases"),
-        F.collect_list(F.when(held, F.struct(span.alias("span"), "covered"))).alias("statements"),
+    spans = words.groupBy(*keys, "template", "band").agg(
+        F.first(F.when(F.col("template").isNotNull(), span)).alias("span"),
+        F.max("beaten").alias("beaten"),
+        F.first("n_words").alias("n_words"),
+        F.first("repeats").alias("repeats"),
     )
-
-    def is_best(s: Column) -> Column:
-        def better(o: Column) -> Column:
-            a, b = o["span"], s["span"]
-            meet = (a["start"] < b["start"] + b["words"]) & (b["start"] < a["start"] + a["words"])
-            return meet & (F.struct(a["coverage"], o["covered"]) > F.struct(b["coverage"], s["covered"]))
-
-        return ~F.exists("statements", better)
-
-    best = F.transform(F.filter("statements", is_best), lambda s: s["span"])
-    return per_doc.select("doc_id", "n_words", F.array_sort(F.concat("phrases", best)).alias("spans"))
+    own = F.col("template").isNull()
+    per_doc = spans.groupBy(*keys).agg(
+        F.max(F.when(own, F.col("n_words"))).alias("n_words"),
+        F.max(F.when(own, F.col("repeats"))).alias("repeats"),
+        F.array_sort(F.collect_list(F.when(~F.coalesce("beaten", F.lit(False)), F.col("span")))).alias("spans"),
+    )
+    parts = per_doc.withColumn("part", F.explode(F.sequence(F.lit(0), (F.col("repeats") - 1).cast("long"), F.lit(_REPEATS))))
+    here = F.least(F.col("repeats") - F.col("part"), F.lit(_REPEATS)).cast("int")
+    return parts.select("doc_id", "n_words", "spans", F.explode(F.array_repeat(F.lit(0), here)).alias("repeat")).drop("repeat")
 
 
 def summary(spans: DataFrame) -> DataFrame:

@@ -301,6 +301,56 @@ def test_every_row_is_searched_for_licenses(documents):
     assert got == [(-1, 3, 1, "reserved"), (-1, 5, 1, "cc-by"), (4, 1, 0, ""), (4, 2, 1, "cc-by"), (4, 3, 1, "gpl")]
 
 
+def brute_best(spans):
+    """Of ``(label, start, words, coverage)`` those that no overlapping one beats in coverage, then in covered words."""
+    sizes = {label: [len(t.split()) for name, t in licenses.STATEMENTS if name == label] for label, _ in licenses.STATEMENTS}
+
+    def rank(s):
+        # Coverage times a template's size is a whole number of words for the size that fits.
+        return s[3], max(round(s[3] * n) for n in sizes[s[0]] if abs(s[3] * n - round(s[3] * n)) < 1e-9)
+
+    meet = lambda a, b: a[1] < b[1] + b[2] and b[1] < a[1] + a[2]
+    return [s for s in spans if not any(meet(s, o) and rank(o) > rank(s) for o in spans)]
+
+
+def test_statements_on_the_same_words_are_settled_as_by_all_pairs(documents):
+    draw = random.Random(11)
+    texts = [t for _, t in licenses.STATEMENTS]
+    rows = []
+    for i in range(50):
+        words = " ".join(draw.choice([draw.choice(texts), "and then", "released under"]) for _ in range(draw.randint(1, 12))).split()
+        rows.append((i, " ".join(w for w in words if draw.random() > 0.06)))
+    docs = documents(rows)
+    single = {}
+    for statement in licenses.STATEMENTS:
+        # One template by itself meets no other.
+        for r in licenses.license_spans(docs, base=[], statements=[statement]).collect():
+            single.setdefault(r.doc_id, []).extend((s.label, s.start, s.words, s.coverage) for s in r.spans)
+    found = {r.doc_id: [(s.label, s.start, s.words, s.coverage) for s in r.spans] for r in licenses.license_spans(docs, base=[]).collect()}
+    assert sum(map(len, found.values())) > 50
+    assert {i: sorted(v) for i, v in found.items()} == {i: sorted(brute_best(v)) for i, v in single.items()}
+
+
+def test_a_text_of_many_statements_is_settled_in_linear_time(documents):
+    import time
+
+    statement = "licensed under the gnu lesser general public license version 3 "
+    docs = documents([(1, statement * 10_000), (2, "plain")])
+    licenses.summary(licenses.license_spans(docs)).collect()
+    begin = time.monotonic()
+    found = {r.doc_id: r for r in licenses.summary(licenses.license_spans(docs)).collect()}
+    assert time.monotonic() - begin < 10
+    assert (found[1].n_words, found[1].n_base, found[1].labels) == (100_000, 10_000, "gpl,lgpl")
+
+
+def test_license_words_lower_case_a_to_z_alone(documents):
+    # The Kelvin sign is no k, and a dotted capital I no i.
+    found = licenses.summary(licenses.license_spans(documents([(1, "CC BY \u00c4"), (2, "all r\u0130ghts reserved"), (3, "Released under the MIT licen\u212ae")])))
+    assert {r.doc_id: (r.n_words, r.base_labels) for r in found.collect()} == {1: (3, "cc-by"), 2: (3, ""), 3: (5, "")}
+    words = documents([(1, "\u212aEY \u00c4B")]).select(licenses.word_list(F.col("text")).alias("w")).first().w
+    assert words == ["\u212aey", "\u00c4b"]
+
+
 def test_license_scan_stays_on_the_jvm(documents):
     plan = licenses.summary(licenses.license_spans(documents(AWKWARD)))._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow|Cartesian", plan)
