@@ -87,8 +87,15 @@ def _places(n: int) -> np.ndarray:
     return _PLACES
 
 
-def hash_words(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash per word: each byte times a random odd number of its place, summed and mixed."""
+#: Places from which the second hash of a word takes its numbers.
+SECOND = 2048
+
+
+def hash_words(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, skip: int = 0) -> np.ndarray:
+    """A 64-bit hash per word: each byte times a random odd number of its place, summed and mixed.
+
+    With another ``skip`` other numbers are taken, so that ``0`` and ``SECOND`` give 128 bits together.
+    """
     out = np.empty(len(starts), dtype=np.uint64)
     for low in range(0, len(starts), _BLOCK_WORDS):
         high = min(low + _BLOCK_WORDS, len(starts))
@@ -97,7 +104,7 @@ def hash_words(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
         heads = np.concatenate(([0], np.cumsum(sizes)))
         place = np.arange(heads[-1]) - np.repeat(heads[:-1], sizes)
         at = place + np.repeat(begin, sizes)
-        values = (data[at].astype(np.uint64) + np.uint64(1)) * _places(int(sizes.max()))[place]
+        values = (data[at].astype(np.uint64) + np.uint64(1)) * _places(int(sizes.max()) + skip)[place + skip]
         out[low:high] = np.add.reduceat(values, heads[:-1]) + sizes.astype(np.uint64)
     return mix(out)
 

@@ -6,9 +6,11 @@ import hashlib
 import random
 import re
 
+import numpy as np
 import pytest
 
 from gleanspark.llm import decontaminate, jaccard, substring
+from gleanspark.llm import words as hashing
 from gleanspark.llm.components import connected_components
 from tests.llm.conftest import AWKWARD
 
@@ -139,6 +141,17 @@ def brute_hits(rows, items, size=13):
 HIT_COLUMNS = ("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+def test_second_hashes_of_words_are_other_functions_of_the_word():
+    text = " ".join([f"w{i}" for i in range(20_000)] + ["x" * 5000, "x" * 4999 + "y"] + [f"w{i}" for i in range(20_000)]).encode()
+    data = np.frombuffer(text, dtype=np.uint8)
+    starts, ends, _ = hashing.find_words(data, np.array([0, len(data)]), hashing.WHITE)
+    first, second = hashing.hash_words(data, starts, ends), hashing.hash_words(data, starts, ends, hashing.SECOND)
+    for found in (first, second):
+        assert (found[:20_000] == found[20_002:]).all() and len(np.unique(found)) == 20_002
+    # Half of the bits differ.
+    assert abs(np.unpackbits((first ^ second).view(np.uint8)).mean() - 0.5) < 0.01
+
+
 @pytest.mark.parametrize("limit", [10**6, 900])
 def test_benchmark_hits(spark, documents, rows_of, limit):
     draw = random.Random(3)
