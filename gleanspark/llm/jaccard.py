@@ -15,6 +15,9 @@ being compared pair by pair:
 
 Distances are bounded from below by parity sketches (a bit per token), and every
 link is confirmed on the whole sets. Tokens are 64-bit hashes of word shingles.
+
+Links are counted in the same way: sets of one leader whose distances to it prove that they
+link are counted by distance, not pair by pair, and only the others are compared.
 """
 
 from __future__ import annotations
@@ -23,7 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gleanspark.llm.components import connected_components
@@ -214,10 +217,10 @@ def _led(join: _Join, lists: DataFrame) -> DataFrame:
     return join.confirmed(materialize(join.near(pairs.distinct(), F.lit(0)).select("a", "b")))
 
 
-def _between(join: _Join, lists: DataFrame, links: DataFrame) -> DataFrame:
-    """Links between sets that the leaders' links leave apart."""
+def _placed(lists: DataFrame, links: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The leaders that sets follow, as written ``(id, leader, distance)``, and the list entries with leader, distance and root."""
     followers = links.groupBy("a").agg(F.min(F.struct("b", "distance")).alias("l"))
-    followers = followers.select(F.col("a").alias("id"), F.col("l.b").alias("leader"), F.col("l.distance").alias("distance"))
+    followers = materialize(followers.select(F.col("a").alias("id"), F.col("l.b").alias("leader"), F.col("l.distance").alias("distance")))
     entries = (
         lists.join(followers, "id", "left")
         .join(connected_components(links), "id", "left")
@@ -228,8 +231,13 @@ def _between(join: _Join, lists: DataFrame, links: DataFrame) -> DataFrame:
             F.coalesce("root", "id").alias("root"),
         )
     )
-    entries = materialize(entries)
-    mixed = entries.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("token")
+    return followers, materialize(entries)
+
+
+def _between(join: _Join, entries: DataFrame, apart: bool) -> DataFrame:
+    """Links between sets of different leaders: those that the leaders' links leave ``apart``, or those that they connect."""
+    group = "root" if apart else "leader"
+    mixed = entries.groupBy("token").agg(F.min(group).alias("low"), F.max(group).alias("high")).where("low < high").select("token")
     blocks = (
         entries.join(mixed, "token", "left_semi")
         .groupBy("token", "root", "leader", "pos")
@@ -245,7 +253,11 @@ def _between(join: _Join, lists: DataFrame, links: DataFrame) -> DataFrame:
     # A list's block holds the sets of one leader that have the token at one position.
     # What is left of them behind it bounds every overlap, so whole blocks are skipped.
     within = _may_link(F.least("left_1", "left_2"), F.col("n_min_1"), F.col("n_min_2"), join.percent)
-    met = one.join(two, "token").where(F.col("root_1") < F.col("root_2")).where(within)
+    if apart:
+        met = one.join(two, "token").where(F.col("root_1") < F.col("root_2")).where(within)
+    else:
+        met = one.withColumnRenamed("root_1", "root").join(two.withColumnRenamed("root_2", "root"), ["token", "root"])
+        met = met.where(F.col("leader_1") < F.col("leader_2")).where(within)
     slack = F.col("radius_1") + F.col("radius_2")
     # How far blocks may differ from their leaders, in distance and in size.
     grown = F.ceil((100 - join.percent) * (F.col("n_max_1") + F.col("n_max_2")) / F.lit(100 + join.percent))
@@ -254,15 +266,81 @@ def _between(join: _Join, lists: DataFrame, links: DataFrame) -> DataFrame:
     base = F.floor((100 - join.percent) * (F.col("n_a") + F.col("n_b")) / F.lit(100 + join.percent))
     open_pairs = join.near(pairs, F.greatest(F.lit(0), F.col("slack") - base)).select(F.col("a").alias("leader_1"), F.col("b").alias("leader_2"))
     spots = met.select("token", "leader_1", "pos_1", "leader_2", "pos_2").join(open_pairs, ["leader_1", "leader_2"])
-    left = entries.select("token", *[F.col(c).alias(f"{c}_1") for c in ("id", "n", "pos", "leader", "root")])
-    right = entries.select("token", *[F.col(c).alias(f"{c}_2") for c in ("id", "n", "pos", "leader", "root")])
+    left = entries.select("token", *[F.col(c).alias(f"{c}_1") for c in ("id", "n", "pos", "leader")])
+    right = entries.select("token", *[F.col(c).alias(f"{c}_2") for c in ("id", "n", "pos", "leader")])
     found = spots.join(left, ["token", "leader_1", "pos_1"]).join(right, ["token", "leader_2", "pos_2"])
+    return _compared(join, found)
+
+
+def _compared(join: _Join, found: DataFrame) -> DataFrame:
+    """Links among the pairs of entries ``(id_1, n_1, pos_1, id_2, n_2, pos_2)`` that met in a list."""
     bound = F.least(F.col("n_1") - F.col("pos_1"), F.col("n_2") - F.col("pos_2"))
-    found = found.where(F.col("root_1") != F.col("root_2")).where(_may_link(bound, F.col("n_1"), F.col("n_2"), join.percent))
+    found = found.where(_may_link(bound, F.col("n_1"), F.col("n_2"), join.percent))
     pairs = found.select(F.greatest("id_1", "id_2").alias("a"), F.least("id_1", "id_2").alias("b")).distinct()
     return join.confirmed(materialize(join.near(pairs, F.lit(0)).select("a", "b")))
 
 
+def _room(n: Column, distance: Column, percent: int) -> Column:
+    """What a set adds to the room between it and the others of its leader.
+
+    Two sets link when (100 + percent) * distance <= (100 - percent) * (n + m), and
+    their distance is at most the sum of those to the leader. So two sets of a leader
+    whose rooms add up to 0 or more link, whatever they hold.
+    """
+    return (100 - percent) * n.cast("long") - (100 + percent) * distance.cast("long")
+
+
+def _under_one_leader(join: _Join, entries: DataFrame) -> DataFrame:
+    """Links between sets of one leader that their rooms do not prove."""
+    found = entries.withColumn("room", _room(F.col("n"), F.col("distance"), join.percent)).drop("root")
+    names = ["id", "n", "pos", "distance", "room"]
+    one = found.where("room < 0").select("token", "leader", *[F.col(c).alias(f"{c}_1") for c in names])
+    two = found.select("token", "leader", *[F.col(c).alias(f"{c}_2") for c in names])
+    met = one.join(two, ["token", "leader"]).where("room_1 + room_2 < 0 and (room_2 >= 0 or id_2 < id_1)")
+    # They are at least as far from each other as their distances to the leader differ.
+    least = F.abs(F.col("distance_1") - F.col("distance_2")).cast("long")
+    return _compared(join, met.where((100 + join.percent) * least <= (100 - join.percent) * (F.col("n_1").cast("long") + F.col("n_2"))))
+
+
+def _proven(followers: DataFrame, sizes: DataFrame, weights: DataFrame, percent: int) -> DataFrame:
+    """``(id, proven)``: the documents of other sets of its leader that a set links with by their rooms.
+
+    Equal rooms of one leader count together, so no more meets in a task than
+    there are different rooms, which the length of the texts bounds.
+    """
+    own = followers.select(F.col("leader").alias("id")).distinct().join(followers.select("id"), "id", "left_anti")
+    stars = followers.unionByName(own.select("id", F.col("id").alias("leader"), F.lit(0).alias("distance")))
+    stars = stars.join(sizes.select("id", "n"), "id").join(weights, "id").withColumn("room", _room(F.col("n"), F.col("distance"), percent))
+    stars = materialize(stars.select("id", "leader", "weight", "room"))
+    cells = stars.groupBy("leader", "room").agg(F.sum("weight").alias("weight"))
+    # Each room asks for all from its negative on, after the sets that have just that.
+    asked = F.array(
+        F.struct(F.col("room").alias("at"), F.col("weight"), F.lit(None).cast("long").alias("of")),
+        F.struct((-F.col("room")).alias("at"), F.lit(0).cast("long").alias("weight"), F.col("room").alias("of")),
+    )
+    down = Window.partitionBy("leader").orderBy(F.desc("at"), F.col("of").isNotNull()).rowsBetween(Window.unboundedPreceding, 0)
+    totals = cells.select("leader", F.inline(asked)).withColumn("total", F.sum("weight").over(down)).where("of is not null")
+    totals = materialize(totals.select("leader", F.col("of").alias("room"), "total"))
+    # A set of room 0 or more has counted itself.
+    return stars.join(totals, ["leader", "room"]).select("id", (F.col("total") - F.when(F.col("room") >= 0, F.col("weight")).otherwise(0)).alias("proven"))
+
+
+def _degrees(join: _Join, entries: DataFrame, followers: DataFrame, between: DataFrame, members: DataFrame) -> DataFrame:
+    """``(class_id, n_links)``: the other documents that one of the class links with, equal ones included.
+
+    ``between`` has the links across the components of the leaders' links. What is
+    left lies within one: sets of different leaders, and of one leader.
+    """
+    weights = materialize(members.groupBy(F.col("class_id").alias("id")).agg(F.count(F.lit(1)).alias("weight")))
+    pairs = between.unionByName(_between(join, entries, apart=False)).unionByName(_under_one_leader(join, entries))
+    both = materialize(pairs.select(F.col("a").alias("of"), F.col("b").alias("id")).union(pairs.select("b", "a")))
+    met = both.join(weights, "id").select(F.col("of").alias("id"), F.col("weight").alias("links"))
+    proven = _proven(followers, join.sketches, weights, join.percent)
+    own = weights.select("id", (F.col("weight") - 1).alias("links"))
+    links = own.union(met).union(proven).groupBy(F.col("id").alias("class_id")).agg(F.sum("links").alias("n_links"))
+    return materialize(links)
+
+
 def similar_sets(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -270,17 +348,20 @@ def similar_sets(
     shingle_words: int = SHINGLE_WORDS,
     percent: int = PERCENT,
     leader_rounds: int = LEADER_ROUNDS,
+    count_links: bool = False,
 ) -> DataFrame:
-    """One row per document: ``doc_id, n_shingles, component_id, class_id``.
+    """One row per document: ``doc_id, n_shingles, component_id, class_id``, and ``n_links`` with ``count_links``.
 
     Documents link when 100 * intersection >= percent * union of their sets of
     ``shingle_words``-word shingles; ``component_id`` is the smallest id that
-    links reach, ``class_id`` the smallest id of an equal set.
+    links reach, ``class_id`` the smallest id of an equal set, ``n_links`` the
+    number of other ids that one links with.
 
     A null or empty text has no shingles and links with nothing, so its
     component is itself. A row without id links with nothing and has a null
-    component. Repeated rows give repeated results; an id stands for one text.
-    No rows give no rows.
+    component. Repeated rows give repeated results; an id stands for one text,
+    however often it is repeated. A very long text is hashed in the task that reads it;
+    its set is one row. Other columns of the input are not read. No rows give no rows.
     """
     texts = read_texts(docs, id_col, text_col)
     profiles = materialize(_profiles(texts, shingle_words))
@@ -310,12 +391,25 @@ def similar_sets(
     for _ in range(leader_rounds - 1):
         alone = lists.join(links.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "id", "left_anti")
         links = materialize(links.unionByName(_led(join, alone)))
-    links = links.unionByName(_between(join, lists, links))
+    followers, entries = _placed(lists, links)
+    between = _between(join, entries, apart=True)
+    links = links.unionByName(between)
     roots = connected_components(links).select(F.col("id").alias("class_id"), "root")
-    found = members.dropDuplicates(["doc_id"]).join(roots, "class_id", "left")
-    found = found.select("doc_id", "class_id", F.coalesce("root", "class_id").alias("component_id"))
+    members = members.dropDuplicates(["doc_id"])
+    found = members.join(roots, "class_id", "left")
+    added = []
+    if count_links:
+        found = found.join(_degrees(join, entries, followers, between, members), "class_id")
+        added = [F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")]
+    found = found.withColumn("component_id", F.coalesce("root", "class_id")).drop("root")
     return (
         sets.select("doc_id", F.col("n").alias("n_shingles"))
         .join(found, "doc_id", "left")
-        .select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"), F.coalesce("class_id", "doc_id").alias("class_id"))
+        .select(
+            "doc_id",
+            "n_shingles",
+            F.coalesce("component_id", "doc_id").alias("component_id"),
+            F.coalesce("class_id", "doc_id").alias("class_id"),
+            *added,
+        )
     )

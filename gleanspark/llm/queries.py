@@ -34,7 +34,7 @@ def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard.similar_sets(_table(spark, sf_dir, "documents"))
+    return jaccard.similar_sets(_table(spark, sf_dir, "documents"), count_links=True)
 
 
 def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -132,8 +132,10 @@ class AS (
 reach(x, y) AS (
   SELECT doc_id, doc_id FROM d UNION SELECT reach.x, links.y FROM reach JOIN links ON reach.y = links.x
 )
-SELECT d.doc_id, coalesce(any_value(n), 0) AS n_shingles, min(y) AS component_id, coalesce(any_value(class_id), d.doc_id) AS class_id
-FROM d LEFT JOIN sizes USING (doc_id) LEFT JOIN class USING (doc_id) JOIN reach ON reach.x = d.doc_id GROUP BY d.doc_id
+SELECT d.doc_id, coalesce(any_value(n), 0) AS n_shingles, min(y) AS component_id, coalesce(any_value(class_id), d.doc_id) AS class_id,
+  coalesce(any_value(n_links), 0) AS n_links
+FROM d LEFT JOIN sizes USING (doc_id) LEFT JOIN class USING (doc_id) JOIN reach ON reach.x = d.doc_id
+LEFT JOIN (SELECT x AS doc_id, count(*) AS n_links FROM links GROUP BY x) USING (doc_id) GROUP BY d.doc_id
 """
 
 _OP4 = rf"""

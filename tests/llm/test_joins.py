@@ -51,28 +51,49 @@ def brute_components(rows, size=4, percent=85):
         return x
 
     ids = sorted(sets)
+    links = dict.fromkeys(ids, 0)
     for k, a in enumerate(ids):
         for b in ids[k + 1 :]:
             if sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b]):
+                links[a] += 1
+                links[b] += 1
                 x, y = find(a), find(b)
                 root[max(x, y)] = min(x, y)
-    return {i: (len(sets[i]), find(i)) for i in ids}
+    return {i: (len(sets[i]), find(i), links[i]) for i in ids}
 
 
 @pytest.mark.parametrize("seed, rounds", [(1, 2), (2, 1), (3, 3)])
 def test_jaccard_components(documents, seed, rounds):
     rows = families(seed)
-    found = jaccard.similar_sets(documents(rows), leader_rounds=rounds).collect()
-    assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == brute_components(rows)
+    found = jaccard.similar_sets(documents(rows), leader_rounds=rounds, count_links=True).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id, r.n_links) for r in found} == brute_components(rows)
+
+
+@pytest.mark.parametrize("seed, changes", [(1, 2), (2, 5), (3, 9)])
+def test_links_under_one_leader_are_counted(documents, seed, changes):
+    """A large family around one text, with copies: most links are proven by distances, some are compared, some are none."""
+    draw = random.Random(seed)
+    base = [f"w{draw.randrange(4000)}" for _ in range(120)]
+    rows = [(10, " ".join(base))]
+    for i in range(11, 150):
+        text = list(base)
+        for _ in range(draw.randint(0, changes)):
+            text[draw.randrange(len(text))] = f"v{draw.randrange(30)}"
+        rows.append((i, " ".join(text[draw.choice([0, 0, 3]) :])))
+    wanted = brute_components(rows)
+    found = jaccard.similar_sets(documents(rows), count_links=True).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id, r.n_links) for r in found} == wanted
+    plain = jaccard.similar_sets(documents(rows)).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in plain} == {i: v[:2] for i, v in wanted.items()}
 
 
 def test_jaccard_awkward_rows(documents):
-    found = jaccard.similar_sets(documents(AWKWARD)).collect()
+    found = jaccard.similar_sets(documents(AWKWARD), count_links=True).collect()
     named = [(i, t) for i, t in AWKWARD if i is not None]
     assert len(found) == len(AWKWARD)
-    assert {r.doc_id: (r.n_shingles, r.component_id) for r in found if r.doc_id is not None} == brute_components(named)
-    assert sorted((r.n_shingles, r.component_id) for r in found if r.doc_id is None) == [(0, None), (6, None)]
-    assert jaccard.similar_sets(documents([])).count() == 0
+    assert {r.doc_id: (r.n_shingles, r.component_id, r.n_links) for r in found if r.doc_id is not None} == brute_components(named)
+    assert sorted((r.n_shingles, r.component_id, r.n_links) for r in found if r.doc_id is None) == [(0, None, 0), (6, None, 0)]
+    assert jaccard.similar_sets(documents([]), count_links=True).count() == 0
 
 
 def test_components_of_long_paths(spark):
