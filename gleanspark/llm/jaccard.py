@@ -269,13 +269,12 @@ def _between(join: _Join, entries: DataFrame, apart: bool) -> DataFrame:
     left = entries.select("token", *[F.col(c).alias(f"{c}_1") for c in ("id", "n", "pos", "leader")])
     right = entries.select("token", *[F.col(c).alias(f"{c}_2") for c in ("id", "n", "pos", "leader")])
     found = spots.join(left, ["token", "leader_1", "pos_1"]).join(right, ["token", "leader_2", "pos_2"])
-    return _compared(join, found)
+    bound = F.least(F.col("n_1") - F.col("pos_1"), F.col("n_2") - F.col("pos_2"))
+    return _compared(join, found.where(_may_link(bound, F.col("n_1"), F.col("n_2"), join.percent)))
 
 
 def _compared(join: _Join, found: DataFrame) -> DataFrame:
-    """Links among the pairs of entries ``(id_1, n_1, pos_1, id_2, n_2, pos_2)`` that met in a list."""
-    bound = F.least(F.col("n_1") - F.col("pos_1"), F.col("n_2") - F.col("pos_2"))
-    found = found.where(_may_link(bound, F.col("n_1"), F.col("n_2"), join.percent))
+    """Links among the pairs ``(id_1, id_2)``."""
     pairs = found.select(F.greatest("id_1", "id_2").alias("a"), F.least("id_1", "id_2").alias("b")).distinct()
     return join.confirmed(materialize(join.near(pairs, F.lit(0)).select("a", "b")))
 
@@ -290,28 +289,31 @@ def _room(n: Column, distance: Column, percent: int) -> Column:
     return (100 - percent) * n.cast("long") - (100 + percent) * distance.cast("long")
 
 
-def _under_one_leader(join: _Join, entries: DataFrame) -> DataFrame:
-    """Links between sets of one leader that their rooms do not prove."""
-    found = entries.withColumn("room", _room(F.col("n"), F.col("distance"), join.percent)).drop("root")
-    names = ["id", "n", "pos", "distance", "room"]
-    one = found.where("room < 0").select("token", "leader", *[F.col(c).alias(f"{c}_1") for c in names])
-    two = found.select("token", "leader", *[F.col(c).alias(f"{c}_2") for c in names])
-    met = one.join(two, ["token", "leader"]).where("room_1 + room_2 < 0 and (room_2 >= 0 or id_2 < id_1)")
+def _stars(followers: DataFrame, sizes: DataFrame, weights: DataFrame, percent: int) -> DataFrame:
+    """``(id, leader, n, distance, weight, room)`` of all sets that follow a leader or are one and follow none."""
+    own = followers.select(F.col("leader").alias("id")).distinct().join(followers.select("id"), "id", "left_anti")
+    stars = followers.unionByName(own.select("id", F.col("id").alias("leader"), F.lit(0).alias("distance")))
+    stars = stars.join(sizes.select("id", "n"), "id").join(weights, "id")
+    return materialize(stars.withColumn("room", _room(F.col("n"), F.col("distance"), percent)))
+
+
+def _under_one_leader(join: _Join, stars: DataFrame) -> DataFrame:
+    """Links between sets of one leader that their rooms do not prove; each such pair is looked at once."""
+    names = ["id", "n", "distance", "room"]
+    one = stars.where("room < 0").select("leader", *[F.col(c).alias(f"{c}_1") for c in names])
+    two = stars.select("leader", *[F.col(c).alias(f"{c}_2") for c in names])
+    met = one.join(two, "leader").where("room_1 + room_2 < 0 and (room_2 >= 0 or id_2 < id_1)")
     # They are at least as far from each other as their distances to the leader differ.
     least = F.abs(F.col("distance_1") - F.col("distance_2")).cast("long")
     return _compared(join, met.where((100 + join.percent) * least <= (100 - join.percent) * (F.col("n_1").cast("long") + F.col("n_2"))))
 
 
-def _proven(followers: DataFrame, sizes: DataFrame, weights: DataFrame, percent: int) -> DataFrame:
+def _proven(stars: DataFrame) -> DataFrame:
     """``(id, proven)``: the documents of other sets of its leader that a set links with by their rooms.
 
     Equal rooms of one leader count together, so no more meets in a task than
     there are different rooms, which the length of the texts bounds.
     """
-    own = followers.select(F.col("leader").alias("id")).distinct().join(followers.select("id"), "id", "left_anti")
-    stars = followers.unionByName(own.select("id", F.col("id").alias("leader"), F.lit(0).alias("distance")))
-    stars = stars.join(sizes.select("id", "n"), "id").join(weights, "id").withColumn("room", _room(F.col("n"), F.col("distance"), percent))
-    stars = materialize(stars.select("id", "leader", "weight", "room"))
     cells = stars.groupBy("leader", "room").agg(F.sum("weight").alias("weight"))
     # Each room asks for all from its negative on, after the sets that have just that.
     asked = F.array(
@@ -332,12 +334,12 @@ def _degrees(join: _Join, entries: DataFrame, followers: DataFrame, between: Dat
     left lies within one: sets of different leaders, and of one leader.
     """
     weights = materialize(members.groupBy(F.col("class_id").alias("id")).agg(F.count(F.lit(1)).alias("weight")))
-    pairs = between.unionByName(_between(join, entries, apart=False)).unionByName(_under_one_leader(join, entries))
+    stars = _stars(followers, join.sketches, weights, join.percent)
+    pairs = between.unionByName(_between(join, entries, apart=False)).unionByName(_under_one_leader(join, stars))
     both = materialize(pairs.select(F.col("a").alias("of"), F.col("b").alias("id")).union(pairs.select("b", "a")))
     met = both.join(weights, "id").select(F.col("of").alias("id"), F.col("weight").alias("links"))
-    proven = _proven(followers, join.sketches, weights, join.percent)
     own = weights.select("id", (F.col("weight") - 1).alias("links"))
-    links = own.union(met).union(proven).groupBy(F.col("id").alias("class_id")).agg(F.sum("links").alias("n_links"))
+    links = own.union(met).union(_proven(stars)).groupBy(F.col("id").alias("class_id")).agg(F.sum("links").alias("n_links"))
     return materialize(links)
 
 
