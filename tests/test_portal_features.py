@@ -99,6 +99,14 @@ def test_circles_meet_by_cell(spark):
     assert "NestedLoop" not in plan and "Cartesian" not in plan
 
 
+def test_the_cells_of_circles_are_not_broadcast(spark):
+    places = spark.createDataFrame([(1.0, 2.0)], "lat double, lon double")
+    rings = spark.createDataFrame([(1.0, 2.0, 5.0)], "center_lat double, center_lon double, radius double")
+    met = spatial.match_circles(places, rings)
+    assert met.count() == len(met.collect()) == 1
+    assert "Broadcast" not in met._jdf.queryExecution().executedPlan().toString()
+
+
 def test_area_filters(spark):
     spots = [(0.0, 0.0), (50.0, 179.0), (50.0, -179.0), (10.0, 20.0), (None, 1.0)]
     frame = spark.createDataFrame(spots, "lat double, lon double")
