@@ -48,8 +48,12 @@ def scan_mart_leaves(marts: DataFrame) -> DataFrame:
 
 
 def scan_topic_tree(explorer: DataFrame, marts: DataFrame, leading: int = LEADING_NODES) -> DataFrame:
-    """Every leaf with its topic and mart; one mart may hold most of the leaves."""
-    return scan_mart_leaves(marts).join(scan_topics(explorer, leading), "mart_id")
+    """Every leaf with its topic and mart; one mart may hold most of the leaves.
+
+    The files of written leaves are far smaller than their rows, and an explorer
+    reply than its topics, so neither side is left to be broadcast by its size.
+    """
+    return scan_mart_leaves(marts).join(scan_topics(explorer, leading).hint("merge"), "mart_id")
 
 
 def usable_leaves(leaves: DataFrame) -> DataFrame:

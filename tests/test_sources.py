@@ -205,6 +205,16 @@ def test_scan_topics_skips_leading_nodes(spark):
     assert [tuple(r) for r in topics.scan_topics(df).collect()] == [("t5", "o5", "n5", "m5"), ("t6", "o6", "n6", "m6")]
 
 
+def test_leaves_and_topics_are_not_broadcast(spark):
+    marts = spark.createDataFrame([("m0", "{Nodes:" + json.dumps([chain(3)]) + "}")], "mart_id string, body string")
+    mart = {"label": '<span class="martOwner">o</span><span class="martName">n</span>', "martId": "m0"}
+    reply = {"label": '<span class="topic">t</span>', "childNodes": [mart]}
+    explorer = spark.createDataFrame([("{Nodes:" + json.dumps([reply]) + "}",)], "body string")
+    found = topics.scan_topic_tree(explorer, marts, 0)
+    assert [(r["topic"], r["name"], r["path"]) for r in found.collect()] == [("t", "leaf3", ["f1", "f2"])]
+    assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
+
+
 def test_edges(spark):
     rows = [("r", None, "R")] + [(f"d{i}", "r" if i == 0 else f"d{i - 1}", f"D{i}") for i in range(9)]
     rows += [("orphan", "missing", "O"), ("below", "orphan", "B")]
