@@ -18,6 +18,10 @@ SCORE_UNIT = 1_000_000
 #: The two parameters of BM25.
 K1 = 1.2
 B = 0.75
+#: So many words of searches, a few MB, are sent to every task that reads postings.
+BROADCAST_WORDS = 100_000
+#: Scores of a word in a package that one task adds up.
+TASK_SCORES = 1_000_000
 
 
 def words(text: Column | str) -> Column:
@@ -32,6 +36,14 @@ def postings(packages: DataFrame, text: Column | str, id_column: str = "id") ->
     return sized.groupBy("id", "size", "term").agg(F.count(F.lit(1)).alias("tf")).select("term", "id", "tf", "size")
 
 
+def _questions(searches: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``(question, term)`` of the different sets of words asked for, and the ``(search_id, question)`` that ask for them, both written."""
+    asked = searches.select("search_id", F.explode(words("q")).alias("term")).distinct()
+    listed = materialize(asked.groupBy("search_id").agg(F.array_sort(F.collect_list("term")).alias("terms")))
+    kinds = materialize(listed.select("terms").distinct().withColumn("question", F.monotonically_increasing_id()))
+    return materialize(kinds.select("question", F.explode("terms").alias("term"))), materialize(listed.join(kinds, "terms").drop("terms"))
+
+
 def search_ranked(
     index: DataFrame, searches: DataFrame, rows: int = 10, start: int = 0, k1: float = K1, b: float = B
 ) -> DataFrame:
@@ -39,26 +51,36 @@ def search_ranked(
 
     ``index`` comes from :func:`postings` and is best written once. A word that is
     asked for twice counts once; packages without any of the words are not
-    found; equal scores are ranked by id. Postings and words meet in a plain
-    join, so that a word that most packages hold is split; scores are summed
-    map-side first, and each task cuts its part to the rows asked for.
+    found; equal scores are ranked by id. Searches for the same words are ranked
+    once. Where the words asked for are few, they go to the postings, which are
+    dealt out by package: scores are summed and each task cuts its part to the
+    rows asked for before anything else is moved. Where they are many, postings
+    and words meet in a plain join, so that a word that most packages hold is split.
     """
     sizes = index.groupBy("id").agg(F.first("size").alias("size"))
     total = sizes.agg(F.count(F.lit(1)).alias("n"), F.avg("size").alias("mean")).first()
     if not total["n"]:
         return index.sparkSession.createDataFrame([], "search_id long, rank int, id string, score long")
-    asked = materialize(searches.select("search_id", F.explode(F.array_distinct(words("q"))).alias("term")))
+    asked, members = _questions(searches)
     wanted = asked.select("term").distinct()
     df = index.join(wanted, "term", "left_semi").groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     n, mean = F.lit(float(total["n"])), F.lit(float(total["mean"]))
     idf = F.log(1 + (n - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    weighted = asked.join(df.select("term", idf.alias("idf")), "term")
+    weighted = materialize(asked.join(df.select("term", "df", idf.alias("idf")), "term"))
     norm = F.col("tf") + k1 * (1 - b + b * F.col("size") / mean)
     part = F.floor(SCORE_UNIT * F.col("idf") * F.col("tf") * (k1 + 1) / norm).cast("bigint")
-    scored = weighted.join(index, "term").groupBy("search_id", "id").agg(F.sum(part).alias("score"))
-    order = Window.partitionBy("search_id").orderBy(F.col("score").desc(), F.col("id"))
+    met_rows = weighted.agg(F.count(F.lit(1)).alias("words"), F.coalesce(F.sum("df"), F.lit(0)).alias("scores")).first()
+    if met_rows["words"] <= BROADCAST_WORDS:
+        # Postings are small beside the scores that come of them, so the tasks are counted by these.
+        tasks = max(index.sparkSession.sparkContext.defaultParallelism, met_rows["scores"] // TASK_SCORES + 1)
+        met = index.repartition(tasks, "id").join(F.broadcast(weighted), "term")
+    else:
+        met = index.join(weighted.hint("merge"), "term")
+    scored = met.groupBy("question", "id").agg(F.sum(part).alias("score"))
+    order = Window.partitionBy("question").orderBy(F.col("score").desc(), F.col("id"))
     ranked = scored.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= start + rows)
-    return ranked.where(F.col("rank") > start).select("search_id", "rank", "id", "score")
+    found = ranked.where(F.col("rank") > start).join(members, "question")
+    return found.select("search_id", "rank", "id", "score")
 
 
 def facets(packages: DataFrame, fields: Mapping[str, Column], top: int | None = None) -> DataFrame:

@@ -174,6 +174,22 @@ def test_search_equals_brute_force(spark, rows, start):
     assert search.search_ranked(nothing, spark.createDataFrame(searches, "search_id long, q string")).isEmpty()
 
 
+@pytest.mark.parametrize("most", [search.BROADCAST_WORDS, 0])
+def test_searches_for_the_same_words_are_ranked_once(spark, monkeypatch, most):
+    monkeypatch.setattr(search, "BROADCAST_WORDS", most)
+    packages = spark.createDataFrame([("p", "red bus"), ("q", "bus"), ("r", "tram")], "id string, notes string")
+    # A search id given twice is one search.
+    asked = [(i, ("red bus", "Bus, red bus")[i % 2]) for i in range(30)] + [(0, "red bus"), (99, "none")]
+    searches = spark.createDataFrame(asked, "search_id long, q string")
+    assert search._questions(searches)[0].select("question").distinct().count() == 2
+    result = search.search_ranked(search.postings(packages, "notes"), searches)
+    found = result.collect()
+    assert sorted((r["search_id"], r["rank"], r["id"]) for r in found) == sorted((i, k, d) for i in range(30) for k, d in ((1, "p"), (2, "q")))
+    assert len({(r["id"], r["score"]) for r in found}) == 2
+    moved = re.findall(r"Exchange hashpartitioning\(question#\d+L?, id#", result._jdf.queryExecution().executedPlan().toString())
+    assert bool(moved) == (not most)
+
+
 def test_facets(spark):
     packages = [("o1", ["x", "y", "x"], 1), ("o1", ["y", None, ""], None), (None, None, 2), ("", [], 1), ("o2", ["z"], 1)]
     frame = spark.createDataFrame(packages, "org string, tags array<string>, size int")
