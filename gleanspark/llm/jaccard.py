@@ -17,7 +17,8 @@ Distances are bounded from below by parity sketches (a bit per token), and every
 link is confirmed on the whole sets. Tokens are 64-bit hashes of word shingles.
 
 Links are counted in the same way: sets of one leader whose distances to it prove that they
-link are counted by distance, not pair by pair, and only the others are compared.
+link are counted by distance, not pair by pair. Of the others only those are compared
+that differ from the leader in the same tokens.
 """
 
 from __future__ import annotations
@@ -297,15 +298,42 @@ def _stars(followers: DataFrame, sizes: DataFrame, weights: DataFrame, percent:
     return materialize(stars.withColumn("room", _room(F.col("n"), F.col("distance"), percent)))
 
 
+def _differences(join: _Join, stars: DataFrame) -> DataFrame:
+    """``(leader, token, id, distance, room, pos)``: the tokens in which a set and its leader differ, those that it can meet another set by.
+
+    The distance of two sets of one leader is the sum of those to it, less twice
+    the tokens that both differences hold. So where rooms prove no link, one needs
+    shared differences: as many as the rooms lack, at least those that the widest
+    room of the leader leaves. As in any join by overlap the rarest of a set's
+    differences, all but that many less one, hold one that the other set has too.
+    The leader's own links follow from the distances.
+    """
+    followers = stars.where("distance > 0")
+    groups = followers.groupBy("leader").agg(F.count(F.lit(1)).alias("sets"), F.min("room").alias("low"), F.max("room").alias("top"))
+    need = F.greatest(F.lit(1), F.ceil(-(F.col("room") + F.col("top")) / F.lit(2 * (100 + join.percent)))).alias("need")
+    unproven = followers.join(groups.where("sets > 1 and low < 0"), "leader").where("room + low < 0")
+    unproven = materialize(unproven.select("leader", "id", "distance", "room", need).where("need <= distance"))
+    ids = materialize(unproven.select(F.explode(F.array("leader", "id")).alias("doc_id")).distinct())
+    sets = materialize(_whole_sets(pick(join.texts, ids).dropDuplicates(["doc_id"]), join.size))
+    both = unproven.join(sets, "id").join(sets.select(F.col("id").alias("leader"), F.col("tokens").alias("led")), "leader")
+    differ = F.concat(F.array_except("tokens", "led"), F.array_except("led", "tokens"))
+    tokens = materialize(both.select(*unproven.columns, F.explode(differ).alias("token")))
+    shared = materialize(tokens.groupBy("leader", "token").agg(F.count(F.lit(1)).alias("often")).where("often > 1"))
+    rare = Window.partitionBy("leader", "id").orderBy(F.coalesce("often", F.lit(1)), "token")
+    placed = tokens.join(shared, ["leader", "token"], "left").withColumn("pos", F.row_number().over(rare) - 1)
+    return materialize(placed.where("pos <= distance - need and often > 1").select("leader", "token", "id", "distance", "room", "pos"))
+
+
 def _under_one_leader(join: _Join, stars: DataFrame) -> DataFrame:
     """Links between sets of one leader that their rooms do not prove; each such pair is looked at once."""
-    names = ["id", "n", "distance", "room"]
-    one = stars.where("room < 0").select("leader", *[F.col(c).alias(f"{c}_1") for c in names])
-    two = stars.select("leader", *[F.col(c).alias(f"{c}_2") for c in names])
-    met = one.join(two, "leader").where("room_1 + room_2 < 0 and (room_2 >= 0 or id_2 < id_1)")
-    # They are at least as far from each other as their distances to the leader differ.
-    least = F.abs(F.col("distance_1") - F.col("distance_2")).cast("long")
-    return _compared(join, met.where((100 + join.percent) * least <= (100 - join.percent) * (F.col("n_1").cast("long") + F.col("n_2"))))
+    entries = _differences(join, stars)
+    names = ["id", "distance", "room", "pos"]
+    one = entries.where("room < 0").select("leader", "token", *[F.col(c).alias(f"{c}_1") for c in names])
+    two = entries.select("leader", "token", *[F.col(c).alias(f"{c}_2") for c in names])
+    met = one.join(two, ["leader", "token"]).where("room_1 + room_2 < 0 and (room_2 >= 0 or id_2 < id_1)")
+    # No more differences are shared than stand behind the first that is.
+    behind = F.least(F.col("distance_1") - F.col("pos_1"), F.col("distance_2") - F.col("pos_2"))
+    return _compared(join, met.where(2 * (100 + join.percent) * behind >= -(F.col("room_1") + F.col("room_2"))))
 
 
 def _proven(stars: DataFrame) -> DataFrame:

@@ -87,6 +87,23 @@ def test_links_under_one_leader_are_counted(documents, seed, changes):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in plain} == {i: v[:2] for i, v in wanted.items()}
 
 
+def test_few_sets_of_a_large_family_are_compared(documents, monkeypatch):
+    """Near copies that differ from their leader in other places than each other are not brought together."""
+    draw = random.Random(5)
+    base = [f"w{i}" for i in range(150)]
+    rows = [(1, " ".join(base))]
+    for i in range(2, 122):
+        text = list(base)
+        for at in draw.sample(range(150), 2):
+            text[at] = f"v{i}-{at}"
+        rows.append((i, " ".join(text)))
+    found, compared = [], jaccard._compared
+    monkeypatch.setattr(jaccard, "_compared", lambda join, pairs: found.append(pairs.count()) or compared(join, pairs))
+    result = jaccard.similar_sets(documents(rows), count_links=True).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id, r.n_links) for r in result} == brute_components(rows)
+    assert sum(found) < 120 * 119 // 2 // 8
+
+
 def test_jaccard_awkward_rows(documents):
     found = jaccard.similar_sets(documents(AWKWARD), count_links=True).collect()
     named = [(i, t) for i, t in AWKWARD if i is not None]
