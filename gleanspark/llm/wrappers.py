@@ -1,10 +1,11 @@
 """Main text of web pages by wrapper induction.
 
-The pages of a host come from one template. A few of them are parsed to trees
-and aligned by simple tree matching; runs of like siblings count as one iterated
-node. Aligned nodes whose own text stays the same are template, nodes whose text
-varies are slots, and the part that holds the article is the content. Every page
-of the host is then aligned with that wrapper, and the text of what meets the
+The pages of a host come from a few templates. All of them are parsed to trees
+and aligned by simple tree matching, by layout; runs of like siblings count as one
+iterated node. Each task aligns its pages with wrappers of its own, which are then
+aligned with each other. Blocks whose text stays the same are template, nodes whose
+text varies are slots, and the part that holds the article is the content. Every page
+is then aligned with the wrapper of its layout, and the text of what meets the
 content, without template and furniture, is the result.
 """
 
@@ -16,15 +17,14 @@ import json
 import re
 from collections import Counter
 from collections.abc import Iterator
+from itertools import groupby
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gleanspark.llm.tables import PICKED_IN_MEMORY, materialize
 
-#: Pages of a host that are aligned to learn its wrapper; what is template is counted over all pages.
-SAMPLE_PAGES = 16
 #: Pages and their share from which an unchanging text is template.
 CONSTANT_PAGES = 4
 CONSTANT_SHARE = 0.9
@@ -33,8 +33,14 @@ WRAPPERS_IN_MEMORY = 32_000_000
 
 #: Levels whose elements tell the layouts of a host apart: those down to the parts of the body.
 LAYOUT_LEVELS = 3
-#: Entries that a task counts before it hands them on.
+#: Entries that a task counts before it hands them on, and slots of its wrappers.
 COUNTED = 200_000
+SLOTS = 100_000
+#: Slots from which on those of a wrapper that fewer of its pages have than this share count as text of the slot above.
+MANY_SLOTS = 2000
+RARE_SHARE = 0.001
+#: Groups in which the layouts of a host are brought together first.
+LAYOUT_GROUPS = 64
 
 #: Levels that a wrapper aligns; what is nested deeper is read as it stands.
 MAX_DEPTH = 200
@@ -245,9 +251,9 @@ def layout_of(root: Node) -> int:
     return _key(b"", "".join(p.hex() for p in sorted(paths))) or 1
 
 
-def leaf_blocks(root: Node) -> set[tuple[int, int | None]]:
-    """``(path, key)`` of the whole blocks of a page, and ``(path, None)`` for each of their paths."""
-    found: set[tuple[int, int | None]] = set()
+def leaf_blocks(root: Node) -> dict[tuple[int, int | None], int]:
+    """Characters by ``(path, key)`` of the whole blocks of a page, and 0 by ``(path, None)`` for each of their paths."""
+    found: dict[tuple[int, int | None], int] = {}
     todo = [root]
     while todo:
         node = todo.pop()
@@ -255,11 +261,23 @@ def leaf_blocks(root: Node) -> set[tuple[int, int | None]]:
             continue
         if _is_leaf(node) and (text := node.own_text()):
             path = int.from_bytes(node.path, "big", signed=True)
-            found |= {(path, None), (path, _key(node.path, text))}
+            found[path, None] = 0
+            found[path, _key(node.path, text)] = len(text)
         todo += node.elements()
     return found
 
 
+def declares(root: Node) -> bool:
+    """Whether an element outside of furniture says that it is the article."""
+    todo = [root]
+    while todo:
+        node = todo.pop()
+        if node.tag in ("article", "main") or node.label.endswith(".main"):
+            return True
+        todo += [c for c in node.elements() if not c.is_furniture(False)]
+    return False
+
+
 def runs(nodes: list) -> list[list]:
     """Neighbouring siblings of one label together."""
     out: list[list] = []
@@ -280,13 +298,18 @@ class Slot:
         self.label, self.tag = label, tag
         self.children: list[Slot] = []
         self.texts: Counter[str] = Counter()
-        self.pages = self.chars = 0
+        self.pages: float = 0
+        self.chars: float = 0
         #: Pages where it is furniture outside of an article, and in one.
         self.marked = [0, 0]
-        self.content = False
+        #: 1 where the article declares itself, 2 where pages that declare none have theirs.
+        self.content = 0
         self.constant: str | None = None
         self.path = b""
 
+    def elements(self) -> list[Slot]:
+        return self.children
+
 
 #: Pairs of siblings up to which all are weighed; of longer lists those near the diagonal are.
 _WHOLE_TABLE = 4096
@@ -416,6 +439,86 @@ def _learn(slot: Slot, nodes: list[Node], depth: int = 0) -> None:
         _learn(child, members, depth + 1)
 
 
+def _aligned(slot: Slot, found: list[list]) -> list[Slot]:
+    """The slot below for each run, with new ones put in for those that match none."""
+    slots = slot.children
+    if [s.label for s in slots] == [run[0].label for run in found]:
+        return slots[:]
+    of_run = {j: i for i, j in _match(slots, found, _LOOK_AHEAD)[1]}
+    out = []
+    place = added = 0
+    for j, run in enumerate(found):
+        if j in of_run:
+            place = of_run[j] + added
+        else:
+            slots.insert(place, Slot(run[0].label, run[0].tag))
+            added += 1
+        out.append(slots[place])
+        place += 1
+    return out
+
+
+def _count(slot: Slot, nodes: list[Node], weight: float, varies: bool, depth: int = 0) -> int:
+    """Add the nodes of one page to a wrapper that counts; the number of new slots.
+
+    What no page is searched in has no slots: articles are read whole, furniture
+    not at all. Characters are those of pages that declare no article.
+    """
+    slot.pages += weight
+    slot.path = nodes[0].path
+    nodes = [n for n in nodes if not n.is_furniture(False)]
+    if not nodes:
+        slot.marked[0] += weight
+        return 0
+    deepest = depth >= MAX_DEPTH
+    if varies:
+        texts = {_whole_text(node) if deepest else node.own_text() for node in nodes}
+        slot.chars += weight * sum(map(len, texts))
+    if deepest or slot.tag == "article":
+        return 0
+    before = len(slot.children)
+    gathered: dict[int, tuple[Slot, list[Node]]] = {}
+    for node in nodes:
+        found = runs(node.elements())
+        for child, run in zip(_aligned(slot, found), found):
+            gathered.setdefault(id(child), (child, []))[1].extend(run)
+    new = len(slot.children) - before
+    return new + sum(_count(child, members, weight, varies, depth + 1) for child, members in gathered.values())
+
+
+def _add(slot: Slot, other: Slot) -> None:
+    """Align a wrapper that counts with another one, and add it."""
+    slot.pages += other.pages
+    slot.chars += other.chars
+    slot.marked[0] += other.marked[0]
+    slot.path = slot.path or other.path
+    found = [[c] for c in other.children]
+    for child, (given,) in zip(_aligned(slot, found), found):
+        _add(child, given)
+
+
+def _size(slot: Slot) -> int:
+    return 1 + sum(map(_size, slot.children))
+
+
+def _without_rare(wrapper: Slot) -> Slot:
+    """A wrapper of many slots without those that hardly a page has, whose text goes to the slot above."""
+
+    def fold(slot: Slot) -> None:
+        kept = []
+        for child in slot.children:
+            if child.pages < RARE_SHARE * wrapper.pages:
+                slot.chars += _varying(child)
+            else:
+                fold(child)
+                kept.append(child)
+        slot.children = kept
+
+    if _size(wrapper) > MANY_SLOTS:
+        fold(wrapper)
+    return wrapper
+
+
 def _is_furniture(slot: Slot, in_article: bool) -> bool:
     return 2 * slot.marked[in_article] > slot.pages
 
@@ -460,44 +563,94 @@ def induce(pages: list[str], template: set[int] | None = None) -> Slot:
     for page in pages:
         _learn(wrapper, [parse(page)])
     _settle(wrapper, template)
-    chosen = _articles(wrapper)
-    if not chosen:
-        # The deepest node that holds most of what varies.
-        node, total = wrapper, _varying(wrapper)
-        while total:
-            deeper = [c for c in node.children if _varying(c) >= 0.7 * total]
-            if not deeper or deeper[0].tag in ("p", "li", "span", "a", "b"):
-                break
-            node = deeper[0]
-        chosen = [node]
-    for slot in chosen:
-        slot.content = True
+    for slot in _articles(wrapper) or [_fullest(wrapper)]:
+        slot.content = 1
     return wrapper
 
 
-def to_json(slot: Slot) -> str:
+def _fullest(wrapper: Slot) -> Slot:
+    """The deepest node that holds most of what varies."""
+    node, total = wrapper, _varying(wrapper)
+    while total:
+        deeper = [c for c in node.children if _varying(c) >= 0.7 * total]
+        if not deeper or deeper[0].tag in ("p", "li", "span", "a", "b"):
+            break
+        node = deeper[0]
+    return node
+
+
+def _choose(wrapper: Slot, fixed: dict[int, float]) -> Slot:
+    """Mark the content in a wrapper that counts, given the share of each path's characters that is template."""
+
+    def settle(slot: Slot) -> None:
+        slot.chars *= 1 - fixed.get(int.from_bytes(slot.path, "big", signed=True), 0.0)
+        for child in slot.children:
+            settle(child)
+
+    settle(wrapper)
+    if _varying(wrapper) > 0:
+        _fullest(wrapper).content = 2
+    for slot in _articles(wrapper):
+        slot.content = 1
+    return wrapper
+
+
+def _counts_to_json(slot: Slot) -> str:
     def plain(s: Slot) -> list:
-        return [s.label, s.tag, int(s.content), s.constant, [plain(c) for c in s.children]]
+        return [s.label, s.tag, s.pages, s.chars, s.marked[0], s.path.hex(), [plain(c) for c in s.children]]
 
     return json.dumps(plain(slot), ensure_ascii=False, separators=(",", ":"))
 
 
+def _counts_from_json(text: str) -> Slot:
+    def built(given: list) -> Slot:
+        slot = Slot(given[0], given[1])
+        slot.pages, slot.chars, slot.marked[0] = given[2:5]
+        slot.path = bytes.fromhex(given[5])
+        slot.children = [built(c) for c in given[6]]
+        return slot
+
+    return built(json.loads(text))
+
+
+def to_json(slot: Slot) -> str:
+    """What leads to the content, and what is weighed on the way."""
+
+    leading: set[int] = set()
+
+    def mark(s: Slot) -> bool:
+        if any([mark(c) for c in s.children]):
+            leading.add(id(s))
+        return s.content > 0 or id(s) in leading
+
+    def plain(s: Slot, levels: int) -> list:
+        levels = _LOOK_AHEAD if id(s) in leading else levels
+        return [s.label, s.tag, s.content, [plain(c, levels - 1) for c in s.children] if levels > 0 else []]
+
+    mark(slot)
+    return json.dumps(plain(slot, _LOOK_AHEAD), ensure_ascii=False, separators=(",", ":"))
+
+
 def from_json(text: str) -> Slot:
     def built(given: list) -> Slot:
         slot = Slot(given[0], given[1])
-        slot.content, slot.constant = bool(given[2]), given[3]
-        slot.children = [built(c) for c in given[4]]
+        slot.content = given[2]
+        slot.children = [built(c) for c in given[3]]
         return slot
 
     return built(json.loads(text))
 
 
-def extract(page: str, wrapper: Slot, templates: dict[int, set[int]] | None = None) -> list[str]:
-    """The text blocks of a page's content, without the host's ``templates``: keys by layout, those of 0 for all pages."""
+def extract(page: str, wrapper: Slot | dict[int, Slot], templates: dict[int, set[int]] | None = None) -> list[str]:
+    """The text blocks of a page's content, without the host's ``templates``: keys by layout, those of 0 for all pages.
+
+    Wrappers may be given by layout in the same way.
+    """
     root = parse(page)
+    layout = layout_of(root) if templates or isinstance(wrapper, dict) else 0
     general = own = frozenset()
     if templates:
-        general, own = templates.get(0, general), templates.get(layout_of(root), own)
+        general, own = templates.get(0, general), templates.get(layout, own)
     blocks: list[str] = []
     parts: list[str] = []
 
@@ -536,20 +689,26 @@ def extract(page: str, wrapper: Slot, templates: dict[int, set[int]] | None = No
                 todo.append(None)
             elif node.tag in ("td", "th"):
                 parts.append(" ")
-            of_child = _slots_of(node, slot)
+            # Template is told by its path where it was counted.
+            of_child = _slots_of(node, slot) if templates is None else {}
             inner = in_article or node.tag == "article"
             todo += [c if isinstance(c, str) else (c, of_child.get(id(c)), inner) for c in reversed(node.children)]
 
-    def seek(node: Node, slot: Slot) -> bool:
+    def seek(node: Node, slot: Slot, wanted: tuple[int, ...] = (1, 2)) -> bool:
         """Read all nodes that meet a content slot; whether there were any."""
-        if slot.content:
+        if slot.content in wanted:
             read(node, slot, node.tag == "article")
             close()
             return True
         of_child = _slots_of(node, slot)
-        return any([seek(c, of_child[id(c)]) for c in node.elements() if id(c) in of_child and not c.is_furniture(False)])
-
-    if not seek(root, wrapper):
+        return any([seek(c, of_child[id(c)], wanted) for c in node.elements() if id(c) in of_child and not c.is_furniture(False)])
+
+    if isinstance(wrapper, Slot):
+        met = seek(root, wrapper)
+    else:
+        wanted = (1,) if declares(root) else (2,)
+        met = any(seek(root, wrapper[n], wanted) for n in (layout, 0) if n in wrapper)
+    if not met:
         # Not built like its host's other pages: it is its own wrapper.
         alone = induce([page])
         seek(root, alone)
@@ -560,6 +719,8 @@ def _slots_of(node: Node, slot: Slot | None) -> dict[int, Slot]:
     if slot is None or not slot.children:
         return {}
     found = runs(node.elements())
+    if [s.label for s in slot.children] == [run[0].label for run in found]:
+        return {id(n): s for s, run in zip(slot.children, found) for n in run}
     return {id(n): slot.children[i] for i, j in _match(slot.children, found, _LOOK_AHEAD)[1] for n in found[j]}
 
 
@@ -568,11 +729,10 @@ def host_of(url: Column) -> Column:
     return F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)", 1))
 
 
-def _templates(pages: DataFrame) -> DataFrame:
-    """``(host, template)``: the layouts and keys of the blocks that stay the same, counted over all pages of each host.
+def _counted(pages: DataFrame) -> DataFrame:
+    """Counts of blocks, ``(host, layout, path, key, n, open, chars)``, and wrappers of each task, ``(host, layout, wrapper)``, of all pages.
 
-    Equal pages of a host weigh as one. A block is template when ``CONSTANT_SHARE``
-    of the pages with its path have it, among those of its layout or among all.
+    Equal pages of a host weigh as one. ``open`` is the part of ``n`` from pages that declare no article.
     """
     pages = pages.select("host", "html", F.xxhash64("html").alias("page")).where("html <> ''")
     repeated = pages.groupBy("host", "page").agg(F.count(F.lit(1)).alias("times")).where("times > 1")
@@ -582,30 +742,61 @@ def _templates(pages: DataFrame) -> DataFrame:
     weighed = pages.join(repeated, ["host", "page"], "left").select("host", "html", (1 / F.coalesce("times", F.lit(1))).alias("weight"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[tuple[str, int, int, int | None], float] = {}
+        held: dict[tuple[str, int, int, int | None], list[float]] = {}
+        wrappers: dict[tuple[str, int], Slot] = {}
+        slots = 0
 
-        def hand_on() -> pa.RecordBatch:
-            columns = [*zip(*held)]
-            kinds = (pa.string(), pa.int64(), pa.int64(), pa.int64())
-            arrays = [pa.array(c, k) for c, k in zip(columns, kinds)] + [pa.array(held.values(), pa.float64())]
-            return pa.RecordBatch.from_arrays(arrays, names=["host", "layout", "path", "key", "n"])
+        def counts() -> pa.RecordBatch:
+            rows = [(*place, *n, None) for place, n in held.items()]
+            held.clear()
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
+
+        def learned(places: list[tuple[str, int]]) -> Iterator[pa.RecordBatch]:
+            for at in range(0, len(places), 1000):
+                rows = [(*p, None, None, None, None, None, _counts_to_json(_without_rare(wrappers.pop(p)))) for p in places[at : at + 1000]]
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
 
         for batch in batches:
             for host, page, weight in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist()):
                 root = parse(page.as_py())
                 layout = layout_of(root)
-                for path, key in leaf_blocks(root):
-                    place = (host, layout, path, key)
-                    held[place] = held.get(place, 0.0) + weight
+                varies = not declares(root)
+                for (path, key), chars in leaf_blocks(root).items():
+                    entry = held.setdefault((host, layout, path, key), [0.0, 0.0, chars])
+                    entry[0] += weight
+                    entry[1] += weight if varies else 0.0
                 if len(held) >= COUNTED:
-                    yield hand_on()
-                    held.clear()
+                    yield counts()
+                wrapper = wrappers.get((host, layout))
+                if wrapper is None:
+                    wrapper = wrappers[host, layout] = Slot("#", "#")
+                new = _count(wrapper, [root], weight, varies)
+                slots += new + 1
+                # Only a wrapper that grows with its pages is looked at.
+                if new and _size(wrapper) > 2 * MANY_SLOTS:
+                    yield from learned([(host, layout)])
+                if slots >= SLOTS:
+                    yield from learned([*wrappers])
+                    slots = 0
         if held:
-            yield hand_on()
+            yield counts()
+        yield from learned([*wrappers])
+
+    names = ["host", "layout", "path", "key", "n", "open", "chars", "wrapper"]
+    kinds = (pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.int64(), pa.string())
+    ddl = "host string, layout long, path long, key long, n double, open double, chars long, wrapper string"
+    return materialize(weighed.mapInArrow(count, ddl))
+
+
+def _templates(counted: DataFrame) -> DataFrame:
+    """``(host, template, fixed)``: the layouts and keys of the blocks that stay the same, and the share they have of a path's characters.
 
-    rows = weighed.mapInArrow(count, "host string, layout long, path long, key long, n double")
-    by_layout = materialize(rows.groupBy("host", "layout", "path", "key").agg(F.sum("n").alias("n")))
-    over_all = by_layout.groupBy("host", F.lit(0).cast("long").alias("layout"), "path", "key").agg(F.sum("n").alias("n"))
+    A block is template when ``CONSTANT_SHARE`` of the pages with its path have it,
+    among those of its layout or among all.
+    """
+    sums = (F.sum("n").alias("n"), F.sum("open").alias("open"), F.max("chars").alias("chars"))
+    by_layout = materialize(counted.where("wrapper is null").groupBy("host", "layout", "path", "key").agg(*sums))
+    over_all = by_layout.groupBy("host", F.lit(0).cast("long").alias("layout"), "path", "key").agg(*sums)
     places = (
         by_layout.unionByName(over_all)
         # Sums of parts of equal pages are whole numbers but for rounding.
@@ -613,13 +804,38 @@ def _templates(pages: DataFrame) -> DataFrame:
         .groupBy("host", "layout", "path")
         .agg(
             F.max(F.when(F.col("key").isNull(), F.col("n"))).alias("pages"),
-            F.max(F.when(F.col("key").isNotNull(), F.struct("n", "key"))).alias("top"),
+            F.max(F.when(F.col("key").isNotNull(), F.struct("n", "key", "open", "chars"))).alias("top"),
             F.count("key").alias("texts"),
+            F.sum(F.col("open") * F.col("chars")).alias("all"),
         )
     )
     constant = (F.col("pages") >= CONSTANT_PAGES) & (F.col("top.n") >= CONSTANT_SHARE * F.col("pages")) & (F.col("texts") <= F.col("top.n"))
-    entry = F.concat_ws(":", "layout", "top.key")
-    return materialize(places.where(constant).groupBy("host").agg(F.concat_ws(",", F.array_sort(F.collect_set(entry))).alias("template")))
+    places = places.withColumn("entry", F.when(constant, F.concat_ws(":", "layout", "top.key"))).withColumn(
+        "fixed", F.when(constant, F.col("top.open") * F.col("top.chars")).otherwise(0.0)
+    )
+
+    def share(layout: Column, fixed: Column, whole: Column) -> Column:
+        return F.concat_ws(":", layout, "path", F.least(F.lit(1.0), F.coalesce(F.try_divide(fixed, whole), F.lit(0.0))))
+
+    general = F.col("layout") == 0
+    of_layout = F.when(F.col("entry").isNotNull() & ~general, share(F.col("layout"), F.col("fixed"), F.col("all")))
+    paths = (
+        places.groupBy("host", "path")
+        .agg(
+            F.collect_list("entry").alias("entries"),
+            F.collect_list(of_layout).alias("shares"),
+            F.max(F.when(general, F.col("fixed"))).alias("fixed"),
+            F.sum(F.when(general, 0.0).otherwise(F.col("fixed"))).alias("fixed_parts"),
+            F.max(F.when(general, F.col("all"))).alias("all"),
+        )
+        .where(F.size("entries") > 0)
+        .withColumn("shares", F.array_append("shares", share(F.lit(0), F.greatest("fixed", "fixed_parts"), F.col("all"))))
+    )
+    return materialize(
+        paths.groupBy("host").agg(
+            *[F.concat_ws(",", F.array_sort(F.flatten(F.collect_list(c)))).alias(name) for c, name in (("entries", "template"), ("shares", "fixed"))]
+        )
+    )
 
 
 def _by_layout(template: str | None) -> dict[int, set[int]]:
@@ -630,43 +846,80 @@ def _by_layout(template: str | None) -> dict[int, set[int]]:
     return found
 
 
-def _wrappers(pages: DataFrame, sample: int) -> DataFrame:
-    """``(host, wrapper, template)``, aligned on the ``sample`` pages of each host whose ids hash lowest."""
-    spot = Window.partitionBy("host").orderBy(F.xxhash64("page_id", "url"), "page_id")
-    # Ids and urls are ranked, cut per task first; only the chosen pages are moved.
-    chosen = pages.select("host", "page_id", "url").withColumn("rank", F.row_number().over(spot)).where(F.col("rank") <= sample)
-    chosen = materialize(chosen.select("page_id").where("page_id is not null").distinct())
-    templates = _templates(pages)
-
-    def learn(table: pa.Table) -> pa.Table:
-        given = sorted(p or "" for p in table.column("html").to_pylist())
-        template = set().union(*_by_layout(table.column("template")[0].as_py()).values())
-        # Repeated rows may bring more pages than were chosen.
-        wrapper = to_json(induce([p for p in dict.fromkeys(given) if p][: 2 * sample], template))
-        return pa.table({"host": table.column("host").slice(0, 1).cast(pa.string()), "wrapper": pa.array([wrapper])})
+def _fixed(shares: str | None) -> dict[int, dict[int, float]]:
+    found: dict[int, dict[int, float]] = {}
+    for entry in (shares or "").split(",") if shares else ():
+        layout, path, share = entry.split(":")
+        found.setdefault(int(layout), {})[int(path)] = float(share)
+    return found
 
-    aligned = pages.join(chosen, "page_id", "left_semi").join(templates, "host", "left").select("host", "html", "template")
-    wrappers = materialize(aligned.groupBy("host").applyInArrow(learn, "host string, wrapper string"))
-    return materialize(wrappers.join(templates, "host", "full_outer"))
 
+def _wrappers(pages: DataFrame) -> DataFrame:
+    """``(host, wrapper, template)``, counted and aligned over all pages of each host.
 
-def main_texts(pages: DataFrame, sample: int = SAMPLE_PAGES, in_memory: int = WRAPPERS_IN_MEMORY) -> DataFrame:
+    ``wrapper`` holds those of the layouts that ``CONSTANT_PAGES`` pages have, and under 0 the one of all layouts.
+    """
+    counted = _counted(pages)
+    templates = _templates(counted)
+
+    def by_layout(table: pa.Table) -> pa.Table:
+        host = table.column("host")[0].as_py()
+        fixed = _fixed(table.column("fixed")[0].as_py())
+        whole = Slot("#", "#")
+        rows: list[tuple[int, str]] = []
+        given = sorted(zip(table.column("layout").to_pylist(), table.column("wrapper").to_pylist()))
+        for layout, parts in groupby(given, lambda row: row[0]):
+            wrapper = Slot("#", "#")
+            for _, part in parts:
+                _add(wrapper, _counts_from_json(part))
+                _without_rare(wrapper)
+            _add(whole, wrapper)
+            _without_rare(whole)
+            # Sums of parts of equal pages are whole numbers but for rounding.
+            if round(wrapper.pages) >= CONSTANT_PAGES:
+                rows.append((layout, to_json(_choose(wrapper, fixed.get(0, {}) | fixed.get(layout, {})))))
+        rows.append((0, _counts_to_json(whole)))
+        return pa.table({"host": pa.array([host] * len(rows), pa.string()), "layout": pa.array([n for n, _ in rows], pa.int64()), "wrapper": [w for _, w in rows]})
+
+    def by_host(table: pa.Table) -> pa.Table:
+        host = table.column("host")[0].as_py()
+        whole = Slot("#", "#")
+        found: dict[int, str] = {}
+        for layout, wrapper in sorted(zip(table.column("layout").to_pylist(), table.column("wrapper").to_pylist())):
+            if layout:
+                found[layout] = wrapper
+            else:
+                _add(whole, _counts_from_json(wrapper))
+                _without_rare(whole)
+        found[0] = to_json(_choose(whole, _fixed(table.column("fixed")[0].as_py()).get(0, {})))
+        return pa.table({"host": pa.array([host], pa.string()), "wrapper": pa.array([json.dumps(found, ensure_ascii=False)], pa.string())})
+
+    fixed = templates.select("host", "fixed")
+    parts = counted.where("wrapper is not null").select("host", "layout", "wrapper").join(fixed, "host", "left")
+    groups = parts.groupBy("host", F.pmod("layout", F.lit(LAYOUT_GROUPS)))
+    layouts = materialize(groups.applyInArrow(by_layout, "host string, layout long, wrapper string"))
+    wrappers = layouts.join(fixed, "host", "left").groupBy("host").applyInArrow(by_host, "host string, wrapper string")
+    return materialize(materialize(wrappers).join(templates.drop("fixed"), "host", "full_outer"))
+
+
+def main_texts(pages: DataFrame, sample: int | None = None, in_memory: int = WRAPPERS_IN_MEMORY) -> DataFrame:
     """One row per page: ``page_id, url, text, n_chars``, blocks in page order joined by an empty line.
 
     A null or empty page has an empty text. Pages without a host share one
     wrapper; a host with one page, or a page unlike its host's others, is its own
-    wrapper. Repeated rows give repeated results; a null id stays null, and such
-    a page is extracted but not learned from. No rows give no rows.
+    wrapper. Repeated rows give repeated results and weigh as one; a null id stays
+    null. No rows give no rows. Wrappers are learned from all pages: ``sample``, once
+    the number of them, has no effect.
     """
     rows = pages.select(
         F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html")
     ).withColumn("host", host_of(F.col("url")))
-    wrappers = _wrappers(rows, sample)
+    wrappers = _wrappers(rows)
     size = wrappers.agg(F.sum(F.length(F.concat_ws("", "wrapper", "template")))).first()[0] or 0
     joined = rows.join(F.broadcast(wrappers) if size <= in_memory else wrappers, "host", "left")
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[tuple[str | None, str | None], tuple[Slot, dict[int, set[int]]]] = {}
+        known: dict[tuple[str | None, str | None], tuple[dict[int, Slot], dict[int, set[int]]]] = {}
         for batch in batches:
             texts = []
             for page, *found in zip(batch.column(2), batch.column(3).to_pylist(), batch.column(4).to_pylist()):
@@ -674,7 +927,8 @@ def main_texts(pages: DataFrame, sample: int = SAMPLE_PAGES, in_memory: int = WR
                 if given not in known:
                     if len(known) >= 256:
                         known.clear()
-                    known[given] = (from_json(wrapper) if wrapper else Slot("#", "#"), _by_layout(template))
+                    by_layout = {int(n): from_json(w) for n, w in json.loads(wrapper or "{}").items()}
+                    known[given] = (by_layout, _by_layout(template))
                 page = page.as_py()
                 texts.append("\n\n".join(extract(page, *known[given])) if page else "")
             yield pa.RecordBatch.from_arrays(

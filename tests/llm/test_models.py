@@ -413,6 +413,35 @@ def test_template_of_a_layout_that_few_pages_have(web):
     assert all(found[i].startswith(f"Read {i} words") for i in range(140)) and found[300] == "Only text of it"
 
 
+def test_content_of_a_layout_that_few_pages_have(web):
+    """Most of a forum page is a text that all forum pages share, which no sample of 16 among 300 pages needs to tell."""
+    rows = [(i, f"http://h.org/{i}", f"<html><body><div class=a><p>Read {i} {'words ' * 9}</p></div></body></html>") for i in range(300)]
+    forum = "<html><body><div class=f><div class=rules>{1}</div><div class=post><p>Post {0} said</p><p>Reply {0} to it</p></div><div class=by><p>By {0}</p></div></div></body></html>"
+    rules = f"<p>Rules of {'this and ' * 99} place</p>"
+    rows += [(400 + i, f"http://h.org/{400 + i}", forum.format(i, rules)) for i in range(6)]
+    # Pages that declare their article do not hide the others.
+    rows += [(500 + i, f"http://h.org/{500 + i}", f"<html><body><div class=a><p>Teaser {i}</p><article><p>Told {i}</p></article></div></body></html>") for i in range(9)]
+    found = {r.page_id: r.text for r in wrappers.main_texts(web(rows)).collect()}
+    assert all(found[400 + i] == f"Post {i} said\n\nReply {i} to it" for i in range(6))
+    assert all(found[i].startswith(f"Read {i} words") for i in range(300)) and all(found[500 + i] == f"Told {i}" for i in range(9))
+
+
+def test_wrappers_of_tasks_count_as_one_of_all_pages():
+    pages = [f"<html><body>{'<div class=top><p>x</p></div>' * (i % 2)}<div><p>Text {i} of it</p></div><ul><li>{i}</ul></body></html>" for i in range(40)]
+    whole, parts = wrappers.Slot("#", "#"), [wrappers.Slot("#", "#") for _ in range(4)]
+    for i, page in enumerate(pages):
+        wrappers._count(whole, [wrappers.parse(page)], 1, True)
+        wrappers._count(parts[i % 4], [wrappers.parse(page)], 1, True)
+    added = wrappers.Slot("#", "#")
+    for part in parts:
+        wrappers._add(added, wrappers._counts_from_json(wrappers._counts_to_json(part)))
+    assert wrappers._counts_to_json(added) == wrappers._counts_to_json(whole)
+    # Slots that hardly a page has leave their text above, so that none is lost to the choice.
+    added.pages, before = 1e9, wrappers._varying(added)
+    added.children += [wrappers.Slot(f"div.n{i}", "div") for i in range(wrappers.MANY_SLOTS)]
+    assert wrappers._varying(wrappers._without_rare(added)) == before and not added.children
+
+
 def test_end_tags_and_furniture_below_deep_nesting():
     deep = "<font>" * 400 + "".join(f"<div>w{i}</div>" for i in range(50)) + "<nav>menu</nav><aside>beside</aside>"
     page = f"<div class=wrap><article><p>first</p>{deep}</article></div><div class=other><p>not of it</p></div>"
