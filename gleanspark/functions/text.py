@@ -145,19 +145,27 @@ def decode_entities(c: ColumnOrName) -> Column:
     known = {name: chr(point) for name, point in name2codepoint.items()} | {"apos": "'"}
     names = F.from_json(F.lit(json.dumps(known)), "map<string,string>")
 
-    def decoded(part: Column) -> Column:
+    # Each step takes what the one before has found, which a lambda holds; an expression would be worked out at every use.
+    def named(part: Column) -> Column:
         name = F.regexp_extract(part, r"^&(#[0-9]{1,7}|#[xX][0-9A-Fa-f]{1,6}|[A-Za-z][A-Za-z0-9]*);", 1)
-        digits = F.regexp_extract(name, r"^#[xX]?([0-9A-Fa-f]+)$", 1)
-        hexadecimal = F.when(name.rlike("^#[xX]"), digits).when(name.startswith("#"), F.hex(digits.try_cast("bigint")))
-        point = F.lpad(hexadecimal, 8, "0")
+        return F.struct(part.alias("part"), F.when(part.startswith("&"), name).otherwise("").alias("name"))
+
+    def numbered(found: Column) -> Column:
+        digits = F.regexp_extract(found["name"], r"^#[xX]?([0-9A-Fa-f]+)$", 1)
+        hexadecimal = F.when(found["name"].rlike("^#[xX]"), digits).otherwise(F.hex(digits.try_cast("bigint")))
+        point = F.when(found["name"].startswith("#"), F.lpad(hexadecimal, 8, "0"))
+        return F.struct(found["part"].alias("part"), found["name"].alias("name"), point.alias("point"))
+
+    def decoded(found: Column) -> Column:
+        part, name, point = found["part"], found["name"], found["point"]
         valid = (point > "00000000") & (point <= "0010FFFF") & ~F.upper(point).between("0000D800", "0000DFFF")
         # A map is searched from its first key on, so only for what is a name.
-        named = F.when((name != "") & ~name.startswith("#"), F.try_element_at(names, name))
-        char = F.coalesce(F.when(valid, F.decode(F.unhex(point), "UTF-32")), named)
+        char = F.when(point.isNull(), F.try_element_at(names, name)).when(valid, F.decode(F.unhex(point), "UTF-32"))
         rest = F.substring(part, F.length(name) + 3, F.length(part))
-        return F.coalesce(F.when(name != "", F.concat(char, rest)), part)
+        return F.when(name == "", part).otherwise(F.coalesce(F.concat(char, rest), part))
 
-    return F.array_join(F.transform(F.split(_col(c), "(?=&)"), decoded), "")
+    parts = F.transform(F.transform(F.split(_col(c), "(?=&)"), named), numbered)
+    return F.array_join(F.transform(parts, decoded), "")
 
 
 def span_text(html: ColumnOrName, css_class: str) -> Column:
@@ -170,6 +178,13 @@ def span_text(html: ColumnOrName, css_class: str) -> Column:
         r"(?is)^.*?<span\b[^>]*\bclass\s*=\s*[\"'](?:[^\"']*\s)?" + css_class + r"(?:\s[^\"']*)?[\"'][^>]*>"
     )
     html = _col(html)
+    # Most labels hold neither tags nor references, and are read by one pattern, which gives an empty list for the others.
+    plain = F.lit(r"(?is)^(?>" + opening.removeprefix("(?is)^") + r")([^<&]*)</span\s*>")
+    return F.coalesce(strip(F.try_element_at(F.regexp_extract_all(html, plain, F.lit(1)), F.lit(1))), _marked_text(html, opening))
+
+
+def _marked_text(html: Column, opening: str) -> Column:
+    """Text behind ``opening`` up to the end of its span, with tags and references in it."""
     behind = F.when(html.rlike(opening), F.regexp_replace(html, opening, ""))
     parts = F.split(behind, r"(?i)(?=<span\b|</span\s*>)")
     start = F.struct(F.lit(1).alias("depth"), F.lit("").alias("text"))
@@ -179,8 +194,7 @@ def span_text(html: ColumnOrName, css_class: str) -> Column:
         depth = F.when(state["depth"] > 0, state["depth"] + step).otherwise(0)
         return F.struct(depth.alias("depth"), F.when(depth > 0, F.concat(state["text"], part)).otherwise(state["text"]).alias("text"))
 
-    inner = F.aggregate(parts, start, add)
-    closed = F.when(inner["depth"] == 0, inner["text"])
+    closed = F.aggregate(parts, start, add, lambda inner: F.when(inner["depth"] == 0, inner["text"]))
     return strip(decode_entities(F.regexp_replace(closed, f"{_BLANK}*<[^>]*>{_BLANK}*", "")))
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -87,6 +88,22 @@ def test_span_text(spark):
     ]
 
 
+def test_plain_labels_read_as_marked_ones(spark):
+    """Labels without tags and references take one pattern, and give what the walk through their spans gives."""
+    draw = random.Random(5)
+    pieces = ["<span class='node'>", '<SPAN id=1 class="x node">', "<span>", "</span>", "</SPAN >", "<b>", "a", " \xa0", "&amp;", "&#65;", "&#x110000;", "&#xD800;", "<"]
+    rows = ["".join(draw.choices(pieces, k=draw.randint(1, 7))) for _ in range(600)] + [None, ""]
+    opening = r"(?is)^.*?<span\b[^>]*\bclass\s*=\s*[\"'](?:[^\"']*\s)?node(?:\s[^\"']*)?[\"'][^>]*>"
+    found = one(spark, rows, text.span_text("c", "node"))
+    assert found == one(spark, rows, text._marked_text(F.col("c"), opening)) and 20 < sum(f is not None for f in found) < 500
+
+
+def test_a_label_is_read_once(spark):
+    """The walk through a label's spans, its references and their names are each worked out in one place."""
+    whole = spark.createDataFrame([("a",)], "c string").select(text.span_text("c", "node").alias("name"))._jdf.queryExecution().optimizedPlan().toString()
+    assert whole.count("regexp_extract_all(") == whole.count("aggregate(") == whole.count("&(#[0-9]{1,7}") == 1
+
+
 def test_strip_bom_and_names(spark):
     assert one(spark, ["﻿{}", "{}﻿"], text.strip_bom("c")) == ["{}", "{}﻿"]
     assert one(spark, ["docID:1docID:"], text.strip_doc_id("c")) == ["1"]
