@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gleanspark.functions import predicates
-from gleanspark.operators import positions, resources, responses
+from gleanspark.operators import positions, resources, responses, tree
 from gleanspark.sinks import stores
 from gleanspark.sources import catalog
 from tests.compare import contract
@@ -131,3 +131,10 @@ def test_replies_join_without_their_bodies(spark):
 def test_partitioned_writes_are_rebalanced(spark):
     text = plan(stores._gathered(spark.range(10), "id"))
     assert "REBALANCE_PARTITIONS_BY_COL" in text
+
+
+def test_a_level_of_a_tree_reads_each_label_once(spark):
+    columns = "'k' AS mart_id, 'n' AS name, array('') AS path, 1 AS depth, '' AS data_filter"
+    nodes = spark.sql(f"SELECT {columns}, array(parse_json('{{}}')) AS _children FROM range(9)")
+    opened = tree._open_folders(nodes, ["mart_id"])._jdf.queryExecution().optimizedPlan().toString()
+    assert opened.count("regexp_extract_all(") == opened.count("aggregate(") == opened.count("&(#[0-9]{1,7}") == 1
