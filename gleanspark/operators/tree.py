@@ -85,9 +85,10 @@ def _open_folders(current: DataFrame, others: Sequence[str]) -> DataFrame:
 def flatten_edges(edges: DataFrame) -> DataFrame:
     """``(node_id, title, path, depth, is_leaf)`` for an edge list ``(node_id, parent_id, title)``.
 
-    Ancestors are found by doubling: each round joins every node to the chain
+    Ancestors are found by doubling: each round joins every folder to the chain
     already known of the top it has reached, so a tree of depth d takes about
-    log2(d) joins. The state is written after each round. A node whose parent is
+    log2(d) joins. The state is written after each round; leaves, most of the nodes
+    as a rule, meet their folders once, at the end. A node whose parent is
     not in the list is a root of its own. A node has one parent: of rows that
     repeat an id the smallest ``(parent_id, title)`` counts, null first. Rows
     without id are no nodes. Nodes on or below a cycle hang below no root; they are
@@ -100,9 +101,9 @@ def tree_cycles(edges: DataFrame) -> DataFrame:
     """``(node_id, title, kind, cycle_id, cycle_size)``: the nodes of an edge list that lead into a cycle.
 
     ``kind`` is ``cycle`` for those on it and ``below`` for the others; ``cycle_id``
-    is the smallest id on the cycle. Pointers are doubled as often as the number of
-    such nodes has binary digits; then all of them stand on their cycle, and have
-    seen all of it.
+    is the smallest id on the cycle. Pointers of the folders among them are doubled
+    until all stand on their cycle and have seen all of it, which takes about log2 of
+    the longest cycle, or way into one, in rounds.
     """
     return _cycles(_walk(edges)[1])
 
@@ -114,7 +115,7 @@ def split_edges(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def _walk(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The flattened nodes, and ``(node_id, title, top)`` of those that never come to a root."""
+    """The flattened nodes, and ``(node_id, title, top, is_leaf)`` of those that never come to a root."""
     given = edges.where(F.col("node_id").isNotNull()).groupBy("node_id")
     edges = given.agg(F.min(F.struct("parent_id", "title")).alias("_e")).select("node_id", "_e.parent_id", "_e.title")
     parents = edges.where(F.col("parent_id").isNotNull()).select(F.col("parent_id").alias("node_id")).distinct()
@@ -128,8 +129,10 @@ def _walk(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
         F.array().cast("array<string>").alias("path"),
     )
     known = materialize(known)
+    # Nodes hang below folders alone, so leaves wait for the chains of these.
+    leaves, folders = known.where("is_leaf"), known.where("NOT is_leaf")
     # Finished nodes stay where they were written; only open ones are carried on.
-    finished, still_open = known.where(F.col("top").isNull()), known.where(F.col("top").isNotNull())
+    finished, still_open = folders.where(F.col("top").isNull()), folders.where(F.col("top").isNotNull())
     while not still_open.isEmpty():
         upper = finished.unionByName(still_open).select(
             F.col("node_id").alias("top"),
@@ -142,8 +145,13 @@ def _walk(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
         if done.isEmpty():
             break
         finished, still_open = finished.unionByName(done), raised.where(F.col("top").isNotNull())
-    flat = finished.select("node_id", "title", "path", (F.size("path") + 1).alias("depth"), "is_leaf")
-    return flat, known.join(still_open.select("node_id"), "node_id", "left_semi").select("node_id", "title", "top")
+    above = finished.select(F.col("node_id").alias("top"), F.lit(None).cast("string").alias("_next"), F.array_append("path", F.col("title")).alias("_above"))
+    hung = _raise(leaves.where(F.col("top").isNotNull()), above)
+    flat = finished.unionByName(leaves.where(F.col("top").isNull())).unionByName(hung)
+    flat = flat.select("node_id", "title", "path", (F.size("path") + 1).alias("depth"), "is_leaf")
+    at = F.when(F.col("is_leaf"), F.col("top")).otherwise(F.col("node_id"))
+    stuck = known.withColumn("_at", at).join(still_open.select(F.col("node_id").alias("_at")), "_at", "left_semi")
+    return flat, stuck.select("node_id", "title", "top", "is_leaf")
 
 
 def _raise(open_nodes: DataFrame, upper: DataFrame) -> DataFrame:
@@ -155,16 +163,25 @@ def _raise(open_nodes: DataFrame, upper: DataFrame) -> DataFrame:
 def _cycles(stuck: DataFrame) -> DataFrame:
     stuck = materialize(stuck)
     # `least` is the smallest of the ids passed on the way to `at`.
-    reach = stuck.select("node_id", F.col("top").alias("at"), F.col("node_id").alias("least"))
-    for _ in range(max(0, stuck.count() - 1).bit_length()):
+    reach = stuck.where("NOT is_leaf").select("node_id", F.col("top").alias("at"), F.col("node_id").alias("least"))
+    reached = None
+    while True:
         step = reach.select(F.col("node_id").alias("at"), F.col("at").alias("_next"), F.col("least").alias("_least"))
+        less = F.col("_least") < F.col("least")
         reach = materialize(
-            reach.join(step, "at").select("node_id", F.col("_next").alias("at"), F.least("least", "_least").alias("least"))
+            reach.join(step, "at").select("node_id", F.col("_next").alias("at"), F.least("least", "_least").alias("least"), less.alias("less"))
         )
+        # Places reached get fewer until all are on cycles; if then no id got less, the ways have gone round them.
+        before, (reached, moved) = reached, reach.agg(F.count_distinct("at"), F.max("less")).first()
+        if reached == before and not moved:
+            break
     on = reach.join(reach.select(F.col("at").alias("node_id")).distinct(), "node_id", "left_semi")
     on = materialize(on.select("node_id", F.col("least").alias("cycle_id")))
     sizes = on.groupBy("cycle_id").agg(F.count(F.lit(1)).alias("cycle_size"))
     ends = on.join(sizes, "cycle_id").withColumnRenamed("node_id", "at")
     placed = reach.join(ends, "at").join(on.select("node_id", F.lit(True).alias("_on")), "node_id", "left")
-    kind = F.when(F.col("_on"), "cycle").otherwise("below").alias("kind")
-    return stuck.join(placed.select("node_id", kind, "cycle_id", "cycle_size"), "node_id").drop("top")
+    placed = placed.select(F.col("node_id").alias("_at"), "_on", "cycle_id", "cycle_size")
+    # A leaf leads where its folder does.
+    at = F.when(F.col("is_leaf"), F.col("top")).otherwise(F.col("node_id"))
+    kind = F.when(F.col("_on") & ~F.col("is_leaf"), "cycle").otherwise("below").alias("kind")
+    return stuck.withColumn("_at", at).join(placed, "_at").select("node_id", "title", kind, "cycle_id", "cycle_size")

@@ -12,6 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gleanspark.operators import lanes, nested, snapshots, tree, typed
+from gleanspark.session import materialize
 from gleanspark.sinks import manifests, publish, read_published, run_in_parts, stage
 from gleanspark.sources.fetch import fetch
 
@@ -207,3 +208,27 @@ def test_the_last_manifest_of_a_name_counts(spark, tmp_path):
     stage(spark.createDataFrame([("k", "unseen")], SCHEMA), destination, "other")
     assert [tuple(r) for r in read_published(spark, destination, SCHEMA).collect()] == [("k", "new")]
     assert [r.rows for r in manifests(spark, destination).collect()] == [1]
+
+
+def test_walks_write_leaves_once_and_end_with_their_cycles(spark, monkeypatch):
+    """Rounds go by the longest way round or into a cycle, and over folders alone."""
+    rows = [(f"c{i:04}", f"c{(i // 3) * 3 + (i + 1) % 3:04}", None) for i in range(300)]
+    rows += [(f"t{i:04}", f"t{i - 1:04}" if i % 20 else f"c{i % 300:04}", None) for i in range(400)]
+    rows += [("z", "z", None), ("r", None, "R")] + [(f"f{i}", f"f{i - 1}" if i else "r", f"F{i}") for i in range(9)]
+    rows += [(f"l{i:05}", ("c0005", "t0019", "f8", "r", "z")[i % 5], "leaf") for i in range(5000)]
+    written = []
+
+    def count(df, options=None):
+        found = materialize(df, options)
+        written.append(found.count())
+        return found
+
+    monkeypatch.setattr(tree, "materialize", count)
+    flat, stuck = tree.split_edges(spark.createDataFrame(rows, "node_id string, parent_id string, title string"))
+    flat, stuck = {r.node_id: r for r in flat.collect()}, {r.node_id: r for r in stuck.collect()}
+    assert len(flat) == 10 + 2000 and len(stuck) == 701 + 3000
+    assert flat["l00002"].path == ["R", *(f"F{i}" for i in range(9))] and flat["l00003"].path == ["R"] and flat["l00002"].is_leaf
+    assert (stuck["c0299"].kind, stuck["c0299"].cycle_id, stuck["c0299"].cycle_size) == ("cycle", "c0297", 3)
+    assert (stuck["t0039"].kind, stuck["t0039"].cycle_id) == ("below", "c0018") and stuck["z"].cycle_size == 1
+    assert [(stuck[f"l{i:05}"].kind, stuck[f"l{i:05}"].cycle_id) for i in (0, 1, 4)] == [("below", "c0003"), ("below", "c0000"), ("below", "z")]
+    assert sum(written) < 3 * len(rows) + 10 * 701
