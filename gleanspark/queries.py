@@ -12,6 +12,7 @@ import zipfile
 from collections.abc import Callable
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -686,7 +687,7 @@ def q_is_html(read, spark):
     )
 
 
-def _zip_archive(names: pd.Series, texts: pd.Series) -> pd.Series:
+def _zip_archive(names: pa.Array, texts: pa.Array) -> pa.Array:
     def pack(name: str, body: str) -> bytes:
         buffer = io.BytesIO()
         with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) as archive:
@@ -694,12 +695,13 @@ def _zip_archive(names: pd.Series, texts: pd.Series) -> pd.Series:
             archive.writestr(f"{name}.txt", "note")
         return buffer.getvalue()
 
-    return pd.Series([pack(n, t) for n, t in zip(names, texts)])
+    # One text at a time: all of a batch as Python objects would be several times its bytes.
+    return pa.array((pack(n.as_py(), t.as_py()) for n, t in zip(names, texts)), pa.binary(), size=len(names))
 
 
 def _archives(read) -> DataFrame:
     """Archives made of whole texts; the German ones are no archives."""
-    pack = F.pandas_udf(_zip_archive, "binary")
+    pack = F.arrow_udf(_zip_archive, "binary")
     key = F.col("doc_id").cast("string")
     content = F.when(F.col("lang") == "de", F.encode("text", "UTF-8")).otherwise(pack(key, F.col("text")))
     return spread(read("documents"), "doc_id").select(key.alias("storage_key"), content.alias("content"))
@@ -730,7 +732,7 @@ def q_check_archives(read, spark):
 )
 def q_decode_archives(read, spark):
     """Archives with one CSV member that holds a whole text in a quoted cell."""
-    pack = F.pandas_udf(_zip_archive, "binary")
+    pack = F.arrow_udf(_zip_archive, "binary")
     key = F.col("doc_id").cast("string")
     table = F.concat(F.lit('id,body\n1,"'), F.replace("text", F.lit('"'), F.lit('""')), F.lit('"\n'))
     archives = spread(read("documents"), "doc_id").select(key.alias("dataset_id"), pack(key, table).alias("content"))

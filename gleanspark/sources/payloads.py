@@ -19,6 +19,8 @@ from gleanspark.operators.typed import infer_columns
 
 #: A member is handed on in parts of this size, so none has to fit in memory.
 PART_BYTES = 16 * 2**20
+#: Bytes of small members that are handed on together.
+_BATCH_BYTES = 2**20
 #: Rows and characters of a decoded table handed to the JVM at a time.
 _CSV_BATCH = 2000
 _CSV_BATCH_CHARS = 16 * 2**20
@@ -55,7 +57,7 @@ def expand_archive(
             for payload_key, content in zip(batch[key], batch["content"]):
                 for row in _members(payload_key.as_py(), content.as_py()):
                     size = len(row.get("data") or b"") + 100
-                    if rows and held + size > part_bytes:
+                    if rows and held + size > min(part_bytes, _BATCH_BYTES):
                         yield pa.RecordBatch.from_pylist(rows, schema)
                         rows, held = [], 0
                     rows.append(row)

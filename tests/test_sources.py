@@ -5,10 +5,13 @@ from __future__ import annotations
 import io
 import json
 import zipfile
+from types import SimpleNamespace
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from gleanspark import queries
 from gleanspark.operators import tree, typed
 from gleanspark.sources import catalog, datasets, indicators, payloads, topics
 from gleanspark.sources.fetch import fetch
@@ -303,3 +306,22 @@ def test_indicators(spark):
     ]
     bodies = spark.createDataFrame([('﻿{"a": 1}',), ("oops",)], "body string")
     assert [r["body"] for r in indicators.clean_metadata(bodies).collect()] == ['{"a":1}', None]
+
+
+def test_small_members_are_handed_on_in_small_batches(monkeypatch):
+    """What a task holds does not grow with the number of its archives."""
+
+    class Task:
+        def select(self, *columns):
+            return self
+
+        def mapInArrow(self, run, schema):
+            return run
+
+    monkeypatch.setattr(payloads.F, "col", lambda name: SimpleNamespace(cast=lambda kind: name))
+    texts = [f"{i},".ljust(60_000, "x") for i in range(100)]
+    archives = queries._zip_archive(pa.array([str(i) for i in range(100)]), pa.array(texts))
+    batch = pa.RecordBatch.from_arrays([pa.array([str(i) for i in range(100)]), archives], names=["storage_key", "content"])
+    found = list(payloads.expand_archive(Task(), ".csv")(iter([batch])))
+    assert [d.as_py().decode() for b in found for d in b["data"]] == texts
+    assert max(b.nbytes for b in found) < 2 * 2**20
