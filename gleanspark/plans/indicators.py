@@ -21,6 +21,9 @@ from gleanspark.sources.indicators import (
 )
 
 _MAX_FILE = 2**31 - 1
+#: Files, and bytes of them, that meet their work rows in one task.
+_TASK_FILES = 100_000
+_TASK_BYTES = 64 * 2**20
 #: Outcome of an indicator list that failed or cannot be read.
 UNREADABLE_LIST = "unreadable_list"
 
@@ -49,14 +52,19 @@ def harvest_indicators(
         F.lit(UNREADABLE_LIST).alias("error_type"),
         F.lit(False).alias("ok"),
     )
-    work = indicator_resources(listed)
+    work = materialize(indicator_resources(listed))
     replies = materialize(fetch(work, transport, fetch_partitions, request_headers, _MAX_FILE), PAYLOAD_OPTIONS)
     body = F.make_valid_utf8(F.col("content").cast("string"))
     texts = replies.select("url", "status", "error_type", "error_text", F.when(F.col("ok"), body).alias("body"))
-    files = work.join(texts, "url", "left")
-    metadata = clean_metadata(files.where(F.col("kind") == "metadata"))
+    # Urls are alike, so their files and shuffles are far smaller than the rows; neither tells how many tasks they need.
+    held = replies.agg(F.sum(F.octet_length("content"))).first()[0] or 0
+    tasks = max(fetch_partitions, work.count() // _TASK_FILES + 1, held // _TASK_BYTES + 1)
+    files = work.repartition(tasks, "url").join(texts.repartition(tasks, "url").hint("merge"), "url", "left")
+    is_metadata = F.col("kind") == "metadata"
+    cleaned = clean_metadata(files.withColumn("_metadata", F.when(is_metadata, F.col("body"))), "_metadata")
+    files = cleaned.withColumn("body", F.when(is_metadata, F.col("_metadata")).otherwise(F.col("body"))).drop("_metadata")
     with small_batches(hits.sparkSession):
-        files = materialize(metadata.unionByName(files.where(F.col("kind") == "data")), PAYLOAD_OPTIONS)
+        files = materialize(files, PAYLOAD_OPTIONS)
     good = F.col("body").isNotNull()
     ids = ("database_id", "indicator_id", "kind")
     store_indicator(files.where(good).select(*ids, "path", "body"), f"{destination}/files", "overwrite")

@@ -18,7 +18,9 @@ from gleanspark.plans import (
     harvest_topics,
     plan_catalogue,
 )
+from gleanspark.plans import indicators
 from gleanspark.plans.datasets import store_one_dataset
+from gleanspark.session import materialize
 from tests.test_sources import archive, node
 
 
@@ -243,6 +245,25 @@ def test_harvest_indicators(spark, tmp_path):
     assert stored == {("metadata", "x"): '{"k":1}', ("metadata", "y"): '{"k":1}', ("data", "x"): "c\n1\n"}
 
 
+def test_indicator_files_meet_their_work_in_tasks_of_bounded_size(spark, tmp_path, monkeypatch):
+    """More files are more tasks, whatever the size of the tables they are written in; no side is broadcast."""
+    hits = spark.createDataFrame([('{"value":[{"series_description":{"database_id":"A"}}]}',)], "body string")
+    lists = spark.createDataFrame([("A", 200, json.dumps([f"i{n}" for n in range(60)]))], "database_id string, status int, body string")
+    plans = []
+
+    def written(df, options=None):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return materialize(df, options)
+
+    monkeypatch.setattr(indicators, "materialize", written)
+    monkeypatch.setattr(indicators, "_TASK_FILES", 10, raising=False)
+    summary = harvest_indicators(hits, lists, str(tmp_path), lambda url, headers: (200, {}, b'{"k": 1}'), 2).collect()
+    assert [tuple(r) for r in summary] == [("A", 120, 0, 120)]
+    joins = [line for line in plans[-1].splitlines() if "Join" in line and "url" in line]
+    assert len(joins) == 1 and "SortMergeJoin" in joins[0]
+    assert plans[-1].count(", 13), REPARTITION_BY_NUM") == 2
+
+
 def test_lost_replies_are_errors_of_their_harvest(spark, pages, tmp_path):
     lost = spark.createDataFrame([(7, 500, "gone"), (8, 200, "no json")], "page_no int, status int, body string")
     summary = harvest_catalogue(pages.unionByName(lost), settings(tmp_path / "c", "r", expand_archives=True), transport)
