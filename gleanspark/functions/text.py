@@ -128,15 +128,8 @@ def strip_bom(c: ColumnOrName) -> Column:
 
 def repair_nodes_json(c: ColumnOrName) -> Column:
     """Quote the first bare ``Nodes`` key, which makes the topic replies valid JSON."""
-    c, bare = _col(c), "{Nodes:"
-    at = F.instr(c, bare)
-    # SQL substring takes columns for both bounds on every supported version.
-    repaired = F.concat(
-        F.substring(c, F.lit(1), at - 1),
-        F.lit('{"Nodes":'),
-        F.substring(c, at + len(bare), F.length(c)),
-    )
-    return F.when(at > 0, repaired).otherwise(c)
+    # Cut once instead of by positions, which are counted from the first character at every use.
+    return F.array_join(F.split(_col(c), r"\{Nodes:", 2), '{"Nodes":')
 
 
 def decode_entities(c: ColumnOrName) -> Column:

@@ -16,9 +16,12 @@ LEVELS_PER_PASS = 4
 
 
 def _children(node: Column) -> Column:
-    """Child nodes, null for a leaf."""
-    children = F.try_variant_get(node, "$.childNodes", "array<variant>")
-    return F.when(F.size(children) > 0, children)
+    """Child nodes, null or none for a leaf; not to be used twice, as each use takes them out of the node anew."""
+    return F.try_variant_get(node, "$.childNodes", "array<variant>")
+
+
+def _is_open(children: Column) -> Column:
+    return F.coalesce(F.size(children) > 0, F.lit(False))
 
 
 def _name(node: Column) -> Column:
@@ -30,15 +33,16 @@ def _data_filter(node: Column) -> Column:
 
 
 def is_leaf(node: Column | str) -> Column:
-    return _children(F.col(node) if isinstance(node, str) else node).isNull()
+    return ~_is_open(_children(F.col(node) if isinstance(node, str) else node))
 
 
 def flatten_nodes(nodes: DataFrame, node: str = "node") -> DataFrame:
     """Leaves below each row's node: ``(other columns..., name, path, depth, data_filter)``.
 
-    Every level is an explode. Below the first level, and again where folders are
-    still open after ``LEVELS_PER_PASS`` more, the nodes are rebalanced over the
-    tasks; leaves are written once, when they are reached.
+    Every level is an explode. ``LEVELS_PER_PASS`` levels are opened where their top
+    node stands: a node, like the reply it was parsed from, is one variant of at most
+    128 MiB, so it is never most of a large table. Leaves are written once, when they are
+    reached; only folders that are still open are rebalanced over the tasks.
     """
     others = [c for c in nodes.columns if c != node]
     at = F.col(node)
@@ -50,16 +54,14 @@ def flatten_nodes(nodes: DataFrame, node: str = "node") -> DataFrame:
         _data_filter(at).alias("data_filter"),
         _children(at).alias("_children"),
     )
-    # What one reply holds may be most of all nodes, so its children are dealt out.
-    current = _open_folders(current, others).hint("rebalance")
     leaves: list[DataFrame] = []
     while True:
         for _ in range(LEVELS_PER_PASS):
             current = _open_folders(current, others)
-        opened = materialize(current)
-        # Finished leaves are written once; only open folders go on.
-        leaves.append(opened.where(F.col("_children").isNull()).drop("_children"))
-        rest = opened.where(F.col("_children").isNotNull())
+        opened = materialize(current.withColumn("_open", _is_open(F.col("_children"))))
+        # Leaves are told by a column of their own, so that they are read without the children of folders.
+        leaves.append(opened.where("NOT _open").drop("_open", "_children"))
+        rest = opened.where("_open").drop("_open")
         if rest.isEmpty():
             return reduce(DataFrame.unionByName, leaves)
         current = rest.hint("rebalance")

@@ -138,3 +138,20 @@ def test_a_level_of_a_tree_reads_each_label_once(spark):
     nodes = spark.sql(f"SELECT {columns}, array(parse_json('{{}}')) AS _children FROM range(9)")
     opened = tree._open_folders(nodes, ["mart_id"])._jdf.queryExecution().optimizedPlan().toString()
     assert opened.count("regexp_extract_all(") == opened.count("aggregate(") == opened.count("&(#[0-9]{1,7}") == 1
+
+
+def test_trees_of_few_levels_are_opened_where_they_are_parsed(spark, monkeypatch):
+    reply = """concat('{"childNodes": [{"dataFilter": ', id, '}]}')"""
+    nodes = spark.sql(f"SELECT id AS mart_id, parse_json({reply}) AS node FROM range(9)")
+    plans, written = [], tree.materialize
+    monkeypatch.setattr(tree, "materialize", lambda df: plans.append(df._jdf.queryExecution().optimizedPlan().toString()) or written(df))
+    assert tree.flatten_nodes(nodes).count() == 9
+    (opened,) = plans
+    assert "REBALANCE" not in opened.upper() and "Repartition" not in opened
+    # Each level takes the children out of a node once.
+    assert opened.count("$.childNodes") == 1 + tree.LEVELS_PER_PASS
+
+
+def test_leaves_are_read_without_the_children_of_folders(spark):
+    nodes = spark.sql("SELECT 'k' AS mart_id, parse_json('{}') AS node FROM range(9)")
+    assert "_children" not in plan(tree.flatten_nodes(nodes))

@@ -190,6 +190,16 @@ def test_mart_leaves_at_any_depth(spark):
     assert [r["mart_id"] for r in topics.reply_errors(marts).collect()] == ["bad"]
 
 
+def test_odd_children_of_a_folder(spark):
+    odd = [None, "x", node("bare", [], "a"), {"childNodes": {"a": 1}}, {"label": 3, "childNodes": None}, node("f", [None, node("g", [])])]
+    bodies = ["{Nodes:" + json.dumps([node("top", odd)]) + "}", "{Nodes:" + json.dumps([None, node("{Nodes:")]) + "}", "{Nodes:[]}", None]
+    marts = spark.createDataFrame([(str(i), b) for i, b in enumerate(bodies)], "mart_id string, body string")
+    found = [(r.mart_id, r.name, "/".join(r.path), r.depth, r.data_filter) for r in topics.scan_mart_leaves(marts).collect()]
+    none = [("0", None, "top", 2, None)] * 4
+    rest = [("0", "bare", "top", 2, "a"), ("0", None, "top/f", 3, None), ("0", "g", "top/f", 3, ""), ("1", None, "", 1, None), ("1", "{Nodes:", "", 1, "")]
+    assert sorted(map(repr, found)) == sorted(map(repr, none + rest))
+
+
 def test_usable_leaves_of_any_name_length(spark):
     rows = [("n" * 255, "f", "m"), ("n" * 256, "f", "m"), ("x", "", "m"), ("x", None, "m")]
     df = spark.createDataFrame(rows, "name string, data_filter string, mart_id string")
