@@ -107,6 +107,52 @@ def test_the_cells_of_circles_are_not_broadcast(spark):
     assert "Broadcast" not in met._jdf.queryExecution().executedPlan().toString()
 
 
+def exchanged(frame):
+    """Rows that the exchanges of a frame wrote, when it has been collected."""
+    result = frame._jdf.queryExecution().executedPlan().executedPlan().collectLeaves().apply(0)
+    stages = result.plan().collectLeaves()
+    return sum(stages.apply(i).plan().metrics().apply("shuffleRecordsWritten").value() for i in range(stages.size()))
+
+
+def test_circles_are_not_exchanged_by_small_cells(spark):
+    places = spark.range(50).select("id", (F.col("id") / 10 - 2).alias("lat"), (F.col("id") / 10 + 20).alias("lon"))
+    rings = spark.createDataFrame([(i, i / 10, 20.0, 4e5) for i in range(20)], "ring int, center_lat double, center_lon double, radius double")
+    met = spatial.match_circles(places, rings, 100_000.0)
+    expected = places.crossJoin(rings).where(geo.distance("lat", "lon", "center_lat", "center_lon") <= F.col("radius"))
+    columns = ["id", "ring", geo.distance("lat", "lon", "center_lat", "center_lon")]
+    assert sorted(met.select("id", "ring", "distance").collect()) == sorted(expected.select(*columns).collect())
+    assert met.columns == [*places.columns, *rings.columns, "distance"]
+    assert len(met.collect()) and 50 + 20 <= exchanged(met) <= 50 + 20 * 4**2  # a box of 800 km, by cells of 100 km about 9 x 9
+
+
+@pytest.mark.parametrize("crowd", [1, 16, 300])
+def test_crowded_cells_are_dealt_out(spark, crowd):
+    draw = random.Random(crowd)
+    spots = [(draw.gauss(48, 0.2), draw.gauss(11, 0.3)) for _ in range(200)] + [(48.0, 11.0)] * 30
+    spots += [(draw.uniform(-90, 90), draw.uniform(-180, 180)) for _ in range(50)]
+    circles = [(*draw.choice(spots), draw.choice((0.0, 1e4, 3e4, 9e5))) for _ in range(60)]
+    circles += circles[:20]
+    places = spark.createDataFrame([(i // 2, {"a": i}, *p) for i, p in enumerate(spots)], "place int, notes map<string,int>, lat double, lon double")
+    rings = spark.createDataFrame([(i, *c) for i, c in enumerate(circles)], "ring int, center_lat double, center_lon double, radius double")
+    met = spatial.match_circles(places, rings, 100_000.0, crowd=crowd)
+    assert met.columns == [*places.columns, *rings.columns, "distance"]
+    found = [(r["ring"], r["notes"]["a"]) for r in met.collect()]
+    expected = [(i, j) for i, (a, b, radius) in enumerate(circles) for j, p in enumerate(spots) if metres(p, (a, b)) <= radius]
+    assert sorted(found) == sorted(expected)
+
+
+def test_circles_of_odd_numbers(spark):
+    nan, inf = float("nan"), float("inf")
+    spots = [(48.0, 11.0), (48.0, 371.0), (48.0, 11.0 + 360 * 10**7), (0.0, nan), (-0.0, 180.0), (90.0, -5.0), (nan, 0.0), (91.0, 0.0), (-90.0, 3.0)]
+    circles = [(48.0, 11.0, r) for r in (0.0, 1e-9, 1.0, 2.0015e7, 2.1e7, inf, nan, -1.0, None)] + [(48.0, 731.0, 5.0), (0.0, -180.0, 0.0), (-48.0, -169.0, 2.0015115e7)]
+    places = spark.createDataFrame([(i, *p) for i, p in enumerate(spots)], "place int, lat double, lon double")
+    rings = spark.createDataFrame([(i, *c) for i, c in enumerate(circles)], "ring int, center_lat double, center_lon double, radius double")
+    metres_ = geo.distance("lat", "lon", "center_lat", "center_lon")
+    expected = places.crossJoin(rings).where(F.col("lat").between(-90, 90) & (F.col("radius") >= 0) & (metres_ <= F.col("radius")))
+    found = spatial.match_circles(places, rings, 100_000.0)
+    assert sorted(found.select("ring", "place").collect()) == sorted(expected.select("ring", "place").collect())
+
+
 def test_area_filters(spark):
     spots = [(0.0, 0.0), (50.0, 179.0), (50.0, -179.0), (10.0, 20.0), (None, 1.0)]
     frame = spark.createDataFrame(spots, "lat double, lon double")
